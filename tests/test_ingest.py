@@ -1,0 +1,167 @@
+from datetime import date
+
+import pytest
+from conftest import HEADER, bars, land
+
+from barloom import BadRows, ingest_days
+from barloom.plans.ingest import planned_and_landed
+from barloom.plans.fetch import plan_tail
+from barloom.sources.listings import day_listing
+from barloom.sources.tables import read_bars
+
+
+@pytest.fixture
+def landing(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    return folder
+
+
+@pytest.fixture
+def daily(tmp_path):
+    return str(tmp_path / "daily")
+
+
+def statuses(result):
+    return {(r.symbol, r.date.isoformat()): r.status for r in result.collect()}
+
+
+def rows_of(spark, daily):
+    return read_bars(spark, daily)
+
+
+def test_values_types_and_column_order(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", [["2025-01-02 03:04", "1.5", "2", "1", "1.75", "10"]])
+    result = ingest_days(spark, str(landing), catalog, daily)
+    assert statuses(result) == {("AAA", "2025-01-02"): "ingested"}
+    df = rows_of(spark, daily)
+    assert df.columns == ["timestamp", "unix_time", "open", "high", "low", "close", "volume", "symbol", "date"]
+    assert [f.dataType.simpleString() for f in df.schema] == [
+        "timestamp", "bigint", "double", "double", "double", "double", "double", "string", "string",
+    ]
+    row = df.first()
+    assert (row.unix_time, row.open, row.close, row.volume) == (1735787040, 1.5, 1.75, 10.0)
+    assert (row.symbol, row.date) == ("AAA", "2025-01-02")
+
+
+def test_bars_of_one_minute_and_identical_bars_are_kept_in_file_order(spark, catalog, landing, daily):
+    rows = [["2025-01-02 03:04", p, p, p, p, 1] for p in (5, 3, 4, 4, 1, 2)]
+    land(landing, "aaausd", "2025-01-02", rows)
+    ingest_days(spark, str(landing), catalog, daily)
+    assert [r.open for r in rows_of(spark, daily).collect()] == [5, 3, 4, 4, 1, 2]
+
+
+def test_header_order_and_column_sets_may_differ_between_files(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-01", [["2025-01-01 00:00", 1, 2, 3, 4, 5]])
+    land(landing, "aaausd", "2025-01-02", [[5, 4, 3, 2, 1, "2025-01-02 00:00"]], HEADER[::-1])
+    land(landing, "bbbusd", "2025-01-03", [["2025-01-03 00:00", 1, 2, 3, 4]], HEADER[:-1])
+    land(landing, "bbbusd", "2025-01-04", [["2025-01-04 00:00", 1, 2, 3, 4, 5, "x,y"]], HEADER + ["note"])
+    ingest_days(spark, str(landing), catalog, daily)
+    found = {r.date: r for r in rows_of(spark, daily).collect()}
+    values = lambda r: (r.open, r.high, r.low, r.close, r.volume, r.note)
+    assert values(found["2025-01-01"]) == (1, 2, 3, 4, 5, None)
+    assert values(found["2025-01-02"]) == (1, 2, 3, 4, 5, None)
+    assert values(found["2025-01-03"]) == (1, 2, 3, 4, None, None)
+    assert values(found["2025-01-04"]) == (1, 2, 3, 4, 5, "x,y")
+
+
+def test_one_reordered_header_alone(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", [[5, 4, 3, 2, 1, "2025-01-02 00:00"]], HEADER[::-1])
+    ingest_days(spark, str(landing), catalog, daily)
+    row = rows_of(spark, daily).first()
+    assert (row.open, row.volume, row.timestamp.day) == (1, 5, 2)
+
+
+def test_stated_columns_reject_another_header(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0, 1]))
+    ingest_days(spark, str(landing), catalog, daily, columns=HEADER)
+    assert rows_of(spark, daily).count() == 2
+    land(landing, "aaausd", "2025-01-03", [[5, 4, 3, 2, 1, "2025-01-03 00:00"]], HEADER[::-1])
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        ingest_days(spark, str(landing), catalog, daily, columns=HEADER)
+    assert rows_of(spark, daily).count() == 2
+
+
+def test_files_without_rows_are_skipped_days(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", None)
+    land(landing, "aaausd", "2025-01-03", [])
+    land(landing, "aaausd", "2025-01-04", bars("2025-01-04", [0]))
+    result = statuses(ingest_days(spark, str(landing), catalog, daily))
+    assert result == {
+        ("AAA", "2025-01-03"): "empty",
+        ("AAA", "2025-01-04"): "ingested",
+    }
+
+
+def test_only_empty_files(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-03", [])
+    assert statuses(ingest_days(spark, str(landing), catalog, daily)) == {("AAA", "2025-01-03"): "empty"}
+
+
+def test_nothing_landed(spark, catalog, landing, daily):
+    assert ingest_days(spark, str(landing), catalog, daily).count() == 0
+
+
+@pytest.mark.parametrize(
+    "row, reason",
+    [
+        (["2025-01-02 00:01", "abc", 1, 1, 1, 1], "bad open"),
+        (["2025-01-02 03:04:05", 1, 1, 1, 1, 1], "bad timestamp"),
+        (["2025-01-02 00:01", 1, 1, 1, 1, 1, 9], "too many fields"),
+    ],
+)
+def test_bad_row_fails_the_run_and_adds_nothing(spark, catalog, landing, daily, tmp_path, row, reason):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]) + [row])
+    land(landing, "bbbusd", "2025-01-03", bars("2025-01-03", [0]))
+    rejects = str(tmp_path / "rejects")
+    with pytest.raises(BadRows, match="1 landed rows"):
+        ingest_days(spark, str(landing), catalog, daily, reject_path=rejects)
+    assert day_listing(spark, daily).count() == 0
+    assert [r.reason for r in spark.read.parquet(rejects).collect()] == [reason]
+
+
+def test_bad_day_is_skipped_whole_on_request(spark, catalog, landing, daily, tmp_path):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]) + [["2025-01-02 00:01", "abc", 1, 1, 1, 1]])
+    land(landing, "bbbusd", "2025-01-03", bars("2025-01-03", [0]))
+    result = ingest_days(
+        spark, str(landing), catalog, daily, on_bad="skip_day", reject_path=str(tmp_path / "rejects")
+    )
+    assert statuses(result) == {("AAA", "2025-01-02"): "rejected", ("BBB", "2025-01-03"): "ingested"}
+    assert [r.symbol for r in rows_of(spark, daily).collect()] == ["BBB"]
+
+
+def test_existing_days_are_never_rewritten(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
+    ingest_days(spark, str(landing), catalog, daily)
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", range(10)))
+    land(landing, "seven", "2025-01-02", bars("2025-01-02", [0]))
+    result = ingest_days(spark, str(landing), catalog, daily)
+    assert statuses(result) == {("AAA", "2025-01-02"): "exists", ("007", "2025-01-02"): "ingested"}
+    assert rows_of(spark, daily).count() == 2
+    again = ingest_days(spark, str(landing), catalog, daily)
+    assert set(statuses(again).values()) == {"exists"}
+    assert rows_of(spark, daily).count() == 2
+
+
+def test_days_outside_the_wanted_span_are_not_read(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
+    ingest_days(spark, str(landing), catalog, daily)
+    land(landing, "aaausd", "2025-01-02", [["junk", "junk"]], ["what", "ever"])
+    land(landing, "aaausd", "2025-01-03", bars("2025-01-03", [0]))
+    result = ingest_days(spark, str(landing), catalog, daily, columns=HEADER)
+    assert statuses(result) == {("AAA", "2025-01-02"): "exists", ("AAA", "2025-01-03"): "ingested"}
+
+
+def test_plan_limits_what_is_ingested(spark, catalog, landing, daily):
+    for day in ("2025-01-02", "2025-01-03", "2025-01-04"):
+        land(landing, "aaausd", day, bars(day, [0]))
+    existing = day_listing(spark, daily).select("symbol", "day").withColumnRenamed("day", "date")
+    plan = plan_tail(catalog, existing, "2025-01-03", "2025-01-03", symbols="AAA, ZZZ")
+    assert [r.date for r in planned_and_landed(plan, str(landing)).collect()] == [date(2025, 1, 3)]
+    result = ingest_days(spark, str(landing), catalog, daily, plan=plan)
+    assert statuses(result) == {("AAA", "2025-01-03"): "ingested"}
+
+
+def test_unknown_ids_are_left_alone(spark, catalog, landing, daily):
+    land(landing, "nobody", "2025-01-02", bars("2025-01-02", [0]))
+    assert ingest_days(spark, str(landing), catalog, daily).count() == 0
