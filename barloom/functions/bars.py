@@ -37,7 +37,7 @@ def with_epoch_after_stamp(df: DataFrame) -> DataFrame:
 
 def with_utc_stamp(df: DataFrame) -> DataFrame:
     """Turn a nanosecond count, as read from foreign Parquet files, into a timestamp."""
-    if isinstance(df.schema["timestamp"].dataType, T.LongType):
+    if "timestamp" in df.columns and isinstance(df.schema["timestamp"].dataType, T.LongType):
         return df.withColumn("timestamp", F.timestamp_micros(F.expr("timestamp div 1000")))
     return df
 

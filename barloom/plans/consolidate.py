@@ -54,7 +54,7 @@ def _new_bars(spark: SparkSession, path: str, wanted: DataFrame, span: tuple[dat
     folders = wanted.select("symbol", F.col("folder").alias("date")).where(F.col("date").between(low, high))
     picked = bars.where(F.col("date").between(low, high)).join(folders, ["symbol", "date"], "left_semi")
     picked = picked.withColumn("date", F.to_date("date")).withColumn("year", F.year("date"))
-    return cast_required(picked).select(*bar_columns(picked, "year", "date"), "year", "date")
+    return cast_required(picked).select(*bar_columns(picked, "year", "date"))
 
 
 def consolidate(

@@ -70,7 +70,7 @@ def instrument_bounds(instruments: DataFrame, latest: DataFrame, stamp: str | No
             "symbol",
             day_of_text(F.col("latest")).alias("latest"),
             "latest_source",
-            F.to_timestamp(run_stamp(stamp), F.lit(STAMP_FORMAT)).alias("updated_at"),
+            F.to_timestamp(run_stamp(stamp), STAMP_FORMAT).alias("updated_at"),
         )
     )
 

@@ -1,5 +1,6 @@
 """Daily and yearly bar tables."""
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +13,17 @@ from barloom.sources.listings import or_none
 def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
     """A partitioned bar table, or None when there is none yet.
 
-    With ``merge_schema`` a column that only some files have is kept, and null in the others.
-    Without it Spark takes the columns of one file, which saves opening every footer.
+    With ``merge_schema`` a column that only some files have is kept, and null in the others; files
+    whose types differ are an error.  Without it Spark takes the columns of one file, which saves
+    opening every footer and reads foreign zero-row files, whose ``symbol`` column has no type.
     """
     reader = spark.read.option("mergeSchema", merge_schema)
-    bars = or_none(lambda: reader.parquet(path))
+    try:
+        bars = or_none(lambda: reader.parquet(path))
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
+            raise
+        raise ValueError(f"column types differ between files of {path}; see merge_schema") from error
     return None if bars is None else with_utc_stamp(bars)
 
 
