@@ -5,34 +5,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from barloom.functions.days import assumed_latest, find_date_column, iso_day
+from barloom.schema import DAY_FORMAT
 
 
 def newest_years(years: DataFrame) -> DataFrame:
     """The newest year per symbol of distinct (symbol, year) rows."""
     newest_first = Window.partitionBy("symbol").orderBy(F.desc("year"))
-    return years.withColumn("rank", F.row_number().over(newest_first)).where("rank = 1")
+    return years.withColumn("rank", F.row_number().over(newest_first)).where("rank = 1").drop("rank")
 
 
-def latest_days(years: DataFrame, bars: DataFrame | None, as_of: Column) -> DataFrame:
-    """(symbol, year, latest, latest_source) for the newest year of each symbol.
+def latest_days(newest: DataFrame, bars: DataFrame | None, as_of: Column) -> DataFrame:
+    """(symbol, year, latest, latest_source) of the newest years and the bars of those years.
 
-    ``years`` is a listing, so a newest year whose file has no rows gives a null day.  Without a date
-    column the day is assumed from the year and marked ``fallback``.
+    ``newest`` comes from a listing, so a newest year whose file has no rows gives a null day.  Without
+    a date column the day is assumed from the year and marked ``fallback``.
     """
-    newest = years.select("symbol", "year", "rank").where("rank = 1")
     column = None if bars is None else find_date_column(bars.schema, skip=("symbol", "year"))
     if column is None:
-        day = F.date_format(assumed_latest(F.col("year"), as_of), "yyyy-MM-dd")
+        day = F.date_format(assumed_latest(F.col("year"), as_of), DAY_FORMAT)
         return newest.select("symbol", "year", day.alias("latest"), F.lit("fallback").alias("latest_source"))
-    kind = bars.schema[column].dataType
-    tops = (
-        bars.select("symbol", "year", column)
-        .join(newest.select("symbol", "year"), ["symbol", "year"], "left_semi")
-        .groupBy("symbol", "year")
-        .agg(F.max(column).alias("top"))
-    )
+    tops = bars.groupBy("symbol", "year").agg(F.max(column).alias("top"))
+    day = iso_day(F.col("top"), bars.schema[column].dataType)
     return newest.join(tops, ["symbol", "year"], "left").select(
-        "symbol", "year", iso_day(F.col("top"), kind).alias("latest"), F.lit("data").alias("latest_source")
+        "symbol", "year", day.alias("latest"), F.lit("data").alias("latest_source")
     )
 
 

@@ -15,13 +15,15 @@ def requested_symbols(spark: SparkSession, request: str) -> DataFrame:
 
 
 def known_symbols(catalog: DataFrame, requested: DataFrame) -> DataFrame:
-    """Catalog rows of the requested symbols."""
-    return catalog.join(requested, "symbol", "left_semi")
+    """Catalog rows of the requested symbols.  The distinct keeps a symbol requested very often from
+    filling one task of the join."""
+    return catalog.join(requested.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def unknown_symbols(requested: DataFrame, catalog: DataFrame) -> DataFrame:
     """Requested symbols the catalog does not have."""
-    return requested.join(catalog, "symbol", "left_anti").select("symbol").distinct()
+    distinct = lambda rows: rows.select("symbol").distinct()
+    return distinct(requested).join(distinct(catalog), "symbol", "left_anti")
 
 
 def choose_symbols(catalog: DataFrame, symbols: str | DataFrame | None) -> DataFrame:

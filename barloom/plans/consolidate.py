@@ -1,7 +1,5 @@
 """Daily bars to yearly bars, for all symbols and years in one job."""
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,52 +7,38 @@ from barloom.functions.bars import cast_required
 from barloom.operators.days import after_mark, held_days, high_water_marks
 from barloom.operators.merge import check_mode, distinct_bars, union_distinct
 from barloom.operators.symbols import requested_symbols
-from barloom.schema import YEARLY_KEYS
+from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import prepare, scratch_path, shuffle_width, work_table
 from barloom.sources.listings import day_listing, year_listing
-from barloom.sources.tables import bar_columns, count_rows, publish_years, read_bars, write_years
+from barloom.sources.tables import bar_columns, count_rows, publish_years, read_bars, read_listed, write_years
 
 TARGET_BYTES = 256 * 1024 * 1024
 
 
-def _within(df: DataFrame, column: str, bounds: tuple[int | None, int | None]) -> DataFrame:
-    low, high = bounds
-    if low is not None:
-        df = df.where(F.col(column) >= low)
-    return df if high is None else df.where(F.col(column) <= high)
-
-
-def _yearly(spark: SparkSession, path: str, merge_schema: bool) -> DataFrame | None:
-    bars = read_bars(spark, path, merge_schema)
+def _years(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame | None:
+    """Bars of the listed years."""
+    listing = listing.withColumn("year", F.col("year").cast("string"))
+    bars = read_listed(spark, path, listing, "year", merge_schema)
     if bars is None:
         return None
     return cast_required(bars).withColumn("year", F.col("year").cast("int")).select(*bar_columns(bars, "year"))
 
 
+def _days(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame:
+    """Bars of the listed days, with ``year`` and ``date`` of their directory."""
+    listing = listing.select("folder", "symbol", F.col("day").alias("date"))
+    bars = read_listed(spark, path, listing, "date", merge_schema)
+    bars = bars.withColumn("date", F.to_date("date")).withColumn("year", F.year("date"))
+    return cast_required(bars).select(*bar_columns(bars, "year", "date"))
+
+
 def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFrame:
-    """Days to merge, decided on the day listing alone; bars are not joined for it."""
-    days = days.withColumnRenamed("date", "folder").withColumnRenamed("day", "date")
+    """Days to merge, decided on the day listing; no bar is joined for it."""
     if existing is None:
         return days
     if mode == "hwm":
-        marks = high_water_marks(existing.join(days, YEARLY_KEYS, "left_semi"))
-        return after_mark(days, work_table(marks, "marks"))
-    held = held_days(existing.join(days, YEARLY_KEYS, "left_semi"))
-    return days.join(work_table(held, "held"), ["symbol", "date"], "left_anti")
-
-
-def _new_bars(spark: SparkSession, path: str, wanted: DataFrame, span: tuple[date, date], merge_schema: bool):
-    """Bars of the wanted days with ``date`` and ``year`` of their directory.
-
-    The join is on the partition columns, so Spark skips the directories of all other days; the
-    literal bounds do so too should the list of days be too large to broadcast.
-    """
-    bars = read_bars(spark, path, merge_schema)
-    low, high = (day.isoformat() for day in span)
-    folders = wanted.select("symbol", F.col("folder").alias("date")).where(F.col("date").between(low, high))
-    picked = bars.where(F.col("date").between(low, high)).join(folders, ["symbol", "date"], "left_semi")
-    picked = picked.withColumn("date", F.to_date("date")).withColumn("year", F.year("date"))
-    return cast_required(picked).select(*bar_columns(picked, "year", "date"))
+        return after_mark(days, work_table(high_water_marks(existing), "marks"))
+    return days.join(work_table(held_days(existing), "held"), ["symbol", "date"], "left_anti")
 
 
 def consolidate(
@@ -62,7 +46,7 @@ def consolidate(
     daily_path: str,
     yearly_path: str,
     mode: str = "hwm",
-    years: tuple[int | None, int | None] = (None, None),
+    years: tuple[int | None, int | None] = ANY_YEAR,
     symbols: str | None = None,
     target_bytes: int = TARGET_BYTES,
     merge_schema: bool = True,
@@ -70,25 +54,24 @@ def consolidate(
     """Merge new days into their years and return the run's summary, one row per symbol and year.
 
     ``mode="hwm"`` takes days after the last day of their symbol and year; ``"missing_days"`` takes all
-    days the year has no row of.  ``years`` bounds the years, both ends included.  Only years with new
-    days are written: first to scratch, where they are checked, then in place of the old ones.
+    days the year has no row of.  ``years`` bounds the years, both ends included; a nightly run gives
+    the running year, so that only its directories are listed and read.  Only years with new days are
+    written: first to scratch, where they are checked, then in place of the old ones.
     """
     check_mode(mode)
     prepare(spark)
-    days = _within(day_listing(spark, daily_path).withColumn("year", F.year("day")), "year", years)
+    days = day_listing(spark, daily_path, years)
     if symbols is not None:
         days = days.join(requested_symbols(spark, symbols), "symbol", "left_semi")
-    days = work_table(days, "days")
-    existing = _yearly(spark, yearly_path, merge_schema)
-    if existing is not None:
-        existing = _within(existing, "year", years)
+    held = year_listing(spark, yearly_path, years).join(days, YEARLY_KEYS, "left_semi")
+    existing = _years(spark, yearly_path, held, merge_schema)
     wanted = work_table(_new_days(days, existing, mode), "wanted")
-    first, last, new_bytes = wanted.agg(F.min("date"), F.max("date"), F.sum("bytes")).first()
-    if first is None:
+    new_bytes = wanted.agg(F.sum("bytes")).first()[0]
+    if new_bytes is None:
         return work_table(_summary(days, None, existing), "summary")
 
-    touched = work_table(wanted.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_days")), "touched")
-    new = _new_bars(spark, daily_path, wanted, (first, last), merge_schema)
+    touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_days"))
+    new = _days(spark, daily_path, wanted, merge_schema)
     # Rows whose stamp lies on another day than their directory may equal a row the year has already.
     stray = F.to_date("timestamp").isNull() | (F.to_date("timestamp") != F.col("date"))
     read = work_table(
@@ -98,20 +81,19 @@ def consolidate(
     if n_stray is None:
         return work_table(_summary(days, touched, existing), "summary")
     new = new.drop("date")
+    held = held.join(touched, YEARLY_KEYS, "left_semi")
+    old = None if existing is None else _years(spark, yearly_path, held, merge_schema)
     old_bytes = 0
-    if existing is None:
+    if old is None:
         merged = distinct_bars(new)
     else:
-        listed = year_listing(spark, yearly_path).join(touched, YEARLY_KEYS, "left_semi")
-        old_bytes = listed.agg(F.sum("bytes")).first()[0] or 0
-        old = existing.where(F.col("year").between(first.year, last.year))
-        old = old.join(touched, YEARLY_KEYS, "left_semi")
+        old_bytes = held.agg(F.sum("bytes")).first()[0]
         # Years hold no duplicates, and a day is merged only when its year has no row of that day, so
         # without stray rows the old rows need no second distinct, which would shuffle them again.
         merged = union_distinct(old, new) if n_stray else old.unionByName(distinct_bars(new))
 
     partitions = max(1, -(-(new_bytes + old_bytes) // target_bytes))
-    staging = scratch_path(spark, "years")
+    staging = scratch_path(spark, "staged")
     with shuffle_width(spark, partitions):
         write_years(merged, staging, partitions)
     staged = read_bars(spark, staging, merge_schema=False)

@@ -27,11 +27,10 @@ def landed_work(
     ``exists``: the day is there and is left alone; else ``wanted``.  A file without bytes is not
     listed, as if it had not landed.  With ``plan`` (symbol, id, date) only planned days are listed.
     """
-    landed = landed_listing(spark, landing_path).withColumnRenamed("day", "date")
-    work = with_catalog(landed, catalog.select("id", "symbol"))
+    work = with_catalog(landed_listing(spark, landing_path), catalog.select("id", "symbol"))
     if plan is not None:
         work = work.join(plan.select("symbol", "date").distinct(), ["symbol", "date"], "left_semi")
-    there = day_listing(spark, daily_path).select("symbol", F.col("day").alias("date"), F.lit(True).alias("there"))
+    there = day_listing(spark, daily_path).select("symbol", "date", F.lit(True).alias("there"))
     work = work.join(there, ["symbol", "date"], "left")
     status = F.when(F.col("there"), "exists").otherwise("wanted")
     return work.select("file_name", "symbol", "id", "date", status.alias("status"))
@@ -39,7 +38,7 @@ def landed_work(
 
 def planned_and_landed(plan: DataFrame, landing_path: str) -> DataFrame:
     """Planned days whose CSV has landed and has bytes."""
-    return with_landed(plan, landed_listing(plan.sparkSession, landing_path).withColumnRenamed("day", "date"))
+    return with_landed(plan, landed_listing(plan.sparkSession, landing_path))
 
 
 def rejected_rows(raw: DataFrame) -> DataFrame:
@@ -101,7 +100,7 @@ def ingest_days(
 
 
 def _results(spark: SparkSession, work: DataFrame, daily_path: str, bad_days: DataFrame | None) -> DataFrame:
-    added = day_listing(spark, daily_path).select("symbol", F.col("day").alias("date"), F.lit(True).alias("added"))
+    added = day_listing(spark, daily_path).select("symbol", "date", F.lit(True).alias("added"))
     done = work.join(added, ["symbol", "date"], "left")
     status = F.when(F.col("status") != "wanted", F.col("status")).when(F.col("added"), "ingested")
     if bad_days is not None:

@@ -17,7 +17,7 @@ from barloom.sources.instruments import (
     write_instrument_rows,
 )
 from barloom.sources.listings import year_listing
-from barloom.sources.tables import read_bars
+from barloom.sources.tables import read_listed
 
 STAMP_KEY = "_data_boundaries_updated"
 
@@ -29,11 +29,12 @@ def run_stamp(stamp: str | None):
 
 def yearly_latest(spark: SparkSession, yearly_path: str, as_of: date | str, merge_schema: bool = True) -> DataFrame:
     """Latest day per symbol of a yearly table; only files of each symbol's newest year are read."""
-    years = work_table(newest_years(year_listing(spark, yearly_path)), "newest-years")
-    bars = read_bars(spark, yearly_path, merge_schema)
+    newest = newest_years(year_listing(spark, yearly_path))
+    folders = newest.withColumn("year", F.col("year").cast("string"))
+    bars = read_listed(spark, yearly_path, folders, "year", merge_schema)
     if bars is not None:
         bars = bars.withColumn("year", F.col("year").cast("int"))
-    return latest_days(years, bars, day_literal(as_of))
+    return latest_days(newest, bars, day_literal(as_of))
 
 
 def patch_documents(instruments: DataFrame, latest: DataFrame, stamp: str | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ DATE_WORDS = ("date", "time", "timestamp")
 
 DAILY_KEYS = ["symbol", "date"]
 YEARLY_KEYS = ["symbol", "year"]
+ANY_YEAR = (None, None)
 
 CATALOG = T.StructType(
     [

@@ -62,12 +62,20 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def shuffle_width(spark: SparkSession, partitions: int):
-    """Raise the number of shuffle partitions for the actions inside the block, never lower it."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(int(before), partitions)))
+def settings(spark: SparkSession, **values: object):
+    """Session settings (``__`` stands for a dot) for the actions inside the block."""
+    keys = {name.replace("__", "."): str(value) for name, value in values.items()}
+    before = {key: spark.conf.get(key, None) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def shuffle_width(spark: SparkSession, partitions: int):
+    """Raise the number of shuffle partitions for the actions inside the block, never lower it."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return settings(spark, spark__sql__shuffle__partitions=max(now, partitions))

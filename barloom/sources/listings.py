@@ -1,11 +1,15 @@
-"""Directory listings as tables.  No file is opened: only paths and lengths are read."""
+"""Directory listings as tables.  No file is opened: only paths and lengths are read.
+
+Jobs decide on the listing what to read, and then read those directories only.
+"""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.days import day_of_key, day_of_text
-from barloom.schema import DAILY_KEYS, LANDED_NAME, YEARLY_KEYS
+from barloom.schema import ANY_YEAR, DAILY_KEYS, LANDED_NAME, YEARLY_KEYS
+from barloom.session import settings, work_table
 
 _NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -20,48 +24,79 @@ def or_none(load) -> DataFrame | None:
         raise
 
 
-def list_partitions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """One row per Parquet file with its partition values as text.
+def _list_files(spark: SparkSession, pattern: str, path: str, suffix: str) -> DataFrame | None:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("basePath", path)
+    return or_none(lambda: reader.load(pattern))
+
+
+def _listing(listed: DataFrame, name: str) -> DataFrame:
+    """Write a listing to scratch.  Spark plans a scan by the size of its files, here by the size of the
+    bars; as no bar is read, one task per core is enough."""
+    with settings(listed.sparkSession, spark__sql__files__maxPartitionBytes=1 << 50):
+        return work_table(listed, name)
+
+
+def list_partitions(spark: SparkSession, path: str, keys: list[str], pattern: str = "") -> DataFrame:
+    """(folder, length, keys): one row per Parquet file, with its partition values as text.
 
-    A file without rows is listed too, which a scan of the rows would miss.
+    A file without rows is listed too, which a scan of the rows would miss.  ``pattern`` narrows the
+    directories that are listed at all.
     """
-    files = or_none(lambda: spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path))
+    files = _list_files(spark, f"{path}/{pattern}", path, ".parquet")
     if files is None or not set(keys) <= set(files.columns):
-        return spark.createDataFrame([], ", ".join(["length long"] + [f"{k} string" for k in keys]))
-    return files.select("length", *[F.col(k).cast("string").alias(k) for k in keys])
+        return spark.createDataFrame([], ", ".join(["folder string", "length long"] + [f"{k} string" for k in keys]))
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return files.select(folder, "length", *[F.col(k).cast("string").alias(k) for k in keys])
 
 
-def day_listing(spark: SparkSession, daily_path: str) -> DataFrame:
-    """(symbol, date, day, bytes): days that have a file; malformed day directories are dropped.
+def _year_pattern(key: str, years: tuple[int | None, int | None], rest: str = "") -> str:
+    """Directories of the given years; all directories when the years are open-ended."""
+    low, high = years
+    if low is None or high is None or high < low:
+        return ""
+    return f"symbol=*/{key}={{{','.join(f'{y:04d}' for y in range(low, high + 1))}}}{rest}"
 
-    ``date`` is the directory value, ``day`` the same as a date.
-    """
-    files = list_partitions(spark, daily_path, DAILY_KEYS)
-    days = files.groupBy("symbol", "date").agg(F.sum("length").alias("bytes"))
-    return days.withColumn("day", day_of_text(F.col("date"))).where("day is not null")
+
+def within_years(df: DataFrame, years: tuple[int | None, int | None]) -> DataFrame:
+    low, high = years
+    if low is not None:
+        df = df.where(F.col("year") >= low)
+    return df if high is None else df.where(F.col("year") <= high)
+
+
+def day_listing(spark: SparkSession, daily_path: str, years: tuple[int | None, int | None] = ANY_YEAR) -> DataFrame:
+    """(symbol, date, year, day, folder, bytes): days that have a file; malformed day directories are
+    dropped.  ``day`` is the directory value, ``date`` the same as a date."""
+    files = list_partitions(spark, daily_path, DAILY_KEYS, _year_pattern("date", years, "-*"))
+    days = files.withColumnRenamed("date", "day").groupBy("symbol", "day")
+    days = days.agg(F.min("folder").alias("folder"), F.sum("length").alias("bytes"))
+    days = days.withColumn("date", day_of_text(F.col("day"))).withColumn("year", F.year("date"))
+    return _listing(within_years(days.where("date is not null"), years), "days")
 
 
-def year_listing(spark: SparkSession, yearly_path: str) -> DataFrame:
-    """(symbol, year, bytes): years that have a file."""
-    files = list_partitions(spark, yearly_path, YEARLY_KEYS).withColumn("year", F.col("year").try_cast("int"))
-    return files.where("year is not null").groupBy("symbol", "year").agg(F.sum("length").alias("bytes"))
+def year_listing(spark: SparkSession, yearly_path: str, years: tuple[int | None, int | None] = ANY_YEAR) -> DataFrame:
+    """(symbol, year, folder, bytes): years that have a file."""
+    files = list_partitions(spark, yearly_path, YEARLY_KEYS, _year_pattern("year", years))
+    found = files.withColumn("year", F.col("year").try_cast("int")).where("year is not null")
+    found = found.groupBy("symbol", "year").agg(F.min("folder").alias("folder"), F.sum("length").alias("bytes"))
+    return _listing(within_years(found, years), "years")
 
 
 def landed_listing(spark: SparkSession, landing_path: str) -> DataFrame:
-    """(file_name, id, day, length): landed CSV files, id and day taken from the file name.
+    """(file_name, id, date): landed CSV files, id and day taken from the file name.
 
     Spark lists no file of zero bytes, so such a day counts as not landed.
     """
-    files = or_none(lambda: spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing_path))
+    files = _list_files(spark, landing_path, landing_path, ".csv")
     if files is None:
-        return spark.createDataFrame([], "file_name string, id string, day date, length long")
+        return spark.createDataFrame([], "file_name string, id string, date date")
     name = F.col("_metadata.file_name")
-    return files.select(
+    landed = files.select(
         name.alias("file_name"),
         F.regexp_extract(name, LANDED_NAME, 1).alias("id"),
-        day_of_text(F.regexp_extract(name, LANDED_NAME, 2)).alias("day"),
-        "length",
-    ).where("day is not null")
+        day_of_text(F.regexp_extract(name, LANDED_NAME, 2)).alias("date"),
+    )
+    return _listing(landed.where("date is not null"), "landed")
 
 
 def days_of_keys(listing: DataFrame, key: str = "key") -> DataFrame:

@@ -7,8 +7,22 @@ from pyspark.sql import types as T
 
 from barloom.functions.bars import with_utc_stamp
 from barloom.schema import YEARLY_KEYS
+from barloom.session import settings
 from barloom.sources.listings import or_none
 
+MAX_FOLDERS = 10_000
+
+
+def _load(spark: SparkSession, base: str, paths: list[str], merge_schema: bool) -> DataFrame | None:
+    reader = spark.read.option("mergeSchema", merge_schema).option("basePath", base)
+    try:
+        bars = or_none(lambda: reader.parquet(*paths))
+    except Py4JJavaError as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
+            raise
+        raise ValueError(f"column types differ between files of {base}; see merge_schema") from error
+    return None if bars is None else with_utc_stamp(bars)
+
 
 def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
     """A partitioned bar table, or None when there is none yet.
@@ -17,14 +31,27 @@ def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> Data
     whose types differ are an error.  Without it Spark takes the columns of one file, which saves
     opening every footer and reads foreign zero-row files, whose ``symbol`` column has no type.
     """
-    reader = spark.read.option("mergeSchema", merge_schema)
-    try:
-        bars = or_none(lambda: reader.parquet(path))
-    except Py4JJavaError as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
-            raise
-        raise ValueError(f"column types differ between files of {path}; see merge_schema") from error
-    return None if bars is None else with_utc_stamp(bars)
+    return _load(spark, path, [path], merge_schema)
+
+
+def read_listed(spark: SparkSession, path: str, listing: DataFrame, key: str, merge_schema: bool = True):
+    """Bars of the listed partitions of a table, or None when nothing is listed.
+
+    A listing has ``folder``, ``symbol`` and the text of the second partition column ``key``.  Up to
+    ``MAX_FOLDERS`` folders are read by name, so that no other directory is listed and no other footer
+    opened.  Beyond that the whole table is listed, and joined on its partition columns, by which Spark
+    skips the other directories.
+    """
+    rows = listing.select("folder").limit(MAX_FOLDERS + 1).collect()
+    folders = [row.folder for row in rows]
+    if not folders:
+        return None
+    if len(folders) <= MAX_FOLDERS and not any(c in folder for folder in folders for c in "{}[]*?\\"):
+        return _load(spark, path, folders, merge_schema)
+    low, high = listing.agg(F.min(key), F.max(key)).first()
+    bounded = lambda df: df.where(F.col(key).between(low, high))
+    wanted = bounded(listing.select("symbol", key))
+    return bounded(_load(spark, path, [path], merge_schema)).join(wanted, ["symbol", key], "left_semi")
 
 
 def bar_columns(df: DataFrame, *keys: str) -> list[str]:
@@ -57,11 +84,18 @@ def write_years(bars: DataFrame, path: str, partitions: int) -> None:
     ranged.write.partitionBy(*YEARLY_KEYS).parquet(path)
 
 
-def publish_years(bars: DataFrame, path: str) -> None:
-    """Replace the years present in ``bars`` and leave all others as they are."""
-    ordered = bars.sortWithinPartitions(*time_order(bars))
+def publish_years(staged: DataFrame, path: str) -> None:
+    """Replace the years present in ``staged`` and leave all others as they are.
+
+    One task reads one staged file, so the new files cover the same stretches of time as the staged ones.
+    """
+    ordered = staged.sortWithinPartitions(*time_order(staged))
     writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*YEARLY_KEYS).parquet(path)
+    whole = 1 << 50
+    with settings(
+        staged.sparkSession, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole
+    ):
+        writer.partitionBy(*YEARLY_KEYS).parquet(path)
 
 
 def count_rows(bars: DataFrame, *keys: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+import barloom.sources.tables as tables
 from barloom import consolidate, consolidate_history, summary
 from barloom.sources.tables import read_bars
 
@@ -99,8 +100,12 @@ def test_second_run_changes_nothing(spark, daily, yearly):
     assert held(spark, yearly) == before
 
 
+@pytest.mark.parametrize("max_folders", [10_000, 1])
 @pytest.mark.parametrize("mode, days", [("hwm", ["05", "06", "08"]), ("missing_days", ["01", "05", "06", "07", "08"])])
-def test_late_days(spark, daily, yearly, mode, days):
+def test_late_days(spark, daily, yearly, monkeypatch, mode, days, max_folders):
+    """By folder names or, beyond a number of folders, by a join on the partition columns."""
+    monkeypatch.setattr(tables, "MAX_FOLDERS", max_folders)
+    put_day(daily, "BBB", "2025-01-05")
     for day in ("05", "06"):
         put_day(daily, "AAA", f"2025-01-{day}")
     consolidate(spark, str(daily), yearly)

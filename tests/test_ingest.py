@@ -155,8 +155,7 @@ def test_days_outside_the_wanted_span_are_not_read(spark, catalog, landing, dail
 def test_plan_limits_what_is_ingested(spark, catalog, landing, daily):
     for day in ("2025-01-02", "2025-01-03", "2025-01-04"):
         land(landing, "aaausd", day, bars(day, [0]))
-    existing = day_listing(spark, daily).select("symbol", "day").withColumnRenamed("day", "date")
-    plan = plan_tail(catalog, existing, "2025-01-03", "2025-01-03", symbols="AAA, ZZZ")
+    plan = plan_tail(catalog, day_listing(spark, daily), "2025-01-03", "2025-01-03", symbols="AAA, ZZZ")
     assert [r.date for r in planned_and_landed(plan, str(landing)).collect()] == [date(2025, 1, 3)]
     result = ingest_days(spark, str(landing), catalog, daily, plan=plan)
     assert statuses(result) == {("AAA", "2025-01-03"): "ingested"}

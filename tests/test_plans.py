@@ -138,7 +138,7 @@ def test_listings(spark, tmp_path):
     put_day(tmp_path, "AAA", "2025-13-99", day_frame("AAA", "2025-01-04"))
     (tmp_path / "symbol=AAA" / "date=2025-01-09").mkdir()
     days = day_listing(spark, str(tmp_path))
-    assert sorted((r.symbol, r.day) for r in days.collect()) == [("007", date(2025, 1, 2)), ("AAA", date(2025, 1, 3))]
+    assert sorted((r.symbol, r.date) for r in days.collect()) == [("007", date(2025, 1, 2)), ("AAA", date(2025, 1, 3))]
     assert day_listing(spark, str(tmp_path / "nothing")).count() == 0
     (tmp_path / "empty").mkdir()
     assert year_listing(spark, str(tmp_path / "empty")).count() == 0
