@@ -35,6 +35,20 @@ def year_of_key(key: Column) -> Column:
     return found.try_cast("int")
 
 
+def day_text(day: Column) -> Column:
+    return F.date_format(day, DAY_FORMAT)
+
+
+def landed_name(vendor_id: Column, day: Column) -> Column:
+    """Name of the CSV file in which a day lands."""
+    return F.format_string("%s-s1-bid-%s-%s.csv", vendor_id, day_text(day), day_text(F.date_add(day, 1)))
+
+
+def daily_key(symbol: Column, day: Column) -> Column:
+    """Directory of a day below the daily table."""
+    return F.format_string("symbol=%s/date=%s/", symbol, day_text(day))
+
+
 def last_day_of_year(year: Column) -> Column:
     return F.make_date(year, F.lit(12), F.lit(31))
 
@@ -56,7 +70,7 @@ def find_date_column(schema: T.StructType, skip: tuple[str, ...] = ()) -> str |
 def iso_day(value: Column, kind: T.DataType) -> Column:
     """ISO day of a timestamp or date, else the first ten characters of the value's text."""
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_format(F.to_date(value), DAY_FORMAT)
+        return day_text(F.to_date(value))
     return F.substring(value.cast("string"), 1, 10)
 
 

@@ -4,8 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barloom.functions.days import assumed_latest, find_date_column, iso_day
-from barloom.schema import DAY_FORMAT
+from barloom.functions.days import assumed_latest, day_text, find_date_column, iso_day
 
 
 def newest_years(years: DataFrame) -> DataFrame:
@@ -18,12 +17,11 @@ def latest_days(newest: DataFrame, bars: DataFrame | None, as_of: Column) -> Dat
     """(symbol, year, latest, latest_source) of the newest years and the bars of those years.
 
     ``newest`` comes from a listing, so a newest year whose file has no rows gives a null day.  Without
-    a date column the day is assumed from the year and marked ``fallback``.
+    a date column the day is assumed.
     """
     column = None if bars is None else find_date_column(bars.schema, skip=("symbol", "year"))
     if column is None:
-        day = F.date_format(assumed_latest(F.col("year"), as_of), DAY_FORMAT)
-        return newest.select("symbol", "year", day.alias("latest"), F.lit("fallback").alias("latest_source"))
+        return assumed_days(newest, as_of)
     tops = bars.groupBy("symbol", "year").agg(F.max(column).alias("top"))
     day = iso_day(F.col("top"), bars.schema[column].dataType)
     return newest.join(tops, ["symbol", "year"], "left").select(
@@ -31,6 +29,12 @@ def latest_days(newest: DataFrame, bars: DataFrame | None, as_of: Column) -> Dat
     )
 
 
+def assumed_days(years: DataFrame, as_of: Column) -> DataFrame:
+    """Latest days by the year alone, marked ``fallback``: today in the running year, else December 31."""
+    day = day_text(assumed_latest(F.col("year"), as_of))
+    return years.select("symbol", "year", day.alias("latest"), F.lit("fallback").alias("latest_source"))
+
+
 def keep_or_update(rows: DataFrame, latest: DataFrame, old: Column) -> DataFrame:
     """Left join on symbol; a symbol without a latest day keeps ``old``."""
     return rows.join(latest, "symbol", "left").withColumn("latest", F.coalesce("latest", old))

@@ -101,6 +101,7 @@ def consolidate(
     results = work_table(_summary(days, touched, existing, read, staged), "summary")
     _check(results, n_stray)
     publish_years(staged, yearly_path)
+    spark.createDataFrame([], "done int").write.mode("overwrite").parquet(staging)  # frees the scratch space
     return results.drop("n_rows_old")
 
 

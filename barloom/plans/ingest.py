@@ -22,7 +22,7 @@ class BadRows(ValueError):
 def landed_work(
     spark: SparkSession, landing_path: str, catalog: DataFrame, daily_path: str, plan: DataFrame | None = None
 ) -> DataFrame:
-    """(file_name, symbol, id, date, status) of landed files of catalog ids.
+    """(file_path, symbol, id, date, status) of landed files of catalog ids.
 
     ``exists``: the day is there and is left alone; else ``wanted``.  A file without bytes is not
     listed, as if it had not landed.  With ``plan`` (symbol, id, date) only planned days are listed.
@@ -33,7 +33,7 @@ def landed_work(
     there = day_listing(spark, daily_path).select("symbol", "date", F.lit(True).alias("there"))
     work = work.join(there, ["symbol", "date"], "left")
     status = F.when(F.col("there"), "exists").otherwise("wanted")
-    return work.select("file_name", "symbol", "id", "date", status.alias("status"))
+    return work.select("file_path", "symbol", "id", "date", status.alias("status"))
 
 
 def planned_and_landed(plan: DataFrame, landing_path: str) -> DataFrame:
@@ -76,7 +76,7 @@ def ingest_days(
     wanted = work.where("status = 'wanted'").drop("status")
     first, last = wanted.agg(F.min("date"), F.max("date")).first()
     if first is None:
-        return work.drop("file_name")
+        return work.drop("file_path").distinct()
     raw = read_landed(spark, landing_path, wanted, (first, last), columns)
     bad_days = None
     if on_bad == "skip_day":
@@ -101,7 +101,7 @@ def ingest_days(
 
 def _results(spark: SparkSession, work: DataFrame, daily_path: str, bad_days: DataFrame | None) -> DataFrame:
     added = day_listing(spark, daily_path).select("symbol", "date", F.lit(True).alias("added"))
-    done = work.join(added, ["symbol", "date"], "left")
+    done = work.select("symbol", "id", "date", "status").distinct().join(added, ["symbol", "date"], "left")
     status = F.when(F.col("status") != "wanted", F.col("status")).when(F.col("added"), "ingested")
     if bad_days is not None:
         done = done.join(bad_days.withColumn("bad", F.lit(True)), ["symbol", "date"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.days import day_literal, day_of_text
 from barloom.functions.documents import set_latest
-from barloom.operators.latest import latest_days, newest_years
+from barloom.operators.latest import assumed_days, latest_days, newest_years
 from barloom.schema import STAMP_FORMAT
 from barloom.session import prepare, work_table
 from barloom.sources.instruments import (
@@ -17,7 +17,7 @@ from barloom.sources.instruments import (
     write_instrument_rows,
 )
 from barloom.sources.listings import year_listing
-from barloom.sources.tables import read_listed
+from barloom.sources.tables import read_listed, unreadable_folders
 
 STAMP_KEY = "_data_boundaries_updated"
 
@@ -27,14 +27,34 @@ def run_stamp(stamp: str | None):
     return F.lit(stamp) if stamp else F.date_format(F.current_timestamp(), STAMP_FORMAT)
 
 
-def yearly_latest(spark: SparkSession, yearly_path: str, as_of: date | str, merge_schema: bool = True) -> DataFrame:
-    """Latest day per symbol of a yearly table; only files of each symbol's newest year are read."""
+def yearly_latest(
+    spark: SparkSession,
+    yearly_path: str,
+    as_of: date | str,
+    merge_schema: bool = True,
+    unreadable: str = "raise",
+) -> DataFrame:
+    """Latest day per symbol of a yearly table; only files of each symbol's newest year are read.
+
+    A file that is not Parquet fails the run, or with ``unreadable="assume"`` gives the day assumed for
+    its year, marked ``fallback``.
+    """
+    if unreadable not in ("raise", "assume"):
+        raise ValueError(f"unreadable must be 'raise' or 'assume', not {unreadable!r}")
+    skip = unreadable == "assume"
     newest = newest_years(year_listing(spark, yearly_path))
     folders = newest.withColumn("year", F.col("year").cast("string"))
-    bars = read_listed(spark, yearly_path, folders, "year", merge_schema)
+    bars = read_listed(spark, yearly_path, folders, "year", merge_schema, skip)
     if bars is not None:
         bars = bars.withColumn("year", F.col("year").cast("int"))
-    return latest_days(newest, bars, day_literal(as_of))
+    latest = latest_days(newest, bars, day_literal(as_of))
+    if not skip:
+        return latest
+    latest = work_table(latest, "latest")
+    suspects = newest.join(latest.where("latest is null"), "symbol", "left_semi")
+    broken = newest.join(unreadable_folders(spark, yearly_path, suspects), "folder", "left_semi")
+    kept = latest.join(broken, "symbol", "left_anti")
+    return kept.unionByName(assumed_days(broken, day_literal(as_of)))
 
 
 def patch_documents(instruments: DataFrame, latest: DataFrame, stamp: str | None = None) -> DataFrame:
@@ -85,6 +105,7 @@ def refresh_catalog(
     stamp: str | None = None,
     as_rows: bool = False,
     merge_schema: bool = True,
+    unreadable: str = "raise",
 ) -> DataFrame:
     """Write ``out_path/bounds`` (Parquet) and ``out_path/instruments`` (JSON); return the bounds.
 
@@ -93,7 +114,7 @@ def refresh_catalog(
     prepare(spark)
     read = read_instrument_rows if as_rows else read_instruments
     instruments = read(spark, instruments_path)
-    latest = work_table(yearly_latest(spark, yearly_path, as_of, merge_schema), "latest")
+    latest = work_table(yearly_latest(spark, yearly_path, as_of, merge_schema, unreadable), "latest")
     documents = patch_documents(instruments, latest, stamp)
     (write_instrument_rows if as_rows else write_document)(documents, f"{out_path}/instruments")
     bounds = instrument_bounds(instruments, latest, stamp)

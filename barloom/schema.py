@@ -7,7 +7,7 @@ OHLCV = ("open", "high", "low", "close", "volume")
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 DAY_FORMAT = "yyyy-MM-dd"
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-LANDED_NAME = r"^(.+)-s1-bid-(\d{4}-\d{2}-\d{2})-\d{4}-\d{2}-\d{2}\.csv$"
+LANDED_NAME = r"([^/=]+)-s1-bid-(\d{4}-\d{2}-\d{2})-\d{4}-\d{2}-\d{2}\.csv(?:/[^/]*)?$"
 DATE_WORDS = ("date", "time", "timestamp")
 
 DAILY_KEYS = ["symbol", "date"]

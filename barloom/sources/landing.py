@@ -18,30 +18,31 @@ from barloom.schema import LANDED_NAME
 from barloom.session import work_table
 
 _CORRUPT = "_corrupt"
+_FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 
 
 def landed_between(span: tuple[date, date]) -> Column:
     """File filter on the day in the name; Spark drops the other files before reading."""
-    day = day_of_text(F.regexp_extract(F.col("_metadata.file_name"), LANDED_NAME, 2))
+    day = day_of_text(F.regexp_extract(F.col("_metadata.file_path"), LANDED_NAME, 2))
     return day.between(F.lit(span[0]), F.lit(span[1]))
 
 
 def header_lines(spark: SparkSession, landing_path: str, files: DataFrame, span: tuple[date, date]) -> DataFrame:
-    """(file_name, header): the first line that is not blank of each of the files."""
+    """(file_path, header): the first line that is not blank of each of the files."""
     lines = (
-        spark.read.option("pathGlobFilter", "*.csv")
+        spark.read.options(**_FILES)
         .text(landing_path)
         .where(landed_between(span))
         .select(
-            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("start"),
             F.monotonically_increasing_id().alias("at"),
             "value",
         )
         .where((F.col("start") == 0) & (F.trim("value") != ""))
-        .join(files.select("file_name"), "file_name", "left_semi")
+        .join(files.select("file_path"), "file_path", "left_semi")
     )
-    return lines.groupBy("file_name").agg(F.min_by("value", "at").alias("header"))
+    return lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
 
 
 def split_header(line: str) -> list[str]:
@@ -58,7 +59,7 @@ def read_landed(
     span: tuple[date, date],
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """Text fields of the rows of ``files`` (file_name, symbol, id, date), under the names of their
+    """Text fields of the rows of ``files`` (file_path, symbol, id, date), under the names of their
     headers, with ``_pos`` for the row order and ``_surplus`` for rows with more fields than names.
 
     ``columns`` states the header of all files; then no header is looked up, and a file whose header
@@ -82,16 +83,16 @@ def read_landed(
         .option("header", True)
         .option("enforceSchema", not stated)
         .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("pathGlobFilter", "*.csv")
+        .options(**_FILES)
         .csv(landing_path)
         .where(landed_between(span))
-        .select("*", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("_pos"))
+        .select("*", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("_pos"))
     )
     if stated:
         rows = rows.withColumnsRenamed(dict(zip(columns, fields)))
     if len(layouts) > 1:
-        files = files.join(headers, "file_name")
-    rows = rows.join(files, "file_name")
+        files = files.join(headers, "file_path")
+    rows = rows.join(files, "file_path")
     surplus = F.size(F.split(F.coalesce(_CORRUPT, F.lit("")), ","))
     if len(layouts) <= 1:
         names = layouts[0] if layouts else []

@@ -24,8 +24,8 @@ def or_none(load) -> DataFrame | None:
         raise
 
 
-def _list_files(spark: SparkSession, pattern: str, path: str, suffix: str) -> DataFrame | None:
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("basePath", path)
+def _list_files(spark: SparkSession, pattern: str, suffix: str, **options) -> DataFrame | None:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").options(**options)
     return or_none(lambda: reader.load(pattern))
 
 
@@ -42,7 +42,7 @@ def list_partitions(spark: SparkSession, path: str, keys: list[str], pattern: st
     A file without rows is listed too, which a scan of the rows would miss.  ``pattern`` narrows the
     directories that are listed at all.
     """
-    files = _list_files(spark, f"{path}/{pattern}", path, ".parquet")
+    files = _list_files(spark, f"{path}/{pattern}", ".parquet", basePath=path)
     if files is None or not set(keys) <= set(files.columns):
         return spark.createDataFrame([], ", ".join(["folder string", "length long"] + [f"{k} string" for k in keys]))
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
@@ -83,18 +83,19 @@ def year_listing(spark: SparkSession, yearly_path: str, years: tuple[int | None,
 
 
 def landed_listing(spark: SparkSession, landing_path: str) -> DataFrame:
-    """(file_name, id, date): landed CSV files, id and day taken from the file name.
+    """(file_path, id, date): landed CSV files, id and day taken from the file name.
 
-    Spark lists no file of zero bytes, so such a day counts as not landed.
+    Files may lie in subfolders, and a day may be a folder of CSV parts, as Spark writes it.  Spark
+    lists no file of zero bytes, so such a day counts as not landed.
     """
-    files = _list_files(spark, landing_path, landing_path, ".csv")
+    files = _list_files(spark, landing_path, ".csv", recursiveFileLookup=True)
     if files is None:
-        return spark.createDataFrame([], "file_name string, id string, date date")
-    name = F.col("_metadata.file_name")
+        return spark.createDataFrame([], "file_path string, id string, date date")
+    path = F.col("_metadata.file_path")
     landed = files.select(
-        name.alias("file_name"),
-        F.regexp_extract(name, LANDED_NAME, 1).alias("id"),
-        day_of_text(F.regexp_extract(name, LANDED_NAME, 2)).alias("date"),
+        path.alias("file_path"),
+        F.regexp_extract(path, LANDED_NAME, 1).alias("id"),
+        day_of_text(F.regexp_extract(path, LANDED_NAME, 2)).alias("date"),
     )
     return _listing(landed.where("date is not null"), "landed")
 

@@ -13,8 +13,8 @@ from barloom.sources.listings import or_none
 MAX_FOLDERS = 10_000
 
 
-def _load(spark: SparkSession, base: str, paths: list[str], merge_schema: bool) -> DataFrame | None:
-    reader = spark.read.option("mergeSchema", merge_schema).option("basePath", base)
+def _load(spark: SparkSession, base: str, paths: list[str], **options) -> DataFrame | None:
+    reader = spark.read.options(basePath=base, **options)
     try:
         bars = or_none(lambda: reader.parquet(*paths))
     except Py4JJavaError as error:
@@ -31,27 +31,56 @@ def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> Data
     whose types differ are an error.  Without it Spark takes the columns of one file, which saves
     opening every footer and reads foreign zero-row files, whose ``symbol`` column has no type.
     """
-    return _load(spark, path, [path], merge_schema)
+    return _load(spark, path, [path], mergeSchema=merge_schema)
 
 
-def read_listed(spark: SparkSession, path: str, listing: DataFrame, key: str, merge_schema: bool = True):
+def _few_folders(listing: DataFrame) -> list[str] | None:
+    """The listed folders, or None when they are too many to name or not nameable."""
+    folders = [row.folder for row in listing.select("folder").limit(MAX_FOLDERS + 1).collect()]
+    if len(folders) > MAX_FOLDERS or any(c in folder for folder in folders for c in "{}[]*?\\"):
+        return None
+    return folders
+
+
+def read_listed(
+    spark: SparkSession,
+    path: str,
+    listing: DataFrame,
+    key: str,
+    merge_schema: bool = True,
+    skip_unreadable: bool = False,
+) -> DataFrame | None:
     """Bars of the listed partitions of a table, or None when nothing is listed.
 
     A listing has ``folder``, ``symbol`` and the text of the second partition column ``key``.  Up to
     ``MAX_FOLDERS`` folders are read by name, so that no other directory is listed and no other footer
     opened.  Beyond that the whole table is listed, and joined on its partition columns, by which Spark
-    skips the other directories.
+    skips the other directories.  With ``skip_unreadable`` files that are not Parquet have no rows.
     """
-    rows = listing.select("folder").limit(MAX_FOLDERS + 1).collect()
-    folders = [row.folder for row in rows]
-    if not folders:
-        return None
-    if len(folders) <= MAX_FOLDERS and not any(c in folder for folder in folders for c in "{}[]*?\\"):
-        return _load(spark, path, folders, merge_schema)
+    options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable}
+    folders = _few_folders(listing)
+    if folders is not None:
+        return _load(spark, path, folders, **options) if folders else None
     low, high = listing.agg(F.min(key), F.max(key)).first()
     bounded = lambda df: df.where(F.col(key).between(low, high))
     wanted = bounded(listing.select("symbol", key))
-    return bounded(_load(spark, path, [path], merge_schema)).join(wanted, ["symbol", key], "left_semi")
+    return bounded(_load(spark, path, [path], **options)).join(wanted, ["symbol", key], "left_semi")
+
+
+def unreadable_folders(spark: SparkSession, path: str, listing: DataFrame) -> DataFrame:
+    """Folders of a listing with a file that does not end like a Parquet file.  Files are read whole, so
+    list suspects only."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    folders = _few_folders(listing)
+    if folders is not None and not folders:
+        return listing.select("folder")
+    found = files.load(folders if folders is not None else path)
+    ends = found.select(
+        F.regexp_replace("path", "/[^/]*$", "").alias("folder"),
+        (F.substring("content", -4, 4) == F.lit(b"PAR1")).alias("whole"),
+    )
+    bad = ends.where(~F.col("whole")).select("folder").distinct()
+    return listing.select("folder").join(bad, "folder", "left_semi")
 
 
 def bar_columns(df: DataFrame, *keys: str) -> list[str]:

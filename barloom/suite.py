@@ -11,18 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.bars import parse_bars, utc_minute, with_epoch_after_stamp
-from barloom.functions.days import day_literal, iso_day
+from barloom.functions.days import daily_key, day_literal, iso_day, landed_name, year_of_key
 from barloom.operators import days as D
-from barloom.operators.latest import keep_or_update, newest_years
+from barloom.operators.latest import assumed_days, keep_or_update, newest_years
 from barloom.operators.merge import distinct_bars, merge_bars
 from barloom.operators.symbols import known_symbols, split_request, unknown_symbols, with_catalog
 from barloom.plans.consolidate import consolidate
 from barloom.plans.fetch import plan_head, plan_tail
-from barloom.plans.refresh import refresh_catalog
+from barloom.plans.ingest import ingest_days
+from barloom.plans.refresh import patch_documents, refresh_catalog
 from barloom.plans.summary import summary
 from barloom.schema import MINUTE_FORMAT
 from barloom.session import prepare, scratch_path
-from barloom.sources.instruments import read_instrument_rows, write_instrument_rows
+from barloom.sources.instruments import read_instruments, write_document
 from barloom.sources.listings import days_of_keys
 from barloom.sources.tables import append_daily, read_bars, write_years
 
@@ -30,6 +31,7 @@ FIRST_DAY = date(2024, 1, 1)
 LAST_DAY = date(2024, 1, 30)
 TODAY = date(2024, 1, 31)
 LIMIT_YEAR = 2000
+STAMP = "2024-01-31T00:00:00Z"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +69,8 @@ def _line_bars(spark, sf_dir) -> DataFrame:
     )
 
 
-def _event_bars(spark, sf_dir, symbol) -> DataFrame:
+def _bars_of(events, symbol) -> DataFrame:
     """Events as typed bars of the given symbol column, stamps cut to the minute."""
-    events = _table(spark, sf_dir, "events")
     price = F.col("value")
     rows = events.select(
         symbol.alias("symbol"),
@@ -262,7 +263,8 @@ def metadata_left_join(spark, sf_dir):
 
 def _consolidated_files(spark, sf_dir, mode):
     """Daily files of January 11 to 20 are consolidated, then all other days land and the run is repeated."""
-    bars = _event_bars(spark, sf_dir, F.col("event_type")).withColumn("_pos", F.monotonically_increasing_id())
+    events = _table(spark, sf_dir, "events")
+    bars = _bars_of(events, F.col("event_type")).withColumn("_pos", F.monotonically_increasing_id())
     daily, yearly = scratch_path(spark, "daily"), scratch_path(spark, "yearly")
     early = F.col("date").between(F.lit(date(2024, 1, 11)), F.lit(date(2024, 1, 20)))
     append_daily(bars.where(early), daily)
@@ -287,33 +289,104 @@ def consolidate_files_missing_days(spark, sf_dir):
     return _consolidated_files(spark, sf_dir, "missing_days")
 
 
-def refresh_documents(spark, sf_dir):
-    """Customers as instrument documents, refreshed from yearly files of all events."""
-    prepare(spark)
-    yearly, source, out = (scratch_path(spark, name) for name in ("yearly", "instruments", "refreshed"))
-    bars = _event_bars(spark, sf_dir, _user_symbol("user_id")).withColumn("year", F.year("date")).drop("date")
-    write_years(bars, yearly, spark.sparkContext.defaultParallelism)
-    name, balance = F.col("c_name"), F.col("c_acctbal")
+def _event_symbols(spark, sf_dir) -> DataFrame:
+    """Event types as a symbol catalog whose ids are the types in lower case."""
+    types = _table(spark, sf_dir, "events").select("event_type").distinct()
+    return types.select(F.upper("event_type").alias("symbol"), F.lower("event_type").alias("id"))
+
+
+def ingest_files(spark, sf_dir):
+    """All events land as CSV days, one per event type and day, and are ingested."""
+    events = _table(spark, sf_dir, "events")
+    landing, daily = scratch_path(spark, "landing"), scratch_path(spark, "daily")
+    price = F.col("value").cast("string")
+    landed = events.select(
+        F.date_format("ts", MINUTE_FORMAT).alias("timestamp"),
+        *[price.alias(c) for c in ("open", "high", "low", "close", "volume")],
+        F.col("user_id").cast("string").alias("user"),
+        landed_name(F.lower("event_type"), F.to_date("ts")).alias("file"),
+    )
+    landed.write.partitionBy("file").option("header", True).csv(landing)
+    ingest_days(spark, landing, _event_symbols(spark, sf_dir), daily)
+    return read_bars(spark, daily).select(
+        "symbol",
+        F.to_date("date").alias("d"),
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        "unix_time",
+        "open",
+        "volume",
+        "user",
+    )
+
+
+def planned_files(spark, sf_dir):
+    """Names of the CSV files that planned days land in, and the directories they go to."""
+    plan = plan_head(_catalog(spark, sf_dir), _event_days(spark, sf_dir), TODAY)
+    day = F.col("date")
+    return plan.select(landed_name(F.col("id"), day).alias("file"), daily_key(F.col("symbol"), day).alias("folder"))
+
+
+def years_of_keys(spark, sf_dir):
+    """Available years by the keys of a listing, one key per line item."""
+    lines = _table(spark, sf_dir, "lineitem")
+    key = F.concat(F.lit("date="), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("/"))
+    years = lines.select(F.col("l_suppkey").alias("symbol"), year_of_key(key).alias("year"))
+    return D.available_years(years, LIMIT_YEAR).withColumnRenamed("year", "yr")
+
+
+def assumed_latest(spark, sf_dir):
+    """Latest day by the year alone, as for files without a date column."""
+    newest = newest_years(D.available_years(_line_bars(spark, sf_dir)))
+    return assumed_days(newest, day_literal(date(2001, 10, 15))).withColumnRenamed("year", "yr")
+
+
+def _document_fields() -> list:
+    field = lambda name, path, kind="string": F.try_variant_get("document", path, kind).alias(name)
+    return [
+        field("name", "$.name"),
+        field("balance", "$.balance", "double"),
+        field("earliest", "$.dataRange.earliest"),
+        field("latest", "$.dataRange.latest"),
+        field("yearly_latest", "$.dataRange.sources['1Ys'].latest"),
+    ]
+
+
+def patched_documents(spark, sf_dir):
+    """Customers as instrument documents; those with events get a new latest day."""
+    balance, name = F.col("c_acctbal").alias("balance"), F.col("c_name").alias("name")
     data_range = F.struct(F.lit("2011-01-01").alias("earliest"), F.lit("2023-12-31").alias("latest"))
-    document = F.struct(name.alias("name"), balance.alias("balance"), data_range.alias("dataRange"))
+    document = F.struct(name, balance, data_range.alias("dataRange"))
     customer = _table(spark, sf_dir, "customer")
-    documents = customer.select(
+    instruments = customer.select(
         _user_symbol("c_custkey").alias("symbol"), F.parse_json(F.to_json(document)).alias("document")
     )
-    write_instrument_rows(documents, source)
-    bounds = refresh_catalog(spark, source, yearly, TODAY, out, "2024-01-31T00:00:00Z", as_rows=True)
-    field = lambda path, kind: F.variant_get("document", path, kind)
-    instruments = read_instrument_rows(spark, f"{out}/instruments").where(~F.col("symbol").startswith("_"))
-    return instruments.join(bounds.withColumnRenamed("latest", "bound"), "symbol", "left").select(
-        "symbol",
-        field("$.name", "string").alias("name"),
-        field("$.balance", "double").alias("balance"),
-        field("$.dataRange.earliest", "string").alias("earliest"),
-        field("$.dataRange.latest", "string").alias("latest"),
-        field("$.dataRange.sources['1Ys'].latest", "string").alias("yearly_latest"),
-        "bound",
-        "latest_source",
+    newest = D.newest_day(_event_days(spark, sf_dir))
+    latest = newest.select("symbol", F.col("newest_date").cast("string").alias("latest"))
+    return patch_documents(instruments, latest, STAMP).select("symbol", *_document_fields())
+
+
+def refresh_files(spark, sf_dir):
+    """Nations and regions as instruments, refreshed from yearly files of the events of each nation."""
+    prepare(spark)
+    yearly, source, out = (scratch_path(spark, name) for name in ("yearly", "instruments", "refreshed"))
+    customer, nation = (_table(spark, sf_dir, name) for name in ("customer", "nation"))
+    home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    events = _table(spark, sf_dir, "events").join(home, F.col("user_id") == F.col("c_custkey"))
+    bars = _bars_of(events, F.col("n_name")).withColumn("year", F.year("date")).drop("date")
+    write_years(bars, yearly, spark.sparkContext.defaultParallelism)
+    of_nations = nation.select(
+        F.col("n_name").alias("symbol"), F.to_json(F.struct(F.col("n_name").alias("name"))).alias("text")
+    )
+    kept = F.struct(F.col("r_name").alias("name"), F.struct(F.lit("2023-12-31").alias("latest")).alias("dataRange"))
+    of_regions = _table(spark, sf_dir, "region").select(F.col("r_name").alias("symbol"), F.to_json(kept).alias("text"))
+    documents = of_nations.unionByName(of_regions).select("symbol", F.parse_json("text").alias("document"))
+    write_document(documents, source)
+    bounds = refresh_catalog(spark, source, yearly, TODAY, out, STAMP).withColumnRenamed("latest", "bound")
+    instruments = read_instruments(spark, f"{out}/instruments").where(~F.col("symbol").startswith("_"))
+    rows = instruments.join(bounds, "symbol", "left").select(
+        "symbol", *_document_fields(), "bound", "latest_source", F.col("updated_at").cast("timestamp_ntz").alias("updated")
     )
+    return rows.drop("balance", "earliest")
 
 
 QUERIES = {
@@ -348,5 +421,10 @@ QUERIES = {
     "metadata_left_join": metadata_left_join,
     "consolidate_files": consolidate_files,
     "consolidate_files_missing_days": consolidate_files_missing_days,
-    "refresh_documents": refresh_documents,
+    "ingest_files": ingest_files,
+    "planned_files": planned_files,
+    "years_of_keys": years_of_keys,
+    "assumed_latest": assumed_latest,
+    "patched_documents": patched_documents,
+    "refresh_files": refresh_files,
 }

@@ -147,11 +147,42 @@ select distinct symbol, yr, timestamp, unix_time, open, volume from bars
 where cast(timestamp as date) >= date '2024-01-11'""",
     "consolidate_files_missing_days": f"""
 with {_EVENT_BARS} select distinct symbol, yr, timestamp, unix_time, open, volume from bars""",
-    "refresh_documents": f"""
+    "ingest_files": """
+select upper(event_type) as symbol, cast(ts as date) as d, date_trunc('minute', ts) as timestamp,
+  cast(epoch(date_trunc('minute', ts)) as bigint) as unix_time, value as open, value as volume,
+  cast(user_id as varchar) as "user"
+from events""",
+    "planned_files": f"""
+with {_EVENT_DAYS}, {_CATALOG},
+  oldest as (select symbol, min(d) as lo from b group by symbol),
+  spans as (select c.symbol, c.id, c.earliest as a, coalesce(o.lo, date '2024-01-31') as z
+    from catalog c left join oldest o on o.symbol = c.symbol),
+  plan as (select symbol, id, {_DAYS.format("a", "z - 1")} as d from spans where a < z)
+select concat(id, '-s1-bid-', strftime(d, '%Y-%m-%d'), '-', strftime(d + 1, '%Y-%m-%d'), '.csv') as file,
+  concat('symbol=', symbol, '/date=', strftime(d, '%Y-%m-%d'), '/') as folder
+from plan""",
+    "years_of_keys": f"with {_LINES} select distinct symbol, yr from lines where yr <= 2000",
+    "assumed_latest": f"""
+with {_LINES}, newest as (select symbol, max(yr) as yr from lines group by symbol)
+select symbol, yr, case when yr = 2001 then '2001-10-15' else concat(cast(yr as varchar), '-12-31') end as latest,
+  'fallback' as latest_source
+from newest""",
+    "patched_documents": f"""
 with {_EVENT_DAYS}, newest as (select symbol, max(d) as hi from b group by symbol),
   documents as (select concat('U', cast(c_custkey as varchar)) as symbol, c_name, c_acctbal from customer)
 select t.symbol, t.c_name as name, t.c_acctbal as balance, '2011-01-01' as earliest,
-  coalesce(strftime(n.hi, '%Y-%m-%d'), '2023-12-31') as latest, strftime(n.hi, '%Y-%m-%d') as yearly_latest,
-  n.hi as bound, case when n.hi is not null then 'data' end as latest_source
-from documents t left join newest n on n.symbol = t.symbol""",
+  coalesce(strftime(n.hi, '%Y-%m-%d'), '2023-12-31') as latest, strftime(n.hi, '%Y-%m-%d') as yearly_latest
+from documents t left join newest n on n.symbol = t.symbol
+union all
+select '_data_boundaries_updated', null, null, null, null, null""",
+    "refresh_files": """
+with tops as (select n_name as symbol, max(cast(e.ts as date)) as hi
+    from events e join customer on c_custkey = e.user_id join nation on n_nationkey = c_nationkey group by n_name),
+  documents as (select n_name as symbol, n_name as name, null as old from nation
+    union all select r_name, r_name, '2023-12-31' from region)
+select t.symbol, t.name, coalesce(strftime(p.hi, '%Y-%m-%d'), t.old) as latest,
+  strftime(p.hi, '%Y-%m-%d') as yearly_latest, p.hi as bound,
+  case when p.hi is not null then 'data' end as latest_source,
+  case when p.hi is not null then timestamp '2024-01-31 00:00:00' end as updated
+from documents t left join tops p on p.symbol = t.symbol""",
 }

@@ -1,5 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
+from pathlib import Path
+
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -7,6 +9,7 @@ import pytest
 
 import barloom.sources.tables as tables
 from barloom import consolidate, consolidate_history, summary
+from barloom.session import scratch_root
 from barloom.sources.tables import read_bars
 
 COLUMNS = ["symbol", "timestamp", "unix_time", "open", "high", "low", "close", "volume"]
@@ -65,6 +68,7 @@ def by_group(result):
 
 
 def test_new_years_of_all_symbols(spark, daily, yearly):
+    scratch = Path(scratch_root(spark))
     frames = [
         put_day(daily, "AAA", "2024-12-31"),
         put_day(daily, "AAA", "2025-01-01"),
@@ -73,6 +77,8 @@ def test_new_years_of_all_symbols(spark, daily, yearly):
     ]
     result = consolidate(spark, str(daily), yearly)
     expected = pd.concat(frames).drop_duplicates()
+    staged = list(scratch.glob("staged-*/**/*.parquet"))
+    assert staged and all(pq.ParquetFile(path).metadata.num_rows == 0 for path in staged), "scratch is freed"
     got = read_bars(spark, yearly)
     assert got.count() == len(expected) == 16
     assert set(r.symbol for r in got.select("symbol").distinct().collect()) == {"AAA", "007"}

@@ -164,3 +164,14 @@ def test_plan_limits_what_is_ingested(spark, catalog, landing, daily):
 def test_unknown_ids_are_left_alone(spark, catalog, landing, daily):
     land(landing, "nobody", "2025-01-02", bars("2025-01-02", [0]))
     assert ingest_days(spark, str(landing), catalog, daily).count() == 0
+
+
+def test_subfolders_and_days_written_by_spark(spark, catalog, landing, daily):
+    (landing / "more").mkdir()
+    land(landing / "more", "aaausd", "2025-01-02", bars("2025-01-02", [0]))
+    rows = spark.createDataFrame([("2025-01-03 00:00", i, 1.5) for i in range(8)], "timestamp string, volume int, open double")
+    rows.repartition(3).write.option("header", True).csv(str(landing / "bbbusd-s1-bid-2025-01-03-2025-01-04.csv"))
+    result = statuses(ingest_days(spark, str(landing), catalog, daily))
+    assert result == {("AAA", "2025-01-02"): "ingested", ("BBB", "2025-01-03"): "ingested"}
+    got = rows_of(spark, daily).where("symbol = 'BBB'")
+    assert sorted((r.open, r.volume, r.close) for r in got.collect()) == [(1.5, i, None) for i in range(8)]

@@ -4,6 +4,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+import barloom.sources.tables as tables
 from barloom import refresh_catalog
 from barloom.plans.refresh import yearly_latest
 from barloom.sources.instruments import read_instruments, write_document, write_instrument_rows
@@ -127,3 +128,19 @@ def test_only_the_newest_years_files_are_read(spark, yearly):
     assert {r.symbol: r.latest for r in rows} == {
         "AAA": "2025-03-04", "BBB": "2025-05-06", "CCC": "2024-06-07", "ZZZ": "2024-06-07",
     }
+
+
+@pytest.mark.parametrize("max_folders", [10_000, 1])
+def test_unreadable_newest_file(spark, yearly, monkeypatch, max_folders):
+    monkeypatch.setattr(tables, "MAX_FOLDERS", max_folders)
+    (yearly / "symbol=BBB" / "year=2023" / "BBB_2023.parquet").write_bytes(b"bytes that are no parquet file")
+    put_year(yearly, "CCC", 2025, day_frame("CCC", "2025-01-01").astype({"symbol": "string"}).head(0))
+    with pytest.raises(Exception, match="BBB_2023"):
+        yearly_latest(spark, str(yearly), "2026-01-01").collect()
+    rows = yearly_latest(spark, str(yearly), "2026-01-01", unreadable="assume").collect()
+    assert {r.symbol: (r.latest, r.latest_source) for r in rows} == {
+        "AAA": ("2025-03-04", "data"),
+        "BBB": ("2023-12-31", "fallback"),
+        "CCC": (None, "data"),
+        "ZZZ": ("2024-06-07", "data"),
+    }
