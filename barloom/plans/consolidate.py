@@ -10,9 +10,10 @@ from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import prepare, scratch_path, shuffle_width, work_table
 from barloom.sources.listings import day_listing, year_listing
-from barloom.sources.tables import bar_columns, count_rows, publish_years, read_bars, read_listed, write_years
+from barloom.sources.publish import free, publish_years, unfinished
+from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, write_years
 
-TARGET_BYTES = 256 * 1024 * 1024
+TARGET_BYTES = 128 * 1024 * 1024
 
 
 def _years(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame | None:
@@ -41,6 +42,37 @@ def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFra
     return days.join(work_table(held_days(existing), "held"), ["symbol", "date"], "left_anti")
 
 
+def _stage(merged: DataFrame, staging: str, partitions: int) -> DataFrame:
+    """Write years to scratch and return them.  Rows in a shuffle take several times their space in
+    Parquet, hence the wider shuffle of the distinct."""
+    spark = merged.sparkSession
+    with shuffle_width(spark, 4 * partitions):
+        write_years(merged, staging, partitions)
+    staged = read_bars(spark, staging, merge_schema=False)
+    return staged.withColumn("year", F.col("year").cast("int")).select(*merged.columns)
+
+
+def _finish(spark: SparkSession, yearly_path: str, merge_schema: bool, target_bytes: int) -> None:
+    """Finish the publication of a run that was cut off."""
+    cut_off = unfinished(spark, yearly_path)
+    if cut_off is None:
+        return
+    staged = read_bars(spark, cut_off.staging, merge_schema=False)
+    if staged is None or "symbol" not in staged.columns:
+        raise RuntimeError(f"a run was cut off while it published {cut_off.staging}, which is gone")
+    if not cut_off.extends:
+        publish_years(spark, cut_off.staging, yearly_path, extends=False)
+        return
+    # Some of the files may be in place already: a distinct with what is there leaves each row once.
+    staged = cast_required(staged).withColumn("year", F.col("year").cast("int"))
+    held = year_listing(spark, yearly_path).join(staged.select(*YEARLY_KEYS).distinct(), YEARLY_KEYS, "left_semi")
+    merged = union_distinct(_years(spark, yearly_path, held, merge_schema), staged)
+    again = scratch_path(spark, "staged")
+    _stage(merged, again, max(1, -(-held.agg(F.sum("bytes")).first()[0] // target_bytes)))
+    publish_years(spark, again, yearly_path, extends=False)
+    free(spark, cut_off.staging)
+
+
 def consolidate(
     spark: SparkSession,
     daily_path: str,
@@ -48,6 +80,7 @@ def consolidate(
     mode: str = "hwm",
     years: tuple[int | None, int | None] = ANY_YEAR,
     symbols: str | None = None,
+    extend: bool = False,
     target_bytes: int = TARGET_BYTES,
     merge_schema: bool = True,
 ) -> DataFrame:
@@ -57,9 +90,14 @@ def consolidate(
     days the year has no row of.  ``years`` bounds the years, both ends included; a nightly run gives
     the running year, so that only its directories are listed and read.  Only years with new days are
     written: first to scratch, where they are checked, then in place of the old ones.
+
+    ``extend`` adds the new days as further files and leaves the old ones as they are, so that a run
+    costs as much as its new days.  The rows are the same; a later run without it joins the files.  It
+    applies in mode ``hwm``, where new days lie after all old rows; else the years are rewritten.
     """
     check_mode(mode)
     prepare(spark)
+    _finish(spark, yearly_path, merge_schema, target_bytes)
     days = day_listing(spark, daily_path, years)
     if symbols is not None:
         days = days.join(requested_symbols(spark, symbols), "symbol", "left_semi")
@@ -81,28 +119,26 @@ def consolidate(
     if n_stray is None:
         return work_table(_summary(days, touched, existing), "summary")
     new = new.drop("date")
+    extend = extend and mode == "hwm" and not n_stray
     held = held.join(touched, YEARLY_KEYS, "left_semi")
     old = None if existing is None else _years(spark, yearly_path, held, merge_schema)
     old_bytes = 0
     if old is None:
         merged = distinct_bars(new)
+    elif extend:
+        merged = distinct_bars(new).select(*old.columns)
     else:
         old_bytes = held.agg(F.sum("bytes")).first()[0]
         # Years hold no duplicates, and a day is merged only when its year has no row of that day, so
         # without stray rows the old rows need no second distinct, which would shuffle them again.
         merged = union_distinct(old, new) if n_stray else old.unionByName(distinct_bars(new))
 
-    partitions = max(1, -(-(new_bytes + old_bytes) // target_bytes))
     staging = scratch_path(spark, "staged")
-    with shuffle_width(spark, partitions):
-        write_years(merged, staging, partitions)
-    staged = read_bars(spark, staging, merge_schema=False)
-    staged = staged.withColumn("year", F.col("year").cast("int")).select(*merged.columns)
-    results = work_table(_summary(days, touched, existing, read, staged), "summary")
-    _check(results, n_stray)
-    publish_years(staged, yearly_path)
-    spark.createDataFrame([], "done int").write.mode("overwrite").parquet(staging)  # frees the scratch space
-    return results.drop("n_rows_old")
+    staged = _stage(merged, staging, max(1, -(-(new_bytes + old_bytes) // target_bytes)))
+    results = work_table(_summary(days, touched, existing, read, staged, extend), "summary")
+    _check(results, n_stray, extend)
+    publish_years(spark, staging, yearly_path, extend)
+    return results.drop("n_rows_old", "n_rows_staged")
 
 
 def consolidate_history(
@@ -112,8 +148,9 @@ def consolidate_history(
     return consolidate(spark, daily_path, yearly_path, years=(first, limit), **options)
 
 
-def _summary(days, touched, existing, read=None, staged=None) -> DataFrame:
-    """(symbol, year, n_days, n_rows_in, n_rows_out, status) and, of staged years, ``n_rows_old``."""
+def _summary(days, touched, existing, read=None, staged=None, extend=False) -> DataFrame:
+    """(symbol, year, n_days, n_rows_in, n_rows_out, status) and, of a run that staged years, also
+    ``n_rows_old`` and ``n_rows_staged``."""
     groups = days.select(*YEARLY_KEYS).distinct()
     spark = days.sparkSession
     nothing = spark.createDataFrame([], "symbol string, year int, n_rows long")
@@ -123,33 +160,31 @@ def _summary(days, touched, existing, read=None, staged=None) -> DataFrame:
         touched = spark.createDataFrame([], "symbol string, year int, n_days long")
     if read is None:
         read = spark.createDataFrame([], "symbol string, year int, n_rows_in long, n_stray long")
+    zero = F.lit(0).cast("long")
+    counts = ["n_days", "n_rows_in", "n_rows_old", "n_rows_staged"]
     joined = (
         groups.join(touched, YEARLY_KEYS, "left")
         .join(read, YEARLY_KEYS, "left")
         .join(old.withColumnRenamed("n_rows", "n_rows_old"), YEARLY_KEYS, "left")
-        .join(out.withColumnRenamed("n_rows", "n_rows_new"), YEARLY_KEYS, "left")
+        .join(out.withColumnRenamed("n_rows", "n_rows_staged"), YEARLY_KEYS, "left")
+        .withColumn("status", F.when(F.col("n_days").isNotNull(), "merged").otherwise("up_to_date"))
+        .withColumns({c: F.coalesce(c, zero) for c in counts})
     )
-    zero = F.lit(0).cast("long")
-    columns = [
-        "symbol",
-        "year",
-        F.coalesce("n_days", zero).alias("n_days"),
-        F.coalesce("n_rows_in", zero).alias("n_rows_in"),
-        F.coalesce("n_rows_new", "n_rows_old", zero).alias("n_rows_out"),
-        F.when(F.col("n_days").isNotNull(), "merged").otherwise("up_to_date").alias("status"),
-    ]
-    if staged is not None:
-        columns.append(F.coalesce("n_rows_old", zero).alias("n_rows_old"))
-    return joined.select(*columns)
-
-
-def _check(results: DataFrame, n_stray: int) -> None:
-    """A staged year cannot hold more than its old and new rows, and keeps every old row unless the
-    old rows went through the distinct, too."""
-    out, old, new = F.col("n_rows_out"), F.col("n_rows_old"), F.col("n_rows_in")
-    wrong = (out > old + new) | ((out == 0) & (old + new > 0))
-    if not n_stray:
-        wrong = wrong | (out < old)
+    old, staged_rows = F.col("n_rows_old"), F.col("n_rows_staged")
+    rows_out = old + staged_rows if extend else F.when(staged_rows > 0, staged_rows).otherwise(old)
+    results = joined.withColumn("n_rows_out", rows_out)
+    results = results.select("symbol", "year", "n_days", "n_rows_in", "n_rows_out", "status", *counts[2:])
+    return results if staged is not None else results.drop(*counts[2:])
+
+
+def _check(results: DataFrame, n_stray: int, extend: bool) -> None:
+    """Staged years hold some row of what they are made of and no more rows than that; a rewritten year
+    keeps every old row unless the old rows went through the distinct, too."""
+    staged, old, new = F.col("n_rows_staged"), F.col("n_rows_old"), F.col("n_rows_in")
+    source = new if extend else old + new
+    wrong = (staged > source) | ((staged == 0) & (source > 0))
+    if not (extend or n_stray):
+        wrong = wrong | (staged < old)
     found = results.where((F.col("status") == "merged") & wrong).count()
     if found:
         raise RuntimeError(f"{found} staged years do not hold the rows they should; nothing was replaced")

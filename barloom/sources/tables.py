@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from barloom.functions.bars import with_utc_stamp
 from barloom.schema import YEARLY_KEYS
-from barloom.session import settings
 from barloom.sources.listings import or_none
 
 MAX_FOLDERS = 10_000
@@ -113,20 +112,6 @@ def write_years(bars: DataFrame, path: str, partitions: int) -> None:
     ranged.write.partitionBy(*YEARLY_KEYS).parquet(path)
 
 
-def publish_years(staged: DataFrame, path: str) -> None:
-    """Replace the years present in ``staged`` and leave all others as they are.
-
-    One task reads one staged file, so the new files cover the same stretches of time as the staged ones.
-    """
-    ordered = staged.sortWithinPartitions(*time_order(staged))
-    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    whole = 1 << 50
-    with settings(
-        staged.sparkSession, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole
-    ):
-        writer.partitionBy(*YEARLY_KEYS).parquet(path)
-
-
 def count_rows(bars: DataFrame, *keys: str) -> DataFrame:
     """Rows per partition; only footers are read."""
     return bars.groupBy(*keys).agg(F.count("*").alias("n_rows"))

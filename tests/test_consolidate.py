@@ -7,6 +7,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+import barloom.plans.consolidate as jobs
+import barloom.sources.publish as publish
 import barloom.sources.tables as tables
 from barloom import consolidate, consolidate_history, summary
 from barloom.session import scratch_root
@@ -252,3 +254,85 @@ def test_nanosecond_files(spark, daily, yearly):
 def test_bad_mode(spark, daily, yearly):
     with pytest.raises(ValueError, match="mode"):
         consolidate(spark, str(daily), yearly, mode="all")
+
+
+def test_extending_adds_files_and_gives_the_same_rows(spark, daily, yearly, tmp_path):
+    other = str(tmp_path / "other")
+    for symbol in ("AAA", "BBB"):
+        put_day(daily, symbol, "2025-01-05")
+    for path in (yearly, other):
+        consolidate(spark, str(daily), path)
+    names = lambda: {p for p in (tmp_path / "yearly").glob("symbol=*/*/*.parquet")}
+    before = names()
+    put_day(daily, "AAA", "2025-01-01")
+    put_day(daily, "AAA", "2025-01-06", day_frame("AAA", "2025-01-06", copies=2))
+    put_day(daily, "AAA", "2026-01-06")
+    extended = by_group(consolidate(spark, str(daily), yearly, extend=True))
+    rewritten = by_group(consolidate(spark, str(daily), other))
+    assert before < names()
+    assert extended == rewritten
+    assert held(spark, yearly) == held(spark, other)
+    put_day(daily, "AAA", "2025-01-07")
+    consolidate(spark, str(daily), yearly)
+    assert not {p for p in before if "symbol=AAA/year=2025" in str(p)} & names(), "a rewrite joins the files"
+    assert len(held(spark, yearly)) == len(set(held(spark, yearly))) == 20
+
+
+def test_extending_with_stray_rows_rewrites(spark, daily, yearly):
+    first = put_day(daily, "AAA", "2025-01-05")
+    consolidate(spark, str(daily), yearly)
+    put_day(daily, "AAA", "2025-01-06", pd.concat([first.tail(1), day_frame("AAA", "2025-01-06")]))
+    consolidate(spark, str(daily), yearly, extend=True)
+    assert len(held(spark, yearly)) == len(set(held(spark, yearly))) == 8
+
+
+class CutOff(Exception):
+    pass
+
+
+@pytest.mark.parametrize("extend", [False, True])
+@pytest.mark.parametrize("damage", ["before", "within"])
+def test_a_run_cut_off_while_publishing_is_finished_by_the_next(
+    spark, daily, yearly, tmp_path, monkeypatch, extend, damage
+):
+    for symbol in ("AAA", "BBB"):
+        put_day(daily, symbol, "2025-01-05")
+        put_day(daily, symbol, "2025-01-06")
+    consolidate(spark, str(daily), yearly)
+    for symbol in ("AAA", "BBB"):
+        for path in daily.glob(f"symbol={symbol}/date=2025-01-05/*.parquet"):
+            path.write_bytes(b"old days are not needed any more")
+        put_day(daily, symbol, "2025-01-07")
+        put_day(daily, symbol, "2025-01-08")
+    put = publish._put
+
+    def cut_off(staged, path, extends):
+        """Die before anything is in place, or when one symbol is done and the other one removed."""
+        if damage == "within":
+            put(staged.where("symbol = 'AAA'"), path, extends)
+            if not extends:
+                for file in (tmp_path / "yearly" / "symbol=BBB").glob("*/*.parquet"):
+                    file.rename(file.with_suffix(".gone"))
+        raise CutOff
+
+    monkeypatch.setattr(publish, "_put", cut_off)
+    with pytest.raises(CutOff):
+        consolidate(spark, str(daily), yearly, extend=extend, merge_schema=False)
+    monkeypatch.setattr(publish, "_put", put)
+    result = by_group(consolidate(spark, str(daily), yearly, extend=extend, merge_schema=False))
+    assert {r.status for r in result.values()} == {"up_to_date"}
+    assert {r.n_rows_out for r in result.values()} == {16}
+    assert len(held(spark, yearly)) == len(set(held(spark, yearly))) == 32
+    assert publish.unfinished(spark, yearly) is None
+
+
+def test_a_check_that_fails_replaces_nothing(spark, daily, yearly, monkeypatch):
+    put_day(daily, "AAA", "2025-01-05")
+    consolidate(spark, str(daily), yearly)
+    before = held(spark, yearly)
+    put_day(daily, "AAA", "2025-01-06")
+    stage = jobs._stage
+    monkeypatch.setattr(jobs, "_stage", lambda merged, *rest: stage(merged.limit(3), *rest))
+    with pytest.raises(RuntimeError, match="nothing was replaced"):
+        consolidate(spark, str(daily), yearly)
+    assert held(spark, yearly) == before
