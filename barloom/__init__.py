@@ -10,16 +10,24 @@ from barloom.plans.ingest import BadRows, ingest_days
 from barloom.plans.refresh import refresh_catalog
 from barloom.plans.summary import summary
 from barloom.session import new_session, prepare
+from barloom.sources.catalog import catalog_from_map, read_catalog
+from barloom.sources.listings import day_listing, year_listing
+from barloom.sources.tables import read_bars
 
 __all__ = [
     "BadRows",
+    "catalog_from_map",
     "consolidate",
     "consolidate_history",
+    "day_listing",
     "ingest_days",
     "new_session",
     "plan_head",
     "plan_tail",
     "prepare",
+    "read_bars",
+    "read_catalog",
     "refresh_catalog",
     "summary",
+    "year_listing",
 ]

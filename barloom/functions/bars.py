@@ -42,28 +42,28 @@ def with_utc_stamp(df: DataFrame) -> DataFrame:
     return df
 
 
-def parse_fault(df: DataFrame) -> Column:
-    """Why a row of text fields cannot become a bar; null for a good row."""
-    unreadable = lambda text, value: F.col(text).isNotNull() & value.isNull()
-    checks = [(c, unreadable(c, F.col(c).try_cast("double"))) for c in OHLCV if c in df.columns]
-    checks.append(("timestamp", unreadable("timestamp", utc_minute("timestamp"))))
-    reasons = [F.when(bad, F.lit(f"bad {c}")) for c, bad in checks]
-    return F.coalesce(*reasons)
+def _readings(df: DataFrame) -> dict[str, Column]:
+    """Typed value of each text field that has a type; null where the text cannot be read."""
+    values = {c: F.col(c).try_cast("double") for c in OHLCV if c in df.columns}
+    return {**values, "timestamp": utc_minute("timestamp")}
 
 
-def parse_bars(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Text fields to typed bars.  ``strict`` raises on a bad field, else it becomes null."""
-    values = {c: F.col(c).try_cast("double") for c in OHLCV if c in df.columns}
-    values["timestamp"] = utc_minute("timestamp")
-    if strict:
-        values = {
-            c: F.when(
-                F.col(c).isNotNull() & value.isNull(),
-                F.raise_error(F.concat(F.lit(f"bad {c}: "), F.col(c))),
-            ).otherwise(value)
-            for c, value in values.items()
-        }
-    return with_epoch_after_stamp(df.withColumns(values))
+def parse_fault(df: DataFrame) -> Column:
+    """Why a row of text fields cannot become a bar; null for a good row.  A price may be empty, the
+    timestamp may not."""
+    faults = [
+        F.when(value.isNull() & (F.col(c).isNotNull() | F.lit(c == "timestamp")), F.lit(f"bad {c}"))
+        for c, value in _readings(df).items()
+    ]
+    return F.coalesce(*faults)
+
+
+def parse_bars(df: DataFrame, fault: Column | None = None) -> DataFrame:
+    """Text fields to typed bars.  A row with a fault, by default ``parse_fault``, fails the job."""
+    fault = parse_fault(df) if fault is None else fault
+    values = _readings(df)
+    checked = F.when(fault.isNotNull(), F.raise_error(fault).cast("timestamp")).otherwise(values["timestamp"])
+    return with_epoch_after_stamp(df.withColumns({**values, "timestamp": checked}))
 
 
 def any_of(conditions: list[Column]) -> Column:

@@ -1,7 +1,7 @@
 """Landed CSV day files to the daily table."""
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.bars import parse_bars, parse_fault
@@ -12,8 +12,6 @@ from barloom.sources.landing import read_landed
 from barloom.sources.listings import day_listing, landed_listing
 from barloom.sources.tables import append_daily
 
-_HELPERS = ("_pos", "_surplus")
-
 
 class BadRows(ValueError):
     """Landed rows that are not bars."""
@@ -41,16 +39,20 @@ def planned_and_landed(plan: DataFrame, landing_path: str) -> DataFrame:
     return with_landed(plan, landed_listing(plan.sparkSession, landing_path))
 
 
+def row_fault(raw: DataFrame) -> Column:
+    """Why a landed row cannot become a bar; null for a good row."""
+    return F.coalesce(F.when(F.col("_surplus"), F.lit("too many fields")), parse_fault(raw))
+
+
 def rejected_rows(raw: DataFrame) -> DataFrame:
-    """Rows that cannot become bars, with the reason."""
-    reason = F.coalesce(F.when(F.col("_surplus"), F.lit("too many fields")), parse_fault(raw))
-    return raw.withColumn("reason", reason).where("reason is not null").drop(*_HELPERS)
+    """Rows that cannot become bars, as text, with the ``_reason``."""
+    faulty = raw.withColumn("_reason", row_fault(raw)).where("_reason is not null")
+    return faulty.drop("_pos", "_surplus")
 
 
 def typed_rows(raw: DataFrame) -> DataFrame:
-    """Bars of landed rows; raises on a row that is not one."""
-    whole = F.when(F.col("_surplus"), F.raise_error(F.lit("too many fields"))).otherwise(F.col("timestamp"))
-    return parse_bars(raw.withColumn("timestamp", whole)).drop("_surplus", "id")
+    """Bars of landed rows; a row that is not one fails the job."""
+    return parse_bars(raw, row_fault(raw)).drop("_surplus")
 
 
 def ingest_days(
@@ -73,7 +75,7 @@ def ingest_days(
         raise ValueError(f"on_bad must be 'raise' or 'skip_day', not {on_bad!r}")
     prepare(spark)
     work = work_table(landed_work(spark, landing_path, catalog, daily_path, plan), "landed")
-    wanted = work.where("status = 'wanted'").drop("status")
+    wanted = work.where("status = 'wanted'").select("file_path", "symbol", "date")
     first, last = wanted.agg(F.min("date"), F.max("date")).first()
     if first is None:
         return work.drop("file_path").distinct()

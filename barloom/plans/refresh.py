@@ -109,11 +109,12 @@ def refresh_catalog(
 ) -> DataFrame:
     """Write ``out_path/bounds`` (Parquet) and ``out_path/instruments`` (JSON); return the bounds.
 
-    With ``as_rows`` the instruments are read and written as JSON lines of (symbol, document).
+    With ``as_rows`` the instruments are read and written as JSON lines of (symbol, document).  The
+    instruments may be the ones of the last run below ``out_path``.
     """
     prepare(spark)
     read = read_instrument_rows if as_rows else read_instruments
-    instruments = read(spark, instruments_path)
+    instruments = work_table(read(spark, instruments_path), "instruments")
     latest = work_table(yearly_latest(spark, yearly_path, as_of, merge_schema, unreadable), "latest")
     documents = patch_documents(instruments, latest, stamp)
     (write_instrument_rows if as_rows else write_document)(documents, f"{out_path}/instruments")

@@ -17,6 +17,7 @@ from barloom.functions.days import day_of_text
 from barloom.schema import LANDED_NAME
 from barloom.session import work_table
 
+RESERVED = {"symbol", "date"}  # the columns that a day gets from its file name
 _CORRUPT = "_corrupt"
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 
@@ -46,9 +47,10 @@ def header_lines(spark: SparkSession, landing_path: str, files: DataFrame, span:
 
 
 def split_header(line: str) -> list[str]:
-    names = next(csv.reader([line.lstrip("﻿")]))
-    if len(set(names)) < len(names):
-        raise ValueError(f"a landed file names a column twice: {line}")
+    names = next(csv.reader([line.lstrip("\ufeff")]))
+    folded = {name.lower() for name in names}
+    if len(folded) < len(names) or folded & RESERVED:
+        raise ValueError(f"a landed file repeats a column, or names one of {sorted(RESERVED)}: {line}")
     return names
 
 
@@ -59,8 +61,8 @@ def read_landed(
     span: tuple[date, date],
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """Text fields of the rows of ``files`` (file_path, symbol, id, date), under the names of their
-    headers, with ``_pos`` for the row order and ``_surplus`` for rows with more fields than names.
+    """Text fields of the rows of ``files`` (file_path, symbol, date), under the names of their headers,
+    with ``_pos`` for the row order and ``_surplus`` for rows with more fields than names.
 
     ``columns`` states the header of all files; then no header is looked up, and a file whose header
     differs fails the read.
@@ -97,7 +99,7 @@ def read_landed(
     if len(layouts) <= 1:
         names = layouts[0] if layouts else []
         picked = [F.col(f).alias(name) for f, name in zip(fields, names)]
-        return rows.select("symbol", *picked, "id", "date", "_pos", (surplus > width).alias("_surplus"))
+        return rows.select("symbol", *picked, "date", "_pos", (surplus > width).alias("_surplus"))
     of_layout = [F.col("header") == line for line in lines]
     picked = []
     for name in dict.fromkeys(name for names in layouts for name in names):
@@ -110,4 +112,4 @@ def read_landed(
         is_layout & ((surplus > len(names)) | any_of([F.col(f).isNotNull() for f in fields[len(names) :]]))
         for is_layout, names in zip(of_layout, layouts)
     ]
-    return rows.select("symbol", *picked, "id", "date", "_pos", any_of(beyond).alias("_surplus"))
+    return rows.select("symbol", *picked, "date", "_pos", any_of(beyond).alias("_surplus"))

@@ -108,6 +108,8 @@ def test_nothing_landed(spark, catalog, landing, daily):
         (["2025-01-02 00:01", "abc", 1, 1, 1, 1], "bad open"),
         (["2025-01-02 03:04:05", 1, 1, 1, 1, 1], "bad timestamp"),
         (["2025-01-02 00:01", 1, 1, 1, 1, 1, 9], "too many fields"),
+        (["", 1, 1, 1, 1, 1], "bad timestamp"),
+        (["2025-01-02 00:01", 1, 1, 1, 1, "1e"], "bad volume"),
     ],
 )
 def test_bad_row_fails_the_run_and_adds_nothing(spark, catalog, landing, daily, tmp_path, row, reason):
@@ -117,7 +119,7 @@ def test_bad_row_fails_the_run_and_adds_nothing(spark, catalog, landing, daily,
     with pytest.raises(BadRows, match="1 landed rows"):
         ingest_days(spark, str(landing), catalog, daily, reject_path=rejects)
     assert day_listing(spark, daily).count() == 0
-    assert [r.reason for r in spark.read.parquet(rejects).collect()] == [reason]
+    assert [r._reason for r in spark.read.parquet(rejects).collect()] == [reason]
 
 
 def test_bad_day_is_skipped_whole_on_request(spark, catalog, landing, daily, tmp_path):
@@ -175,3 +177,32 @@ def test_subfolders_and_days_written_by_spark(spark, catalog, landing, daily):
     assert result == {("AAA", "2025-01-02"): "ingested", ("BBB", "2025-01-03"): "ingested"}
     got = rows_of(spark, daily).where("symbol = 'BBB'")
     assert sorted((r.open, r.volume, r.close) for r in got.collect()) == [(1.5, i, None) for i in range(8)]
+
+
+def test_empty_fields_and_short_rows_are_null(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", [["2025-01-02 00:00", "", 1, 1, 1, 1], ["2025-01-02 00:01", 1, 1, 1]])
+    ingest_days(spark, str(landing), catalog, daily)
+    got = rows_of(spark, daily).orderBy("timestamp").collect()
+    assert [(r.open, r.low, r.close, r.volume) for r in got] == [(None, 1, 1, 1), (1, 1, None, None)]
+
+
+def test_file_without_a_timestamp_column_is_bad(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", [[1, 2]], ["open", "close"])
+    land(landing, "bbbusd", "2025-01-03", bars("2025-01-03", [0]))
+    result = ingest_days(spark, str(landing), catalog, daily, on_bad="skip_day")
+    assert statuses(result) == {("AAA", "2025-01-02"): "rejected", ("BBB", "2025-01-03"): "ingested"}
+
+
+@pytest.mark.parametrize("header", [["timestamp", "open", "Open"], ["timestamp", "open", "date"]])
+def test_headers_that_cannot_be_kept(spark, catalog, landing, daily, header):
+    land(landing, "aaausd", "2025-01-02", [["2025-01-02 00:00", 1, 2]], header)
+    with pytest.raises(ValueError, match="landed file"):
+        ingest_days(spark, str(landing), catalog, daily)
+
+
+def test_extra_columns_named_like_catalog_columns_pass_through(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", [["2025-01-02 00:00", 1, "x", "y"]], ["timestamp", "open", "id", "header"])
+    land(landing, "bbbusd", "2025-01-03", bars("2025-01-03", [0]))
+    ingest_days(spark, str(landing), catalog, daily)
+    got = rows_of(spark, daily).where("symbol = 'AAA'").first()
+    assert (got.open, got.id, got.header) == (1, "x", "y")

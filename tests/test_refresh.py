@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import barloom.sources.tables as tables
 from barloom import refresh_catalog
 from barloom.plans.refresh import yearly_latest
-from barloom.sources.instruments import read_instruments, write_document, write_instrument_rows
+from barloom.sources.instruments import read_instrument_rows, read_instruments, write_document, write_instrument_rows
 from test_consolidate import day_frame
 
 DOCUMENT = {
@@ -76,6 +76,18 @@ def test_second_refresh_changes_nothing(spark, source, yearly, tmp_path):
     assert written(tmp_path / "one" / "instruments") == written(tmp_path / "two" / "instruments")
 
 
+@pytest.mark.parametrize("as_rows", [False, True])
+def test_refresh_in_place(spark, source, yearly, tmp_path, as_rows):
+    out = str(tmp_path / "out")
+    write = write_instrument_rows if as_rows else write_document
+    write(read_instruments(spark, source), f"{out}/instruments")
+    for _ in range(2):
+        refresh_catalog(spark, f"{out}/instruments", str(yearly), "2026-01-01", out, stamp=STAMP, as_rows=as_rows)
+    read = read_instrument_rows if as_rows else read_instruments
+    documents = read(spark, f"{out}/instruments").select("symbol", F.to_json("document").alias("text"))
+    assert {r.symbol: json.loads(r.text) for r in documents.collect()} == expected_document()
+
+
 def test_rows_form_has_the_same_content(spark, source, yearly, tmp_path):
     rows = str(tmp_path / "rows")
     write_instrument_rows(read_instruments(spark, source), rows)
