@@ -42,28 +42,37 @@ def with_utc_stamp(df: DataFrame) -> DataFrame:
     return df
 
 
-def _readings(df: DataFrame) -> dict[str, Column]:
-    """Typed value of each text field that has a type; null where the text cannot be read."""
-    values = {c: F.col(c).try_cast("double") for c in OHLCV if c in df.columns}
-    return {**values, "timestamp": utc_minute("timestamp")}
+def read_fields(df: DataFrame) -> DataFrame:
+    """Add the typed value of each text field as ``_read_<name>``; null where the text cannot be read.
+
+    A projection of its own, so that a value is parsed once, however often it is used after.
+    """
+    values = {f"_read_{c}": F.col(c).try_cast("double") for c in OHLCV if c in df.columns}
+    return df.withColumns({**values, "_read_timestamp": utc_minute("timestamp")})
+
+
+def _read_names(df: DataFrame) -> list[str]:
+    return [c.removeprefix("_read_") for c in df.columns if c.startswith("_read_")]
 
 
 def parse_fault(df: DataFrame) -> Column:
-    """Why a row of text fields cannot become a bar; null for a good row.  A price may be empty, the
+    """Why a row of ``read_fields`` is not a bar; null for a good row.  A price may be empty, the
     timestamp may not."""
     faults = [
-        F.when(value.isNull() & (F.col(c).isNotNull() | F.lit(c == "timestamp")), F.lit(f"bad {c}"))
-        for c, value in _readings(df).items()
+        F.when(F.col(f"_read_{c}").isNull() & (F.col(c).isNotNull() | F.lit(c == "timestamp")), F.lit(f"bad {c}"))
+        for c in _read_names(df)
     ]
     return F.coalesce(*faults)
 
 
 def parse_bars(df: DataFrame, fault: Column | None = None) -> DataFrame:
-    """Text fields to typed bars.  A row with a fault, by default ``parse_fault``, fails the job."""
-    fault = parse_fault(df) if fault is None else fault
-    values = _readings(df)
-    checked = F.when(fault.isNotNull(), F.raise_error(fault).cast("timestamp")).otherwise(values["timestamp"])
-    return with_epoch_after_stamp(df.withColumns({**values, "timestamp": checked}))
+    """Text fields to typed bars.  A row with a ``parse_fault``, or the ``fault`` given, fails the job."""
+    read = read_fields(df)
+    faults = parse_fault(read) if fault is None else F.coalesce(fault, parse_fault(read))
+    stamp = F.when(faults.isNotNull(), F.raise_error(faults).cast("timestamp")).otherwise(F.col("_read_timestamp"))
+    values = {c: F.col(f"_read_{c}") for c in _read_names(read)}
+    typed = [{**values, "timestamp": stamp}.get(c, F.col(c)).alias(c) for c in df.columns]
+    return with_epoch_after_stamp(read.select(*typed))
 
 
 def any_of(conditions: list[Column]) -> Column:

@@ -17,7 +17,7 @@ def day_literal(day: date | str | Column) -> Column:
 
 def day_of_text(text: Column) -> Column:
     """ISO day, or null where the text is not one."""
-    return F.try_to_date(text, DAY_FORMAT)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
 def day_of_key(key: Column) -> Column:
@@ -28,11 +28,7 @@ def day_of_key(key: Column) -> Column:
 
 def year_of_key(key: Column) -> Column:
     """Year of a day key or of a year key, or null."""
-    found = F.coalesce(
-        F.nullif(F.regexp_extract(key, r"date=(\d{4})-\d{2}-\d{2}/", 1), F.lit("")),
-        F.regexp_extract(key, r"year=(\d{4})/", 1),
-    )
-    return found.try_cast("int")
+    return F.regexp_extract(key, r"(?:date=(?=\d{4}-\d{2}-\d{2}/)|year=(?=\d{4}/))(\d{4})", 1).try_cast("int")
 
 
 def day_text(day: Column) -> Column:

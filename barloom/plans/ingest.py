@@ -4,7 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.bars import parse_bars, parse_fault
+from barloom.functions.bars import parse_bars, parse_fault, read_fields
 from barloom.operators.days import with_landed
 from barloom.operators.symbols import with_catalog
 from barloom.session import prepare, work_table
@@ -25,10 +25,12 @@ def landed_work(
     ``exists``: the day is there and is left alone; else ``wanted``.  A file without bytes is not
     listed, as if it had not landed.  With ``plan`` (symbol, id, date) only planned days are listed.
     """
-    work = with_catalog(landed_listing(spark, landing_path), catalog.select("id", "symbol"))
+    landed = landed_listing(spark, landing_path)
+    years = landed.agg(F.year(F.min("date")), F.year(F.max("date"))).first()
+    work = with_catalog(landed, catalog.select("id", "symbol"))
     if plan is not None:
         work = work.join(plan.select("symbol", "date").distinct(), ["symbol", "date"], "left_semi")
-    there = day_listing(spark, daily_path).select("symbol", "date", F.lit(True).alias("there"))
+    there = day_listing(spark, daily_path, tuple(years)).select("symbol", "date", F.lit(True).alias("there"))
     work = work.join(there, ["symbol", "date"], "left")
     status = F.when(F.col("there"), "exists").otherwise("wanted")
     return work.select("file_path", "symbol", "id", "date", status.alias("status"))
@@ -39,20 +41,20 @@ def planned_and_landed(plan: DataFrame, landing_path: str) -> DataFrame:
     return with_landed(plan, landed_listing(plan.sparkSession, landing_path))
 
 
-def row_fault(raw: DataFrame) -> Column:
-    """Why a landed row cannot become a bar; null for a good row."""
-    return F.coalesce(F.when(F.col("_surplus"), F.lit("too many fields")), parse_fault(raw))
+def _surplus_fault() -> Column:
+    return F.when(F.col("_surplus"), F.lit("too many fields"))
 
 
 def rejected_rows(raw: DataFrame) -> DataFrame:
     """Rows that cannot become bars, as text, with the ``_reason``."""
-    faulty = raw.withColumn("_reason", row_fault(raw)).where("_reason is not null")
-    return faulty.drop("_pos", "_surplus")
+    read = read_fields(raw)
+    faulty = read.withColumn("_reason", F.coalesce(_surplus_fault(), parse_fault(read))).where("_reason is not null")
+    return faulty.select(*[c for c in raw.columns if c not in ("_pos", "_surplus")], "_reason")
 
 
 def typed_rows(raw: DataFrame) -> DataFrame:
     """Bars of landed rows; a row that is not one fails the job."""
-    return parse_bars(raw, row_fault(raw)).drop("_surplus")
+    return parse_bars(raw, _surplus_fault()).drop("_surplus")
 
 
 def ingest_days(
@@ -98,11 +100,12 @@ def ingest_days(
             if found:
                 raise BadRows(f"{found} landed rows are not bars") from error
         raise
-    return work_table(_results(spark, work, daily_path, bad_days), "ingested")
+    added = day_listing(spark, daily_path, (first.year, last.year))
+    return work_table(_results(work, added, bad_days), "ingested")
 
 
-def _results(spark: SparkSession, work: DataFrame, daily_path: str, bad_days: DataFrame | None) -> DataFrame:
-    added = day_listing(spark, daily_path).select("symbol", "date", F.lit(True).alias("added"))
+def _results(work: DataFrame, added: DataFrame, bad_days: DataFrame | None) -> DataFrame:
+    added = added.select("symbol", "date", F.lit(True).alias("added"))
     done = work.select("symbol", "id", "date", "status").distinct().join(added, ["symbol", "date"], "left")
     status = F.when(F.col("status") != "wanted", F.col("status")).when(F.col("added"), "ingested")
     if bad_days is not None:

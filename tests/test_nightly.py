@@ -10,11 +10,11 @@ from conftest import land
 from barloom import consolidate, day_listing, ingest_days, plan_head, plan_tail, read_bars, refresh_catalog
 
 BASE = date(2024, 12, 29)
-FIRST = {"AAA": date(2024, 12, 30), "BBB": date(2025, 1, 2), "007": date(2024, 12, 30)}
+FIRST = {"AAA": date(2024, 12, 30), "BBB": date(2025, 1, 1), "007": date(2024, 12, 30)}
 IDS = {"AAA": "aaausd", "BBB": "bbbusd", "007": "seven"}
 
 
-def rows_of_day(rng, day):
+def rows_of_day(rng):
     """A few bars with repeats: (minute, price)."""
     return [(rng.randrange(3), rng.randrange(2)) for _ in range(rng.randrange(1, 6))]
 
@@ -23,7 +23,6 @@ def rows_of_day(rng, day):
 def test_nights(spark, catalog, tmp_path, seed, extend, mode):
     rng = random.Random(seed)
     catalog = catalog.withColumn("earliest_date", catalog.earliest_date - 2)
-    first = {s: d - timedelta(days=2) for s, d in (("AAA", date(2025, 1, 1)), ("BBB", date(2025, 1, 3)), ("007", date(2025, 1, 1)))}
     daily, yearly, landing = str(tmp_path / "daily"), str(tmp_path / "yearly"), tmp_path / "landing"
     landing.mkdir()
     days, years = {}, {}
@@ -35,7 +34,7 @@ def test_nights(spark, catalog, tmp_path, seed, extend, mode):
         plan = plan_tail(catalog, existing, yesterday)
         wanted = {(r.symbol, r.date) for r in plan.collect()}
         model = set()
-        for symbol, earliest in first.items():
+        for symbol, earliest in FIRST.items():
             have = [d for s, d in days if s == symbol]
             start = max(have) + timedelta(days=1) if have else earliest
             model |= {(symbol, start + timedelta(days=i)) for i in range((yesterday - start).days + 1)}
@@ -46,7 +45,7 @@ def test_nights(spark, catalog, tmp_path, seed, extend, mode):
         for symbol, day in wanted:
             if rng.random() < 0.3:
                 continue  # a holiday: nothing lands
-            rows = rows_of_day(rng, day)
+            rows = rows_of_day(rng)
             days.setdefault((symbol, day), rows)
             text = [[f"{day} 00:0{m}", p, p, p, p, 1] for m, p in rows]
             land(landing, IDS[symbol], day.isoformat(), text)
