@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.session import local_table
+
 
 def split_request(text: Column | str) -> Column:
     """Array of trimmed symbols of a comma-separated request."""
@@ -10,7 +12,7 @@ def split_request(text: Column | str) -> Column:
 
 
 def requested_symbols(spark: SparkSession, request: str) -> DataFrame:
-    line = spark.createDataFrame([(request,)], "request string")
+    line = local_table(spark, [{"request": request}], "request string")
     return line.select(F.explode(split_request("request")).alias("symbol")).distinct()
 
 

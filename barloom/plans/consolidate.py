@@ -8,7 +8,7 @@ from barloom.operators.days import after_mark, held_days, high_water_marks
 from barloom.operators.merge import check_mode, distinct_bars, union_distinct
 from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
-from barloom.session import prepare, scratch_path, shuffle_width, work_table
+from barloom.session import local_table, prepare, scratch_path, shuffle_width, work_table
 from barloom.sources.listings import day_listing, year_listing
 from barloom.sources.publish import free, publish_years, unfinished
 from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, write_years
@@ -153,13 +153,13 @@ def _summary(days, touched, existing, read=None, staged=None, extend=False) -> D
     ``n_rows_old`` and ``n_rows_staged``."""
     groups = days.select(*YEARLY_KEYS).distinct()
     spark = days.sparkSession
-    nothing = spark.createDataFrame([], "symbol string, year int, n_rows long")
+    nothing = local_table(spark, [], "symbol string, year int, n_rows long")
     old = nothing if existing is None else count_rows(existing, *YEARLY_KEYS)
     out = nothing if staged is None else count_rows(staged, *YEARLY_KEYS)
     if touched is None:
-        touched = spark.createDataFrame([], "symbol string, year int, n_days long")
+        touched = local_table(spark, [], "symbol string, year int, n_days long")
     if read is None:
-        read = spark.createDataFrame([], "symbol string, year int, n_rows_in long, n_stray long")
+        read = local_table(spark, [], "symbol string, year int, n_rows_in long, n_stray long")
     zero = F.lit(0).cast("long")
     counts = ["n_days", "n_rows_in", "n_rows_old", "n_rows_staged"]
     joined = (

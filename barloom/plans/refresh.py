@@ -9,7 +9,7 @@ from barloom.functions.days import day_literal, day_of_text
 from barloom.functions.documents import set_latest
 from barloom.operators.latest import assumed_days, latest_days, newest_years
 from barloom.schema import STAMP_FORMAT
-from barloom.session import prepare, work_table
+from barloom.session import local_table, prepare, work_table
 from barloom.sources.instruments import (
     read_instrument_rows,
     read_instruments,
@@ -75,9 +75,8 @@ def patch_documents(instruments: DataFrame, latest: DataFrame, stamp: str | None
         )
     )
     kept = instruments.where(metadata & (F.col("symbol") != STAMP_KEY))
-    stamped = instruments.sparkSession.range(1).select(
-        F.lit(STAMP_KEY).alias("symbol"), run_stamp(stamp).cast("variant").alias("document")
-    )
+    key = local_table(instruments.sparkSession, [{"symbol": STAMP_KEY}], "symbol string")
+    stamped = key.withColumn("document", run_stamp(stamp).cast("variant"))
     return patched.unionByName(kept).unionByName(stamped)
 
 

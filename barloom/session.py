@@ -1,10 +1,13 @@
 """Session settings, the shared scratch folder and small work tables kept in it."""
 
+import json
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings that change results, not speed: stamps are UTC, `symbol=007` stays text, and nanosecond
 # Parquet stamps arrive as a long instead of failing the read.
@@ -61,6 +64,13 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:
+    """A few rows of the driver as a table in one partition, small enough for Spark to broadcast it."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    literal = F.lit(json.dumps(rows, default=str))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(literal, T.ArrayType(schema))))
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: object):
     """Session settings (``__`` stands for a dot) for the actions inside the block."""

@@ -1,26 +1,18 @@
 """The symbol catalog."""
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.schema import CATALOG
+from barloom.session import local_table
 
 
 def catalog_from_map(spark: SparkSession, entries: dict) -> DataFrame:
     """Catalog of a mapping ``symbol -> {id, name, earliest_date, location}``."""
-    rows = [
-        (
-            str(symbol),
-            entry["id"],
-            entry.get("name"),
-            date.fromisoformat(str(entry["earliest_date"])),
-            entry.get("location"),
-        )
-        for symbol, entry in entries.items()
-    ]
-    return spark.createDataFrame(rows, CATALOG)
+    rows = [{**entry, "symbol": str(symbol)} for symbol, entry in entries.items()]
+    if any(row.get(field) is None for row in rows for field in ("id", "earliest_date")):
+        raise ValueError("every symbol needs an id and an earliest_date")
+    return local_table(spark, rows, CATALOG)
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.days import day_of_key, day_of_text
 from barloom.schema import ANY_YEAR, DAILY_KEYS, LANDED_NAME, YEARLY_KEYS
-from barloom.session import settings, work_table
+from barloom.session import local_table, settings, work_table
 
 _NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -44,7 +44,7 @@ def list_partitions(spark: SparkSession, path: str, keys: list[str], pattern: st
     """
     files = _list_files(spark, f"{path}/{pattern}", ".parquet", basePath=path)
     if files is None or not set(keys) <= set(files.columns):
-        return spark.createDataFrame([], ", ".join(["folder string", "length long"] + [f"{k} string" for k in keys]))
+        return local_table(spark, [], ", ".join(["folder string", "length long"] + [f"{k} string" for k in keys]))
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
     return files.select(folder, "length", *[F.col(k).cast("string").alias(k) for k in keys])
 
@@ -90,7 +90,7 @@ def landed_listing(spark: SparkSession, landing_path: str) -> DataFrame:
     """
     files = _list_files(spark, landing_path, ".csv", recursiveFileLookup=True)
     if files is None:
-        return spark.createDataFrame([], "file_path string, id string, date date")
+        return local_table(spark, [], "file_path string, id string, date date")
     path = F.col("_metadata.file_path")
     landed = files.select(
         path.alias("file_path"),

@@ -8,7 +8,7 @@ was cut off, and that its staged rows have to be put in place again.
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from barloom.schema import YEARLY_KEYS
-from barloom.session import settings
+from barloom.session import local_table, settings
 from barloom.sources.listings import or_none
 from barloom.sources.tables import read_bars, time_order
 
@@ -16,8 +16,8 @@ _MARKER = "_publishing"  # Spark lists no name that starts with an underscore as
 _SCHEMA = "staging string, extends boolean"
 
 
-def _mark(spark: SparkSession, path: str, rows: list[tuple[str, bool]]) -> None:
-    spark.createDataFrame(rows, _SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/{_MARKER}")
+def _mark(spark: SparkSession, path: str, rows: list[dict]) -> None:
+    local_table(spark, rows, _SCHEMA).write.mode("overwrite").json(f"{path}/{_MARKER}")
 
 
 def unfinished(spark: SparkSession, path: str) -> Row | None:
@@ -31,14 +31,14 @@ def publish_years(spark: SparkSession, staging: str, path: str, extends: bool) -
 
     They replace the years of the same symbols, or with ``extends`` are added to them as further files.
     """
-    _mark(spark, path, [(staging, extends)])
+    _mark(spark, path, [{"staging": staging, "extends": extends}])
     _put(read_bars(spark, staging, merge_schema=False), path, extends)
     _mark(spark, path, [])
     free(spark, staging)
 
 
 def free(spark: SparkSession, staging: str) -> None:
-    spark.createDataFrame([], "done int").write.mode("overwrite").parquet(staging)
+    local_table(spark, [], "done int").write.mode("overwrite").parquet(staging)
 
 
 def _put(staged: DataFrame, path: str, extends: bool) -> None:
