@@ -81,7 +81,7 @@ def ingest_days(
     first, last = wanted.agg(F.min("date"), F.max("date")).first()
     if first is None:
         return work.drop("file_path").distinct()
-    raw = read_landed(spark, landing_path, wanted, (first, last), columns)
+    raw = read_landed(spark, landing_path, wanted, columns)
     bad_days = None
     if on_bad == "skip_day":
         rejects = work_table(rejected_rows(raw), "rejects")

@@ -9,6 +9,11 @@ DAY_FORMAT = "yyyy-MM-dd"
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 LANDED_NAME = r"([^/=]+)-s1-bid-(\d{4}-\d{2}-\d{2})-\d{4}-\d{2}-\d{2}\.csv(?:/[^/]*)?$"
 DATE_WORDS = ("date", "time", "timestamp")
+# Texts that stand for a missing value in a CSV field.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 DAILY_KEYS = ["symbol", "date"]
 YEARLY_KEYS = ["symbol", "year"]

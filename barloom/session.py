@@ -17,6 +17,8 @@ PINNED = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
+MAX_NAMES = 10_000
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -64,6 +66,14 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_names(df: DataFrame, column: str) -> list[str] | None:
+    """Paths of a listing, or None when there are more than ``MAX_NAMES`` or one cannot be named as it is."""
+    names = [row[0] for row in df.select(column).limit(MAX_NAMES + 1).collect()]
+    if len(names) > MAX_NAMES or any(c in name for name in names for c in "{}[]*?\\%"):
+        return None
+    return names
+
+
 def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:
     """A few rows of the driver as a table in one partition, small enough for Spark to broadcast it."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

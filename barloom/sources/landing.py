@@ -6,34 +6,31 @@ are read in that order.  Files with other headers are read in the same scan and
 """
 
 import csv
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.bars import any_of
-from barloom.functions.days import day_of_text
-from barloom.schema import LANDED_NAME
-from barloom.session import work_table
+from barloom.schema import MISSING
+from barloom.session import few_names, work_table
 
 RESERVED = {"symbol", "date"}  # the columns that a day gets from its file name
 _CORRUPT = "_corrupt"
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 
 
-def landed_between(span: tuple[date, date]) -> Column:
-    """File filter on the day in the name; Spark drops the other files before reading."""
-    day = day_of_text(F.regexp_extract(F.col("_metadata.file_path"), LANDED_NAME, 2))
-    return day.between(F.lit(span[0]), F.lit(span[1]))
+def _paths(landing_path: str, files: DataFrame) -> list[str]:
+    """Files to read by name, or the whole folder when they are many; rows are joined with ``files`` then,
+    so either way only rows of ``files`` come out."""
+    few = few_names(files, "file_path")
+    return [landing_path] if few is None else few
 
 
-def header_lines(spark: SparkSession, landing_path: str, files: DataFrame, span: tuple[date, date]) -> DataFrame:
+def header_lines(spark: SparkSession, paths: list[str], files: DataFrame) -> DataFrame:
     """(file_path, header): the first line that is not blank of each of the files."""
     lines = (
         spark.read.options(**_FILES)
-        .text(landing_path)
-        .where(landed_between(span))
+        .text(paths)
         .select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("start"),
@@ -54,11 +51,14 @@ def split_header(line: str) -> list[str]:
     return names
 
 
+def _field(name: str) -> Column:
+    return F.when(~F.col(name).isin(*MISSING), F.col(name))
+
+
 def read_landed(
     spark: SparkSession,
     landing_path: str,
     files: DataFrame,
-    span: tuple[date, date],
     columns: list[str] | None = None,
 ) -> DataFrame:
     """Text fields of the rows of ``files`` (file_path, symbol, date), under the names of their headers,
@@ -67,8 +67,9 @@ def read_landed(
     ``columns`` states the header of all files; then no header is looked up, and a file whose header
     differs fails the read.
     """
+    paths = _paths(landing_path, files)
     if columns is None:
-        headers = work_table(header_lines(spark, landing_path, files, span), "headers")
+        headers = work_table(header_lines(spark, paths, files), "headers")
         lines = [row.header for row in headers.select("header").distinct().orderBy("header").collect()]
         layouts = [split_header(line) for line in lines]
     else:
@@ -85,9 +86,9 @@ def read_landed(
         .option("header", True)
         .option("enforceSchema", not stated)
         .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("escape", '"')
         .options(**_FILES)
-        .csv(landing_path)
-        .where(landed_between(span))
+        .csv(paths)
         .select("*", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("_pos"))
     )
     if stated:
@@ -95,10 +96,11 @@ def read_landed(
     if len(layouts) > 1:
         files = files.join(headers, "file_path")
     rows = rows.join(files, "file_path")
-    surplus = F.size(F.split(F.coalesce(_CORRUPT, F.lit("")), ","))
+    unquoted = F.regexp_replace(_CORRUPT, '"[^"]*"', "")
+    surplus = F.when(F.col(_CORRUPT).isNotNull(), F.size(F.split(unquoted, ","))).otherwise(0)
     if len(layouts) <= 1:
         names = layouts[0] if layouts else []
-        picked = [F.col(f).alias(name) for f, name in zip(fields, names)]
+        picked = [_field(f).alias(name) for f, name in zip(fields, names)]
         return rows.select("symbol", *picked, "date", "_pos", (surplus > width).alias("_surplus"))
     of_layout = [F.col("header") == line for line in lines]
     picked = []
@@ -106,7 +108,7 @@ def read_landed(
         value = F.lit(None).cast("string")
         for is_layout, names in zip(of_layout, layouts):
             if name in names:
-                value = F.when(is_layout, F.col(fields[names.index(name)])).otherwise(value)
+                value = F.when(is_layout, _field(fields[names.index(name)])).otherwise(value)
         picked.append(value.alias(name))
     beyond = [
         is_layout & ((surplus > len(names)) | any_of([F.col(f).isNotNull() for f in fields[len(names) :]]))

@@ -7,10 +7,9 @@ from pyspark.sql import types as T
 
 from barloom.functions.bars import with_utc_stamp
 from barloom.schema import YEARLY_KEYS
+from barloom.session import few_names
 from barloom.sources.listings import or_none
 
-MAX_FOLDERS = 10_000
-
 
 def _load(spark: SparkSession, base: str, paths: list[str], **options) -> DataFrame | None:
     reader = spark.read.options(basePath=base, **options)
@@ -33,14 +32,6 @@ def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> Data
     return _load(spark, path, [path], mergeSchema=merge_schema)
 
 
-def _few_folders(listing: DataFrame) -> list[str] | None:
-    """The listed folders, or None when they are too many to name or not nameable."""
-    folders = [row.folder for row in listing.select("folder").limit(MAX_FOLDERS + 1).collect()]
-    if len(folders) > MAX_FOLDERS or any(c in folder for folder in folders for c in "{}[]*?\\"):
-        return None
-    return folders
-
-
 def read_listed(
     spark: SparkSession,
     path: str,
@@ -51,13 +42,13 @@ def read_listed(
 ) -> DataFrame | None:
     """Bars of the listed partitions of a table, or None when nothing is listed.
 
-    A listing has ``folder``, ``symbol`` and the text of the second partition column ``key``.  Up to
-    ``MAX_FOLDERS`` folders are read by name, so that no other directory is listed and no other footer
+    A listing has ``folder``, ``symbol`` and the text of the second partition column ``key``.  A limited
+    number of folders is read by name, so that no other directory is listed and no other footer
     opened.  Beyond that the whole table is listed, and joined on its partition columns, by which Spark
     skips the other directories.  With ``skip_unreadable`` files that are not Parquet have no rows.
     """
     options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable}
-    folders = _few_folders(listing)
+    folders = few_names(listing, "folder")
     if folders is not None:
         return _load(spark, path, folders, **options) if folders else None
     low, high = listing.agg(F.min(key), F.max(key)).first()
@@ -70,7 +61,7 @@ def unreadable_folders(spark: SparkSession, path: str, listing: DataFrame) -> Da
     """Folders of a listing with a file that does not end like a Parquet file.  Files are read whole, so
     list suspects only."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    folders = _few_folders(listing)
+    folders = few_names(listing, "folder")
     if folders is not None and not folders:
         return listing.select("folder")
     found = files.load(folders if folders is not None else path)

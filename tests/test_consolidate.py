@@ -9,7 +9,7 @@ import pytest
 
 import barloom.plans.consolidate as jobs
 import barloom.sources.publish as publish
-import barloom.sources.tables as tables
+import barloom.session as session
 from barloom import consolidate, consolidate_history, summary
 from barloom.session import scratch_root
 from barloom.sources.tables import read_bars
@@ -112,7 +112,7 @@ def test_second_run_changes_nothing(spark, daily, yearly):
 @pytest.mark.parametrize("mode, days", [("hwm", ["05", "06", "08"]), ("missing_days", ["01", "05", "06", "07", "08"])])
 def test_late_days(spark, daily, yearly, monkeypatch, mode, days, max_folders):
     """By folder names or, beyond a number of folders, by a join on the partition columns."""
-    monkeypatch.setattr(tables, "MAX_FOLDERS", max_folders)
+    monkeypatch.setattr(session, "MAX_NAMES", max_folders)
     put_day(daily, "BBB", "2025-01-05")
     for day in ("05", "06"):
         put_day(daily, "AAA", f"2025-01-{day}")

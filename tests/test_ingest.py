@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from conftest import HEADER, bars, land
 
+import barloom.session as session
 from barloom import BadRows, ingest_days
 from barloom.plans.ingest import planned_and_landed
 from barloom.plans.fetch import plan_tail
@@ -145,7 +146,7 @@ def test_existing_days_are_never_rewritten(spark, catalog, landing, daily):
     assert rows_of(spark, daily).count() == 2
 
 
-def test_days_outside_the_wanted_span_are_not_read(spark, catalog, landing, daily):
+def test_files_that_are_not_wanted_are_not_read(spark, catalog, landing, daily):
     land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
     ingest_days(spark, str(landing), catalog, daily)
     land(landing, "aaausd", "2025-01-02", [["junk", "junk"]], ["what", "ever"])
@@ -154,6 +155,19 @@ def test_days_outside_the_wanted_span_are_not_read(spark, catalog, landing, dail
     assert statuses(result) == {("AAA", "2025-01-02"): "exists", ("AAA", "2025-01-03"): "ingested"}
 
 
+def test_many_files_are_read_as_a_folder(spark, catalog, landing, daily, monkeypatch):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
+    ingest_days(spark, str(landing), catalog, daily)
+    monkeypatch.setattr(session, "MAX_NAMES", 1)
+    land(landing, "aaausd", "2025-01-02", [["junk", "junk"]], ["what", "ever"])
+    land(landing, "nobody", "2025-01-03", bars("2025-01-03", [0, 1]))
+    land(landing, "aaausd", "2025-01-03", bars("2025-01-03", [0]))
+    land(landing, "bbbusd", "2025-01-03", [[5, 4, 3, 2, 1, "2025-01-03 00:00"]], HEADER[::-1])
+    result = ingest_days(spark, str(landing), catalog, daily)
+    assert sorted(statuses(result).values()) == ["exists", "ingested", "ingested"]
+    assert rows_of(spark, daily).where("open = 1").count() == 3
+
+
 def test_plan_limits_what_is_ingested(spark, catalog, landing, daily):
     for day in ("2025-01-02", "2025-01-03", "2025-01-04"):
         land(landing, "aaausd", day, bars(day, [0]))
@@ -206,3 +220,22 @@ def test_extra_columns_named_like_catalog_columns_pass_through(spark, catalog, l
     ingest_days(spark, str(landing), catalog, daily)
     got = rows_of(spark, daily).where("symbol = 'AAA'").first()
     assert (got.open, got.id, got.header) == (1, "x", "y")
+
+
+def test_texts_for_missing_values_and_quotes(spark, catalog, landing, daily):
+    header = HEADER + ["note"]
+    rows = [
+        ["2025-01-02 00:00", "NA", "nan", "null", "-inf", "1e3", 'say "x, y"'],
+        ["2025-01-02 00:01", " 1.5", 1, 1, 1, 1, "None"],
+    ]
+    land(landing, "aaausd", "2025-01-02", rows, header)
+    ingest_days(spark, str(landing), catalog, daily)
+    got = rows_of(spark, daily).orderBy("timestamp").select(*HEADER[1:], "note").collect()
+    assert tuple(got[0]) == (None, None, None, float("-inf"), 1000, 'say "x, y"')
+    assert tuple(got[1]) == (1.5, 1, 1, 1, 1, None)
+
+
+def test_quoted_commas_are_no_surplus_fields(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", [["2025-01-02 00:00", 1, "a, b, c, d"]], ["timestamp", "open", "note", "more"])
+    ingest_days(spark, str(landing), catalog, daily)
+    assert [(r.note, r.more) for r in rows_of(spark, daily).collect()] == [("a, b, c, d", None)]

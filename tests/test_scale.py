@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import barloom.plans.consolidate as jobs
-import barloom.sources.tables as tables
+import barloom.session as session
 from barloom import consolidate, read_bars
 from barloom.functions.bars import parse_bars
 from barloom.operators.days import day_counts, high_water_marks
@@ -83,7 +83,7 @@ def test_extending_reads_no_old_row(spark, daily, tmp_path, monkeypatch):
 
 
 def test_many_days_are_pruned_by_the_join(spark, daily, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_FOLDERS", 1)
+    monkeypatch.setattr(session, "MAX_NAMES", 1)
     wanted = day_listing(spark, str(daily)).where("symbol = 'AAA' and day > '2025-01-05'")
     plan = plan_of(jobs._days(spark, str(daily), wanted, merge_schema=True))
     assert re.search(r"PartitionFilters: .*dynamicpruning", plan)
@@ -104,7 +104,7 @@ def test_ingest_shuffles_no_row(spark, catalog, tmp_path):
     landing.mkdir()
     land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
     files = landed_listing(spark, str(landing)).select("file_path", F.lit("AAA").alias("symbol"), "date")
-    raw = read_landed(spark, str(landing), files, ("2025-01-01", "2025-01-03"))
+    raw = read_landed(spark, str(landing), files)
     plan = plan_of(parse_bars(raw))
     assert exchanges(plan) == 0 and "BroadcastHashJoin" in plan
     assert parse_bars(raw).count() == 1
