@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.bars import cast_required
 from barloom.operators.days import after_mark, held_days, high_water_marks
-from barloom.operators.merge import check_mode, distinct_bars, union_distinct
+from barloom.operators.merge import check_mode, distinct_bars
 from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import local_table, prepare, scratch_path, shuffle_width, work_table
@@ -13,7 +13,9 @@ from barloom.sources.listings import day_listing, year_listing
 from barloom.sources.publish import free, publish_years, unfinished
 from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, write_years
 
-TARGET_BYTES = 128 * 1024 * 1024
+TARGET_ROWS = 4_000_000  # of a task and a file of a year
+LEAST_ROWS = 500_000  # of a task, as long as there are cores without one
+MAX_COPIES = 1_000_000  # rows that may be equal and still go to one task undropped
 
 
 def _years(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame | None:
@@ -42,17 +44,19 @@ def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFra
     return days.join(work_table(held_days(existing), "held"), ["symbol", "date"], "left_anti")
 
 
-def _stage(merged: DataFrame, staging: str, partitions: int) -> DataFrame:
-    """Write years to scratch and return them.  Rows in a shuffle take several times their space in
-    Parquet, hence the wider shuffle of the distinct."""
-    spark = merged.sparkSession
-    with shuffle_width(spark, 4 * partitions):
-        write_years(merged, staging, partitions)
+def _stage(bars: DataFrame, staging: str, n_rows: int, target_rows: int, distinct: bool = False) -> DataFrame:
+    """Write years to scratch and return them.  The number of rows, known from footers, sets the number
+    of ranges."""
+    spark = bars.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    ranges = max(1, -(-n_rows // target_rows), min(cores, n_rows // LEAST_ROWS))
+    with shuffle_width(spark, ranges):
+        write_years(bars, staging, ranges, distinct)
     staged = read_bars(spark, staging, merge_schema=False)
-    return staged.withColumn("year", F.col("year").cast("int")).select(*merged.columns)
+    return staged.withColumn("year", F.col("year").cast("int")).select(*bars.columns)
 
 
-def _finish(spark: SparkSession, yearly_path: str, merge_schema: bool, target_bytes: int) -> None:
+def _finish(spark: SparkSession, yearly_path: str, merge_schema: bool, target_rows: int) -> None:
     """Finish the publication of a run that was cut off."""
     cut_off = unfinished(spark, yearly_path)
     if cut_off is None:
@@ -66,9 +70,9 @@ def _finish(spark: SparkSession, yearly_path: str, merge_schema: bool, target_by
     # Some of the files may be in place already: a distinct with what is there leaves each row once.
     staged = cast_required(staged).withColumn("year", F.col("year").cast("int"))
     held = year_listing(spark, yearly_path).join(staged.select(*YEARLY_KEYS).distinct(), YEARLY_KEYS, "left_semi")
-    merged = union_distinct(_years(spark, yearly_path, held, merge_schema), staged)
+    merged = _years(spark, yearly_path, held, merge_schema).unionByName(staged)
     again = scratch_path(spark, "staged")
-    _stage(merged, again, max(1, -(-held.agg(F.sum("bytes")).first()[0] // target_bytes)))
+    _stage(merged, again, merged.count(), target_rows, distinct=True)  # at most two copies of a row
     publish_years(spark, again, yearly_path, extends=False)
     free(spark, cut_off.staging)
 
@@ -81,7 +85,7 @@ def consolidate(
     years: tuple[int | None, int | None] = ANY_YEAR,
     symbols: str | None = None,
     extend: bool = False,
-    target_bytes: int = TARGET_BYTES,
+    target_rows: int = TARGET_ROWS,
     merge_schema: bool = True,
 ) -> DataFrame:
     """Merge new days into their years and return the run's summary, one row per symbol and year.
@@ -97,44 +101,48 @@ def consolidate(
     """
     check_mode(mode)
     prepare(spark)
-    _finish(spark, yearly_path, merge_schema, target_bytes)
+    _finish(spark, yearly_path, merge_schema, target_rows)
     days = day_listing(spark, daily_path, years)
     if symbols is not None:
         days = days.join(requested_symbols(spark, symbols), "symbol", "left_semi")
     held = year_listing(spark, yearly_path, years).join(days, YEARLY_KEYS, "left_semi")
     existing = _years(spark, yearly_path, held, merge_schema)
     wanted = work_table(_new_days(days, existing, mode), "wanted")
-    new_bytes = wanted.agg(F.sum("bytes")).first()[0]
-    if new_bytes is None:
+    if wanted.isEmpty():
         return work_table(_summary(days, None, existing), "summary")
 
     touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_days"))
     new = _days(spark, daily_path, wanted, merge_schema)
     # Rows whose stamp lies on another day than their directory may equal a row the year has already.
     stray = F.to_date("timestamp").isNull() | (F.to_date("timestamp") != F.col("date"))
-    read = work_table(
-        new.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_rows_in"), F.count_if(stray).alias("n_stray")), "read"
+    by_day = new.groupBy(*YEARLY_KEYS, "date").agg(F.count("*").alias("n"), F.count_if(stray).alias("n_stray"))
+    read = by_day.groupBy(*YEARLY_KEYS).agg(
+        F.sum("n").alias("n_rows_in"), F.sum("n_stray").alias("n_stray"), F.max("n").alias("n_largest")
     )
-    n_stray = read.agg(F.sum("n_stray")).first()[0]
-    if n_stray is None:
+    read = work_table(read, "read")
+    n_new, n_stray, n_largest = read.agg(F.sum("n_rows_in"), F.sum("n_stray"), F.max("n_largest")).first()
+    if n_new is None:
         return work_table(_summary(days, touched, existing), "summary")
     new = new.drop("date")
     extend = extend and mode == "hwm" and not n_stray
     held = held.join(touched, YEARLY_KEYS, "left_semi")
     old = None if existing is None else _years(spark, yearly_path, held, merge_schema)
-    old_bytes = 0
-    if old is None:
-        merged = distinct_bars(new)
-    elif extend:
-        merged = distinct_bars(new).select(*old.columns)
+    n_old = 0 if old is None or extend else old.count()
+    # Equal rows share a stamp and so, but for strays, a day: a small largest day bounds their number.
+    few_copies = n_largest + n_stray <= MAX_COPIES
+    if old is None or extend:
+        bars, distinct = new if old is None else new.select(*old.columns), True
+    elif n_stray:
+        bars, distinct = old.unionByName(new), True
     else:
-        old_bytes = held.agg(F.sum("bytes")).first()[0]
-        # Years hold no duplicates, and a day is merged only when its year has no row of that day, so
-        # without stray rows the old rows need no second distinct, which would shuffle them again.
-        merged = union_distinct(old, new) if n_stray else old.unionByName(distinct_bars(new))
+        # Years hold no duplicates, and a day is merged only when its year has no row of that day, so the
+        # old rows need no distinct.
+        bars, distinct = old.unionByName(distinct_bars(new)), False
+    if distinct and not few_copies:
+        bars, distinct = distinct_bars(bars), False
 
     staging = scratch_path(spark, "staged")
-    staged = _stage(merged, staging, max(1, -(-(new_bytes + old_bytes) // target_bytes)))
+    staged = _stage(bars, staging, n_old + n_new, target_rows, distinct)
     results = work_table(_summary(days, touched, existing, read, staged, extend), "summary")
     _check(results, n_stray, extend)
     publish_years(spark, staging, yearly_path, extend)
@@ -159,12 +167,12 @@ def _summary(days, touched, existing, read=None, staged=None, extend=False) -> D
     if touched is None:
         touched = local_table(spark, [], "symbol string, year int, n_days long")
     if read is None:
-        read = local_table(spark, [], "symbol string, year int, n_rows_in long, n_stray long")
+        read = local_table(spark, [], "symbol string, year int, n_rows_in long")
     zero = F.lit(0).cast("long")
     counts = ["n_days", "n_rows_in", "n_rows_old", "n_rows_staged"]
     joined = (
         groups.join(touched, YEARLY_KEYS, "left")
-        .join(read, YEARLY_KEYS, "left")
+        .join(read.select(*YEARLY_KEYS, "n_rows_in"), YEARLY_KEYS, "left")
         .join(old.withColumnRenamed("n_rows", "n_rows_old"), YEARLY_KEYS, "left")
         .join(out.withColumnRenamed("n_rows", "n_rows_staged"), YEARLY_KEYS, "left")
         .withColumn("status", F.when(F.col("n_days").isNotNull(), "merged").otherwise("up_to_date"))

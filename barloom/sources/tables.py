@@ -96,11 +96,16 @@ def append_daily(bars: DataFrame, path: str, position: str = "_pos") -> None:
     ordered.write.mode("append").partitionBy("symbol", "date").parquet(path)
 
 
-def write_years(bars: DataFrame, path: str, partitions: int) -> None:
-    """Write years in time order: files of one year do not overlap in time."""
+def write_years(bars: DataFrame, path: str, partitions: int, distinct: bool = False) -> None:
+    """Write years in time order: files of one year do not overlap in time.
+
+    Equal rows are in one range, so with ``distinct`` they are dropped there without a shuffle of their own.
+    """
     order = time_order(bars)
-    ranged = bars.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    ranged.write.partitionBy(*YEARLY_KEYS).parquet(path)
+    ranged = bars.repartitionByRange(partitions, *order)
+    if distinct:
+        ranged = ranged.dropDuplicates()
+    ranged.sortWithinPartitions(*order).write.partitionBy(*YEARLY_KEYS).parquet(path)
 
 
 def count_rows(bars: DataFrame, *keys: str) -> DataFrame:

@@ -161,8 +161,10 @@ def test_year_bounds_and_symbols(spark, daily, yearly):
     }
 
 
-def test_rows_stamped_on_another_day_than_their_directory(spark, daily, yearly):
+@pytest.mark.parametrize("max_copies", [jobs.MAX_COPIES, 1])
+def test_rows_stamped_on_another_day_than_their_directory(spark, daily, yearly, monkeypatch, max_copies):
     """A day file may hold a row of the day before; equal rows still end up once."""
+    monkeypatch.setattr(jobs, "MAX_COPIES", max_copies)
     first = put_day(daily, "AAA", "2025-01-05")
     consolidate(spark, str(daily), yearly)
     spill = pd.concat([first.tail(1), day_frame("AAA", "2025-01-06")])
@@ -179,7 +181,7 @@ def test_files_are_in_time_order_and_do_not_overlap(spark, daily, yearly, tmp_pa
         frame["close"] = [float(c) for c in range(1440)]
         put_day(daily, "HOT", day, frame)
     put_day(daily, "AAA", "2025-01-01")
-    consolidate(spark, str(daily), yearly, target_bytes=20_000)
+    consolidate(spark, str(daily), yearly, target_rows=1_000)
     files = sorted((tmp_path / "yearly" / "symbol=HOT" / "year=2025").glob("*.parquet"))
     assert len(files) > 1, "a large group is split"
     spans = []
@@ -192,11 +194,14 @@ def test_files_are_in_time_order_and_do_not_overlap(spark, daily, yearly, tmp_pa
     assert len(held(spark, yearly)) == 4 * 1440 + 4
 
 
-def test_one_minute_with_most_rows_is_split(spark, daily, yearly, tmp_path):
+@pytest.mark.parametrize("max_copies", [jobs.MAX_COPIES, 100])
+def test_one_minute_with_most_rows_is_split(spark, daily, yearly, tmp_path, monkeypatch, max_copies):
+    """Copies are dropped within their range or, when a day is too large for that, before."""
+    monkeypatch.setattr(jobs, "MAX_COPIES", max_copies)
     frame = day_frame("HOT", "2025-01-01", n=1, copies=20_000)
     frame["close"] = [float(i % 19_000) for i in range(20_000)]
     put_day(daily, "HOT", "2025-01-01", frame)
-    consolidate(spark, str(daily), yearly, target_bytes=20_000)
+    consolidate(spark, str(daily), yearly, target_rows=1_000)
     assert len(list((tmp_path / "yearly").glob("*/*/*.parquet"))) > 1
     closes = [r.close for r in read_bars(spark, yearly).select("close").collect()]
     assert sorted(closes) == [float(i) for i in range(19_000)]
@@ -332,7 +337,7 @@ def test_a_check_that_fails_replaces_nothing(spark, daily, yearly, monkeypatch):
     before = held(spark, yearly)
     put_day(daily, "AAA", "2025-01-06")
     stage = jobs._stage
-    monkeypatch.setattr(jobs, "_stage", lambda merged, *rest: stage(merged.limit(3), *rest))
+    monkeypatch.setattr(jobs, "_stage", lambda bars, *rest: stage(bars.limit(3), *rest))
     with pytest.raises(RuntimeError, match="nothing was replaced"):
         consolidate(spark, str(daily), yearly)
     assert held(spark, yearly) == before
