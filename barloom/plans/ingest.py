@@ -1,5 +1,6 @@
 """Landed CSV day files to the daily table."""
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,11 +9,14 @@ from barloom.functions.bars import parse_bars, parse_fault, read_fields
 from barloom.operators.days import with_landed
 from barloom.operators.symbols import with_catalog
 from barloom.session import prepare, work_table
-from barloom.sources.landing import read_landed
+from barloom.sources.landing import first_header, is_other_header, read_landed
 from barloom.sources.listings import day_listing, landed_listing
 from barloom.sources.tables import append_daily
 
 
+FAILURES = (PySparkException, Py4JJavaError)  # how a failed job reaches Python
+
+
 class BadRows(ValueError):
     """Landed rows that are not bars."""
 
@@ -81,7 +85,19 @@ def ingest_days(
     first, last = wanted.agg(F.min("date"), F.max("date")).first()
     if first is None:
         return work.drop("file_path").distinct()
-    raw = read_landed(spark, landing_path, wanted, columns)
+    add = lambda names: _add_days(read_landed(spark, landing_path, wanted, names), daily_path, on_bad, reject_path)
+    try:
+        bad_days = add(columns or first_header(spark, wanted))
+    except FAILURES as error:
+        if columns or not is_other_header(error):
+            raise
+        bad_days = add(None)
+    added = day_listing(spark, daily_path, (first.year, last.year))
+    return work_table(_results(work, added, bad_days), "ingested")
+
+
+def _add_days(raw: DataFrame, daily_path: str, on_bad: str, reject_path: str | None) -> DataFrame | None:
+    """Append the days of landed rows; return the days that were left out for a bad row, if asked to."""
     bad_days = None
     if on_bad == "skip_day":
         rejects = work_table(rejected_rows(raw), "rejects")
@@ -91,17 +107,19 @@ def ingest_days(
         raw = raw.join(bad_days, ["symbol", "date"], "left_anti")
     try:
         append_daily(typed_rows(raw), daily_path)
-    except PySparkException as error:
-        if on_bad == "raise":
-            rejects = rejected_rows(raw)
-            if reject_path:
-                rejects.write.mode("append").parquet(reject_path)
-            found = rejects.count()
-            if found:
-                raise BadRows(f"{found} landed rows are not bars") from error
+    except FAILURES as error:
+        if on_bad == "raise" and not is_other_header(error):
+            _report(rejected_rows(raw), reject_path, error)
         raise
-    added = day_listing(spark, daily_path, (first.year, last.year))
-    return work_table(_results(work, added, bad_days), "ingested")
+    return bad_days
+
+
+def _report(rejects: DataFrame, reject_path: str | None, error: Exception) -> None:
+    if reject_path:
+        rejects.write.mode("append").parquet(reject_path)
+    found = rejects.count()
+    if found:
+        raise BadRows(f"{found} landed rows are not bars") from error
 
 
 def _results(work: DataFrame, added: DataFrame, bad_days: DataFrame | None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Landed CSV day files.
 
 Spark's CSV reader assigns columns by position, while a landed file states its columns by name, in any
-order and number.  So the header lines are looked up first; there is normally one, and then the files
-are read in that order.  Files with other headers are read in the same scan and put right by name.
+order and number.  Where all files have the same header, Spark checks that while it reads.  Else the
+header lines are looked up first, and all files are read in one scan and put right by name.
 """
 
 import csv
@@ -26,6 +26,19 @@ def _paths(landing_path: str, files: DataFrame) -> list[str]:
     return [landing_path] if few is None else few
 
 
+def first_header(spark: SparkSession, files: DataFrame) -> list[str] | None:
+    """Columns that the first of the files names; None when it names no ``timestamp``."""
+    path = files.agg(F.min("file_path")).first()[0]
+    line = spark.read.text(path).where(F.trim("value") != "").first()
+    names = [] if line is None else split_header(line.value)
+    return names if "timestamp" in names else None
+
+
+def is_other_header(error: Exception) -> bool:
+    """Was a read with stated columns refused because of a file's header?"""
+    return "CSV header" in str(error)
+
+
 def header_lines(spark: SparkSession, paths: list[str], files: DataFrame) -> DataFrame:
     """(file_path, header): the first line that is not blank of each of the files."""
     lines = (
@@ -98,12 +111,14 @@ def read_landed(
     rows = rows.join(files, "file_path")
     unquoted = F.regexp_replace(_CORRUPT, '"[^"]*"', "")
     surplus = F.when(F.col(_CORRUPT).isNotNull(), F.size(F.split(unquoted, ","))).otherwise(0)
+    no_stamp = [F.lit(None).cast("string").alias("timestamp")]
     if len(layouts) <= 1:
         names = layouts[0] if layouts else []
         picked = [_field(f).alias(name) for f, name in zip(fields, names)]
+        picked += [] if "timestamp" in names else no_stamp
         return rows.select("symbol", *picked, "date", "_pos", (surplus > width).alias("_surplus"))
     of_layout = [F.col("header") == line for line in lines]
-    picked = []
+    picked = [] if any("timestamp" in names for names in layouts) else no_stamp
     for name in dict.fromkeys(name for names in layouts for name in names):
         value = F.lit(None).cast("string")
         for is_layout, names in zip(of_layout, layouts):

@@ -202,6 +202,9 @@ def test_empty_fields_and_short_rows_are_null(spark, catalog, landing, daily):
 
 def test_file_without_a_timestamp_column_is_bad(spark, catalog, landing, daily):
     land(landing, "aaausd", "2025-01-02", [[1, 2]], ["open", "close"])
+    assert statuses(ingest_days(spark, str(landing), catalog, daily, on_bad="skip_day")) == {
+        ("AAA", "2025-01-02"): "rejected"
+    }
     land(landing, "bbbusd", "2025-01-03", bars("2025-01-03", [0]))
     result = ingest_days(spark, str(landing), catalog, daily, on_bad="skip_day")
     assert statuses(result) == {("AAA", "2025-01-02"): "rejected", ("BBB", "2025-01-03"): "ingested"}
@@ -239,3 +242,14 @@ def test_quoted_commas_are_no_surplus_fields(spark, catalog, landing, daily):
     land(landing, "aaausd", "2025-01-02", [["2025-01-02 00:00", 1, "a, b, c, d"]], ["timestamp", "open", "note", "more"])
     ingest_days(spark, str(landing), catalog, daily)
     assert [(r.note, r.more) for r in rows_of(spark, daily).collect()] == [("a, b, c, d", None)]
+
+
+def test_bad_row_before_another_header(spark, catalog, landing, daily, tmp_path):
+    """The look-up of headers after a refused read finds the bad row, too."""
+    land(landing, "aaausd", "2025-01-02", [["2025-01-02 00:00", "abc", 1, 1, 1, 1]])
+    land(landing, "bbbusd", "2025-01-03", [[5, 4, 3, 2, 1, "2025-01-03 00:00"]], HEADER[::-1])
+    rejects = str(tmp_path / "rejects")
+    with pytest.raises(BadRows):
+        ingest_days(spark, str(landing), catalog, daily, reject_path=rejects)
+    result = ingest_days(spark, str(landing), catalog, daily, on_bad="skip_day")
+    assert statuses(result) == {("AAA", "2025-01-02"): "rejected", ("BBB", "2025-01-03"): "ingested"}
