@@ -21,9 +21,8 @@ def day_of_text(text: Column) -> Column:
 
 
 def day_of_key(key: Column) -> Column:
-    """Day of a listing key such as ``date=2024-01-05/``, or null."""
-    shaped = key.contains("date=") & key.endswith("/")
-    return F.when(shaped, day_of_text(F.regexp_extract(key, r"date=(.*)/", 1)))
+    """Day of a listing key such as ``date=2024-01-05/``, or null.  A key without the slash is a file."""
+    return F.regexp_extract(key, r"date=(\d{4}-\d{2}-\d{2})/+$", 1).try_cast("date")
 
 
 def year_of_key(key: Column) -> Column:

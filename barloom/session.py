@@ -69,9 +69,12 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
 def few_names(df: DataFrame, column: str) -> list[str] | None:
     """Paths of a listing, or None when there are more than ``MAX_NAMES`` or one cannot be named as it is."""
     names = [row[0] for row in df.select(column).limit(MAX_NAMES + 1).collect()]
-    if len(names) > MAX_NAMES or any(c in name for name in names for c in "{}[]*?\\%"):
-        return None
-    return names
+    return names if len(names) <= MAX_NAMES and all(is_plain(name) for name in names) else None
+
+
+def is_plain(path: str) -> bool:
+    """Does Spark read this path as it is, with no pattern and no escaped character in it?"""
+    return not set(path) & set("{}[]*?\\%")
 
 
 def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:

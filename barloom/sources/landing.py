@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from barloom.functions.bars import any_of
 from barloom.schema import MISSING
-from barloom.session import few_names, work_table
+from barloom.session import few_names, is_plain, work_table
 
 RESERVED = {"symbol", "date"}  # the columns that a day gets from its file name
 _CORRUPT = "_corrupt"
@@ -27,8 +27,11 @@ def _paths(landing_path: str, files: DataFrame) -> list[str]:
 
 
 def first_header(spark: SparkSession, files: DataFrame) -> list[str] | None:
-    """Columns that the first of the files names; None when it names no ``timestamp``."""
+    """Columns that the first of the files names; None when it names no ``timestamp`` or cannot be opened
+    by its path."""
     path = files.agg(F.min("file_path")).first()[0]
+    if not is_plain(path):
+        return None
     line = spark.read.text(path).where(F.trim("value") != "").first()
     names = [] if line is None else split_header(line.value)
     return names if "timestamp" in names else None

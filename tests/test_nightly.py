@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from conftest import land
 
-from barloom import consolidate, day_listing, ingest_days, plan_head, plan_tail, read_bars, refresh_catalog
+from barloom import catalog_from_map, consolidate, day_listing, ingest_days, plan_head, plan_tail, read_bars, refresh_catalog
 
 BASE = date(2024, 12, 29)
 FIRST = {"AAA": date(2024, 12, 30), "BBB": date(2025, 1, 1), "007": date(2024, 12, 30)}
@@ -72,3 +72,18 @@ def test_nights(spark, catalog, tmp_path, seed, extend, mode):
     for (symbol, _), rows in years.items():
         newest[symbol] = max([newest.get(symbol, date.min), *(d for d, _, _ in rows)])
     assert {r.symbol: r.latest for r in bounds.collect()} == {s: newest[s] for s in ("AAA", "007")}
+
+
+def test_paths_and_symbols_with_special_characters(spark, tmp_path):
+    base = tmp_path / "a b % c"
+    (base / "landing").mkdir(parents=True)
+    catalog = catalog_from_map(spark, {"A/B x": {"id": "ab", "earliest_date": "2025-01-01"}})
+    for day in ("2025-01-02", "2025-01-03"):
+        land(base / "landing", "ab", day, [[f"{day} 00:00", 1, 1, 1, 1, 1]])
+    ingest_days(spark, str(base / "landing"), catalog, str(base / "daily"))
+    have = day_listing(spark, str(base / "daily"))
+    assert [r.date for r in plan_tail(catalog, have, "2025-01-04").collect()] == [date(2025, 1, 4)]
+    consolidate(spark, str(base / "daily"), str(base / "yearly"), years=(2025, 2025))
+    result = consolidate(spark, str(base / "daily"), str(base / "yearly"), years=(2025, 2025))
+    assert [tuple(r) for r in result.collect()] == [("A/B x", 2025, 0, 0, 2, "up_to_date")]
+    assert {r.symbol for r in read_bars(spark, str(base / "yearly")).collect()} == {"A/B x"}

@@ -145,7 +145,7 @@ def test_listings(spark, tmp_path):
 
 
 def test_exported_listing(spark, tmp_path):
-    keys = ["date=2024-01-05/", "date=2024-13-99/", "x/", "date=2024-01-06", "a/date=2024-01-07/"]
+    keys = ["date=2024-01-05/", "date=2024-13-99/", "x/", "date=2024-01-06", "a/date=2024-01-07/", "date=2024-01-08/x/", "date=2024-1-8/"]
     lines = [f'{{"key": "{k}", "size": 1}}' for k in keys] + ['{"size": 2}']
     (tmp_path / "listing.json").write_text("\n".join(lines))
     got = read_key_listing(spark, str(tmp_path / "listing.json"))
