@@ -18,6 +18,7 @@ PINNED = {
 }
 
 MAX_NAMES = 10_000
+MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
 _local_scratch: dict[str, str] = {}
 
@@ -77,6 +78,14 @@ def is_plain(path: str) -> bool:
     return not set(path) & set("{}[]*?\\%")
 
 
+def read_whole(spark: SparkSession, path: str, max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
+    """The text of a small file in one row; an error if it is not small."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"{path} has {size} bytes, more than the {max_bytes} that one task may read")
+    return spark.read.text(path, wholetext=True)
+
+
 def local_table(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:
     """A few rows of the driver as a table in one partition, small enough for Spark to broadcast it."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.schema import CATALOG
-from barloom.session import local_table
+from barloom.session import local_table, read_whole
 
 
 def catalog_from_map(spark: SparkSession, entries: dict) -> DataFrame:
@@ -22,7 +22,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
             import yaml
         except ImportError as error:
             raise ImportError("reading a YAML catalog needs PyYAML") from error
-        text = spark.read.text(path, wholetext=True).first()[0]
+        text = read_whole(spark, path).first()[0]
         return catalog_from_map(spark, yaml.safe_load(text) or {})
     if path.endswith(".json"):
         return spark.read.schema(CATALOG).json(path)

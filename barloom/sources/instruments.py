@@ -3,12 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
+from barloom.session import MAX_DOCUMENT_BYTES, read_whole
 
 
 def read_instruments(spark: SparkSession, path: str) -> DataFrame:
-    """(symbol, document) rows of a JSON object keyed by symbol, its ``_`` keys included."""
-    whole = spark.read.text(path, wholetext=True)
+    """(symbol, document) rows of a JSON object keyed by symbol, its ``_`` keys included.
+
+    One object is read by one task, so its size is checked; ``read_instrument_rows`` has no limit.
+    """
+    whole = read_whole(spark, path)
     members = F.parse_json("value").cast("map<string,variant>")
     return whole.select(F.explode(members).alias("symbol", "document"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import barloom.session as session
 from barloom import refresh_catalog
 from barloom.plans.refresh import yearly_latest
+from barloom.session import read_whole
 from barloom.sources.instruments import read_instrument_rows, read_instruments, write_document, write_instrument_rows
 from test_consolidate import day_frame
 
@@ -131,6 +132,8 @@ def test_stamp_is_utc_now_by_default(spark, source, yearly, tmp_path):
 def test_document_size_is_checked(spark, source, tmp_path):
     with pytest.raises(ValueError, match="write_instrument_rows"):
         write_document(read_instruments(spark, source), str(tmp_path / "out"), max_bytes=10)
+    with pytest.raises(ValueError, match="one task may read"):
+        read_whole(spark, source, max_bytes=10)
 
 
 def test_only_the_newest_years_files_are_read(spark, yearly):

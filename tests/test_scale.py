@@ -17,7 +17,7 @@ from barloom.sources.landing import read_landed
 from barloom.sources.listings import day_listing, landed_listing
 from barloom.suite import QUERIES
 from conftest import bars, land
-from test_consolidate import day_frame, put_day
+from test_consolidate import put_day
 
 SF_DIR = "/root/testdata/sf0.001"
 
