@@ -15,6 +15,7 @@ from barloom.sources.tables import bar_columns, count_rows, read_bars, read_list
 
 TARGET_ROWS = 4_000_000  # of a task and a file of a year
 LEAST_ROWS = 500_000  # of a task, as long as there are cores without one
+MAX_RANGES = 20_000  # more rows make the ranges larger, since a shuffle has map tasks times ranges blocks
 MAX_COPIES = 1_000_000  # rows that may be equal and still go to one task undropped
 
 
@@ -44,12 +45,16 @@ def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFra
     return days.join(work_table(held_days(existing), "held"), ["symbol", "date"], "left_anti")
 
 
+def _ranges(n_rows: int, target_rows: int, cores: int) -> int:
+    """Number of ranges for a number of rows, which is known from footers."""
+    wanted = max(-(-n_rows // target_rows), min(cores, n_rows // LEAST_ROWS))
+    return min(max(wanted, 1), MAX_RANGES)
+
+
 def _stage(bars: DataFrame, staging: str, n_rows: int, target_rows: int, distinct: bool = False) -> DataFrame:
-    """Write years to scratch and return them.  The number of rows, known from footers, sets the number
-    of ranges."""
+    """Write years to scratch and return them."""
     spark = bars.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    ranges = max(1, -(-n_rows // target_rows), min(cores, n_rows // LEAST_ROWS))
+    ranges = _ranges(n_rows, target_rows, spark.sparkContext.defaultParallelism)
     with shuffle_width(spark, ranges):
         write_years(bars, staging, ranges, distinct)
     staged = read_bars(spark, staging, merge_schema=False)

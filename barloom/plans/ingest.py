@@ -13,7 +13,6 @@ from barloom.sources.landing import first_header, is_other_header, read_landed
 from barloom.sources.listings import day_listing, landed_listing
 from barloom.sources.tables import append_daily
 
-
 FAILURES = (PySparkException, Py4JJavaError)  # how a failed job reaches Python
 
 

@@ -6,6 +6,7 @@ header lines are looked up first, and all files are read in one scan and put rig
 """
 
 import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -161,3 +161,11 @@ def test_copies_that_are_a_third_of_all_rows(spark):
         assert exchanges(plan_of(merged)) <= 2
     counted = {r.symbol: (r.n_days, r.n_rows_in) for r in day_counts(days).collect()}
     assert counted["HOT"] == (1, 100_000)
+
+
+@pytest.mark.parametrize(
+    "n_rows, cores, ranges",
+    [(0, 8, 1), (400_000, 8, 1), (10_000_000, 8, 8), (10_000_000, 4000, 20), (10**9, 8, 250), (10**12, 4000, 20_000)],
+)
+def test_ranges_follow_the_rows(n_rows, cores, ranges):
+    assert jobs._ranges(n_rows, jobs.TARGET_ROWS, cores) == ranges
