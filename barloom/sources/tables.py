@@ -11,15 +11,13 @@ from barloom.session import few_names
 from barloom.sources.listings import or_none
 
 
-def _load(spark: SparkSession, base: str, paths: list[str], **options) -> DataFrame | None:
-    reader = spark.read.options(basePath=base, **options)
+def _load(spark: SparkSession, base: str, paths: list[str], **options) -> DataFrame:
     try:
-        bars = or_none(lambda: reader.parquet(*paths))
+        return with_utc_stamp(spark.read.options(basePath=base, **options).parquet(*paths))
     except Py4JJavaError as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
             raise
         raise ValueError(f"column types differ between files of {base}; see merge_schema") from error
-    return None if bars is None else with_utc_stamp(bars)
 
 
 def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
@@ -29,7 +27,7 @@ def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> Data
     whose types differ are an error.  Without it Spark takes the columns of one file, which saves
     opening every footer and reads foreign zero-row files, whose ``symbol`` column has no type.
     """
-    return _load(spark, path, [path], mergeSchema=merge_schema)
+    return or_none(lambda: _load(spark, path, [path], mergeSchema=merge_schema))
 
 
 def read_listed(
@@ -45,16 +43,23 @@ def read_listed(
     A listing has ``folder``, ``symbol`` and the text of the second partition column ``key``.  A limited
     number of folders is read by name, so that no other directory is listed and no other footer
     opened.  Beyond that the whole table is listed, and joined on its partition columns, by which Spark
-    skips the other directories.  With ``skip_unreadable`` files that are not Parquet have no rows.
+    skips the other directories.  A listed folder that is not there is an error.  With
+    ``skip_unreadable`` files that are not Parquet have no rows; None when there is no other file.
     """
     options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable}
+    load = lambda paths: _load(spark, path, paths, **options)
     folders = few_names(listing, "folder")
+    if folders == []:
+        return None
+    if skip_unreadable:
+        strict, load = load, lambda paths: or_none(lambda: strict(paths))
     if folders is not None:
-        return _load(spark, path, folders, **options) if folders else None
+        return load(folders)
     low, high = listing.agg(F.min(key), F.max(key)).first()
     bounded = lambda df: df.where(F.col(key).between(low, high))
     wanted = bounded(listing.select("symbol", key))
-    return bounded(_load(spark, path, [path], **options)).join(wanted, ["symbol", key], "left_semi")
+    bars = load([path])
+    return None if bars is None else bounded(bars).join(wanted, ["symbol", key], "left_semi")
 
 
 def unreadable_folders(spark: SparkSession, path: str, listing: DataFrame) -> DataFrame:

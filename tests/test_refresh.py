@@ -159,3 +159,10 @@ def test_unreadable_newest_file(spark, yearly, monkeypatch, max_folders):
         "CCC": (None, "data"),
         "ZZZ": ("2024-06-07", "data"),
     }
+
+
+def test_only_unreadable_files(spark, tmp_path):
+    put_year(tmp_path / "yearly", "AAA", 2024, day_frame("AAA", "2024-12-31"))
+    (tmp_path / "yearly" / "symbol=AAA" / "year=2024" / "AAA_2024.parquet").write_bytes(b"bytes, but not Parquet")
+    rows = yearly_latest(spark, str(tmp_path / "yearly"), "2026-01-01", unreadable="assume").collect()
+    assert [(r.symbol, r.latest, r.latest_source) for r in rows] == [("AAA", "2024-12-31", "fallback")]

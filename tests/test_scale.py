@@ -163,6 +163,15 @@ def test_copies_that_are_a_third_of_all_rows(spark):
     assert counted["HOT"] == (1, 100_000)
 
 
+def test_a_listed_folder_that_is_gone_is_an_error(spark, daily):
+    wanted = day_listing(spark, str(daily))
+    for file in (daily / "symbol=AAA" / "date=2025-01-06").iterdir():
+        file.unlink()
+    (daily / "symbol=AAA" / "date=2025-01-06").rmdir()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs._days(spark, str(daily), wanted, merge_schema=True)
+
+
 @pytest.mark.parametrize(
     "n_rows, cores, ranges",
     [(0, 8, 1), (400_000, 8, 1), (10_000_000, 8, 8), (10_000_000, 4000, 20), (10**9, 8, 250), (10**12, 4000, 20_000)],
