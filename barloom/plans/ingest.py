@@ -11,6 +11,7 @@ from barloom.operators.symbols import with_catalog
 from barloom.session import prepare, work_table
 from barloom.sources.landing import first_header, is_other_header, read_landed
 from barloom.sources.listings import day_listing, landed_listing
+from barloom.sources.publish import clear_days, mark_days, unfinished_days
 from barloom.sources.tables import append_daily
 
 FAILURES = (PySparkException, Py4JJavaError)  # how a failed job reaches Python
@@ -21,24 +22,41 @@ class BadRows(ValueError):
 
 
 def landed_work(
-    spark: SparkSession, landing_path: str, catalog: DataFrame, daily_path: str, plan: DataFrame | None = None
+    spark: SparkSession,
+    landing_path: str,
+    catalog: DataFrame,
+    daily_path: str,
+    plan: DataFrame | None = None,
+    unfinished: DataFrame | None = None,
 ) -> DataFrame:
     """(file_path, symbol, id, date, status) of landed files of catalog ids.
 
     ``exists``: the day is there and is left alone; else ``wanted``.  A file without bytes is not
     listed, as if it had not landed.  With ``plan`` (symbol, id, date) only planned days are listed.
+    Days that are ``unfinished`` are wanted in any case.
     """
     landed = landed_listing(spark, landing_path)
     years = landed.agg(F.year(F.min("date")), F.year(F.max("date"))).first()
     work = with_catalog(landed, catalog.select("id", "symbol"))
     if plan is not None:
-        work = work.join(plan.select("symbol", "date").distinct(), ["symbol", "date"], "left_semi")
-    there = day_listing(spark, daily_path, tuple(years)).select("symbol", "date", F.lit(True).alias("there"))
-    work = work.join(there, ["symbol", "date"], "left")
+        days = plan.select("symbol", "date")
+        days = days if unfinished is None else days.unionByName(unfinished)
+        work = work.join(days.distinct(), ["symbol", "date"], "left_semi")
+    there = day_listing(spark, daily_path, tuple(years)).select("symbol", "date")
+    if unfinished is not None:
+        there = there.join(unfinished, ["symbol", "date"], "left_anti")
+    work = work.join(there.withColumn("there", F.lit(True)), ["symbol", "date"], "left")
     status = F.when(F.col("there"), "exists").otherwise("wanted")
     return work.select("file_path", "symbol", "id", "date", status.alias("status"))
 
 
+def _check_unfinished(spark: SparkSession, daily_path: str, unfinished: DataFrame, wanted: DataFrame) -> None:
+    there = unfinished.join(day_listing(spark, daily_path), ["symbol", "date"], "left_semi")
+    gone = there.join(wanted, ["symbol", "date"], "left_anti").count()
+    if gone:
+        raise RuntimeError(f"a run was cut off; {gone} days may be there in part, and their CSV files are gone")
+
+
 def planned_and_landed(plan: DataFrame, landing_path: str) -> DataFrame:
     """Planned days whose CSV has landed and has bytes."""
     return with_landed(plan, landed_listing(plan.sparkSession, landing_path))
@@ -74,29 +92,40 @@ def ingest_days(
 
     ``on_bad="raise"``: any bad row fails the run, which then adds nothing.  ``on_bad="skip_day"``: a
     day with a bad row is left out whole and gets status ``rejected``.  Either way the bad rows go to
-    ``reject_path`` if one is given.
+    ``reject_path`` if one is given.  Days that a run which was cut off may have written in part are
+    written anew.
     """
     if on_bad not in ("raise", "skip_day"):
         raise ValueError(f"on_bad must be 'raise' or 'skip_day', not {on_bad!r}")
     prepare(spark)
-    work = work_table(landed_work(spark, landing_path, catalog, daily_path, plan), "landed")
+    unfinished = unfinished_days(spark, daily_path)
+    work = work_table(landed_work(spark, landing_path, catalog, daily_path, plan, unfinished), "landed")
     wanted = work.where("status = 'wanted'").select("file_path", "symbol", "date")
+    if unfinished is not None:
+        _check_unfinished(spark, daily_path, unfinished, wanted)
     first, last = wanted.agg(F.min("date"), F.max("date")).first()
     if first is None:
         return work.drop("file_path").distinct()
-    add = lambda names: _add_days(read_landed(spark, landing_path, wanted, names), daily_path, on_bad, reject_path)
+    replace = unfinished is not None
+    add = lambda names: _add_days(
+        read_landed(spark, landing_path, wanted, names), daily_path, on_bad, reject_path, replace
+    )
+    mark_days(wanted, daily_path)
     try:
         bad_days = add(columns or first_header(spark, wanted))
     except FAILURES as error:
         if columns or not is_other_header(error):
             raise
         bad_days = add(None)
+    clear_days(spark, daily_path)
     added = day_listing(spark, daily_path, (first.year, last.year))
     return work_table(_results(work, added, bad_days), "ingested")
 
 
-def _add_days(raw: DataFrame, daily_path: str, on_bad: str, reject_path: str | None) -> DataFrame | None:
-    """Append the days of landed rows; return the days that were left out for a bad row, if asked to."""
+def _add_days(
+    raw: DataFrame, daily_path: str, on_bad: str, reject_path: str | None, replace: bool
+) -> DataFrame | None:
+    """Add the days of landed rows; return the days that were left out for a bad row, if asked to."""
     bad_days = None
     if on_bad == "skip_day":
         rejects = work_table(rejected_rows(raw), "rejects")
@@ -105,7 +134,7 @@ def _add_days(raw: DataFrame, daily_path: str, on_bad: str, reject_path: str | N
         bad_days = work_table(rejects.select("symbol", "date").distinct(), "bad-days")
         raw = raw.join(bad_days, ["symbol", "date"], "left_anti")
     try:
-        append_daily(typed_rows(raw), daily_path)
+        append_daily(typed_rows(raw), daily_path, replace=replace)
     except FAILURES as error:
         if on_bad == "raise" and not is_other_header(error):
             _report(rejected_rows(raw), reject_path, error)

@@ -1,19 +1,23 @@
-"""Moving staged years into the yearly table, so that a run that dies half-way can be finished.
+"""Putting rows into a table so that a run whose driver dies half-way can be finished.
 
 Replacing partitions is not one atomic step.  Before it starts, a marker below the table names the staged
 rows; it is cleared when all is in place.  A marker found at the start of a run means that the run before
 was cut off, and that its staged rows have to be put in place again.
+
+Days are not staged, as they can be read from their CSV files again: there the marker lists the days.
 """
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from barloom.schema import YEARLY_KEYS
-from barloom.session import local_table, settings
+from barloom.session import local_table, settings, work_table
 from barloom.sources.listings import or_none
 from barloom.sources.tables import read_bars, time_order
 
 _MARKER = "_publishing"  # Spark lists no name that starts with an underscore as data
 _SCHEMA = "staging string, extends boolean"
+_DAYS_MARKER = "_ingesting"
+_DAYS = "symbol string, date date"
 
 
 def _mark(spark: SparkSession, path: str, rows: list[dict]) -> None:
@@ -53,3 +57,17 @@ def _put(staged: DataFrame, path: str, extends: bool) -> None:
         staged.sparkSession, spark__sql__files__maxPartitionBytes=whole, spark__sql__files__openCostInBytes=whole
     ):
         writer.parquet(path)
+
+
+def unfinished_days(spark: SparkSession, path: str) -> DataFrame | None:
+    """(symbol, date) of days that a run which was cut off may have written in part."""
+    marker = or_none(lambda: spark.read.schema(_DAYS).parquet(f"{path}/{_DAYS_MARKER}"))
+    return None if marker is None or marker.isEmpty() else work_table(marker.distinct(), "unfinished")
+
+
+def mark_days(days: DataFrame, path: str) -> None:
+    days.select("symbol", "date").distinct().write.mode("append").parquet(f"{path}/{_DAYS_MARKER}")
+
+
+def clear_days(spark: SparkSession, path: str) -> None:
+    local_table(spark, [], _DAYS).write.mode("overwrite").parquet(f"{path}/{_DAYS_MARKER}")

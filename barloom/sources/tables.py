@@ -94,11 +94,16 @@ def time_order(df: DataFrame) -> list[str]:
     return first + [c for c in sortable if c not in first]
 
 
-def append_daily(bars: DataFrame, path: str, position: str = "_pos") -> None:
-    """Add days.  Rows stay where they were read, so nothing is shuffled; ``position`` keeps their
-    order inside a day, which is all that tells the seconds of one minute apart."""
-    ordered = bars.sortWithinPartitions("symbol", "date", position).drop(position)
-    ordered.write.mode("append").partitionBy("symbol", "date").parquet(path)
+def append_daily(bars: DataFrame, path: str, position: str = "_pos", replace: bool = False) -> None:
+    """Add days, or with ``replace`` write these days anew.  Rows stay where they were read, so nothing is
+    shuffled; ``position`` keeps their order inside a day, which is all that tells the seconds of one
+    minute apart."""
+    writer = bars.sortWithinPartitions("symbol", "date", position).drop(position).write.partitionBy("symbol", "date")
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
 
 
 def write_years(bars: DataFrame, path: str, partitions: int, distinct: bool = False) -> None:

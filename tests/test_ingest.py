@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from conftest import HEADER, bars, land
 
+import barloom.plans.ingest as jobs
 import barloom.session as session
 from barloom import BadRows, ingest_days
 from barloom.plans.ingest import planned_and_landed
@@ -253,3 +254,43 @@ def test_bad_row_before_another_header(spark, catalog, landing, daily, tmp_path)
         ingest_days(spark, str(landing), catalog, daily, reject_path=rejects)
     result = ingest_days(spark, str(landing), catalog, daily, on_bad="skip_day")
     assert statuses(result) == {("AAA", "2025-01-02"): "rejected", ("BBB", "2025-01-03"): "ingested"}
+
+
+class CutOff(Exception):
+    pass
+
+
+@pytest.fixture
+def cut_off_run(spark, catalog, landing, daily, monkeypatch):
+    """A run that dies when one day is there in half and another one not at all."""
+    land(landing, "aaausd", "2025-01-01", bars("2025-01-01", range(4)))
+    ingest_days(spark, str(landing), catalog, daily)
+    for day in ("2025-01-02", "2025-01-03"):
+        land(landing, "aaausd", day, bars(day, range(4)))
+
+    def half(rows, path, replace):
+        append_daily(rows.where("date = '2025-01-02' and minute(timestamp) < 2"), path)
+        raise CutOff
+
+    append_daily = jobs.append_daily
+    monkeypatch.setattr(jobs, "append_daily", half)
+    with pytest.raises(CutOff):
+        ingest_days(spark, str(landing), catalog, daily)
+    monkeypatch.setattr(jobs, "append_daily", append_daily)
+    assert rows_of(spark, daily).count() == 6
+
+
+def test_a_cut_off_run_is_finished_by_the_next(spark, catalog, landing, daily, cut_off_run):
+    plan = plan_tail(catalog, day_listing(spark, daily), "2025-01-03", symbols="AAA")
+    assert [r.date for r in plan.collect()] == [date(2025, 1, 3)]
+    result = statuses(ingest_days(spark, str(landing), catalog, daily, plan=plan))
+    assert result == {("AAA", "2025-01-02"): "ingested", ("AAA", "2025-01-03"): "ingested"}
+    assert rows_of(spark, daily).count() == rows_of(spark, daily).distinct().count() == 12
+    assert set(statuses(ingest_days(spark, str(landing), catalog, daily)).values()) == {"exists"}
+
+
+def test_a_cut_off_run_whose_files_are_gone_is_an_error(spark, catalog, landing, daily, cut_off_run):
+    for file in landing.glob("*2025-01-02-*.csv"):
+        file.unlink()
+    with pytest.raises(RuntimeError, match="1 days may be there in part"):
+        ingest_days(spark, str(landing), catalog, daily)
