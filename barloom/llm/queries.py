@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm.langid import fit, held_out, identify
+from barloom.llm.minhash import near_documents
 from barloom.llm.pii import digests, personal_data
 from barloom.llm.ship import ship
 from barloom.llm.topk import integer_vectors, top_k
@@ -13,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents."""
+    return near_documents(_table(spark, sf_dir, "documents"), similarity=0.75)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document."""
     return digests(personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -37,4 +43,4 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {"op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
+QUERIES = {"op3_minhash": op3_minhash, "op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
