@@ -6,6 +6,7 @@ from barloom.llm.langid import fit, held_out, identify
 from barloom.llm.minhash import near_documents
 from barloom.llm.pii import digests, personal_data
 from barloom.llm.ship import ship
+from barloom.llm.substring import without_repeats
 from barloom.llm.topk import integer_vectors, top_k
 from barloom.llm.vector_dedup import near_vectors
 
@@ -19,6 +20,11 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(_table(spark, sf_dir, "documents"), similarity=0.75)
 
 
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without passages of 13 words that smaller documents have."""
+    return without_repeats(_table(spark, sf_dir, "documents"), length=13, with_text=False).drop("kept")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document."""
     return digests(personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -43,4 +49,4 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {"op3_minhash": op3_minhash, "op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
+QUERIES = {"op3_minhash": op3_minhash, "op4_substring": op4_substring, "op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
