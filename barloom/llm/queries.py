@@ -7,6 +7,7 @@ from barloom.llm.minhash import near_documents
 from barloom.llm.pii import digests, personal_data
 from barloom.llm.ship import ship
 from barloom.llm.substring import without_repeats
+from barloom.llm import suffix_dedup
 from barloom.llm.topk import integer_vectors, top_k
 from barloom.llm.vector_dedup import near_vectors
 
@@ -15,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without strings of 200 bytes that occur again."""
+    docs = _table(spark, sf_dir, "documents")
+    return suffix_dedup.without_repeats(docs, length=200, with_bytes=False).drop("kept")
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents."""
     return near_documents(_table(spark, sf_dir, "documents"), similarity=0.75)
@@ -49,4 +56,4 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {"op3_minhash": op3_minhash, "op4_substring": op4_substring, "op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
+QUERIES = {"op1_suffixes": op1_suffixes, "op3_minhash": op3_minhash, "op4_substring": op4_substring, "op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
