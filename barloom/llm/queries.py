@@ -1,17 +1,34 @@
 """The operators as registered queries: (spark, folder of the tables) -> DataFrame."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barloom.llm import findings, mixing, pieces, suffix_dedup
 from barloom.llm.langid import fit, held_out, identify
 from barloom.llm.minhash import near_documents
 from barloom.llm.pii import digests, personal_data
 from barloom.llm.ship import ship
 from barloom.llm.substring import without_repeats
-from barloom.llm import suffix_dedup
 from barloom.llm.topk import integer_vectors, top_k
 from barloom.llm.vector_dedup import near_vectors
 
 
+#: Shares of the tokens wanted of each language, source and topic (here the form of the text); the rest is `other`.
+TARGETS = {
+    "source": {"src0": 0.2} | {f"src{i}": 0.8 / 19 for i in range(1, 20)},
+    "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
+    "topic": {"prose": 0.85, "table": 0.05, "shout": 0.05, "noise": 0.05},
+}
+DIMENSIONS = {
+    "source": "source",
+    "lang": "lang",
+    "topic": (
+        "case when contains(text, ' | ') then 'table' when contains(text, '!! ') then 'shout' "
+        "when contains(text, '$$$ ') or contains(text, '### ') or contains(text, '%%% ') then 'noise' else 'prose' end"
+    ),
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -22,6 +39,18 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(docs, length=200, with_bytes=False).drop("kept")
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document: their scores, sizes and digests, and whether the text comes back."""
+    found = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), pieces.load(), n=4)
+    ways = lambda line: F.array_join(F.transform("n_best", line), ",")
+    return found.select(
+        "doc_id", F.size(F.col("n_best")[0].ids).cast("long").alias("n_pieces"), F.col("n_best")[0].score.alias("score"),
+        ways(lambda w: w.score.cast("string")).alias("scores"),
+        F.transform("n_best", lambda w: F.xxhash64(w.ids)).alias("digests"),
+        F.equal_null("text", "restored").alias("round_trip"),
+    )
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents."""
     return near_documents(_table(spark, sf_dir, "documents"), similarity=0.75)
@@ -32,11 +61,27 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents"), length=13, with_text=False).drop("kept")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in every document, and whether the forest keeps it."""
+    found = findings.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "place", F.sha2("core", 256).alias("core_sha256"), "score", "secret")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document."""
     return digests(personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, probability and choice of every document in a mix of half of all tokens."""
+    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), DIMENSIONS, TARGETS, fraction=0.5)
+    return mixed.select(
+        "doc_id", "mix_cell.source", "mix_cell.lang", "mix_cell.topic", F.col("mix_tokens").alias("n_tokens"),
+        F.round("mix_weight", 9).alias("weight"), F.round("mix_probability", 9).alias("probability"),
+        F.col("mix_selected").alias("selected"),
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, from a model of the documents that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -56,4 +101,15 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
-QUERIES = {"op1_suffixes": op1_suffixes, "op3_minhash": op3_minhash, "op4_substring": op4_substring, "op6_pii": op6_pii, "op8_language": op8_language, "op9_topk": op9_topk, "op10_vectors": op10_vectors}
+QUERIES = {
+    "op1_suffixes": op1_suffixes,
+    "op2_pieces": op2_pieces,
+    "op3_minhash": op3_minhash,
+    "op4_substring": op4_substring,
+    "op5_secrets": op5_secrets,
+    "op6_pii": op6_pii,
+    "op7_mixing": op7_mixing,
+    "op8_language": op8_language,
+    "op9_topk": op9_topk,
+    "op10_vectors": op10_vectors,
+}
