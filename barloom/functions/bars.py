@@ -9,11 +9,6 @@ from pyspark.sql import types as T
 from barloom.schema import MINUTE_FORMAT, OHLCV
 
 
-def cast_present(df: DataFrame) -> DataFrame:
-    """OHLCV columns to double; columns that are not there are left out."""
-    return df.withColumns({c: F.col(c).cast("double") for c in OHLCV if c in df.columns})
-
-
 def cast_required(df: DataFrame) -> DataFrame:
     """OHLCV columns to double; a missing column is an analysis error."""
     return df.withColumns({c: F.col(c).cast("double") for c in OHLCV})

@@ -22,12 +22,12 @@ def day_of_text(text: Column) -> Column:
 
 def day_of_key(key: Column) -> Column:
     """Day of a listing key such as ``date=2024-01-05/``, or null.  A key without the slash is a file."""
-    return F.regexp_extract(key, r"date=(\d{4}-\d{2}-\d{2})/+$", 1).try_cast("date")
+    return F.regexp_extract(key, r"date=(\d{4}-\d{1,2}-\d{1,2})/+$", 1).try_cast("date")
 
 
 def year_of_key(key: Column) -> Column:
     """Year of a day key or of a year key, or null."""
-    return F.regexp_extract(key, r"(?:date=(?=\d{4}-\d{2}-\d{2}/)|year=(?=\d{4}/))(\d{4})", 1).try_cast("int")
+    return F.regexp_extract(key, r"(?:date=(?=\d{4}-\d{1,2}-\d{1,2}/)|year=(?=\d{4}/))(\d{4})", 1).try_cast("int")
 
 
 def day_text(day: Column) -> Column:

@@ -39,6 +39,7 @@ def choose_symbols(catalog: DataFrame, symbols: str | DataFrame | None) -> DataF
 def with_catalog(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     """Rows of a vendor id with the catalog columns of that id.
 
-    No hint is given: Spark broadcasts the catalog when its size allows it.
+    A row that the catalog repeats counts once.  No hint is given: Spark broadcasts the catalog when its
+    size allows it.
     """
-    return rows.join(catalog, "id")
+    return rows.join(catalog.distinct(), "id")

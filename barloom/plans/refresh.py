@@ -27,6 +27,11 @@ def run_stamp(stamp: str | None):
     return F.lit(stamp) if stamp else F.date_format(F.current_timestamp(), STAMP_FORMAT)
 
 
+def resolved_stamp(spark: SparkSession, stamp: str | None) -> str:
+    """The run's stamp as text, so that all its jobs write the same one."""
+    return stamp or spark.range(1).select(run_stamp(None)).first()[0]
+
+
 def yearly_latest(
     spark: SparkSession,
     yearly_path: str,
@@ -112,6 +117,7 @@ def refresh_catalog(
     instruments may be the ones of the last run below ``out_path``.
     """
     prepare(spark)
+    stamp = resolved_stamp(spark, stamp)
     read = read_instrument_rows if as_rows else read_instruments
     instruments = work_table(read(spark, instruments_path), "instruments")
     latest = work_table(yearly_latest(spark, yearly_path, as_of, merge_schema, unreadable), "latest")

@@ -1,9 +1,11 @@
 """Session settings, the shared scratch folder and small work tables kept in it."""
 
 import json
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,6 @@ PINNED = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
-MAX_NAMES = 10_000
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
 _local_scratch: dict[str, str] = {}
@@ -67,15 +68,18 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def few_names(df: DataFrame, column: str) -> list[str] | None:
-    """Paths of a listing, or None when there are more than ``MAX_NAMES`` or one cannot be named as it is."""
-    names = [row[0] for row in df.select(column).limit(MAX_NAMES + 1).collect()]
-    return names if len(names) <= MAX_NAMES and all(is_plain(name) for name in names) else None
+def names_of(df: DataFrame, column: str, decode: bool = False) -> list[str]:
+    """All paths of a listing, as Spark's readers take them: no character stands for a pattern.
+
+    They come to the driver whatever their number, where Spark keeps the file index of any read, too.
+    ``decode`` is for paths in the form of ``_metadata.file_path``, whose special characters are escaped.
+    """
+    names = (row[0] for row in df.select(column).toLocalIterator())
+    return [literal_path(unquote(name) if decode else name) for name in names]
 
 
-def is_plain(path: str) -> bool:
-    """Does Spark read this path as it is, with no pattern and no escaped character in it?"""
-    return not set(path) & set("{}[]*?\\%")
+def literal_path(path: str) -> str:
+    return re.sub(r"[{}\[\]*?\\]", r"\\\g<0>", path)
 
 
 def read_whole(spark: SparkSession, path: str, max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:

@@ -13,26 +13,21 @@ from pyspark.sql import types as T
 
 from barloom.functions.bars import any_of
 from barloom.schema import MISSING
-from barloom.session import few_names, is_plain, work_table
+from barloom.session import names_of, work_table
 
 RESERVED = {"symbol", "date"}  # the columns that a day gets from its file name
 _CORRUPT = "_corrupt"
 _FILES = {"pathGlobFilter": "*.csv", "recursiveFileLookup": True}
 
 
-def _paths(landing_path: str, files: DataFrame) -> list[str]:
-    """Files to read by name, or the whole folder when they are many; rows are joined with ``files`` then,
-    so either way only rows of ``files`` come out."""
-    few = few_names(files, "file_path")
-    return [landing_path] if few is None else few
+def _paths(files: DataFrame) -> list[str]:
+    """Files to read, by name, however many."""
+    return names_of(files, "file_path", decode=True)
 
 
 def first_header(spark: SparkSession, files: DataFrame) -> list[str] | None:
-    """Columns that the first of the files names; None when it names no ``timestamp`` or cannot be opened
-    by its path."""
-    path = files.agg(F.min("file_path")).first()[0]
-    if not is_plain(path):
-        return None
+    """Columns that the first of the files names; None when it names no ``timestamp``."""
+    path = names_of(files.agg(F.min("file_path").alias("file_path")), "file_path", decode=True)
     line = spark.read.text(path).where(F.trim("value") != "").first()
     names = [] if line is None else split_header(line.value)
     return names if "timestamp" in names else None
@@ -84,7 +79,7 @@ def read_landed(
     ``columns`` states the header of all files; then no header is looked up, and a file whose header
     differs fails the read.
     """
-    paths = _paths(landing_path, files)
+    paths = _paths(files)
     if columns is None:
         headers = work_table(header_lines(spark, paths, files), "headers")
         lines = [row.header for row in headers.select("header").distinct().orderBy("header").collect()]

@@ -91,10 +91,11 @@ def landed_listing(spark: SparkSession, landing_path: str) -> DataFrame:
     files = _list_files(spark, landing_path, ".csv", recursiveFileLookup=True)
     if files is None:
         return local_table(spark, [], "file_path string, id string, date date")
-    path = F.col("_metadata.file_path")
+    path = F.col("_metadata.file_path")  # special characters are escaped in it; a plus sign is not
+    vendor_id = F.regexp_extract(path, LANDED_NAME, 1)
     landed = files.select(
         path.alias("file_path"),
-        F.regexp_extract(path, LANDED_NAME, 1).alias("id"),
+        F.url_decode(F.replace(vendor_id, F.lit("+"), F.lit("%2B"))).alias("id"),
         day_of_text(F.regexp_extract(path, LANDED_NAME, 2)).alias("date"),
     )
     return _listing(landed.where("date is not null"), "landed")

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from barloom.functions.bars import with_utc_stamp
 from barloom.schema import YEARLY_KEYS
-from barloom.session import few_names
+from barloom.session import names_of
 from barloom.sources.listings import or_none
 
 
@@ -40,36 +40,29 @@ def read_listed(
 ) -> DataFrame | None:
     """Bars of the listed partitions of a table, or None when nothing is listed.
 
-    A listing has ``folder``, ``symbol`` and the text of the second partition column ``key``.  A limited
-    number of folders is read by name, so that no other directory is listed and no other footer
-    opened.  Beyond that the whole table is listed, and joined on its partition columns, by which Spark
-    skips the other directories.  A listed folder that is not there is an error.  With
+    A listing has ``folder``.  Folders are
+    read by name, however many, so that no other directory is listed, no other footer opened, and the
+    columns are those of the listed files.  A listed folder that is not there is an error.  With
     ``skip_unreadable`` files that are not Parquet have no rows; None when there is no other file.
     """
     options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable}
     load = lambda paths: _load(spark, path, paths, **options)
-    folders = few_names(listing, "folder")
-    if folders == []:
+    folders = names_of(listing, "folder")
+    if not folders:
         return None
     if skip_unreadable:
         strict, load = load, lambda paths: or_none(lambda: strict(paths))
-    if folders is not None:
-        return load(folders)
-    low, high = listing.agg(F.min(key), F.max(key)).first()
-    bounded = lambda df: df.where(F.col(key).between(low, high))
-    wanted = bounded(listing.select("symbol", key))
-    bars = load([path])
-    return None if bars is None else bounded(bars).join(wanted, ["symbol", key], "left_semi")
+    return load(folders)
 
 
 def unreadable_folders(spark: SparkSession, path: str, listing: DataFrame) -> DataFrame:
     """Folders of a listing with a file that does not end like a Parquet file.  Files are read whole, so
     list suspects only."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    folders = few_names(listing, "folder")
-    if folders is not None and not folders:
+    folders = names_of(listing, "folder")
+    if not folders:
         return listing.select("folder")
-    found = files.load(folders if folders is not None else path)
+    found = files.load(folders)
     ends = found.select(
         F.regexp_replace("path", "/[^/]*$", "").alias("folder"),
         (F.substring("content", -4, 4) == F.lit(b"PAR1")).alias("whole"),

@@ -89,7 +89,7 @@ from spans""",
     "run_summary": f"select status, count(*) as n from ({_fetch_window()}) group by status",
     "catalog_filter": """
 select e.user_id, c.c_name, count(*) as n_rows from events e join customer c on c.c_custkey = e.user_id
-where c.c_mktsegment = 'BUILDING' group by e.user_id, c.c_name""",
+group by e.user_id, c.c_name""",
     "request_list": f"with {_REQUESTED} select o_orderkey, symbol from requested",
     "requested_known": f"""
 with {_REQUESTED}, {_CATALOG}

@@ -1,10 +1,11 @@
 from datetime import date
 
 import pytest
+
+from barloom.sources.catalog import catalog_from_map
 from conftest import HEADER, bars, land
 
 import barloom.plans.ingest as jobs
-import barloom.session as session
 from barloom import BadRows, ingest_days
 from barloom.plans.ingest import planned_and_landed
 from barloom.plans.fetch import plan_tail
@@ -156,10 +157,9 @@ def test_files_that_are_not_wanted_are_not_read(spark, catalog, landing, daily):
     assert statuses(result) == {("AAA", "2025-01-02"): "exists", ("AAA", "2025-01-03"): "ingested"}
 
 
-def test_many_files_are_read_as_a_folder(spark, catalog, landing, daily, monkeypatch):
+def test_only_wanted_files_are_read(spark, catalog, landing, daily):
     land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
     ingest_days(spark, str(landing), catalog, daily)
-    monkeypatch.setattr(session, "MAX_NAMES", 1)
     land(landing, "aaausd", "2025-01-02", [["junk", "junk"]], ["what", "ever"])
     land(landing, "nobody", "2025-01-03", bars("2025-01-03", [0, 1]))
     land(landing, "aaausd", "2025-01-03", bars("2025-01-03", [0]))
@@ -169,6 +169,27 @@ def test_many_files_are_read_as_a_folder(spark, catalog, landing, daily, monkeyp
     assert rows_of(spark, daily).where("open = 1").count() == 3
 
 
+def test_header_of_an_unwanted_file_does_not_matter(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0]))
+    land(landing, "nobody", "2025-01-02", [[1, 2]], ["some", "thing"])
+    result = ingest_days(spark, str(landing), catalog, daily, columns=HEADER)
+    assert list(statuses(result).values()) == ["ingested"]
+
+
+@pytest.mark.parametrize("vendor_id", ["x y", "x%y", "x+y", "x%20y", "a{b}[c]"])
+def test_special_characters_in_ids(spark, landing, daily, vendor_id):
+    catalog = catalog_from_map(spark, {"S": {"id": vendor_id, "name": "", "earliest_date": "2025-01-01", "location": ""}})
+    land(landing, vendor_id, "2025-01-02", bars("2025-01-02", [0, 1]))
+    assert list(statuses(ingest_days(spark, str(landing), catalog, daily)).values()) == ["ingested"]
+    assert rows_of(spark, daily).count() == 2
+
+
+def test_repeated_catalog_row(spark, catalog, landing, daily):
+    land(landing, "aaausd", "2025-01-02", bars("2025-01-02", [0, 1]))
+    ingest_days(spark, str(landing), catalog.union(catalog), daily)
+    assert rows_of(spark, daily).count() == 2
+
+
 def test_plan_limits_what_is_ingested(spark, catalog, landing, daily):
     for day in ("2025-01-02", "2025-01-03", "2025-01-04"):
         land(landing, "aaausd", day, bars(day, [0]))

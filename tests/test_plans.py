@@ -1,5 +1,6 @@
 """Fetch plans, windows, listings and key parsing, against brute force in Python."""
 
+import json
 from datetime import date, timedelta
 import random
 
@@ -149,7 +150,7 @@ def test_exported_listing(spark, tmp_path):
     lines = [f'{{"key": "{k}", "size": 1}}' for k in keys] + ['{"size": 2}']
     (tmp_path / "listing.json").write_text("\n".join(lines))
     got = read_key_listing(spark, str(tmp_path / "listing.json"))
-    assert sorted(r.day for r in got.collect()) == [date(2024, 1, 5), date(2024, 1, 7)]
+    assert sorted(r.day for r in got.collect()) == [date(2024, 1, 5), date(2024, 1, 7), date(2024, 1, 8)]
 
 
 def test_year_keys(spark):
@@ -157,6 +158,18 @@ def test_year_keys(spark):
     assert [r.y for r in rows.select(year_of_key(F.col("k")).alias("y")).collect()] == [2024, 2023, None, None]
 
 
+@pytest.mark.parametrize("day", ["2025-13-01", "soon", None])
+def test_bad_catalog_dates(spark, tmp_path, day):
+    line = {"symbol": "AAA", "id": "a", "name": "A", "earliest_date": day, "location": ""}
+    (tmp_path / "c.json").write_text(json.dumps(line))
+    spark.createDataFrame([line], "symbol string, id string, name string, earliest_date string, location string").write.parquet(
+        str(tmp_path / "c")
+    )
+    for path in ("c.json", "c"):
+        with pytest.raises(Exception, match="catalog|earliest_date"):
+            read_catalog(spark, str(tmp_path / path)).collect()
+
+
 def test_catalog_files(spark, tmp_path):
     text = "AAA:\n  id: aaausd\n  name: A\n  earliest_date: '2025-01-01'\n  location: USA\n"
     (tmp_path / "symbols.yaml").write_text(text)

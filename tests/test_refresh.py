@@ -4,7 +4,6 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-import barloom.session as session
 from barloom import refresh_catalog
 from barloom.plans.refresh import yearly_latest
 from barloom.session import read_whole
@@ -145,9 +144,7 @@ def test_only_the_newest_years_files_are_read(spark, yearly):
     }
 
 
-@pytest.mark.parametrize("max_folders", [10_000, 1])
-def test_unreadable_newest_file(spark, yearly, monkeypatch, max_folders):
-    monkeypatch.setattr(session, "MAX_NAMES", max_folders)
+def test_unreadable_newest_file(spark, yearly):
     (yearly / "symbol=BBB" / "year=2023" / "BBB_2023.parquet").write_bytes(b"bytes that are no parquet file")
     put_year(yearly, "CCC", 2025, day_frame("CCC", "2025-01-01").astype({"symbol": "string"}).head(0))
     with pytest.raises(Exception, match="BBB_2023"):

@@ -3,10 +3,10 @@
 import re
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import barloom.plans.consolidate as jobs
-import barloom.session as session
 import barloom.sources.tables as tables
 from barloom import consolidate, read_bars
 from barloom.functions.bars import parse_bars
@@ -86,12 +86,19 @@ def test_extending_reads_no_old_row(spark, daily, tmp_path, monkeypatch):
     assert "date=2025-01-07" not in plan
 
 
-def test_many_days_are_pruned_by_the_join(spark, daily, monkeypatch):
-    monkeypatch.setattr(session, "MAX_NAMES", 1)
-    wanted = day_listing(spark, str(daily)).where("symbol = 'AAA' and day > '2025-01-05'")
-    plan = plan_of(jobs._days(spark, str(daily), wanted, merge_schema=True))
-    assert re.search(r"PartitionFilters: .*dynamicpruning", plan)
-    assert "BroadcastHashJoin" in plan
+def test_listed_folders_alone_are_read(spark, daily):
+    """A folder that is gone fails the read, and columns of folders that are not listed do not show up."""
+    days = day_listing(spark, str(daily))
+    wanted = days.where("symbol = 'AAA' and day > '2025-01-05'")
+    columns = jobs._days(spark, str(daily), wanted, merge_schema=True).columns
+    put_day(daily, "BBB", "2024-02-02")
+    odd = daily / "symbol=BBB" / "date=2024-02-02"
+    frame = spark.read.parquet(str(odd)).withColumn("odd", F.lit(1))
+    frame.write.mode("append").parquet(str(odd))
+    assert jobs._days(spark, str(daily), wanted, merge_schema=True).columns == columns
+    gone = wanted.withColumn("folder", F.concat("folder", F.lit("-gone")))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        jobs._days(spark, str(daily), wanted.union(gone), merge_schema=True)
 
 
 def test_only_directories_of_the_years_are_listed(spark, daily, monkeypatch):
