@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.units import Slice, slices
+from barloom.llm.units import SLICE, Slice, slices
 
 #: Families of languages by code: fixed values. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -68,7 +68,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feature frequencies of each labelled text, packed as float32."""
     for batch in batches:
         packed = []
-        for part in slices(batch.column(1)):
+        for part in slices(batch.column(1), SLICE // 2):
             counts = np.zeros((part.last - part.first, 1 << BITS))
             for rows, places in _places(part):
                 np.add.at(counts, (rows, places), 1)
@@ -156,8 +156,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     chosen = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     found = chosen.mapInArrow(_frequencies, "lang string, x binary").collect()
     found = sorted(((row[0], bytes(row[1])) for row in found))
-    x = np.array([np.frombuffer(row[1], np.float32) for row in found], np.float64).reshape(len(found), -1)
-    x = x[:, : 1 << BITS]
+    x = np.array([np.frombuffer(row[1], np.float32) for row in found], np.float64).reshape(len(found), 1 << BITS)
     y = np.array([row[0] for row in found], object)
     scale = 1 / max(np.sqrt((x**2).sum(1)).mean(), 1e-9) if len(x) else 1.0
     model = Model()
@@ -188,7 +187,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", columns: tuple[s
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for part in slices(batch.column(kept.index(text))):
+            for part in slices(batch.column(kept.index(text)), SLICE // 2):
                 some, sure = model.predict(part)
                 langs += some.tolist()
                 scores += np.round(sure, 6).tolist()
