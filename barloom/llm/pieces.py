@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from barloom.llm.units import CACHES
+
 SPACE = "▁"
 #: Stands for a SPACE sign that the text itself holds: no text and no piece can have it.
 LITERAL = "\ud800"
@@ -251,6 +253,7 @@ def decode(ids, pieces: Pieces) -> str:
 
 
 _encoders: dict[str, Encoder] = {}
+CACHES.append(_encoders)
 
 
 def _encoder(name: str, pieces: Pieces, n: int) -> Encoder:

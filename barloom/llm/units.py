@@ -23,6 +23,8 @@ WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 _powers: dict[bool, np.ndarray] = {}
+#: What other operators keep in a worker from task to task; given up when a task of texts as arrays comes to the worker.
+CACHES: list[dict] = []
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
@@ -73,6 +75,8 @@ class Slice:
 
 def slices(column: pa.Array, limit: int = SLICE) -> Iterator[Slice]:
     """The texts of a string column in slices of about ``limit`` bytes; null is an empty text."""
+    for cache in CACHES:
+        cache.clear()
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
     if column.null_count:
         column = column.fill_null("")
