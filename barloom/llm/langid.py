@@ -79,7 +79,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear support vector machine (squared hinge), by dual coordinate descent."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
     weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
     share = {side: len(y) / (2 * max((y == side).sum(), 1)) for side in (-1, 1)}  # both sides count alike
     soft = np.array([0.5 / (cost * share[side]) for side in y])
@@ -156,7 +156,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     chosen = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     found = chosen.mapInArrow(_frequencies, "lang string, x binary").collect()
     found = sorted(((row[0], bytes(row[1])) for row in found))
-    x = np.array([np.frombuffer(row[1], np.float32) for row in found], np.float64).reshape(len(found), 1 << BITS)
+    x = np.array([np.frombuffer(row[1], np.float32) for row in found], np.float32).reshape(len(found), 1 << BITS)
     y = np.array([row[0] for row in found], object)
     scale = 1 / max(np.sqrt((x**2).sum(1)).mean(), 1e-9) if len(x) else 1.0
     model = Model()

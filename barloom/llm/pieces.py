@@ -178,8 +178,8 @@ class Encoder:
 
     WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
-    def __init__(self, pieces: Pieces, n: int):
-        self.pieces, self.n = pieces, n
+    def __init__(self, pieces: Pieces, n: int, kept: int = KEPT):
+        self.pieces, self.n, self.kept = pieces, n, kept
         self.known: dict[str, tuple[float, bytes, float]] = {}
         self.older: dict[str, tuple[float, bytes, float]] = {}
         self.ways: dict[str, list[tuple[float, bytes]]] = {}
@@ -191,7 +191,7 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Have the best way of all these words in ``known``; what was not asked for lately is forgotten."""
-        if len(self.known) > KEPT:
+        if len(self.known) > self.kept:
             self.older, self.known, self.ways = self.known, {}, {}
         known, older, new = self.known, self.older, []
         for word in words:
@@ -256,18 +256,21 @@ _encoders: dict[str, Encoder] = {}
 CACHES.append(_encoders)
 
 
-def _encoder(name: str, pieces: Pieces, n: int) -> Encoder:
+def _encoder(name: str, pieces: Pieces, n: int, kept: int) -> Encoder:
     """The worker's encoder, kept from task to task."""
     if name not in _encoders:
         _encoders.clear()
-        _encoders[name] = Encoder(pieces, n)
+        _encoders[name] = Encoder(pieces, n, kept)
     return _encoders[name]
 
 
 _WAY = "array<struct<score:double,ids:array<int>>>"
 
 
-def encode(docs: DataFrame, pieces: Pieces, n: int = 4, text: str = "text", columns: tuple[str, str] = ("n_best", "restored")) -> DataFrame:
+def encode(
+    docs: DataFrame, pieces: Pieces, n: int = 4, text: str = "text", columns: tuple[str, str] = ("n_best", "restored"),
+    kept_words: int = KEPT, rows: int = 1024,
+) -> DataFrame:
     """``docs`` with the ``n`` best segmentations of each whole text, best first, as (score, ids), and the text that the
     best one decodes to (columns of these names are replaced). The score is the sum of the pieces' scores.
 
@@ -275,23 +278,24 @@ def encode(docs: DataFrame, pieces: Pieces, n: int = 4, text: str = "text", colu
     next to each other. Each stretch is searched by itself and kept for the next text; the n best of the whole text are
     exact sums of those. One pass without a shuffle. An empty text has one segmentation, without pieces; a null text has
     none, and null is restored. Repeated rows are encoded alike. Characters that no piece has become bytes, so every text is
-    restored exactly. A text with few ways has fewer than n.
+    restored exactly. A text with few ways has fewer than n. ``kept_words`` and ``rows`` (texts handled at once) trade a
+    worker's memory for time; the result does not depend on them.
     """
     kept = [c for c in docs.columns if c not in columns]
     docs = docs.select(*kept)
     schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(f"`{columns[0]}` {_WAY}, `{columns[1]}` string").fields)
-    add = _adding(pieces, n, kept, kept.index(text), columns)
+    add = _adding(pieces, n, kept, kept.index(text), columns, kept_words, rows)
     return docs.mapInArrow(add, schema)
 
 
-def _adding(pieces: Pieces, n: int, kept: list[str], at: int, columns: tuple[str, str]):
-    name = _name(pieces, n)
+def _adding(pieces: Pieces, n: int, kept: list[str], at: int, columns: tuple[str, str], kept_words: int, rows: int):
+    name = f"{_name(pieces, n)}-{kept_words}"
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(name, pieces, n)
+        encoder = _encoder(name, pieces, n, kept_words)
         for whole in batches:
-            for first in range(0, whole.num_rows, 1024):
-                batch = whole.slice(first, 1024)
+            for first in range(0, whole.num_rows, rows):
+                batch = whole.slice(first, rows)
                 texts = batch.column(at).to_pylist()
                 ways = encoder.encode([t or "" for t in texts])
                 ways = [None if t is None else w for t, w in zip(texts, ways)]
