@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on DuckDB."""
+"""Every query of the suite against its SQL on DuckDB; those of the subpackage llm have tests of their own."""
 
 import os
 
@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from barloom.suite import QUERIES
+from barloom.suite_sql import SQL
 
 SF_DIR = os.environ.get("SUITE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
+
+
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
