@@ -9,9 +9,49 @@ from pyspark.sql import types as T
 from barloom.schema import MINUTE_FORMAT, OHLCV
 
 
+def _lacking(kind: T.DataType) -> str | None:
+    """SQL of a value that no bar has, as text of the type; None for types that prices do not come in."""
+    lowest = {"double": "-1.7976931348623157E308", "float": "-3.4028235E38", "bigint": -(2**63), "int": -(2**31)}
+    if isinstance(kind, T.DecimalType):
+        value = f"-{'9' * (kind.precision - kind.scale) or '0'}.{'9' * kind.scale}".rstrip(".")
+    else:
+        value = lowest.get(kind.simpleString())
+    return None if value is None else f"CAST('{value}' AS {kind.simpleString()})"
+
+
+def with_lacking(schema: T.StructType) -> T.StructType:
+    """The schema with a default for prices, which the reader gives the rows of files without the column.  Their
+    rows would else have nulls, as if the file had the column and no price in it."""
+    fields = []
+    for field in schema.fields:
+        value = _lacking(field.dataType) if field.name in OHLCV else None
+        default = {} if value is None else {"CURRENT_DEFAULT": value, "EXISTS_DEFAULT": value}
+        fields.append(T.StructField(field.name, field.dataType, True, default))
+    return T.StructType(fields)
+
+
+def lacking_fault(df: DataFrame) -> Column:
+    """Which price the file of a row lacks, for rows read ``with_lacking``; null for a good row."""
+    faults = []
+    for c in OHLCV:
+        value = _lacking(df.schema[c].dataType)
+        if value is not None:
+            faults.append(F.when(F.col(c) == F.expr(value), F.lit(f"no column {c}")))
+    return F.coalesce(*faults, F.lit(None).cast("string"))
+
+
 def cast_required(df: DataFrame) -> DataFrame:
-    """OHLCV columns to double; a missing column is an analysis error."""
-    return df.withColumns({c: F.col(c).cast("double") for c in OHLCV})
+    """OHLCV columns to double.  A missing column is an analysis error, and one that only some files miss fails the
+    job when their rows are used, if they were read ``with_lacking``."""
+    typed = {}
+    for c in OHLCV:
+        value = _lacking(df.schema[c].dataType) if c in df.columns else None
+        cast = F.col(c).cast("double")
+        if value is not None:
+            fault = F.raise_error(F.lit(f"a file has no column {c}")).cast("double")
+            cast = F.when(F.col(c) == F.expr(value), fault).otherwise(cast)
+        typed[c] = cast
+    return df.withColumns(typed)
 
 
 def utc_minute(text: Column | str) -> Column:

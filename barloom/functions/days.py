@@ -54,12 +54,9 @@ def days_between(start: Column, end: Column) -> Column:
     return F.when(start <= end, F.sequence(start, end, F.expr("interval 1 day"))).otherwise(none)
 
 
-def find_date_column(schema: T.StructType, skip: tuple[str, ...] = ()) -> str | None:
-    """First column whose name looks like a date or time."""
-    for name in schema.names:
-        if name not in skip and any(word in name.lower() for word in DATE_WORDS):
-            return name
-    return None
+def date_columns(schema: T.StructType, skip: tuple[str, ...] = ()) -> list[str]:
+    """Columns whose names look like a date or time, in the order of the schema."""
+    return [name for name in schema.names if name not in skip and any(word in name.lower() for word in DATE_WORDS)]
 
 
 def iso_day(value: Column, kind: T.DataType) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barloom.functions.days import assumed_latest, day_text, find_date_column, iso_day
+from barloom.functions.days import assumed_latest, date_columns, day_text, iso_day
 
 
 def newest_years(years: DataFrame) -> DataFrame:
@@ -16,16 +16,22 @@ def newest_years(years: DataFrame) -> DataFrame:
 def latest_days(newest: DataFrame, bars: DataFrame | None, as_of: Column) -> DataFrame:
     """(symbol, year, latest, latest_source) of the newest years and the bars of those years.
 
-    ``newest`` comes from a listing, so a newest year whose file has no rows gives a null day.  Without
-    a date column the day is assumed.
+    ``newest`` comes from a listing, so a newest year whose file has no rows gives a null day.  Each symbol's
+    day is that of its first date column with a value; a symbol whose rows have none gets the assumed day.
     """
-    column = None if bars is None else find_date_column(bars.schema, skip=("symbol", "year"))
-    if column is None:
+    columns = [] if bars is None else date_columns(bars.schema, skip=("symbol", "year"))
+    if not columns:
         return assumed_days(newest, as_of)
-    tops = bars.groupBy("symbol", "year").agg(F.max(column).alias("top"))
-    day = iso_day(F.col("top"), bars.schema[column].dataType)
-    return newest.join(tops, ["symbol", "year"], "left").select(
-        "symbol", "year", day.alias("latest"), F.lit("data").alias("latest_source")
+    tops = [F.max(c).alias(f"top_{i}") for i, c in enumerate(columns)]
+    tops = bars.groupBy("symbol", "year").agg(F.count("*").alias("n_rows"), *tops)
+    day = F.coalesce(*[iso_day(F.col(f"top_{i}"), bars.schema[c].dataType) for i, c in enumerate(columns)])
+    found = newest.select("symbol", "year").join(tops, ["symbol", "year"], "left").withColumn("day", day)
+    undated = F.col("day").isNull() & (F.col("n_rows") > 0)
+    return found.select(
+        "symbol",
+        "year",
+        F.when(undated, day_text(assumed_latest(F.col("year"), as_of))).otherwise(F.col("day")).alias("latest"),
+        F.when(undated, "fallback").otherwise("data").alias("latest_source"),
     )
 
 

@@ -3,9 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.bars import cast_required
-from barloom.operators.days import after_mark, held_days, high_water_marks
-from barloom.operators.merge import check_mode, distinct_bars
+from barloom.functions.bars import cast_required, lacking_fault
+from barloom.operators.merge import check_mode, distinct_bars, new_rows
 from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import local_table, prepare, scratch_path, shuffle_width, work_table
@@ -22,27 +21,23 @@ MAX_COPIES = 1_000_000  # rows that may be equal and still go to one task undrop
 def _years(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame | None:
     """Bars of the listed years."""
     listing = listing.withColumn("year", F.col("year").cast("string"))
-    bars = read_listed(spark, path, listing, "year", merge_schema)
+    bars = read_listed(spark, path, listing, "year", merge_schema, strict=True)
     if bars is None:
         return None
     return cast_required(bars).withColumn("year", F.col("year").cast("int")).select(*bar_columns(bars, "year"))
 
 
 def _days(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame:
-    """Bars of the listed days, with ``year`` and ``date`` of their directory."""
+    """Bars of the listed days as they are in the files, with ``year`` and ``date`` of their directory."""
     listing = listing.select("folder", "symbol", F.col("day").alias("date"))
-    bars = read_listed(spark, path, listing, "date", merge_schema)
+    bars = read_listed(spark, path, listing, "date", merge_schema, strict=True)
     bars = bars.withColumn("date", F.to_date("date")).withColumn("year", F.year("date"))
-    return cast_required(bars).select(*bar_columns(bars, "year", "date"))
+    return bars.select(*bar_columns(bars, "year", "date"))
 
 
 def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFrame:
     """Days to merge, decided on the day listing; no bar is joined for it."""
-    if existing is None:
-        return days
-    if mode == "hwm":
-        return after_mark(days, work_table(high_water_marks(existing), "marks"))
-    return days.join(work_table(held_days(existing), "held"), ["symbol", "date"], "left_anti")
+    return days if existing is None else new_rows(existing, days, mode)
 
 
 def _ranges(n_rows: int, target_rows: int, cores: int) -> int:
@@ -92,9 +87,15 @@ def consolidate(
     extend: bool = False,
     target_rows: int = TARGET_ROWS,
     merge_schema: bool = True,
+    catalog: DataFrame | None = None,
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Merge new days into their years and return the run's summary, one row per symbol and year.
 
+    With a ``catalog`` (``symbol``, ...) only its symbols are consolidated.  A day file that lacks a price
+    column which others have fails the run; with ``on_bad="skip"`` its symbol and year stay as they are, the
+    others go on, and the summary shows them with status ``error`` and a ``reason``.
+
     ``mode="hwm"`` takes days after the last day of their symbol and year; ``"missing_days"`` takes all
     days the year has no row of.  ``years`` bounds the years, both ends included; a nightly run gives
     the running year, so that only its directories are listed and read.  Only years with new days are
@@ -105,30 +106,48 @@ def consolidate(
     applies in mode ``hwm``, where new days lie after all old rows; else the years are rewritten.
     """
     check_mode(mode)
+    if on_bad not in ("raise", "skip"):
+        raise ValueError(f"on_bad must be 'raise' or 'skip', not {on_bad!r}")
     prepare(spark)
     _finish(spark, yearly_path, merge_schema, target_rows)
     days = day_listing(spark, daily_path, years)
     if symbols is not None:
         days = days.join(requested_symbols(spark, symbols), "symbol", "left_semi")
+    if catalog is not None:
+        days = days.join(catalog.select("symbol"), "symbol", "left_semi")
     held = year_listing(spark, yearly_path, years).join(days, YEARLY_KEYS, "left_semi")
     existing = _years(spark, yearly_path, held, merge_schema)
     wanted = work_table(_new_days(days, existing, mode), "wanted")
+    nothing_bad = local_table(spark, [], "symbol string, year int, reason string") if on_bad == "skip" else None
     if wanted.isEmpty():
-        return work_table(_summary(days, None, existing), "summary")
+        return work_table(_with_errors(_summary(days, None, existing), nothing_bad), "summary")
 
     touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_days"))
-    new = _days(spark, daily_path, wanted, merge_schema)
+    raw = _days(spark, daily_path, wanted, merge_schema)
+    # The prices are read for this pass only if bad files are to be skipped.
+    fault = lacking_fault(raw) if on_bad == "skip" else F.lit(None).cast("string")
     # Rows whose stamp lies on another day than their directory may equal a row the year has already.
     stray = F.to_date("timestamp").isNull() | (F.to_date("timestamp") != F.col("date"))
-    by_day = new.groupBy(*YEARLY_KEYS, "date").agg(F.count("*").alias("n"), F.count_if(stray).alias("n_stray"))
+    by_day = raw.groupBy(*YEARLY_KEYS, "date").agg(
+        F.count("*").alias("n"), F.count_if(stray).alias("n_stray"), F.max(fault).alias("reason")
+    )
     read = by_day.groupBy(*YEARLY_KEYS).agg(
-        F.sum("n").alias("n_rows_in"), F.sum("n_stray").alias("n_stray"), F.max("n").alias("n_largest")
+        F.sum("n").alias("n_rows_in"),
+        F.sum("n_stray").alias("n_stray"),
+        F.max("n").alias("n_largest"),
+        F.max("reason").alias("reason"),
     )
     read = work_table(read, "read")
+    bad = None
+    if on_bad == "skip":
+        bad = read.where("reason is not null").select(*YEARLY_KEYS, "reason")
+        read = read.where("reason is null")
+        raw = raw.join(bad, YEARLY_KEYS, "left_anti").select(*raw.columns)
+        touched = touched.join(bad, YEARLY_KEYS, "left_anti")
     n_new, n_stray, n_largest = read.agg(F.sum("n_rows_in"), F.sum("n_stray"), F.max("n_largest")).first()
     if n_new is None:
-        return work_table(_summary(days, touched, existing), "summary")
-    new = new.drop("date")
+        return work_table(_with_errors(_summary(days, touched, existing), bad), "summary")
+    new = cast_required(raw).drop("date")
     extend = extend and mode == "hwm" and not n_stray
     held = held.join(touched, YEARLY_KEYS, "left_semi")
     old = None if existing is None else _years(spark, yearly_path, held, merge_schema)
@@ -151,7 +170,15 @@ def consolidate(
     results = work_table(_summary(days, touched, existing, read, staged, extend), "summary")
     _check(results, n_stray, extend)
     publish_years(spark, staging, yearly_path, extend)
-    return results.drop("n_rows_old", "n_rows_staged")
+    return _with_errors(results.drop("n_rows_old", "n_rows_staged"), bad)
+
+
+def _with_errors(results: DataFrame, bad: DataFrame | None) -> DataFrame:
+    """The summary with status ``error`` and the reason for symbols and years that were skipped."""
+    if bad is None:
+        return results
+    status = F.when(F.col("reason").isNotNull(), "error").otherwise(F.col("status"))
+    return results.join(bad, YEARLY_KEYS, "left").withColumn("status", status)
 
 
 def consolidate_history(

@@ -5,15 +5,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.bars import with_utc_stamp
+from barloom.functions.bars import with_lacking, with_utc_stamp
 from barloom.schema import YEARLY_KEYS
 from barloom.session import names_of
 from barloom.sources.listings import or_none
 
 
-def _load(spark: SparkSession, base: str, paths: list[str], **options) -> DataFrame:
+def _load(spark: SparkSession, base: str, paths: list[str], strict: bool = False, **options) -> DataFrame:
+    """With ``strict`` the rows of a file without a price column can be told from those without a price."""
+    reader = spark.read.options(basePath=base, **options)
     try:
-        return with_utc_stamp(spark.read.options(basePath=base, **options).parquet(*paths))
+        bars = reader.parquet(*paths)
+        if strict:
+            bars = reader.schema(with_lacking(bars.schema)).parquet(*paths)
+        return with_utc_stamp(bars)
     except Py4JJavaError as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
             raise
@@ -37,6 +42,7 @@ def read_listed(
     key: str,
     merge_schema: bool = True,
     skip_unreadable: bool = False,
+    strict: bool = False,
 ) -> DataFrame | None:
     """Bars of the listed partitions of a table, or None when nothing is listed.
 
@@ -44,8 +50,9 @@ def read_listed(
     read by name, however many, so that no other directory is listed, no other footer opened, and the
     columns are those of the listed files.  A listed folder that is not there is an error.  With
     ``skip_unreadable`` files that are not Parquet have no rows; None when there is no other file.
+    ``strict`` is for ``cast_required``: it finds files that lack a price column which others have.
     """
-    options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable}
+    options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable, "strict": strict}
     load = lambda paths: _load(spark, path, paths, **options)
     folders = names_of(listing, "folder")
     if not folders:

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.bars import parse_bars, utc_minute, with_epoch_after_stamp
-from barloom.functions.days import daily_key, day_literal, iso_day, landed_name, year_of_key
+from barloom.functions.days import daily_key, day_literal, landed_name, year_of_key
 from barloom.operators import days as D
-from barloom.operators.latest import assumed_days, keep_or_update, newest_years
+from barloom.operators.latest import assumed_days, keep_or_update, latest_days, newest_years
 from barloom.operators.merge import distinct_bars, merge_bars
 from barloom.operators.symbols import known_symbols, split_request, unknown_symbols, with_catalog
-from barloom.plans.consolidate import consolidate
+from barloom.plans.consolidate import consolidate, consolidate_history
 from barloom.plans.fetch import plan_head, plan_tail
 from barloom.plans.ingest import ingest_days
 from barloom.plans.refresh import patch_documents, refresh_catalog
@@ -251,8 +251,9 @@ def consolidation_summary(spark, sf_dir):
 
 def latest_from_latest_year(spark, sf_dir):
     bars = _line_bars(spark, sf_dir)
-    tops = bars.groupBy("symbol", "year").agg(F.max("timestamp").alias("top"))
-    return newest_years(tops).select("symbol", iso_day(F.col("top"), bars.schema["timestamp"].dataType).alias("latest"))
+    newest = newest_years(D.available_years(bars))
+    latest = latest_days(newest, bars.join(newest, ["symbol", "year"], "left_semi"), day_literal(TODAY))
+    return latest.select("symbol", "latest")
 
 
 def metadata_left_join(spark, sf_dir):
@@ -289,6 +290,42 @@ def consolidate_files_missing_days(spark, sf_dir):
     return _consolidated_files(spark, sf_dir, "missing_days")
 
 
+def _days_of_three_years(spark, sf_dir) -> DataFrame:
+    """Events as bars of their type; users with a remainder of 1 or 2 by three are one or two years earlier."""
+    events = _table(spark, sf_dir, "events")
+    moved = events.withColumn("ts", F.col("ts") - F.make_interval(F.col("user_id") % 3))
+    bars = _bars_of(moved, F.col("event_type")).withColumn("_pos", F.monotonically_increasing_id())
+    return bars.repartition("symbol", "date")  # one file of each day
+
+
+def history_files(spark, sf_dir):
+    """All past years of the symbols of a catalog that lacks one symbol."""
+    daily, yearly = scratch_path(spark, "daily"), scratch_path(spark, "yearly")
+    append_daily(_days_of_three_years(spark, sf_dir), daily)
+    catalog = _table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")).distinct()
+    catalog = catalog.where("symbol <> 'error'")
+    consolidate_history(spark, daily, yearly, limit=2023, catalog=catalog)
+    return read_bars(spark, yearly).select(
+        "symbol",
+        F.col("year").cast("int").alias("yr"),
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        "unix_time",
+        "open",
+        "volume",
+    )
+
+
+def year_files_with_bad_days(spark, sf_dir):
+    """Result of a run over one of three years; all January 15ths of one symbol lack a column."""
+    daily, yearly = scratch_path(spark, "daily"), scratch_path(spark, "yearly")
+    bars = _days_of_three_years(spark, sf_dir)
+    bad = (F.col("symbol") == "error") & (F.dayofmonth("date") == 15)
+    append_daily(bars.where(~bad), daily)
+    append_daily(bars.where(bad).drop("volume"), daily)
+    results = consolidate(spark, daily, yearly, years=(2023, 2023), on_bad="skip")
+    return results.withColumnRenamed("year", "yr")
+
+
 def _event_symbols(spark, sf_dir) -> DataFrame:
     """Event types as a symbol catalog whose ids are the types in lower case."""
     types = _table(spark, sf_dir, "events").select("event_type").distinct()
@@ -421,6 +458,8 @@ QUERIES = {
     "metadata_left_join": metadata_left_join,
     "consolidate_files": consolidate_files,
     "consolidate_files_missing_days": consolidate_files_missing_days,
+    "history_files": history_files,
+    "year_files_with_bad_days": year_files_with_bad_days,
     "ingest_files": ingest_files,
     "planned_files": planned_files,
     "years_of_keys": years_of_keys,

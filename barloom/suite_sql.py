@@ -34,6 +34,12 @@ _EVENT_BARS = """
       cast(epoch(date_trunc('minute', ts)) as bigint) as unix_time, value as open, value as volume
     from events)"""
 
+_MOVED_BARS = """
+  moved as (select *, ts - to_years(cast(user_id % 3 as integer)) as moved_ts from events),
+  bars as (select event_type as symbol, cast(year(moved_ts) as int) as yr, cast(moved_ts as date) as d,
+      date_trunc('minute', moved_ts) as timestamp, cast(epoch(date_trunc('minute', moved_ts)) as bigint) as unix_time, value
+    from moved)"""
+
 _DAYS = "cast(unnest(generate_series({}, {}, interval 1 day)) as date)"
 
 
@@ -147,6 +153,21 @@ select distinct symbol, yr, timestamp, unix_time, open, volume from bars
 where cast(timestamp as date) >= date '2024-01-11'""",
     "consolidate_files_missing_days": f"""
 with {_EVENT_BARS} select distinct symbol, yr, timestamp, unix_time, open, volume from bars""",
+    "history_files": f"""
+with {_MOVED_BARS}
+select distinct symbol, yr, timestamp, unix_time, value as open, value as volume from bars
+where yr <= 2023 and symbol <> 'error'""",
+    "year_files_with_bad_days": f"""
+with {_MOVED_BARS},
+  kept as (select symbol, yr, count(*) as n from (select distinct symbol, yr, timestamp, value from bars) group by symbol, yr),
+  found as (select symbol, yr, count(distinct d) as n_days, count(*) as n_rows,
+      max(case when symbol = 'error' and day(d) = 15 then 'no column volume' end) as reason
+    from bars where yr = 2023 group by symbol, yr)
+select symbol, yr, case when reason is null then n_days else 0 end as n_days,
+  case when reason is null then n_rows else 0 end as n_rows_in,
+  case when reason is null then n else 0 end as n_rows_out,
+  case when reason is null then 'merged' else 'error' end as status, reason
+from found join kept using (symbol, yr)""",
     "ingest_files": """
 select upper(event_type) as symbol, cast(ts as date) as d, date_trunc('minute', ts) as timestamp,
   cast(epoch(date_trunc('minute', ts)) as bigint) as unix_time, value as open, value as volume,

@@ -238,6 +238,31 @@ def test_missing_price_column_fails_and_leaves_the_years(spark, daily, yearly):
     assert held(spark, yearly) == before
 
 
+def test_a_file_without_a_price_column_others_have(spark, daily, yearly):
+    put_day(daily, "AAA", "2025-01-02")
+    put_day(daily, "AAA", "2025-01-03", day_frame("AAA", "2025-01-03").drop(columns="volume"))
+    put_day(daily, "AAA", "2024-01-03")
+    put_day(daily, "BBB", "2025-01-02", day_frame("BBB", "2025-01-02").assign(volume=[1.0, None, None, 2.0]))
+    with pytest.raises(Exception, match="no column volume"):
+        consolidate(spark, str(daily), yearly)
+    assert held(spark, yearly) == []
+    result = by_group(consolidate(spark, str(daily), yearly, on_bad="skip"))
+    assert tuple(result["AAA", 2025])[2:] == (0, 0, 0, "error", "no column volume")
+    assert tuple(result["AAA", 2024])[2:] == (1, 4, 4, "merged", None)
+    assert tuple(result["BBB", 2025])[2:] == (1, 4, 4, "merged", None)
+    assert {r.status: r.n for r in summary(consolidate(spark, str(daily), yearly, on_bad="skip")).collect()} == {
+        "error": 1, "up_to_date": 2,
+    }
+    assert len(read_bars(spark, yearly).where("symbol = 'BBB' and volume is null").collect()) == 2
+
+
+def test_symbols_outside_the_catalog_stay_out(spark, daily, yearly, catalog):
+    for symbol in ("AAA", "ZZZ"):
+        put_day(daily, symbol, "2025-01-02")
+    assert set(by_group(consolidate(spark, str(daily), yearly, catalog=catalog))) == {("AAA", 2025)}
+    assert {row[0] for row in held(spark, yearly)} == {"AAA"}
+
+
 def test_extra_columns_pass_through(spark, daily, yearly):
     put_day(daily, "AAA", "2025-01-02", day_frame("AAA", "2025-01-02").assign(note="x"))
     consolidate(spark, str(daily), yearly)

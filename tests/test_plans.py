@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom import plan_head, plan_tail
 from barloom.functions.bars import epoch_seconds
-from barloom.functions.days import find_date_column, iso_day, year_of_key
+from barloom.functions.days import date_columns, iso_day, year_of_key
 from barloom.operators.days import (
     available_years,
     day_counts,
@@ -193,9 +193,9 @@ def test_date_column_by_name_and_iso_day(spark):
     df = spark.sql(
         "select 1 a, timestamp'2024-05-06 23:59:00' Timestamp, date'2024-05-07' d, '2024-05-08T01' s, 3L unix_time"
     )
-    assert find_date_column(df.schema) == "Timestamp"
-    assert find_date_column(df.select("a", "s").schema) is None
-    assert find_date_column(df.select("unix_time", "Timestamp").schema) == "unix_time"
+    assert date_columns(df.schema)[0] == "Timestamp"
+    assert date_columns(df.select("a", "s").schema) == []
+    assert date_columns(df.select("unix_time", "Timestamp").schema) == ["unix_time", "Timestamp"]
     row = df.select(*[iso_day(F.col(c), df.schema[c].dataType).alias(c) for c in ("Timestamp", "d", "s")]).first()
     assert tuple(row) == ("2024-05-06", "2024-05-07", "2024-05-08")
 

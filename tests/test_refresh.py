@@ -122,6 +122,17 @@ def test_no_date_column_assumes_the_day(spark, tmp_path):
     ]
 
 
+def test_each_symbol_has_its_own_date_column(spark, yearly):
+    put_year(yearly, "NONE", 2024, day_frame("NONE", "2024-01-01")[["symbol", "open", "high"]])
+    other = day_frame("OTHER", "2024-05-06").drop(columns=["timestamp", "unix_time"]).assign(trade_date="2024-05-06")
+    put_year(yearly, "OTHER", 2024, other)
+    rows = yearly_latest(spark, str(yearly), "2026-01-15").collect()
+    found = {r.symbol: (r.latest, r.latest_source) for r in rows}
+    assert found["NONE"] == ("2024-12-31", "fallback")
+    assert found["OTHER"] == ("2024-05-06", "data")
+    assert found["AAA"] == ("2025-03-04", "data")
+
+
 def test_stamp_is_utc_now_by_default(spark, source, yearly, tmp_path):
     refresh_catalog(spark, source, str(yearly), "2026-01-01", str(tmp_path / "out"))
     stamp = json.loads(written(tmp_path / "out" / "instruments"))["_data_boundaries_updated"]
