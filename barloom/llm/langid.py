@@ -65,33 +65,42 @@ def _has_letter(part: Slice) -> np.ndarray:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Feature frequencies of each labelled text, packed as float32."""
+    """Feature frequencies of each labelled text that are not zero: their places as uint16 and values as float32."""
     for batch in batches:
-        packed = []
+        places, values = [], []
         for part in slices(batch.column(1), SLICE // 2):
-            counts = np.zeros((part.last - part.first, 1 << BITS))
-            for rows, places in _places(part):
-                np.add.at(counts, (rows, places), 1)
-            total = np.maximum(counts.sum(1, keepdims=True), 1)
-            packed += [row.tobytes() for row in (counts / total).astype(np.float32)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["lang", "x"])
-
-
-def _machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 12) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear support vector machine (squared hinge), by dual coordinate descent."""
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
-    weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
+            codes = [rows.astype(np.int64) << BITS | at for rows, at in _places(part)]
+            codes, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_counts=True)
+            rows, size = codes >> BITS, part.last - part.first
+            total = np.bincount(rows, weights=counts, minlength=size)
+            shares, at = (counts / total[rows]).astype(np.float32), (codes & ((1 << BITS) - 1)).astype(np.uint16)
+            ends = np.searchsorted(rows, np.arange(1, size))
+            places += [found.tobytes() for found in np.split(at, ends)]
+            values += [found.tobytes() for found in np.split(shares, ends)]
+        packed = [pa.array(places, pa.binary()), pa.array(values, pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *packed], names=["lang", "places", "x"])
+
+
+def _machine(
+    x: np.ndarray, at: np.ndarray, y: np.ndarray, scale: float, cost: float = 10.0, rounds: int = 12
+) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear support vector machine (squared hinge) between the rows ``at`` of ``x``, whose sides
+    are ``y``, by dual coordinate descent over the scaled rows; ``x`` is not copied, and the weights are for it as it is."""
+    weights, bias, alpha = np.zeros(x.shape[1]), 0.0, np.zeros(len(at))
     share = {side: len(y) / (2 * max((y == side).sum(), 1)) for side in (-1, 1)}  # both sides count alike
     soft = np.array([0.5 / (cost * share[side]) for side in y])
-    norms = (x**2).sum(1) + soft
+    norms = np.array([x[i] @ x[i] for i in at]) * scale**2 + 1 + soft
     random = np.random.default_rng(7)
     for _ in range(rounds):
-        for i in random.permutation(len(x)):
-            step = max(alpha[i] - (y[i] * (weights @ x[i]) - 1 + soft[i] * alpha[i]) / norms[i], 0.0) - alpha[i]
+        for i in random.permutation(len(at)):
+            row = x[at[i]]
+            margin = scale * (weights @ row) + bias
+            step = max(alpha[i] - (y[i] * margin - 1 + soft[i] * alpha[i]) / norms[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                weights += step * y[i] * x[i]
-    return weights[:-1], weights[-1]
+                weights += step * y[i] * scale * row
+                bias += step * y[i]
+    return weights * scale, bias
 
 
 @dataclass
@@ -154,11 +163,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     keys = rows.select(key, lang).distinct().withColumn("_rank", rank).where(F.col("_rank") <= each).select(key, lang)
     chosen = rows.select(key, lang, text).join(F.broadcast(keys), [key, lang], "left_semi").limit(sample)
     chosen = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    found = chosen.mapInArrow(_frequencies, "lang string, x binary").collect()
-    found = sorted(((row[0], bytes(row[1])) for row in found))
-    x = np.array([np.frombuffer(row[1], np.float32) for row in found], np.float32).reshape(len(found), 1 << BITS)
-    y = np.array([row[0] for row in found], object)
-    scale = 1 / max(np.sqrt((x**2).sum(1)).mean(), 1e-9) if len(x) else 1.0
+    found = chosen.mapInArrow(_frequencies, "lang string, places binary, x binary").toArrow()
+    found = sorted(zip(*(column.to_pylist() for column in found.columns)))
+    x, y = np.zeros((len(found), 1 << BITS), np.float32), np.array([row[0] for row in found], object)
+    for row, (_, places, values) in zip(x, found):
+        row[np.frombuffer(places, np.uint16)] = np.frombuffer(values, np.float32)
+    del found
+    scale = 1 / max(float(np.mean([np.sqrt(row @ row) for row in x])), 1e-9) if len(x) else 1.0
     model = Model()
     for code in codes:
         model.families.setdefault(FAMILY.get(code, code), []).append(code)
@@ -167,9 +178,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     for sides, names in [(sorted(model.families), of), *((codes, y) for codes in model.families.values())]:
         for a, b in combinations(sides, 2):
             at = np.flatnonzero((names == a) | (names == b))
-            weights, bias = _machine(x[at] * scale, np.where(names[at] == a, 1, -1))
             model.duels.append((a, b))
-            made.append((weights * scale, bias))
+            made.append(_machine(x, at, np.where(names[at] == a, 1, -1), scale))
     model.families = {name: model.families[name] for name in sorted(model.families)}
     if made:
         model.weights, model.biases = np.array([m[0] for m in made]), np.array([m[1] for m in made])
