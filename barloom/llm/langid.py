@@ -155,12 +155,17 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     chosen by a hash of ``key``. Features come from whole texts. Rows with a null text are left out; without rows the
     model knows no language."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    codes = sorted(row[0] for row in rows.select(F.col(lang)).distinct().limit(sample).collect())
+    counts = {row[0]: row[1] for row in rows.groupBy(lang).count().orderBy(lang).limit(sample).collect()}
+    codes = sorted(counts)
     each = max(sample // max(len(codes), 1), 1)
     order = F.xxhash64(F.col(key).cast("string"), F.lit("lang"))
     rank = F.row_number().over(Window.partitionBy(lang).orderBy(order, key))
+    # of a language with many rows only those with low hashes, about four times as many as wanted, are ranked
+    low = F.lit(False)
+    for code in codes:
+        low |= (F.col(lang) == code) & (order / F.lit(2.0**64) + 0.5 <= min(4 * (each + 25) / counts[code], 1.0))
     # ranked by the key alone; the texts of the chosen rows, at most `sample`, are read afterwards
-    keys = rows.select(key, lang).distinct().withColumn("_rank", rank).where(F.col("_rank") <= each).select(key, lang)
+    keys = rows.where(low).select(key, lang).distinct().withColumn("_rank", rank).where(F.col("_rank") <= each).select(key, lang)
     chosen = rows.select(key, lang, text).join(F.broadcast(keys), [key, lang], "left_semi").limit(sample)
     chosen = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     found = chosen.mapInArrow(_frequencies, "lang string, places binary, x binary").toArrow()
