@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OTHER = "other"
+#: Values of a dimension that have a target of their own when targets come from the input; the rest share that of `other`.
+MOST = 64
 #: Words of a text; null has none.
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -52,18 +54,17 @@ def rake(
     cannot be met together (too few tokens, or none), the last dimension is the nearest to its targets."""
     tokens = np.asarray(tokens, np.float64)
     wanted = tokens * (budget / tokens.sum()) if tokens.sum() else tokens
+    steps = []  # for each dimension the cells of every value and the tokens wanted of them
+    for d, target in enumerate(targets):
+        at = {value: np.array([cell[d] == value for cell in cells]) for value in sorted({cell[d] for cell in cells})}
+        total = sum(share for value, share in target.items() if value in at and (tokens[at[value]] > 0).any())
+        steps.append([(some, budget * target.get(value, 0.0) / total if total > 0 else 0.0) for value, some in at.items()])
     for _ in range(rounds):
         before = wanted.copy()
-        for d, target in enumerate(targets):
-            have = np.array([target.get(cell[d], 0.0) for cell in cells])
-            total = sum(share for value, share in target.items() if (tokens[[cell[d] == value for cell in cells]] > 0).any())
-            for value in sorted({cell[d] for cell in cells}):
-                at = np.array([cell[d] == value for cell in cells])
-                if have[at][0] > 0 and total > 0:
-                    # a cell that was cut to what it has may grow again from its start value
-                    wanted[at] = _level(np.where(wanted[at] > 0, wanted[at], 0), tokens[at], budget * have[at][0] / total)
-                else:
-                    wanted[at] = 0.0
+        for step in steps:
+            for at, goal in step:
+                # a cell that was cut to what it has may grow again from its start value
+                wanted[at] = _level(wanted[at], tokens[at], goal) if goal > 0 else 0.0
         if np.abs(wanted - before).max(initial=0) <= close * max(budget, 1):
             break
     return wanted
@@ -72,13 +73,53 @@ def rake(
 def with_cells(docs: DataFrame, dimensions: dict[str, str], targets: dict[str, dict[str, float]], text: str = "text") -> DataFrame:
     """``docs`` with a struct ``_cell`` of the dimensions' values (SQL expressions) and the words ``_tokens`` of the whole text. A value that
     has no target, or null, counts as `other`."""
-    listed = lambda name: list(targets[name])
-    values = [
-        F.when(F.expr(sql).cast("string").isin(listed(name)), F.expr(sql).cast("string")).otherwise(F.lit(OTHER)).alias(name)
-        for name, sql in dimensions.items()
-    ]
+    return _with_cells(_with_values(docs, dimensions, text), targets)
+
+
+def _with_cells(raw: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
+    value = lambda name: F.col(f"_raw.`{name}`")
+    cell = [F.when(value(name).isin(list(known)), value(name)).otherwise(F.lit(OTHER)).alias(name) for name, known in targets.items()]
+    return raw.withColumn("_cell", F.struct(*cell)).drop("_raw")
+
+
+def _with_values(docs: DataFrame, dimensions: dict[str, str], text: str) -> DataFrame:
+    """``docs`` with a struct ``_raw`` of the dimensions' values as they are, and the words ``_tokens``."""
+    raw = F.struct(*[F.expr(sql).cast("string").alias(name) for name, sql in dimensions.items()])
     tokens = F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
-    return docs.withColumn("_cell", F.struct(*values)).withColumn("_tokens", tokens)
+    return docs.withColumn("_raw", raw).withColumn("_tokens", tokens)
+
+
+def _counted(raw: DataFrame) -> DataFrame:
+    return raw.groupBy("_raw").agg(F.sum("_tokens").alias("_tokens"))
+
+
+def flattened(
+    docs: DataFrame, dimensions: dict[str, str], power: float = 0.5, most: int = MOST, text: str = "text"
+) -> dict[str, dict[str, float]]:
+    """Targets from the input itself: each value's share of the tokens, raised to ``power`` and scaled to add up to 1, so
+    that rare values count for more than they have and none counts for nothing. The ``most`` values with the most tokens
+    of a dimension stand for themselves; all others and null are `other`, with the share of their sum. A value counts
+    one token at least. One pass over the documents; the driver gets ``most`` values and one sum for each dimension."""
+    counted = _counted(_with_values(docs, dimensions, text)).persist()
+    try:
+        return _flattened(counted, list(dimensions), power, most)
+    finally:
+        counted.unpersist()
+
+
+def _flattened(counted: DataFrame, names: list[str], power: float = 0.5, most: int = MOST) -> dict[str, dict[str, float]]:
+    out = {}
+    for name in names:
+        value = F.col(f"_raw.`{name}`")
+        sums = counted.groupBy(value.alias("value")).agg(F.greatest(F.sum("_tokens"), F.lit(1)).alias("tokens"))
+        named = sums.where(F.col("value") != OTHER).orderBy(F.desc("tokens"), "value").limit(most).collect()
+        have = {row["value"]: row["tokens"] for row in named}
+        rest = sums.where(F.col("value").isNull() | ~F.col("value").isin(list(have))).agg(F.sum("tokens")).first()[0]
+        if rest:
+            have[OTHER] = rest
+        total = sum(x**power for x in have.values())
+        out[name] = {v: x**power / total for v, x in sorted(have.items())}
+    return out
 
 
 def fit(celled: DataFrame, targets: dict[str, dict[str, float]], fraction: float) -> Mix:
@@ -93,24 +134,33 @@ def fit(celled: DataFrame, targets: dict[str, dict[str, float]], fraction: float
 
 
 def mix(
-    docs: DataFrame, dimensions: dict[str, str], targets: dict[str, dict[str, float]], fraction: float = 0.5,
+    docs: DataFrame, dimensions: dict[str, str], targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5,
     seed: int = 1, id: str = "doc_id", text: str = "text",
 ) -> tuple[DataFrame, Mix]:
     """``docs`` with the columns mix_cell, mix_tokens, mix_weight (a token's weight: its cell's share wanted over its
     share there), mix_probability and mix_selected (columns of these names are replaced), and the fitted mix.
 
-    The targets give each dimension's values their shares of the tokens; `other` may be among them and takes every
+    Without targets, those of :func:`flattened` are taken, from the same pass that counts the cells. The targets give
+    each dimension's values their shares of the tokens; `other` may be among them and takes every
     value not listed, null too. Shares of values that have no tokens go to the others in proportion. A document's
     probability is the tokens wanted of its cell over those there are, and a hash of id and seed decides: the choice
     is the same in every run, alike for rows that repeat an id (a null id has a hash too), and documents without words
-    are chosen like those of their cell. An empty table stays empty.
+    are chosen like those of their cell, or with ``fraction`` if it has no words at all and all its values have targets.
+    An empty table stays empty.
     """
     added = ("mix_cell", "mix_tokens", "mix_weight", "mix_probability", "mix_selected")
-    celled = with_cells(docs.select(*[c for c in docs.columns if c not in added]), dimensions, targets, text)
-    found = fit(celled, targets, fraction)
+    raw = _with_values(docs.select(*[c for c in docs.columns if c not in added]), dimensions, text)
+    counted = _counted(raw).persist()  # a row for each combination of values
+    try:
+        targets = _flattened(counted, list(dimensions)) if targets is None else targets
+        found = fit(_with_cells(counted, targets), targets, fraction)
+    finally:
+        counted.unpersist()
+    celled = _with_cells(raw, targets)
     total, goal = max(found.tokens.sum(), 1.0), max(found.wanted.sum(), 1e-300)
+    aimed = lambda cell: all(targets[name].get(value, 0.0) > 0 for name, value in zip(found.dimensions, cell))
     rows = [
-        (list(cell), float(w / goal / (t / total)) if t else 0.0, float(w / t) if t else 0.0)
+        (list(cell), float(w / goal / (t / total)) if t else 0.0, float(w / t) if t else fraction * aimed(cell))
         for cell, t, w in zip(found.cells, found.tokens, found.wanted)
     ]
     spark = docs.sparkSession

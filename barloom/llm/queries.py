@@ -13,18 +13,15 @@ from barloom.llm.topk import integer_vectors, top_k
 from barloom.llm.vector_dedup import near_vectors
 
 
-#: Shares of the tokens wanted of each language, source and topic (here the form of the text); the rest is `other`.
-TARGETS = {
-    "source": {"src0": 0.2} | {f"src{i}": 0.8 / 19 for i in range(1, 20)},
-    "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
-    "topic": {"prose": 0.85, "table": 0.05, "shout": 0.05, "noise": 0.05},
-}
+#: What a mix balances; its targets are the flattened shares that the input has. There is no topic in the tables: it is
+#: the form of most of a text (a sign between cells for every fifth word, capitals, signs), not a mark that it holds.
 DIMENSIONS = {
     "source": "source",
     "lang": "lang",
     "topic": (
-        "case when contains(text, ' | ') then 'table' when contains(text, '!! ') then 'shout' "
-        "when contains(text, '$$$ ') or contains(text, '### ') or contains(text, '%%% ') then 'noise' else 'prose' end"
+        r"case when regexp_count(text, '[|\\t]') * 5 > regexp_count(text, '[^\\x20\\x09-\\x0D]+') then 'table' "
+        r"when regexp_count(text, '\\p{Lu}') > regexp_count(text, '\\p{Ll}') then 'shout' "
+        r"when regexp_count(text, '[^\\p{L}\\p{M}\\p{N}\\s]') * 5 > length(text) then 'noise' else 'prose' end"
     ),
 }
 
@@ -74,7 +71,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, probability and choice of every document in a mix of half of all tokens."""
-    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), DIMENSIONS, TARGETS, fraction=0.5)
+    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), DIMENSIONS, fraction=0.5)
     return mixed.select(
         "doc_id", "mix_cell.source", "mix_cell.lang", "mix_cell.topic", F.col("mix_tokens").alias("n_tokens"),
         F.round("mix_weight", 9).alias("weight"), F.round("mix_probability", 9).alias("probability"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barloom.llm import langid, mixing, pieces
 from barloom.llm.minhash import near_documents
 from barloom.llm.pii import personal_data
-from barloom.llm.queries import DIMENSIONS, TARGETS
+from barloom.llm.queries import DIMENSIONS
 from barloom.llm.ship import ship
 from barloom.session import scratch_path
 
@@ -41,9 +41,9 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents whose tokens follow the target weights."""
+    """A sample of the documents whose tokens follow target weights, the flattened shares of these documents."""
     ship(spark)
-    mixed, _ = mixing.mix(docs.select(*COLUMNS), DIMENSIONS, TARGETS, fraction=0.5)
+    mixed, _ = mixing.mix(docs.select(*COLUMNS), DIMENSIONS, fraction=0.5)
     return mixed.where("mix_selected").select(*COLUMNS)
 
 

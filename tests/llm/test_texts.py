@@ -5,8 +5,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barloom.llm import findings, langid, mixing, pieces, pii
+from barloom.llm.queries import DIMENSIONS
 
 
 def brute_base(text):
@@ -142,6 +145,25 @@ def test_mix(spark, docs, empty):
     assert abs(chosen["b"] / sum(chosen.values()) - 0.4) < 0.03 and abs(sum(chosen.values()) / found.tokens.sum() - 0.4) < 0.03
 
 
+def test_mix_of_unseen_values(spark):
+    texts = ["clean words go here " * 9 + end for end in ("", "### heading", "a | b")] + ["LOUD!! " * 9, "a | b | c | d", "$$$ %%% &&& x"]
+    rows = [(i, texts[i % 6], ["new", "other", None, "rare"][min(i % 50, 3)], ["pt", None][i % 2]) for i in range(3000)]
+    rows += [(9000 + i, "", "wordless", "xx") for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = mixing.flattened(table, DIMENSIONS)
+    assert set(targets["source"]) == {"new", "other", "rare", "wordless"} and set(targets["lang"]) == {"pt", "xx", "other"}
+    assert all(abs(sum(t.values()) - 1) < 1e-9 and min(t.values()) > 0 for t in targets.values())
+    mixed, found = mixing.mix(table, DIMENSIONS, targets)
+    assert mixed.where("mix_probability <= 0").count() == 0
+    assert {r.source for r in mixed.where("mix_selected").select("source").distinct().collect()} == {"new", "other", None, "rare", "wordless"}
+    forms = {r.text: r.topic for r in mixed.select("text", "mix_cell.topic").collect()}
+    assert [forms[x] for x in texts] == ["prose", "prose", "prose", "shout", "table", "noise"]
+    few = mixing.flattened(table, {"source": "source"}, most=1)
+    assert set(few["source"]) == {"rare", "other"}
+    strange = table.select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.concat(F.lit("site"), F.col("doc_id") % 90).alias("source"), F.lit(0).alias("n_chars"))
+    assert corpus_pipeline.mixture(spark, strange, "").count() > 1000
+
+
 def test_findings(spark, docs, empty):
     random.seed(8)
     key = lambda: "".join(random.choices("0123456789abcdef", k=40))
