@@ -2,14 +2,17 @@
 
 import hashlib
 import heapq
+import math
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm.units import CACHES
@@ -22,6 +25,10 @@ PENALTY, FORBIDDEN = 10.0, -1e8
 #: Words whose segmentations a worker keeps, and as many again from before.
 KEPT = 300_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Different words that a task counts before it hands them on.
+COUNTED = 100_000
+#: Log probabilities are multiples of its inverse, so that sums of them are exact in any order.
+GRAIN = 1 << 16
 
 Path = tuple[float, tuple[int, ...]]
 
@@ -51,7 +58,8 @@ class Pieces:
 
 
 def load(path: str = MODEL) -> Pieces:
-    """The vocabulary of a SentencePiece model file, read on the driver; tasks get it with their code."""
+    """The vocabulary of a SentencePiece model file, read on the driver; tasks get it with their code. The scores of a BPE
+    model are ranks of merges, which only :func:`merged` can use as they are: for a lattice see :func:`counted`."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -71,6 +79,70 @@ def load(path: str = MODEL) -> Pieces:
     return Pieces(ids, scores, by_byte, raw, model.unk_id())
 
 
+def merged(word: str, pieces: Pieces) -> list[str]:
+    """The word as a BPE model cuts it: of all neighbours that make a piece together, those of the highest score are
+    merged first, the leftmost of equal ones."""
+    parts, scores = list(word), pieces.scores
+    size = len(parts)
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    heap = [(-scores[two], i, two) for i in range(size - 1) if (two := parts[i] + parts[i + 1]) in scores]
+    heapq.heapify(heap)
+    while heap:
+        _, i, two = heapq.heappop(heap)
+        j = after[i]
+        if not parts[i] or j >= size or len(parts[i]) + len(parts[j]) != len(two):
+            continue  # one of them was merged with another since
+        parts[i], parts[j] = two, ""
+        after[i] = after[j]
+        if after[i] < size:
+            before[after[i]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b < size and (more := parts[a] + parts[b]) in scores:
+                heapq.heappush(heap, (-scores[more], a, more))
+    return [part for part in parts if part]
+
+
+def counted(docs: DataFrame, pieces: Pieces, text: str = "text") -> Pieces:
+    """The vocabulary with log probabilities as scores, for the lattice: how often each piece occurs when all documents
+    are cut as the BPE model cuts them (:func:`merged`), half an occurrence added to each. Words are counted in every task
+    before the shuffle, different words are cut once; the driver gets a row for each piece of the vocabulary."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, found = Encoder(pieces, 1)._words, Counter()
+        for batch in batches:
+            for line in batch.column(0):
+                one = line.as_py()
+                if one:
+                    found.update(split(one))
+                if len(found) > COUNTED:
+                    yield _counts([w.encode("utf-8", "surrogatepass") for w in found], list(found.values()), pa.binary())
+                    found.clear()
+        yield _counts([w.encode("utf-8", "surrogatepass") for w in found], list(found.values()), pa.binary())
+
+    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, int] = {}
+        for batch in batches:
+            for word, count in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for part in merged(word.decode("utf-8", "surrogatepass"), pieces):
+                    number = pieces.ids.get(part)
+                    if number is not None:
+                        found[number] = found.get(number, 0) + count
+        yield _counts(list(found), list(found.values()), pa.int64())
+
+    each = docs.select(text).mapInArrow(words, "key binary, count long").groupBy("key").agg(F.sum("count").alias("count"))
+    sums = each.mapInArrow(cuts, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
+    have = {row["key"]: row["count"] for row in sums.collect()}
+    total = sum(have.values()) + 0.5 * len(pieces.ids)
+    worth = lambda number: round(math.log((have.get(number, 0) + 0.5) / total) * GRAIN) / GRAIN
+    # pieces that may not be used stay so
+    scores = {piece: worth(pieces.ids[piece]) if score > FORBIDDEN else score for piece, score in pieces.scores.items()}
+    return replace(pieces, scores=scores)
+
+
+def _counts(keys: list, counts: list[int], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(counts, pa.int64())], names=["key", "count"])
+
+
 def viterbi(text: str, pieces: Pieces) -> tuple[list[float], list[list[tuple[int, float]]]]:
     """Forward: for each place the score of the best way to it from the start, and the pieces that end there as
     (start, score). A character that is no piece by itself is an edge of its own, written as bytes."""

@@ -38,7 +38,8 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four best segmentations of every document: their scores, sizes and digests, and whether the text comes back."""
-    found = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), pieces.load(), n=4)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode(docs, pieces.counted(docs, pieces.load()), n=4)
     ways = lambda line: F.array_join(F.transform("n_best", line), ",")
     return found.select(
         "doc_id", F.size(F.col("n_best")[0].ids).cast("long").alias("n_pieces"), F.col("n_best")[0].score.alias("score"),

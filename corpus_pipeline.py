@@ -50,7 +50,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their best segmentation, its score, and what the second best scores."""
     ship(spark)
-    found = pieces.encode(docs.select(*COLUMNS), pieces.load(), n=2, kept_words=40_000, rows=128)
+    docs = docs.select(*COLUMNS)
+    found = pieces.encode(docs, pieces.counted(docs, pieces.load()), n=2, kept_words=40_000, rows=128)
     way = lambda i: F.get("n_best", F.lit(i))
     return found.select(
         "doc_id", "lang", "source", "n_chars", F.size(way(0).ids).cast("long").alias("n_pieces"), way(0).ids.alias("ids"),

@@ -80,6 +80,25 @@ def test_segmentations_against_all(vocabulary):
         assert all(pieces.decode(ids, vocabulary) == text for _, ids in got)
 
 
+def test_counted_pieces(spark, docs, empty, vocabulary):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    words = "international government because different language people through between important development number".split()
+    for word in [*words, "qzxv", "aaaaaaa", "ththeing", "année"]:
+        assert pieces.merged(pieces.SPACE + word, vocabulary) == model.encode(word, out_type=str)
+    table = spark.createDataFrame([(i, " ".join(words[i % 3 :]) + " ▁ \n") for i in range(30)] + [(99, None)], "doc_id long, text string")
+    lattice = pieces.counted(table.repartition(3), vocabulary)
+    assert lattice.scores == pieces.counted(table.repartition(1), vocabulary).scores  # growing with the documents, not their order
+    best = lambda known: [list(pieces.n_best(pieces.SPACE + word, known, 1)[0][1]) for word in words]
+    model_ids = [model.encode(word) for word in words]
+    assert best(lattice) == model_ids != best(vocabulary)
+    more = pieces.counted(table.union(table.limit(1)), vocabulary)
+    assert more.scores != lattice.scores
+    assert len({s for s in pieces.counted(empty, vocabulary).scores.values() if s > pieces.FORBIDDEN}) == 1
+    assert all(r.restored == r.text for r in pieces.encode(docs, pieces.counted(docs, vocabulary)).collect())
+
+
 def test_encode(docs, empty, vocabulary):
     got = pieces.encode(docs, vocabulary, n=3).collect()
     assert len(got) == docs.count()
