@@ -23,23 +23,42 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, place, word, core, before, before2, after): every word of the whole text that holds a run of at least
-    SHORTEST characters of keys and encodings, with its neighbours. A null or empty text has none; rows that repeat an
-    id are scanned one by one. One pass without a shuffle, whatever the text's length."""
+    """(doc_id, place, run, word, core, lead, before, before2, after): every run of at least SHORTEST characters of keys
+    and encodings in every word of the whole text; ``run`` counts the runs of a word. ``lead`` is what is between the run and
+    the one before in its word, with that one; ``word`` is the lead, the run and what follows up to the next one; neighbours
+    are those of the word's first and last run. A null or empty text has none; rows that repeat an id are scanned one by
+    one. One pass without a shuffle, whatever the text's length."""
     words = F.split(F.col(text), SPACE)
     table = docs.select(F.col(id).alias("doc_id"), words.alias("words")).where(F.col(text).rlike(CORE))
-    at = F.explode(
-        F.filter(
-            F.transform("words", lambda w, i: F.when(F.length(w) >= SHORTEST, F.struct(i.alias("place"), w.alias("word")))),
-            lambda x: x.isNotNull() & x.word.rlike(CORE),
-        )
+    near = lambda i: F.coalesce(F.get("words", i), F.lit(""))
+    found = F.filter(
+        F.transform(
+            "words", lambda w, i: F.when(
+                F.length(w) >= SHORTEST,
+                F.struct(
+                    i.alias("place"), F.regexp_extract_all(w, F.lit(CORE), F.lit(0)).alias("cores"), F.split(w, CORE, -1).alias("gaps"),
+                    near(i - 1).alias("before"), near(i - 2).alias("before2"), near(i + 1).alias("after"),
+                ),
+            ),
+        ),
+        lambda x: x.isNotNull() & (F.size(x.cores) > 0),
     )
-    near = lambda step: F.coalesce(F.get("words", F.col("at.place") + step), F.lit(""))
     # hex letters and digits may fill a whole prose word, so only words of letters alone and without capitals inside
     # are left to the dictionary features; no word is taken out here
-    return table.select("doc_id", "words", at.alias("at")).select(
-        "doc_id", F.col("at.place").cast("long").alias("place"), F.col("at.word").alias("word"),
-        F.regexp_extract("at.word", CORE, 0).alias("core"), near(-1).alias("before"), near(-2).alias("before2"), near(1).alias("after"),
+    one = table.select("doc_id", F.explode(found).alias("at")).select("doc_id", "at.*")
+    runs = F.transform(
+        "cores", lambda core, i: F.struct(
+            i.alias("run"), core.alias("core"), F.concat(F.coalesce(F.get("cores", i - 1), F.lit("")), F.get("gaps", i)).alias("lead"),
+            F.get("gaps", i + 1).alias("tail"), (i == F.size("cores") - 1).alias("last"),
+        )
+    )
+    at = one.select("doc_id", "place", "before", "before2", "after", F.explode(runs).alias("at"))
+    first, last = F.col("at.run") == 0, F.col("at.last")
+    return at.select(
+        "doc_id", F.col("place").cast("long").alias("place"), F.col("at.run").cast("long").alias("run"),
+        F.concat("at.lead", "at.core", "at.tail").alias("word"), F.col("at.core").alias("core"), F.col("at.lead").alias("lead"),
+        F.when(first, F.col("before")).otherwise("").alias("before"), F.when(first, F.col("before2")).otherwise("").alias("before2"),
+        F.when(last, F.col("after")).otherwise("").alias("after"),
     )
 
 
@@ -67,7 +86,7 @@ def featured(found: DataFrame, transitions: list[float], dictionary: list[str])
     known = "|".join(dictionary) or "(?!)"
     covered = 1 - F.length(F.regexp_replace(low, known, "")) / F.length(low)
     names = KEYS.replace(" ", "|")
-    either = F.lower(F.concat_ws(" ", "before2", "before", F.regexp_extract("word", rf"^(.*?){CORE}", 1)))
+    either = F.lower(F.concat_ws(" ", "before2", "before", "lead"))
     plain = lambda word: F.col(word).rlike(r"^[\p{L}]+[.,;:!?]*$").cast("double")
     values = {
         "length": F.length(core).cast("double"),
@@ -79,7 +98,7 @@ def featured(found: DataFrame, transitions: list[float], dictionary: list[str])
         "in_path": F.col("word").rlike("[/\\\\]|://|%[0-9A-F]{2}").cast("double"),
         "dotted": F.col("word").rlike(r"[A-Za-z0-9]\.[A-Za-z0-9]").cast("double"),
         "quoted": F.col("word").rlike("[\"'`]").cast("double"),
-        "assigned": F.concat_ws(" ", "before", "word").rlike(rf"[=:]\s*[\"'`]?{CORE}").cast("double"),
+        "assigned": F.concat_ws(" ", "before", F.concat("lead", "core")).rlike(rf"[=:]\s*[\"'`]?{CORE}$").cast("double"),
         "key_before": either.rlike(rf"(?:{names})").cast("double"),
         "word_before": plain("before"), "word_after": plain("after"),
     }
@@ -91,7 +110,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
     assignment to a secret's name is certain, 0 for words of letters and for paths and addresses; others have no label."""
     core, word = F.col("core"), F.col("word")
     issued = core.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abpr]-|^sk_live_|^AIza[0-9A-Za-z_-]{35}$|^eyJ[A-Za-z0-9_-]+$")
-    assigned = F.lower(F.concat_ws(" ", "before2", "before", word)).rlike(rf"(?:{KEYS.replace(' ', '|')})[\"']?\s*[=:]\s*[\"']?[a-z0-9+/_=-]{{{SHORTEST},}}")
+    assigned = F.lower(F.concat_ws(" ", "before2", "before", F.concat("lead", core))).rlike(rf"(?:{KEYS.replace(' ', '|')})[\"']?\s*[=:]\s*[\"']?[a-z0-9+/_=-]{{{SHORTEST},}}$")
     mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
     label = F.when(issued | (assigned & mixed), 1.0).when(core.rlike("^[A-Za-z]+$|^[0-9_=+/-]+$") | word.rlike("://|^/"), 0.0)
     return found.withColumn("label", label).where("label is not null")
@@ -117,7 +136,7 @@ class Scanner:
 def _sample(labelled: DataFrame) -> DataFrame:
     """At most FINDINGS different findings, half of each label at most, chosen by hash."""
     order = F.xxhash64("core", "word", "before")
-    rows = labelled.select("word", "core", "before", "before2", "after", "label").dropDuplicates(["core", "word", "before"])
+    rows = labelled.select("word", "core", "lead", "before", "before2", "after", "label").dropDuplicates(["core", "word", "before"])
     each = [rows.where(F.col("label") == kind).orderBy(order, "word", "before").limit(FINDINGS // 2) for kind in (0.0, 1.0)]
     return each[0].union(each[1])
 
@@ -148,7 +167,7 @@ def train(labelled: DataFrame, prose: DataFrame, seed: int = 3) -> Scanner:
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = 2000, least: float = 0.5) -> DataFrame:
-    """(doc_id, place, word, core, score, secret) for every candidate of every document; ``secret`` tells whether the
+    """(doc_id, place, run, word, core, score, secret) for every candidate of every document; ``secret`` tells whether the
     forest keeps it. ``labelled`` are findings with a label; without them, :func:`weak_labels` gives some, from a
     quarter of the documents at most ``FINDINGS``. Ordinary words come from at most ``sample`` documents."""
     found = candidates(docs)
@@ -158,4 +177,4 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = 2000,
         part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("labels")), F.lit(4)) == 0)
         labelled = weak_labels(candidates(part))
     scanner = train(labelled, prose)
-    return scanner.judge(found, least).select("doc_id", "place", "word", "core", "score", "secret")
+    return scanner.judge(found, least).select("doc_id", "place", "run", "word", "core", "score", "secret")

@@ -62,7 +62,7 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate for a secret in every document, and whether the forest keeps it."""
     found = findings.scan(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "place", F.sha2("core", 256).alias("core_sha256"), "score", "secret")
+    return found.select("doc_id", "place", "run", F.sha2("core", 256).alias("core_sha256"), "score", "secret")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

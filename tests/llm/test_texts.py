@@ -196,3 +196,26 @@ def test_findings(spark, docs, empty):
     assert "Python" not in findings.scan(table)._jdf.queryExecution().executedPlan().toString()
     assert findings.scan(docs).where("doc_id is not null").count() >= 0
     assert findings.scan(empty).count() == 0
+
+
+def test_findings_in_one_word(spark):
+    random.seed(9)
+    key = lambda: "".join(random.choices("0123456789abcdef", k=32))
+    keys = [key() for _ in range(400)]
+    forms = [
+        '{{"client_identifier":"frontend-webapp-prod","api_key":"{}"}}', "https://internal-config-service/v1?x=1&api_key={}",
+        "user=somebody-with-a-long-name;token={};", "extraordinarily_long_column,{},last", "see token = {} here",
+    ]
+    table = spark.createDataFrame([(i, f"so {forms[i % 5].format(k)} and on") for i, k in enumerate(keys)], "doc_id long, text string")
+    found = findings.candidates(table).collect()
+    assert len({(r.doc_id, r.place, r.run) for r in found}) == len(found)
+    for i, k in enumerate(keys):
+        assert [r for r in found if r.doc_id == i and r.core.endswith(k)]
+    runs = [(r.run, r.core, r.lead, r.before, r.after) for r in sorted(found, key=lambda r: r.run) if r.doc_id == 0]
+    assert runs == [
+        (0, "client_identifier", '{"', "so", ""), (1, "frontend-webapp-prod", 'client_identifier":"', "", ""),
+        (2, keys[0], 'frontend-webapp-prod","api_key":"', "", "and"),
+    ]
+    assert {r.run: r.label for r in findings.weak_labels(findings.candidates(table.where("doc_id = 0"))).collect()}[2] == 1
+    got = findings.scan(table).where("secret").collect()
+    assert {r.doc_id for r in got if r.core.endswith(keys[r.doc_id])} >= {i for i in range(400) if i % 5 != 3}
