@@ -8,7 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A candidate: a run of this many characters of keys and encodings. The rest are bounds of the training sample.
+#: A candidate: a run of this many characters of keys and encodings. The rest are bounds of the labelled findings, the
+#: dictionary and the forest.
 SHORTEST = 16
 FINDINGS, WORDS, TREES, DEPTH = 8000, 400, 40, 8
 CORE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
@@ -141,22 +142,33 @@ def _sample(labelled: DataFrame) -> DataFrame:
     return each[0].union(each[1])
 
 
-def train(labelled: DataFrame, prose: DataFrame, seed: int = 3) -> Scanner:
-    """A scanner from labelled findings (candidates with ``label`` 0 or 1) and a table with a column ``words``, an array of
-    ordinary words. All that is learned comes from bounded samples: FINDINGS findings, and the words given."""
-    spark = labelled.sparkSession
-    sample = _sample(labelled)
-    rows = sample.collect()  # at most FINDINGS rows
+def statistics(prose: DataFrame) -> tuple[list[float], list[str]]:
+    """Logarithms of the transitions between characters in ordinary words, and the dictionary of the WORDS most frequent
+    ones, from all rows of a table with a column ``words``, an array. Words are counted by partial aggregates; the driver gets
+    the dictionary and a row for each pair of characters."""
     words = prose.select(F.explode("words").alias("w")).select(F.lower("w").alias("w")).where(F.col("w").rlike("^[a-z]{4,12}$"))
-    counts = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(WORDS).collect()
-    dictionary = sorted((row[0] for row in counts), key=lambda w: (-len(w), w))
+    counts = words.groupBy("w").count().persist()
+    try:
+        top = counts.orderBy(F.desc("count"), "w").limit(WORDS).collect()
+        two = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))
+        found = counts.select(F.explode(two).alias("two"), "count").groupBy("two").agg(F.sum("count")).collect()
+    finally:
+        counts.unpersist()
     size = len(ALPHABET) + 1
     pairs = [[1.0] * size for _ in range(size)]
-    for row in counts:  # transitions of ordinary words, by how often these occur
-        places = [ALPHABET.find(c) + 1 for c in row[0]]
-        for a, b in zip(places, places[1:]):
-            pairs[a][b] += row[1]
+    for two, count in found:
+        pairs[ALPHABET.find(two[0]) + 1][ALPHABET.find(two[1]) + 1] += count
     transitions = [math.log(x / sum(line)) for line in pairs for x in line]
+    return transitions, sorted((row[0] for row in top), key=lambda w: (-len(w), w))
+
+
+def train(labelled: DataFrame, prose: DataFrame, seed: int = 3) -> Scanner:
+    """A scanner from labelled findings (candidates with ``label`` 0 or 1), of which it takes FINDINGS at most, and a table
+    with a column ``words``, an array of ordinary words, of which it counts all (:func:`statistics`)."""
+    spark = labelled.sparkSession
+    sample = _sample(labelled)
+    rows = sample.collect()  # at most FINDINGS rows
+    transitions, dictionary = statistics(prose)
     kinds = {row["label"] for row in rows}
     if len(kinds) < 2:
         return Scanner(None, transitions, dictionary)
@@ -166,13 +178,12 @@ def train(labelled: DataFrame, prose: DataFrame, seed: int = 3) -> Scanner:
     return Scanner(forest.fit(table.select("_x", "label")), transitions, dictionary)
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = 2000, least: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, labelled: DataFrame | None = None, least: float = 0.5) -> DataFrame:
     """(doc_id, place, run, word, core, score, secret) for every candidate of every document; ``secret`` tells whether the
     forest keeps it. ``labelled`` are findings with a label; without them, :func:`weak_labels` gives some, from a
-    quarter of the documents at most ``FINDINGS``. Ordinary words come from at most ``sample`` documents."""
+    quarter of the documents at most ``FINDINGS``. Ordinary words are counted in all documents."""
     found = candidates(docs)
-    chosen = docs.where(F.col("text").isNotNull()).where(F.pmod(F.xxhash64("doc_id", F.lit("words")), F.lit(16)) == 0)
-    prose = chosen.limit(sample).select(F.split("text", SPACE).alias("words"))
+    prose = docs.select(F.split("text", SPACE).alias("words"))
     if labelled is None:
         part = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("labels")), F.lit(4)) == 0)
         labelled = weak_labels(candidates(part))

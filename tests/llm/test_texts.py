@@ -219,3 +219,27 @@ def test_findings_in_one_word(spark):
     assert {r.run: r.label for r in findings.weak_labels(findings.candidates(table.where("doc_id = 0"))).collect()}[2] == 1
     got = findings.scan(table).where("secret").collect()
     assert {r.doc_id for r in got if r.core.endswith(keys[r.doc_id])} >= {i for i in range(400) if i % 5 != 3}
+
+
+def test_statistics_of_all_documents(spark):
+    random.seed(10)
+    texts = [" ".join(random.choices("alpha beta gamma delta Zebra x9".split(), k=5)) for _ in range(500)] + ["quartz " * 700, None, ""]
+    words = [w.lower() for t in texts if t for w in t.split() if re.fullmatch("[a-z]{4,12}", w.lower())]
+    pairs = [a + b for w in words for a, b in zip(w, w[1:])]
+    table = spark.createDataFrame([(None if t is None else t.split(),) for t in texts], "words array<string>")
+    transitions, dictionary = findings.statistics(table.repartition(7))
+    assert (transitions, dictionary) == findings.statistics(table.coalesce(1)) and set(dictionary) == set(words)
+    size = len(findings.ALPHABET) + 1
+    place = lambda c: findings.ALPHABET.find(c) + 1
+    for two in ("qu", "al", "ze", "qq"):
+        line = size + sum(p[0] == two[0] for p in pairs)
+        assert abs(transitions[place(two[0]) * size + place(two[1])] - np.log((1 + pairs.count(two)) / line)) < 1e-9
+    # one late document decides what is covered by the dictionary, at any size of the table
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    seen = []
+    real, findings.train = findings.train, lambda labelled, prose, **kw: (seen.append(findings.statistics(prose)[1]), real(labelled, prose, **kw))[1]
+    try:
+        findings.scan(docs)
+    finally:
+        findings.train = real
+    assert set(seen[0]) == set(words)
