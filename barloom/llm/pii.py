@@ -22,6 +22,18 @@ IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+#: Characters of an account number by country: fixed values. Other countries may have any length.
+IBAN_LENGTHS = {
+    country: int(size)
+    for size, countries in re.findall(
+        r"([0-9]+) ([A-Z ]+)",
+        "15 NO 16 BE 18 DK FI FO GL NL SD 19 MK SI 20 AT BA EE KZ LT LU MN XK 21 CH HR LI LV 22 BG BH CR DE GB GE IE ME RS VA "
+        "23 AE GI IL IQ OM SO TL 24 AD CZ ES MD PK RO SA SE SK TN VG 25 LY PT ST 26 IS TR 27 BI DJ FR GR IT MC MR SM "
+        "28 AL AZ BY CY DO GT HU LB NI PL SV 29 BR EG PS QA UA 30 JO KW MU 31 MT SC 32 LC 33 RU",
+    )
+    for country in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}([-\x20])(?!00)[0-9]{2}\1(?!0000)[0-9]{4}(?![0-9-])")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -99,10 +111,23 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for found in IBAN.finditer(text):
-        code = found[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            yield found.span()
+    """Account numbers whose check holds. Words after a number look like a part of it, so a proposal may end at each of its
+    blanks: at the country's length, else as a whole, else, for a country without a known length, at the last that holds."""
+    at = IBAN_START.search(text)
+    while at:
+        start, past = at.start(), at.start() + 1
+        found = IBAN.match(text, start)
+        if found:
+            blanks = [i for i in range(start, found.end()) if text[i] == " "]
+            ends = [(end, code) for end in (found.end(), *reversed(blanks)) if 15 <= len(code := text[start:end].replace(" ", "")) <= 34]
+            size = IBAN_LENGTHS.get(text[start : start + 2])
+            if size is not None:
+                ends = [e for e in ends if len(e[1]) == size] + [e for e in ends if e[0] == found.end()]
+            past = next((end for end, code in ends if mod97(code)), 0)
+            if past:
+                yield start, past
+            past = past or start + 1
+        at = IBAN_START.search(text, past)
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:
@@ -123,14 +148,14 @@ def score(text: str, kind: str, start: int, end: int) -> float:
 
 def find(text: str, threshold: float = 0.5) -> list[Span]:
     """(kind, start, end, score) in code points, by start, then kind. Base kinds stay whatever their score; the
-    added kinds need ``threshold`` and may not overlap a base span."""
+    added kinds need ``threshold``, and those without a checksum may not overlap a base span."""
     base = [(kind, *span, score(text, kind, *span)) for kind in BASE for span in PROPOSE[kind](text)]
     taken = [(start, end) for _, start, end, _ in base]
     more = [
         (kind, start, end, worth)
         for kind in KINDS[4:]
         for start, end in PROPOSE[kind](text)
-        if (worth := score(text, kind, start, end)) >= threshold and not any(start < b and a < end for a, b in taken)
+        if (worth := score(text, kind, start, end)) >= threshold and (kind == "iban" or not any(start < b and a < end for a, b in taken))
     ]
     return sorted(base + more, key=lambda span: (span[1], KINDS.index(span[0])))
 

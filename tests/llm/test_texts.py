@@ -44,6 +44,26 @@ def test_added_spans_and_scores():
     assert pii.redact("mail a@b.de now", pii.find("mail a@b.de now")) == "mail [EMAIL] now"
 
 
+def test_ibans_before_words_and_beside_cards():
+    number = "DE89 3704 0044 0532 0130 00"
+    for after in (" BIC COBADEFFXXX", " EUR 100", " 2024 05 01", " 12", ", due", "", " B", " GB82 WEST 1234 5698 7654 32"):
+        text = f"pay to {number}{after}"
+        spans = [text[s[1] : s[2]] for s in pii.find(text) if s[0] == "iban"]
+        assert spans[0] == number and len(spans) == 1 + (" GB82" in after)
+        assert "0532" not in pii.redact(text, pii.find(text))
+    assert [s[1:3] for s in pii.find("AB12 3456 " + number) if s[0] == "iban"] == [(10, 37)]
+    beside = 0
+    for i in range(400):
+        digits = f"{i * 7919 + 10**13:014d}"
+        rest = f"WEST {digits[:4]} {digits[4:8]} {digits[8:12]} {digits[12:]}"
+        code = next(c for k in range(2, 99) if pii.mod97((c := f"GB{k:02d} {rest}").replace(" ", "")))
+        text = f"iban {code} EUR"
+        found = pii.find(text)
+        assert ("iban", 5, 5 + len(code)) in [s[:3] for s in found] and pii.redact(text, found) == "iban [IBAN] EUR"
+        beside += "card" in [s[0] for s in found]
+    assert beside > 10
+
+
 def test_personal_data(docs, empty):
     got = pii.personal_data(docs)
     assert got.columns == [*docs.columns, "spans", "redacted"] and got.count() == docs.count()
