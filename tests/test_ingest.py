@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from barloom.sources.catalog import catalog_from_map
-from conftest import HEADER, bars, land
+from bar_files import HEADER, bars, land
 
 import barloom.plans.ingest as jobs
 from barloom import BadRows, ingest_days

@@ -5,7 +5,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import land
+from bar_files import land
 
 from barloom import catalog_from_map, consolidate, day_listing, ingest_days, plan_head, plan_tail, read_bars, refresh_catalog
 

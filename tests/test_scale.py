@@ -16,7 +16,7 @@ from barloom.operators.symbols import known_symbols, unknown_symbols, with_catal
 from barloom.sources.landing import read_landed
 from barloom.sources.listings import day_listing, landed_listing
 from barloom.suite import QUERIES
-from conftest import bars, land
+from bar_files import bars, land
 from test_consolidate import put_day
 
 SF_DIR = "/root/testdata/sf0.001"
