@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import findings, mixing, pieces, suffix_dedup
+from barloom.llm import findings, mixing, pieces, sharding, suffix_dedup, whitening
+from barloom.llm.hard_negatives import hard_negatives
 from barloom.llm.langid import fit, held_out, identify
 from barloom.llm.minhash import near_documents
 from barloom.llm.pii import digests, personal_data
@@ -99,6 +100,28 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50, for each of its five positives."""
+    table = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table.withColumn("label", moved), "id % 50 = 0", positives=5, negatives=3, least=50, most=95)
+
+
+def op12_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, 40 shards of nearly equal sizes."""
+    found = sharding.shard(_table(spark, sf_dir, "documents"), shards=40)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "tokens",
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every vector."""
+    table = _table(spark, sf_dir, "embeddings")
+    return whitening.whiten(table, components=32, scale=64, offset=1_000_000)
+
+
 QUERIES = {
     "op1_suffixes": op1_suffixes,
     "op2_pieces": op2_pieces,
@@ -110,4 +133,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_topk": op9_topk,
     "op10_vectors": op10_vectors,
+    "op11_negatives": op11_negatives,
+    "op12_shards": op12_shards,
+    "op13_whitening": op13_whitening,
 }

@@ -35,4 +35,4 @@ def test_stages(spark, docs, empty):
 
 
 def test_names():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14)) and set(SQL) <= set(QUERIES)
