@@ -30,6 +30,21 @@ def with_lacking(schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def prices_as_double(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Prices as double.  With ``strict`` a column that the file of a row lacks stays told from one without a price: of
+    rows read ``with_lacking``, and of all rows if the column is not there at all."""
+    typed = {}
+    for c in OHLCV:
+        lacking = F.expr(_lacking(T.DoubleType()))
+        if c in df.columns:
+            value = _lacking(df.schema[c].dataType) if strict else None
+            cast = F.col(c).cast("double")
+            typed[c] = cast if value is None else F.when(F.col(c) == F.expr(value), lacking).otherwise(cast)
+        elif strict:
+            typed[c] = lacking
+    return df.withColumns(typed)
+
+
 def lacking_fault(df: DataFrame) -> Column:
     """Which price the file of a row lacks, for rows read ``with_lacking``; null for a good row."""
     faults = []

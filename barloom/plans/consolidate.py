@@ -8,9 +8,10 @@ from barloom.operators.merge import check_mode, distinct_bars, new_rows
 from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import local_table, prepare, scratch_path, shuffle_width, work_table
+from barloom.sources.health import UNREADABLE, differing_folders, unreadable_folders
 from barloom.sources.listings import day_listing, year_listing
 from barloom.sources.publish import free, publish_years, unfinished
-from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, write_years
+from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, time_order, write_years
 
 TARGET_ROWS = 4_000_000  # of a task and a file of a year
 LEAST_ROWS = 500_000  # of a task, as long as there are cores without one
@@ -27,14 +28,43 @@ def _years(spark: SparkSession, path: str, listing: DataFrame, merge_schema: boo
     return cast_required(bars).withColumn("year", F.col("year").cast("int")).select(*bar_columns(bars, "year"))
 
 
-def _days(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool) -> DataFrame:
+def _days(spark: SparkSession, path: str, listing: DataFrame, merge_schema: bool, tolerant: bool = False) -> DataFrame:
     """Bars of the listed days as they are in the files, with ``year`` and ``date`` of their directory."""
     listing = listing.select("folder", "symbol", F.col("day").alias("date"))
-    bars = read_listed(spark, path, listing, "date", merge_schema, strict=True)
+    bars = read_listed(spark, path, listing, "date", merge_schema, tolerant, strict=True)
     bars = bars.withColumn("date", F.to_date("date")).withColumn("year", F.year("date"))
     return bars.select(*bar_columns(bars, "year", "date"))
 
 
+def _read_days(spark: SparkSession, path: str, wanted: DataFrame, merge_schema: bool, tolerant: bool) -> DataFrame:
+    """(symbol, year, n_rows_in, n_stray, n_largest, reason) of the days to merge.
+
+    The prices are read for this only if it is ``tolerant``; then all columns are, and a day that gives other rows than
+    its footers promise has a file that cannot be read.
+    """
+    raw = _days(spark, path, wanted, merge_schema, tolerant)
+    keys = [*YEARLY_KEYS, "date"]
+    # Rows whose stamp lies on another day than their directory may equal a row the year has already.
+    stray = F.to_date("timestamp").isNull() | (F.to_date("timestamp") != F.col("date"))
+    fault = lacking_fault(raw) if tolerant else F.lit(None).cast("string")
+    sums = [F.count("*").alias("n"), F.count_if(stray).alias("n_stray"), F.max(fault).alias("reason")]
+    if tolerant:
+        every = F.bit_xor(F.xxhash64(*[F.col(c) for c in time_order(raw)]))  # reads all pages
+        counted = count_rows(raw, *keys)
+        by_day = counted.join(raw.groupBy(*keys).agg(*sums, every.alias("every")), keys, "left")
+        short = F.when(F.coalesce("n", F.lit(0)) != F.col("n_rows"), UNREADABLE)
+        by_day = by_day.withColumn("reason", F.coalesce(short, F.when(F.col("every").isNotNull(), F.col("reason"))))
+    else:
+        by_day = raw.groupBy(*keys).agg(*sums)
+    read = by_day.groupBy(*YEARLY_KEYS).agg(
+        F.sum("n").alias("n_rows_in"),
+        F.sum("n_stray").alias("n_stray"),
+        F.max("n").alias("n_largest"),
+        F.max("reason").alias("reason"),
+    )
+    return work_table(read, "read")
+
+
 def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFrame:
     """Days to merge, decided on the day listing; no bar is joined for it."""
     return days if existing is None else new_rows(existing, days, mode)
@@ -92,8 +122,9 @@ def consolidate(
 ) -> DataFrame:
     """Merge new days into their years and return the run's summary, one row per symbol and year.
 
-    With a ``catalog`` (``symbol``, ...) only its symbols are consolidated.  A day file that lacks a price
-    column which others have fails the run; with ``on_bad="skip"`` its symbol and year stay as they are, the
+    With a ``catalog`` (``symbol``, ...) only its symbols are consolidated.  A file that cannot be read, lacks
+    a price column which others have, or has a column of another type than most (prices are cast, so theirs may
+    differ) fails the run; with ``on_bad="skip"`` its symbol and year stay as they are, the
     others go on, and the summary shows them with status ``error`` and a ``reason``.
 
     ``mode="hwm"`` takes days after the last day of their symbol and year; ``"missing_days"`` takes all
@@ -116,38 +147,28 @@ def consolidate(
     if catalog is not None:
         days = days.join(catalog.select("symbol"), "symbol", "left_semi")
     held = year_listing(spark, yearly_path, years).join(days, YEARLY_KEYS, "left_semi")
+    faults = None
+    if on_bad == "skip":
+        faults = work_table(_faulty_years(spark, yearly_path, held, "year", merge_schema), "faults")
+        held = work_table(held.join(faults, YEARLY_KEYS, "left_anti"), "held")
     existing = _years(spark, yearly_path, held, merge_schema)
-    wanted = work_table(_new_days(days, existing, mode), "wanted")
-    nothing_bad = local_table(spark, [], "symbol string, year int, reason string") if on_bad == "skip" else None
+    wanted = work_table(_new_days(_without(days, faults), existing, mode), "wanted")
+    if on_bad == "skip":
+        faults = work_table(faults.unionByName(_faulty_years(spark, daily_path, wanted, "date", merge_schema)), "faults")
+        wanted = work_table(_without(wanted, faults), "wanted")
     if wanted.isEmpty():
-        return work_table(_with_errors(_summary(days, None, existing), nothing_bad), "summary")
+        return work_table(_with_errors(_summary(days, None, existing), faults), "summary")
 
     touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_days"))
-    raw = _days(spark, daily_path, wanted, merge_schema)
-    # The prices are read for this pass only if bad files are to be skipped.
-    fault = lacking_fault(raw) if on_bad == "skip" else F.lit(None).cast("string")
-    # Rows whose stamp lies on another day than their directory may equal a row the year has already.
-    stray = F.to_date("timestamp").isNull() | (F.to_date("timestamp") != F.col("date"))
-    by_day = raw.groupBy(*YEARLY_KEYS, "date").agg(
-        F.count("*").alias("n"), F.count_if(stray).alias("n_stray"), F.max(fault).alias("reason")
-    )
-    read = by_day.groupBy(*YEARLY_KEYS).agg(
-        F.sum("n").alias("n_rows_in"),
-        F.sum("n_stray").alias("n_stray"),
-        F.max("n").alias("n_largest"),
-        F.max("reason").alias("reason"),
-    )
-    read = work_table(read, "read")
+    read = _read_days(spark, daily_path, wanted, merge_schema, tolerant=on_bad == "skip")
     bad = None
     if on_bad == "skip":
-        bad = read.where("reason is not null").select(*YEARLY_KEYS, "reason")
-        read = read.where("reason is null")
-        raw = raw.join(bad, YEARLY_KEYS, "left_anti").select(*raw.columns)
-        touched = touched.join(bad, YEARLY_KEYS, "left_anti")
+        bad = work_table(read.where("reason is not null").select(*YEARLY_KEYS, "reason").unionByName(faults), "bad")
+        read, wanted, touched = (_without(listing, bad) for listing in (read, wanted, touched))
     n_new, n_stray, n_largest = read.agg(F.sum("n_rows_in"), F.sum("n_stray"), F.max("n_largest")).first()
     if n_new is None:
         return work_table(_with_errors(_summary(days, touched, existing), bad), "summary")
-    new = cast_required(raw).drop("date")
+    new = cast_required(_days(spark, daily_path, wanted, merge_schema)).drop("date")
     extend = extend and mode == "hwm" and not n_stray
     held = held.join(touched, YEARLY_KEYS, "left_semi")
     old = None if existing is None else _years(spark, yearly_path, held, merge_schema)
@@ -173,6 +194,20 @@ def consolidate(
     return _with_errors(results.drop("n_rows_old", "n_rows_staged"), bad)
 
 
+def _faulty_years(spark: SparkSession, path: str, listing: DataFrame, key: str, merge_schema: bool) -> DataFrame:
+    """(symbol, year, reason) of the listed symbols and years that have a file which cannot be read, or not with the
+    others; of a year with several faults the first by text."""
+    named = listing.withColumn("date", F.col("day")) if key == "date" else listing
+    bad = work_table(unreadable_folders(spark, path, named, key), "unreadable")
+    if merge_schema:
+        bad = bad.unionByName(differing_folders(spark, path, listing.join(bad, "folder", "left_anti")))
+    return listing.join(bad, "folder").groupBy(*YEARLY_KEYS).agg(F.min("reason").alias("reason"))
+
+
+def _without(listing: DataFrame, faults: DataFrame | None) -> DataFrame:
+    return listing if faults is None else listing.join(faults, YEARLY_KEYS, "left_anti")
+
+
 def _with_errors(results: DataFrame, bad: DataFrame | None) -> DataFrame:
     """The summary with status ``error`` and the reason for symbols and years that were skipped."""
     if bad is None:

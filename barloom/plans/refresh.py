@@ -10,6 +10,7 @@ from barloom.functions.documents import set_latest
 from barloom.operators.latest import assumed_days, latest_days, newest_years
 from barloom.schema import STAMP_FORMAT
 from barloom.session import local_table, prepare, work_table
+from barloom.sources.health import broken_folders
 from barloom.sources.instruments import (
     read_instrument_rows,
     read_instruments,
@@ -17,7 +18,7 @@ from barloom.sources.instruments import (
     write_instrument_rows,
 )
 from barloom.sources.listings import year_listing
-from barloom.sources.tables import read_listed, unreadable_folders
+from barloom.sources.tables import read_listed
 
 STAMP_KEY = "_data_boundaries_updated"
 
@@ -57,7 +58,7 @@ def yearly_latest(
         return latest
     latest = work_table(latest, "latest")
     suspects = newest.join(latest.where("latest is null"), "symbol", "left_semi")
-    broken = newest.join(unreadable_folders(spark, yearly_path, suspects), "folder", "left_semi")
+    broken = newest.join(broken_folders(spark, yearly_path, suspects), "folder", "left_semi")
     kept = latest.join(broken, "symbol", "left_anti")
     return kept.unionByName(assumed_days(broken, day_literal(as_of)))
 

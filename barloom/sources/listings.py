@@ -65,20 +65,21 @@ def within_years(df: DataFrame, years: tuple[int | None, int | None]) -> DataFra
 
 
 def day_listing(spark: SparkSession, daily_path: str, years: tuple[int | None, int | None] = ANY_YEAR) -> DataFrame:
-    """(symbol, date, year, day, folder, bytes): days that have a file; malformed day directories are
+    """(symbol, date, year, day, folder, bytes, n_files): days that have a file; malformed day directories are
     dropped.  ``day`` is the directory value, ``date`` the same as a date."""
     files = list_partitions(spark, daily_path, DAILY_KEYS, _year_pattern("date", years, "-*"))
     days = files.withColumnRenamed("date", "day").groupBy("symbol", "day")
-    days = days.agg(F.min("folder").alias("folder"), F.sum("length").alias("bytes"))
+    days = days.agg(F.min("folder").alias("folder"), F.sum("length").alias("bytes"), F.count("*").alias("n_files"))
     days = days.withColumn("date", day_of_text(F.col("day"))).withColumn("year", F.year("date"))
     return _listing(within_years(days.where("date is not null"), years), "days")
 
 
 def year_listing(spark: SparkSession, yearly_path: str, years: tuple[int | None, int | None] = ANY_YEAR) -> DataFrame:
-    """(symbol, year, folder, bytes): years that have a file."""
+    """(symbol, year, folder, bytes, n_files): years that have a file."""
     files = list_partitions(spark, yearly_path, YEARLY_KEYS, _year_pattern("year", years))
     found = files.withColumn("year", F.col("year").try_cast("int")).where("year is not null")
-    found = found.groupBy("symbol", "year").agg(F.min("folder").alias("folder"), F.sum("length").alias("bytes"))
+    sums = [F.min("folder").alias("folder"), F.sum("length").alias("bytes"), F.count("*").alias("n_files")]
+    found = found.groupBy("symbol", "year").agg(*sums)
     return _listing(within_years(found, years), "years")
 
 

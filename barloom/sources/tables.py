@@ -1,16 +1,23 @@
 """Daily and yearly bar tables."""
 
+from functools import reduce
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.bars import with_lacking, with_utc_stamp
+from barloom.functions.bars import prices_as_double, with_lacking, with_utc_stamp
 from barloom.schema import YEARLY_KEYS
-from barloom.session import names_of
+from barloom.session import literal_path, names_of
+from barloom.sources.health import layouts, other_types
 from barloom.sources.listings import or_none
 
 
+class TypesDiffer(ValueError):
+    """Files that no one schema reads."""
+
+
 def _load(spark: SparkSession, base: str, paths: list[str], strict: bool = False, **options) -> DataFrame:
     """With ``strict`` the rows of a file without a price column can be told from those without a price."""
     reader = spark.read.options(basePath=base, **options)
@@ -22,7 +29,7 @@ def _load(spark: SparkSession, base: str, paths: list[str], strict: bool = False
     except Py4JJavaError as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error.java_exception):
             raise
-        raise ValueError(f"column types differ between files of {base}; see merge_schema") from error
+        raise TypesDiffer(f"column types differ between files of {base}; see merge_schema") from error
 
 
 def read_bars(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
@@ -51,31 +58,34 @@ def read_listed(
     columns are those of the listed files.  A listed folder that is not there is an error.  With
     ``skip_unreadable`` files that are not Parquet have no rows; None when there is no other file.
     ``strict`` is for ``cast_required``: it finds files that lack a price column which others have.
+    Where types differ between files, each group of equal types is read by itself; prices and stamps may differ,
+    other columns may not.
     """
     options = {"mergeSchema": merge_schema, "ignoreCorruptFiles": skip_unreadable, "strict": strict}
     load = lambda paths: _load(spark, path, paths, **options)
     folders = names_of(listing, "folder")
     if not folders:
         return None
-    if skip_unreadable:
-        strict, load = load, lambda paths: or_none(lambda: strict(paths))
-    return load(folders)
-
-
-def unreadable_folders(spark: SparkSession, path: str, listing: DataFrame) -> DataFrame:
-    """Folders of a listing with a file that does not end like a Parquet file.  Files are read whole, so
-    list suspects only."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    folders = names_of(listing, "folder")
-    if not folders:
-        return listing.select("folder")
-    found = files.load(folders)
-    ends = found.select(
-        F.regexp_replace("path", "/[^/]*$", "").alias("folder"),
-        (F.substring("content", -4, 4) == F.lit(b"PAR1")).alias("whole"),
-    )
-    bad = ends.where(~F.col("whole")).select("folder").distinct()
-    return listing.select("folder").join(bad, "folder", "left_semi")
+    try:
+        return or_none(lambda: load(folders)) if skip_unreadable else load(folders)
+    except TypesDiffer as error:
+        return _by_layout(spark, path, listing, error, strict, skip_unreadable)
+
+
+def _by_layout(
+    spark: SparkSession, path: str, listing: DataFrame, error: Exception, strict: bool, skip_unreadable: bool
+) -> DataFrame:
+    """Folders of each layout in a read of their own, put together by name.  Prices become double and stamps
+    timestamps; any other column must have one type."""
+    groups, mixed = layouts(spark, path, sorted(row[0] for row in listing.select("folder").toLocalIterator()))
+    if mixed or any(other_types(group.schema, groups[0].schema) for group in groups):
+        raise error
+    parts = []
+    for group in groups:
+        read = spark.read.options(basePath=path, ignoreCorruptFiles=skip_unreadable)
+        schema = with_lacking(group.schema) if strict else group.schema
+        parts.append(prices_as_double(with_utc_stamp(read.schema(schema).parquet(*map(literal_path, group.folders))), strict))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def bar_columns(df: DataFrame, *keys: str) -> list[str]:

@@ -326,6 +326,28 @@ def year_files_with_bad_days(spark, sf_dir):
     return results.withColumnRenamed("year", "yr")
 
 
+def _spoil(spark, folder: str) -> None:
+    """Put a file into a folder that is no Parquet, whatever its name says."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-cut-off.parquet")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(b"a file that was cut off"))
+    out.close()
+
+
+def year_files_with_unreadable_days(spark, sf_dir):
+    """Result of a run over three years.  A file of one symbol's January 15th cannot be read, another symbol's
+    January 16th has a column of another type; a third one's volumes are whole numbers, which is none."""
+    daily, yearly = scratch_path(spark, "daily"), scratch_path(spark, "yearly")
+    bars = _days_of_three_years(spark, sf_dir).withColumn("note", F.col("symbol"))
+    day = lambda symbol, d: (F.col("symbol") == symbol) & (F.to_date("date") == F.lit(d))
+    odd, cast = day("view", date(2023, 1, 16)), day("signup", date(2022, 1, 17))
+    append_daily(bars.where(~odd & ~cast), daily)
+    append_daily(bars.where(odd).withColumn("note", F.length("note")), daily)
+    append_daily(bars.where(cast).withColumn("volume", F.round(F.col("volume") * 100).cast("long")), daily)
+    _spoil(spark, f"{daily}/symbol=error/date=2023-01-15")
+    return consolidate(spark, daily, yearly, on_bad="skip").withColumnRenamed("year", "yr")
+
+
 def _event_symbols(spark, sf_dir) -> DataFrame:
     """Event types as a symbol catalog whose ids are the types in lower case."""
     types = _table(spark, sf_dir, "events").select("event_type").distinct()
@@ -460,6 +482,7 @@ QUERIES = {
     "consolidate_files_missing_days": consolidate_files_missing_days,
     "history_files": history_files,
     "year_files_with_bad_days": year_files_with_bad_days,
+    "year_files_with_unreadable_days": year_files_with_unreadable_days,
     "ingest_files": ingest_files,
     "planned_files": planned_files,
     "years_of_keys": years_of_keys,

@@ -167,6 +167,18 @@ select symbol, yr, case when reason is null then n_days else 0 end as n_days,
   case when reason is null then n_rows else 0 end as n_rows_in,
   case when reason is null then n else 0 end as n_rows_out,
   case when reason is null then 'merged' else 'error' end as status, reason
+from found join kept using (symbol, yr)""",
+    "year_files_with_unreadable_days": f"""
+with {_MOVED_BARS},
+  kept as (select symbol, yr, count(*) as n from (select distinct symbol, yr, timestamp, value from bars) group by symbol, yr),
+  found as (select symbol, yr, count(distinct d) as n_days, count(*) as n_rows,
+      case when symbol = 'error' and yr = 2023 then 'a file cannot be read'
+        when symbol = 'view' and yr = 2023 then 'another type of note' end as reason
+    from bars group by symbol, yr)
+select symbol, yr, case when reason is null then n_days else 0 end as n_days,
+  case when reason is null then n_rows else 0 end as n_rows_in,
+  case when reason is null then n else 0 end as n_rows_out,
+  case when reason is null then 'merged' else 'error' end as status, reason
 from found join kept using (symbol, yr)""",
     "ingest_files": """
 select upper(event_type) as symbol, cast(ts as date) as d, date_trunc('minute', ts) as timestamp,

@@ -208,11 +208,11 @@ def test_zero_row_day_malformed_day_and_empty_directory(spark, daily, yearly):
     put_day(daily, "AAA", "2025-01-03", day_frame("AAA", "2025-01-03").head(0))
     put_day(daily, "AAA", "2025-13-99", day_frame("AAA", "2025-01-04"))
     (daily / "symbol=AAA" / "date=2025-01-09").mkdir()
-    with pytest.raises(ValueError, match="merge_schema"):
-        consolidate(spark, str(daily), yearly)
-    result = by_group(consolidate(spark, str(daily), yearly, merge_schema=False))
-    assert tuple(result["AAA", 2025])[2:] == (2, 4, 4, "merged")
-    assert days_held(spark, yearly, "AAA") == ["2025-01-02"]
+    for merge_schema in (True, False):  # the file without rows has columns without a type
+        path = f"{yearly}-{merge_schema}"
+        result = by_group(consolidate(spark, str(daily), path, merge_schema=merge_schema))
+        assert tuple(result["AAA", 2025])[2:] == (2, 4, 4, "merged")
+        assert days_held(spark, path, "AAA") == ["2025-01-02"]
 
 
 def test_only_a_zero_row_day(spark, daily, yearly):
@@ -362,3 +362,70 @@ def test_a_check_that_fails_replaces_nothing(spark, daily, yearly, monkeypatch):
     with pytest.raises(RuntimeError, match="nothing was replaced"):
         consolidate(spark, str(daily), yearly)
     assert held(spark, yearly) == before
+
+
+def spoil(daily, symbol, day, content=b"no parquet at all"):
+    (path,) = daily.glob(f"symbol={symbol}/date={day}/*.parquet")
+    path.write_bytes(content)
+
+
+def test_files_that_cannot_be_read_stop_their_year_alone(spark, daily, yearly):
+    for symbol in ("AAA", "BBB", "CCC"):
+        for day in ("2024-01-02", "2025-01-02", "2025-01-03", "2025-01-04"):
+            put_day(daily, symbol, day)
+    put_day(daily, "BBB", "2025-01-05", day_frame("BBB", "2025-01-05").head(0))  # no rows, but sound
+    spoil(daily, "AAA", "2025-01-03")
+    spoil(daily, "AAA", "2025-01-04", b"")
+    with pytest.raises(Exception):
+        consolidate(spark, str(daily), yearly)
+    assert held(spark, yearly) == []
+    result = by_group(consolidate(spark, str(daily), yearly, on_bad="skip"))
+    assert tuple(result["AAA", 2025])[2:] == (0, 0, 0, "error", "a file cannot be read")
+    assert tuple(result["AAA", 2024])[2:] == (1, 4, 4, "merged", None)
+    assert tuple(result["BBB", 2025])[2:] == (4, 12, 12, "merged", None)
+    assert tuple(result["CCC", 2025])[2:] == (3, 12, 12, "merged", None)
+
+
+def test_pages_that_cannot_be_read(spark, daily, yearly):
+    """The footer is sound, what it points to is not."""
+    for symbol in ("AAA", "BBB"):
+        put_day(daily, symbol, "2025-01-02")
+    (path,) = daily.glob("symbol=AAA/date=2025-01-02/*.parquet")
+    raw = bytearray(path.read_bytes())
+    raw[4 : len(raw) // 3] = b"\xff" * (len(raw) // 3 - 4)
+    path.write_bytes(bytes(raw))
+    result = by_group(consolidate(spark, str(daily), yearly, on_bad="skip"))
+    assert tuple(result["AAA", 2025])[2:] == (0, 0, 0, "error", "a file cannot be read")
+    assert tuple(result["BBB", 2025])[2:] == (1, 4, 4, "merged", None)
+
+
+def test_a_year_file_that_cannot_be_read(spark, daily, yearly, tmp_path):
+    for symbol in ("AAA", "BBB"):
+        put_day(daily, symbol, "2025-01-02")
+    consolidate(spark, str(daily), yearly)
+    for path in (tmp_path / "yearly").glob("symbol=AAA/*/*.parquet"):
+        path.write_bytes(b"cut off")
+    for symbol in ("AAA", "BBB"):
+        put_day(daily, symbol, "2025-01-03")
+    result = by_group(consolidate(spark, str(daily), yearly, on_bad="skip"))
+    assert tuple(result["AAA", 2025])[2:] == (0, 0, 0, "error", "a file cannot be read")
+    assert tuple(result["BBB", 2025])[2:] == (1, 4, 8, "merged", None)
+
+
+def test_types_that_differ_between_files(spark, daily, yearly):
+    """Prices are cast, a nanosecond stamp is read; any other column must have one type."""
+    for symbol in ("AAA", "BBB", "CCC", "DDD"):
+        for day in ("2025-01-02", "2025-01-03", "2025-01-04"):
+            put_day(daily, symbol, day, day_frame(symbol, day).assign(note="x"))
+    put_day(daily, "AAA", "2025-01-05", day_frame("AAA", "2025-01-05").assign(note=1))
+    put_day(daily, "BBB", "2025-01-05", day_frame("BBB", "2025-01-05").assign(note="x", volume=[1, 2, 3, 4]))
+    put_day(daily, "CCC", "2025-01-05", day_frame("CCC", "2025-01-05").assign(note="x", volume=[1, 2, 3, 4]).drop(columns="open"))
+    with pytest.raises(Exception, match="column types differ"):
+        consolidate(spark, str(daily), yearly)
+    result = by_group(consolidate(spark, str(daily), yearly, on_bad="skip"))
+    assert tuple(result["AAA", 2025])[2:] == (0, 0, 0, "error", "another type of note")
+    assert tuple(result["BBB", 2025])[2:] == (4, 16, 16, "merged", None)
+    assert tuple(result["CCC", 2025])[2:] == (0, 0, 0, "error", "no column open")
+    assert tuple(result["DDD", 2025])[2:] == (3, 12, 12, "merged", None)
+    rows = read_bars(spark, yearly).where("symbol = 'BBB' and day(timestamp) = 5").collect()
+    assert sorted(r.volume for r in rows) == [1.0, 2.0, 3.0, 4.0] and {r.note for r in rows} == {"x"}
