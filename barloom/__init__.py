@@ -11,7 +11,8 @@ from barloom.plans.refresh import refresh_catalog
 from barloom.plans.summary import summary
 from barloom.session import new_session, prepare
 from barloom.sources.catalog import catalog_from_map, read_catalog
-from barloom.sources.listings import day_listing, year_listing
+from barloom.sources.inventory import known_days, merge_listing, refresh_inventory
+from barloom.sources.listings import day_listing, read_key_days, year_listing
 from barloom.sources.tables import read_bars
 
 __all__ = [
@@ -21,13 +22,17 @@ __all__ = [
     "consolidate_history",
     "day_listing",
     "ingest_days",
+    "known_days",
+    "merge_listing",
     "new_session",
     "plan_head",
     "plan_tail",
     "prepare",
     "read_bars",
     "read_catalog",
+    "read_key_days",
     "refresh_catalog",
+    "refresh_inventory",
     "summary",
     "year_listing",
 ]

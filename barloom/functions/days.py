@@ -20,9 +20,25 @@ def day_of_text(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
+def day_of_value(value: Column) -> Column:
+    """Day of a ``date=`` directory value, null where it names none; ``2024-1-5`` is the same day as ``2024-01-05``."""
+    return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), value.try_cast("date"))
+
+
 def day_of_key(key: Column) -> Column:
     """Day of a listing key such as ``date=2024-01-05/``, or null.  A key without the slash is a file."""
-    return F.regexp_extract(key, r"date=(\d{4}-\d{1,2}-\d{1,2})/+$", 1).try_cast("date")
+    return day_of_value(F.regexp_extract(key, r"date=([^/]*)/+$", 1))
+
+
+def day_of_file_key(key: Column) -> Column:
+    """Day of the key of a day directory or of a file in it, or null."""
+    return day_of_value(F.regexp_extract(key, r"(?:^|/)date=([^/]*)/", 1))
+
+
+def symbol_of_key(key: Column) -> Column:
+    """Symbol of a key such as ``1s/symbol=A%2FB/date=2024-01-05/``, special characters put back; null without one."""
+    found = F.regexp_extract(key, r"(?:^|/)symbol=([^/]*)/", 1)
+    return F.when(found != "", F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))))
 
 
 def year_of_key(key: Column) -> Column:

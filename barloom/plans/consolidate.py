@@ -9,6 +9,7 @@ from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import local_table, prepare, scratch_path, shuffle_width, work_table
 from barloom.sources.health import UNREADABLE, differing_folders, unreadable_folders
+from barloom.sources.inventory import known_days
 from barloom.sources.listings import day_listing, year_listing
 from barloom.sources.publish import free, publish_years, unfinished
 from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, time_order, write_years
@@ -119,6 +120,7 @@ def consolidate(
     merge_schema: bool = True,
     catalog: DataFrame | None = None,
     on_bad: str = "raise",
+    inventory: str | None = None,
 ) -> DataFrame:
     """Merge new days into their years and return the run's summary, one row per symbol and year.
 
@@ -127,6 +129,8 @@ def consolidate(
     differ) fails the run; with ``on_bad="skip"`` its symbol and year stay as they are, the
     others go on, and the summary shows them with status ``error`` and a ``reason``.
 
+    With an ``inventory`` (see ``refresh_inventory``) the days it knows are taken, and no directory of days is listed.
+
     ``mode="hwm"`` takes days after the last day of their symbol and year; ``"missing_days"`` takes all
     days the year has no row of.  ``years`` bounds the years, both ends included; a nightly run gives
     the running year, so that only its directories are listed and read.  Only years with new days are
@@ -141,7 +145,7 @@ def consolidate(
         raise ValueError(f"on_bad must be 'raise' or 'skip', not {on_bad!r}")
     prepare(spark)
     _finish(spark, yearly_path, merge_schema, target_rows)
-    days = day_listing(spark, daily_path, years)
+    days = day_listing(spark, daily_path, years) if inventory is None else known_days(spark, inventory, years)
     if symbols is not None:
         days = days.join(requested_symbols(spark, symbols), "symbol", "left_semi")
     if catalog is not None:
@@ -159,7 +163,7 @@ def consolidate(
     if wanted.isEmpty():
         return work_table(_with_errors(_summary(days, None, existing), faults), "summary")
 
-    touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count("*").alias("n_days"))
+    touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count_distinct("date").alias("n_days"))
     read = _read_days(spark, daily_path, wanted, merge_schema, tolerant=on_bad == "skip")
     bad = None
     if on_bad == "skip":

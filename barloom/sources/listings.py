@@ -7,10 +7,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.days import day_of_key, day_of_text
+from barloom.functions.days import day_of_file_key, day_of_key, day_of_text, day_of_value, symbol_of_key
 from barloom.schema import ANY_YEAR, DAILY_KEYS, LANDED_NAME, YEARLY_KEYS
 from barloom.session import local_table, settings, work_table
 
+DAY_COLUMNS = ["symbol", "date", "year", "day", "folder", "bytes", "n_files"]
 _NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
@@ -70,7 +71,7 @@ def day_listing(spark: SparkSession, daily_path: str, years: tuple[int | None, i
     files = list_partitions(spark, daily_path, DAILY_KEYS, _year_pattern("date", years, "-*"))
     days = files.withColumnRenamed("date", "day").groupBy("symbol", "day")
     days = days.agg(F.min("folder").alias("folder"), F.sum("length").alias("bytes"), F.count("*").alias("n_files"))
-    days = days.withColumn("date", day_of_text(F.col("day"))).withColumn("year", F.year("date"))
+    days = days.withColumn("date", day_of_value(F.col("day"))).withColumn("year", F.year("date"))
     return _listing(within_years(days.where("date is not null"), years), "days")
 
 
@@ -110,3 +111,24 @@ def days_of_keys(listing: DataFrame, key: str = "key") -> DataFrame:
 def read_key_listing(spark: SparkSession, path: str) -> DataFrame:
     """(key, day) of an exported object listing: JSON lines with a ``key`` field."""
     return days_of_keys(spark.read.schema("key string").json(path))
+
+
+def read_key_days(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
+    """(symbol, date, year, day, folder, bytes, n_files) of an exported object listing, as :func:`day_listing` gives
+    them of directories.  The listing is JSON lines with ``key`` and, if it has it, ``size``.
+
+    Keys are those of day directories or of files in them; the symbol is taken from the key, or is ``symbol`` for keys
+    that have none.  Keys without a day or a symbol are dropped.  A day listed as a directory alone has no bytes.
+    """
+    rows = spark.read.schema("key string, size long").json(path)
+    key = F.coalesce("key", F.lit(""))
+    parsed = rows.select(
+        F.coalesce(symbol_of_key(key), F.lit(symbol)).alias("symbol"), day_of_file_key(key).alias("date"),
+        F.regexp_extract(key, r"(?:^|/)date=([^/]*)/", 1).alias("day"), F.regexp_extract(key, r"^(.*date=[^/]*)/", 1).alias("folder"),
+        F.when(key.endswith("/"), 0).otherwise(F.coalesce("size", F.lit(0))).alias("bytes"),
+        F.when(key.endswith("/"), 0).otherwise(1).alias("file"),
+    ).where("date is not null and symbol is not null")
+    days = parsed.groupBy("symbol", "date", "day").agg(
+        F.min("folder").alias("folder"), F.sum("bytes").alias("bytes"), F.sum("file").alias("n_files")
+    )
+    return _listing(days.withColumn("year", F.year("date")).select(*DAY_COLUMNS), "keys")

@@ -24,7 +24,8 @@ from barloom.plans.summary import summary
 from barloom.schema import MINUTE_FORMAT
 from barloom.session import prepare, scratch_path
 from barloom.sources.instruments import read_instruments, write_document
-from barloom.sources.listings import days_of_keys
+from barloom.sources.inventory import known_days, merge_listing, refresh_inventory
+from barloom.sources.listings import days_of_keys, read_key_days
 from barloom.sources.tables import append_daily, read_bars, write_years
 
 FIRST_DAY = date(2024, 1, 1)
@@ -348,6 +349,42 @@ def year_files_with_unreadable_days(spark, sf_dir):
     return consolidate(spark, daily, yearly, on_bad="skip").withColumnRenamed("year", "yr")
 
 
+def head_from_key_listing(spark, sf_dir):
+    """Days before the first one of each symbol, by an exported listing of objects that is merged into an inventory.
+
+    Every event has a key; those with an odd number name no day, or the day without padding.
+    """
+    prepare(spark)
+    exported, inventory = scratch_path(spark, "keys"), scratch_path(spark, "inventory")
+    events = _table(spark, sf_dir, "events")
+    day = F.when(F.col("event_id") % 7 == 1, F.date_format("ts", "yyyy-M-d")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    symbol = _user_symbol("user_id")
+    end = F.when(F.col("event_id") % 3 == 0, F.lit("/")).otherwise(F.concat(F.lit("/"), symbol, F.lit(".parquet")))
+    bad = F.concat(F.lit("date=2024-13-"), F.dayofmonth("ts").cast("string"))
+    day = F.when(F.col("event_id") % 5 == 1, bad).otherwise(F.concat(F.lit("date="), day))
+    key = F.concat(F.lit("bars/1s/symbol="), symbol, F.lit("/"), day, end)
+    events.select(key.alias("key"), F.col("event_id").alias("size")).write.json(exported)
+    merge_listing(spark, inventory, read_key_days(spark, exported))
+    return _as_plan(plan_head(_catalog(spark, sf_dir), known_days(spark, inventory), TODAY))
+
+
+def inventory_nights(spark, sf_dir):
+    """What two nights change in an inventory: all days but those of one symbol, then the days of one year."""
+    prepare(spark)
+    daily, inventory = scratch_path(spark, "daily"), scratch_path(spark, "inventory")
+    bars = _days_of_three_years(spark, sf_dir)
+    late = F.col("symbol") == "view"
+    append_daily(bars.where(~late), daily)
+    first = refresh_inventory(spark, inventory, daily)
+    append_daily(bars.where(late), daily)
+    second = refresh_inventory(spark, inventory, daily, (2023, 2023))
+    nights = first.withColumn("night", F.lit(1)).unionByName(second.withColumn("night", F.lit(2)))
+    known = known_days(spark, inventory).select("symbol", "date", F.lit(True).alias("known"))
+    return nights.join(known, ["symbol", "date"], "left").select(
+        "night", "symbol", F.col("date").alias("d"), "change", F.coalesce("known", F.lit(False)).alias("known")
+    )
+
+
 def _event_symbols(spark, sf_dir) -> DataFrame:
     """Event types as a symbol catalog whose ids are the types in lower case."""
     types = _table(spark, sf_dir, "events").select("event_type").distinct()
@@ -483,6 +520,8 @@ QUERIES = {
     "history_files": history_files,
     "year_files_with_bad_days": year_files_with_bad_days,
     "year_files_with_unreadable_days": year_files_with_unreadable_days,
+    "head_from_key_listing": head_from_key_listing,
+    "inventory_nights": inventory_nights,
     "ingest_files": ingest_files,
     "planned_files": planned_files,
     "years_of_keys": years_of_keys,

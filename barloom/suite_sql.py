@@ -180,6 +180,17 @@ select symbol, yr, case when reason is null then n_days else 0 end as n_days,
   case when reason is null then n else 0 end as n_rows_out,
   case when reason is null then 'merged' else 'error' end as status, reason
 from found join kept using (symbol, yr)""",
+    "head_from_key_listing": f"""
+with {_EVENT_DAYS}, {_CATALOG},
+  listed as (select concat('U', cast(user_id as varchar)) as symbol, min(cast(ts as date)) as lo
+    from events where event_id % 5 <> 1 group by 1),
+  spans as (select c.symbol, c.id, c.earliest as a, coalesce(o.lo, date '2024-01-31') as z
+    from catalog c left join listed o on o.symbol = c.symbol)
+select symbol, id, {_DAYS.format("a", "z - 1")} as d from spans where a < z""",
+    "inventory_nights": f"""
+with {_MOVED_BARS}
+select distinct case when symbol = 'view' then 2 else 1 end as night, symbol, d, 'added' as change, true as known
+from bars where symbol <> 'view' or yr = 2023""",
     "ingest_files": """
 select upper(event_type) as symbol, cast(ts as date) as d, date_trunc('minute', ts) as timestamp,
   cast(epoch(date_trunc('minute', ts)) as bigint) as unix_time, value as open, value as volume,

@@ -31,7 +31,7 @@ def test_every_query_is_registered():
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
-    "timestamp_ntz": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
