@@ -1,7 +1,5 @@
 """Landed CSV day files to the daily table."""
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +7,14 @@ from barloom.functions.bars import parse_bars, parse_fault, read_fields
 from barloom.operators.days import with_landed
 from barloom.operators.symbols import with_catalog
 from barloom.session import prepare, work_table
+from barloom.sources.health import FAILURES
 from barloom.sources.landing import first_header, is_other_header, read_landed
+from barloom.sources.ledger import record, settle
 from barloom.sources.listings import day_listing, landed_listing
 from barloom.sources.publish import clear_days, mark_days, unfinished_days
 from barloom.sources.tables import append_daily
 
-FAILURES = (PySparkException, Py4JJavaError)  # how a failed job reaches Python
+RESULT = ["symbol", "id", "date", "status"]
 
 
 class BadRows(ValueError):
@@ -29,7 +29,7 @@ def landed_work(
     plan: DataFrame | None = None,
     unfinished: DataFrame | None = None,
 ) -> DataFrame:
-    """(file_path, symbol, id, date, status) of landed files of catalog ids.
+    """(file_path, source, bytes, modified, symbol, id, date, status) of landed files of catalog ids.
 
     ``exists``: the day is there and is left alone; else ``wanted``.  A file without bytes is not
     listed, as if it had not landed.  With ``plan`` (symbol, id, date) only planned days are listed.
@@ -47,7 +47,7 @@ def landed_work(
         there = there.join(unfinished, ["symbol", "date"], "left_anti")
     work = work.join(there.withColumn("there", F.lit(True)), ["symbol", "date"], "left")
     status = F.when(F.col("there"), "exists").otherwise("wanted")
-    return work.select("file_path", "symbol", "id", "date", status.alias("status"))
+    return work.select("file_path", "source", "bytes", "modified", "symbol", "id", "date", status.alias("status"))
 
 
 def _check_unfinished(spark: SparkSession, daily_path: str, unfinished: DataFrame, wanted: DataFrame) -> None:
@@ -87,12 +87,16 @@ def ingest_days(
     columns: list[str] | None = None,
     on_bad: str = "raise",
     reject_path: str | None = None,
+    ledger_path: str | None = None,
 ) -> DataFrame:
     """Add the landed days that the daily table lacks; return (symbol, id, date, status).
 
     ``on_bad="raise"``: any bad row fails the run, which then adds nothing.  ``on_bad="skip_day"``: a
     day with a bad row is left out whole and gets status ``rejected``.  Either way the bad rows go to
-    ``reject_path`` if one is given.  Days that a run which was cut off may have written in part are
+    ``reject_path`` if one is given.  A day of which several files landed is stored once if their lines are the same,
+    else it has the status ``conflict`` and is left out.  With a ``ledger_path`` each landed file is recorded there with
+    its length and a digest of its lines; a file that lands with other lines for a day that is there already then gives
+    it the status ``changed`` (the day stays as it is).  Days that a run which was cut off may have written in part are
     written anew.
     """
     if on_bad not in ("raise", "skip_day"):
@@ -100,12 +104,17 @@ def ingest_days(
     prepare(spark)
     unfinished = unfinished_days(spark, daily_path)
     work = work_table(landed_work(spark, landing_path, catalog, daily_path, plan, unfinished), "landed")
+    work, opened = settle(spark, work, ledger_path)
+    work = work_table(work, "settled")
     wanted = work.where("status = 'wanted'").select("file_path", "symbol", "date")
     if unfinished is not None:
         _check_unfinished(spark, daily_path, unfinished, wanted)
     first, last = wanted.agg(F.min("date"), F.max("date")).first()
     if first is None:
-        return work.drop("file_path").distinct()
+        results = work_table(work.select(*RESULT).distinct(), "ingested")
+        if ledger_path is not None:
+            record(spark, ledger_path, opened, results)
+        return results
     replace = unfinished is not None
     add = lambda names: _add_days(
         read_landed(spark, landing_path, wanted, names), daily_path, on_bad, reject_path, replace
@@ -119,7 +128,10 @@ def ingest_days(
         bad_days = add(None)
     clear_days(spark, daily_path)
     added = day_listing(spark, daily_path, (first.year, last.year))
-    return work_table(_results(work, added, bad_days), "ingested")
+    results = work_table(_results(work, added, bad_days), "ingested")
+    if ledger_path is not None:
+        record(spark, ledger_path, opened, results)
+    return results
 
 
 def _add_days(
@@ -152,7 +164,7 @@ def _report(rejects: DataFrame, reject_path: str | None, error: Exception) -> No
 
 def _results(work: DataFrame, added: DataFrame, bad_days: DataFrame | None) -> DataFrame:
     added = added.select("symbol", "date", F.lit(True).alias("added"))
-    done = work.select("symbol", "id", "date", "status").distinct().join(added, ["symbol", "date"], "left")
+    done = work.select(*RESULT).distinct().join(added, ["symbol", "date"], "left")
     status = F.when(F.col("status") != "wanted", F.col("status")).when(F.col("added"), "ingested")
     if bad_days is not None:
         done = done.join(bad_days.withColumn("bad", F.lit(True)), ["symbol", "date"], "left")

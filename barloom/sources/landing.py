@@ -55,6 +55,18 @@ def header_lines(spark: SparkSession, paths: list[str], files: DataFrame) -> Dat
     return lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
 
 
+def line_digests(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(source, digest) of files (file_path, source): the same for equal lines, whatever their order and parts.
+
+    Lines are hashed where they are read and only sums are shuffled, so a file may be of any size.
+    """
+    lines = spark.read.options(**_FILES).text(_paths(files)).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    lines = lines.join(files.select("file_path", "source"), "file_path")
+    wide = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(38,0)")).cast("string")
+    sums = F.concat_ws("-", F.count("*").cast("string"), wide("value"), wide(F.lit(1), "value"))
+    return lines.groupBy("source").agg(F.sha2(sums, 256).alias("digest"))
+
+
 def split_header(line: str) -> list[str]:
     names = next(csv.reader([line.lstrip("\ufeff")]))
     folded = {name.lower() for name in names}

@@ -85,18 +85,21 @@ def year_listing(spark: SparkSession, yearly_path: str, years: tuple[int | None,
 
 
 def landed_listing(spark: SparkSession, landing_path: str) -> DataFrame:
-    """(file_path, id, date): landed CSV files, id and day taken from the file name.
+    """(file_path, source, bytes, modified, id, date): landed CSV files, id and day taken from the file name.
 
-    Files may lie in subfolders, and a day may be a folder of CSV parts, as Spark writes it.  Spark
-    lists no file of zero bytes, so such a day counts as not landed.
+    Files may lie in subfolders, and a day may be a folder of CSV parts, as Spark writes it; ``source`` is the file or
+    that folder.  Spark lists no file of zero bytes, so such a day counts as not landed.
     """
     files = _list_files(spark, landing_path, ".csv", recursiveFileLookup=True)
     if files is None:
-        return local_table(spark, [], "file_path string, id string, date date")
+        return local_table(spark, [], "file_path string, source string, bytes long, modified timestamp, id string, date date")
     path = F.col("_metadata.file_path")  # special characters are escaped in it; a plus sign is not
     vendor_id = F.regexp_extract(path, LANDED_NAME, 1)
     landed = files.select(
         path.alias("file_path"),
+        F.regexp_extract(path, r"^(.*-s1-bid-[^/]*\.csv)(?:/[^/]*)?$", 1).alias("source"),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
         F.url_decode(F.replace(vendor_id, F.lit("+"), F.lit("%2B"))).alias("id"),
         day_of_text(F.regexp_extract(path, LANDED_NAME, 2)).alias("date"),
     )

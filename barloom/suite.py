@@ -415,6 +415,36 @@ def ingest_files(spark, sf_dir):
     )
 
 
+def ingest_ledger(spark, sf_dir):
+    """What becomes of days that land twice, in one run or in the next, and how many rows are stored of them.
+
+    In the first run clicks lie in two folders with the same lines, views with other lines in each.  In the second
+    run signups land again with other lines, purchases with the same in another order.
+    """
+    prepare(spark)
+    landing, again, daily, ledger = (scratch_path(spark, name) for name in ("landing", "again", "daily", "ledger"))
+    events = _table(spark, sf_dir, "events")
+    price = F.col("value").cast("string")
+    rows = events.select(
+        F.date_format("ts", MINUTE_FORMAT).alias("timestamp"),
+        *[price.alias(c) for c in ("open", "high", "low", "close", "volume")],
+        "event_type", "event_id", landed_name(F.lower("event_type"), F.to_date("ts")).alias("file"),
+    )
+    one = lambda rows, order: rows.repartition("file").sortWithinPartitions("file", order).drop("event_type", "event_id")
+    kind = F.col("event_type")
+    put = lambda rows, path: rows.write.partitionBy("file").option("header", True).csv(path)
+    put(one(rows, "event_id"), f"{landing}/one")
+    put(one(rows.where(kind == "click"), F.desc("event_id")), f"{landing}/two")
+    put(one(rows.where(kind == "view").withColumn("open", F.lit("0.5")), "event_id"), f"{landing}/two-more")
+    put(one(rows.where(kind == "signup").withColumn("volume", F.lit("7")), "event_id"), f"{again}/one")
+    put(one(rows.where(kind == "purchase"), F.desc("event_id")), f"{again}/two")
+    catalog = _event_symbols(spark, sf_dir)
+    runs = [ingest_days(spark, path, catalog, daily, ledger_path=ledger).withColumn("run", F.lit(i)) for i, path in enumerate((landing, again))]
+    stored = read_bars(spark, daily).groupBy("symbol", F.to_date("date").alias("date")).agg(F.count("*").alias("n_rows"))
+    found = runs[0].unionByName(runs[1]).join(stored, ["symbol", "date"], "left")
+    return found.select("run", "symbol", F.col("date").alias("d"), "status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 def planned_files(spark, sf_dir):
     """Names of the CSV files that planned days land in, and the directories they go to."""
     plan = plan_head(_catalog(spark, sf_dir), _event_days(spark, sf_dir), TODAY)
@@ -523,6 +553,7 @@ QUERIES = {
     "head_from_key_listing": head_from_key_listing,
     "inventory_nights": inventory_nights,
     "ingest_files": ingest_files,
+    "ingest_ledger": ingest_ledger,
     "planned_files": planned_files,
     "years_of_keys": years_of_keys,
     "assumed_latest": assumed_latest,

@@ -196,6 +196,12 @@ select upper(event_type) as symbol, cast(ts as date) as d, date_trunc('minute',
   cast(epoch(date_trunc('minute', ts)) as bigint) as unix_time, value as open, value as volume,
   cast(user_id as varchar) as "user"
 from events""",
+    "ingest_ledger": """
+with days as (select event_type, cast(ts as date) as d, count(*) as n from events group by all),
+  runs as (select 0 as run, *, case when event_type = 'view' then 'conflict' else 'ingested' end as status from days
+    union all select 1, *, case when event_type = 'signup' then 'changed' else 'exists' end from days
+      where event_type in ('signup', 'purchase'))
+select run, upper(event_type) as symbol, d, status, case when event_type = 'view' then 0 else n end as n_rows from runs""",
     "planned_files": f"""
 with {_EVENT_DAYS}, {_CATALOG},
   oldest as (select symbol, min(d) as lo from b group by symbol),
