@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.graph import components
+from barloom.llm.ship import ship
 from barloom.llm.units import LOWER_VALUES, SLICE, mix, prefix, runs, slices, spans, words
 from barloom.session import work_table
 
@@ -15,8 +16,10 @@ from barloom.session import work_table
 SHINGLE, ROWS, BANDS = 5, 4, 32
 #: Hashes compared between two looks at the posterior, and its bound below which a pair is dropped.
 BATCH, MISS = 16, 1e-6
-#: A bucket with more documents is cut by pairs of bands; blocks of a bucket are compared with one another.
-CROWD, BLOCK = 4096, 256
+#: Members of a bucket are compared in blocks of this size, each block with each other one.
+BLOCK = 256
+#: Numbers from here on are those of classes without an id of their own.
+OWN = 1 << 62
 #: Documents that one task verifies against one other.
 CHUNK = 64
 
@@ -58,7 +61,7 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, sizes, digests, keys, small = batch.column(0), [], [], [], []
+        ids, marks, sizes, digests, keys, small = batch.column(0), batch.column(2), [], [], [], []
         for shingles in shingle_sets(batch.column(1)):
             low = signature(shingles)
             sizes.append(len(shingles))
@@ -70,8 +73,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.arange(0, BANDS * len(keys) + 1, BANDS, dtype=np.int32), np.concatenate(keys) if keys else np.zeros(0, np.int64)
         )
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(small, pa.binary())],
-            names=["doc_id", "n", "digest", "keys", "small"],
+            [ids, marks, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(small, pa.binary())],
+            names=["doc_id", "mark", "n", "digest", "keys", "small"],
         )
 
 
@@ -233,7 +236,27 @@ def _best(pairs: DataFrame, *keys: str) -> DataFrame:
     return pairs.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
-def near_documents(docs: DataFrame, similarity: float = 0.75, id: str = "doc_id", text: str = "text") -> DataFrame:
+def _classes(table: DataFrame) -> DataFrame:
+    """(digest, n, doc_id, mark, rep): each class of equal sets, its least row by id and mark of the text, and a number.
+
+    The number is the least id, unless that is the least of several classes, as an id with different texts can be:
+    then the first class by digest has it, and the others numbers of their own above all ids.
+    """
+    low = F.min(F.struct("doc_id", "mark")).alias("low")
+    classes = table.where("n > 0").groupBy("digest", "n").agg(low).select("digest", "n", "low.*")
+    classes = work_table(classes, "classes")
+    shared = classes.groupBy("doc_id").agg(F.count("*").alias("classes"), F.min(F.struct("digest", "n")).alias("first"))
+    shared = shared.where("classes > 1").select("doc_id", "first")
+    own = F.xxhash64("digest", "n").bitwiseAND(F.lit(OWN - 1)).bitwiseOR(F.lit(OWN))
+    other = F.col("first").isNotNull() & (F.col("first") != F.struct("digest", "n"))
+    return work_table(
+        classes.join(shared, "doc_id", "left").withColumn("rep", F.when(other, own).otherwise(F.col("doc_id"))).drop("first"), "reps"
+    )
+
+
+def near_documents(
+    docs: DataFrame, similarity: float = 0.75, id: str = "doc_id", text: str = "text", block: int = BLOCK
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each document; links are pairs whose sets of shingles have a
     Jaccard similarity of ``similarity`` or more.
 
@@ -241,23 +264,23 @@ def near_documents(docs: DataFrame, similarity: float = 0.75, id: str = "doc_id"
     look at BATCH more hashes drops those whose posterior chance of reaching the similarity fell below MISS, and the
     survivors are compared on their full sets. To connect large groups without all their pairs, each member of a
     bucket is first held against the least one of its bucket; what is connected then needs no further comparison,
-    and only members of different components of a bucket are compared, in blocks, where the likeliest pairs come first and
-    what they connect is left out. Buckets of more than CROWD members
-    are cut by pairs of bands before that: a pair that meets in such buckets alone is then missed with a chance of
-    8e-5 instead of 5e-6.
+    and only members of different components of a bucket are compared, in blocks of ``block`` members, where the likeliest
+    pairs come first and what they connect is left out.
 
     Null and empty texts, or texts of white space, have no shingles: n_shingles 0, a component of their own. Rows of
-    a null id are left out. An id on several rows gives one row: its texts count as linked, n_shingles is the largest.
+    a null id are left out. An id on several rows gives one row: its texts count as linked, n_shingles is the largest;
+    such ids must be below 2^62.
     """
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    table = work_table(
-        rows.mapInArrow(_sketches, "doc_id long, n long, digest binary, keys array<long>, small binary"), "sketches"
-    )
-    classes = table.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"))
-    copies = work_table(table.select("doc_id", "n", "digest").join(classes, ["digest", "n"], "left").select("doc_id", "n", "rep"), "copies")
-    reps = table.where("n > 0").join(
-        copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi"
-    ).select(F.col("doc_id").alias("rep"), "n", "keys", "small").dropDuplicates(["rep", "n"])
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    kinds = "doc_id long, mark long, n long, digest binary, keys array<long>, small binary"
+    table = work_table(rows.mapInArrow(_sketches, kinds), "sketches")
+    classes = _classes(table)
+    copies = table.select("doc_id", "n", "digest").join(classes.select("digest", "n", "rep"), ["digest", "n"], "left")
+    copies = work_table(copies.select("doc_id", "n", "rep"), "copies")
+    least = classes.select("digest", "n", "doc_id", "mark", "rep")
+    reps = table.join(least, ["digest", "n", "doc_id", "mark"]).select("rep", "n", "keys", "small").dropDuplicates(["rep"])
     bands = reps.select(F.explode("keys").alias("key"), "rep", "n")
     buckets = bands.groupBy("key").agg(F.min("rep").alias("low"), F.count("*").alias("size")).where("size > 1")
     members = work_table(bands.join(buckets, "key"), "members")
@@ -272,20 +295,17 @@ def near_documents(docs: DataFrame, similarity: float = 0.75, id: str = "doc_id"
     # 1: each member against the least of its bucket; the best of its partners is verified
     stars = members.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     stars = work_table(survivors(stars), "stars")
-    texts = rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = work_table(texts.join(copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    met = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("doc_id", "mark", "rep")
+    texts = rows.join(work_table(met, "met"), ["doc_id", "mark"]).select(F.col("rep").alias("doc_id"), "text")
+    texts = work_table(texts.dropDuplicates(["doc_id"]), "texts")
     links = _verified(_best(stars, "b"), texts, similarity)
     roots = work_table(components(links), "roots")
 
     # 2: members of a bucket that different components hold, in blocks: signatures first, then sets where needed
     held = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     mixed = held.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    held = work_table(held.join(mixed, "key", "left_semi").select("key", "rep", "n", "root", "size"), "held")
-    keys = held.where(F.col("size") > CROWD).groupBy("rep").agg(F.collect_list("key").alias("all"))  # at most BANDS each
-    crowd = held.where(F.col("size") > CROWD).join(keys, "rep").select("rep", "n", "root", "key", F.explode("all").alias("k2"))
-    crowd = crowd.where("key < k2").select(F.xxhash64("key", "k2").alias("key"), "rep", "n", "root")
-    held = held.where(F.col("size") <= CROWD).select("key", "rep", "n", "root").union(crowd)
-    blocks = held.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    held = work_table(held.join(mixed, "key", "left_semi").select("key", "rep", "n", "root"), "held")
+    blocks = held.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     held = held.join(blocks.where("r0 < r1").select("key", "blocks"), "key").join(small.select("rep", "small"), "rep")
     held = held.withColumn("block", F.pmod(F.xxhash64("rep", "key"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.packed import arrays, bucket_count, cover, doc_bucket, split, with_bucket
+from barloom.llm.ship import ship
 from barloom.llm.units import Slice, Words, anchors, mix, prefix, runs, slices, spans, words
 
 #: Words of the shortest match, and of a seed. Every match has a seed that is an anchor, at the same place within it.
@@ -34,13 +35,15 @@ def _stretches(doc: np.ndarray, seed: np.ndarray, place: np.ndarray) -> np.ndarr
     return np.concatenate([[0], np.flatnonzero(new) + 1])
 
 
-def _later(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Windows whose key also has a smaller id."""
-    order = np.argsort(key, kind="stable")
-    starts = np.concatenate([[0], np.flatnonzero(np.diff(key[order])) + 1]) if len(key) else np.zeros(0, np.int64)
-    least = np.minimum.reduceat(ids[order], starts) if len(key) else ids
-    out = np.zeros(len(key), bool)
-    out[order] = ids[order] > np.repeat(least, np.diff(np.append(starts, len(key))))
+def _later(window: np.ndarray, seed: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Windows that also occur, with the same seed, in a smaller id. All 64 bits of the window's hash and the seed's are
+    compared, each by itself."""
+    order = np.argsort(window, kind="stable")
+    new = (np.diff(window[order]) != 0) | (np.diff(seed[order]) != 0)
+    starts = np.concatenate([[0], np.flatnonzero(new) + 1]) if len(window) else np.zeros(0, np.int64)
+    least = np.minimum.reduceat(ids[order], starts) if len(window) else ids
+    out = np.zeros(len(window), bool)
+    out[order] = ids[order] > np.repeat(least, np.diff(np.append(starts, len(window))))
     return out
 
 
@@ -61,9 +64,9 @@ def _seeds(buckets: int, length: int, seed_words: int):
                 place = np.arange(len(whole))
                 doc = found.rows[: len(whole)]
                 fine = np.flatnonzero(place + length <= found.of[1:][doc])
-                place, doc, at, window = place[fine], doc[fine], at[fine], (whole[fine] >> np.uint64(32)).astype(np.uint32)
+                place, doc, at, window = place[fine], doc[fine], at[fine], whole[fine]
                 seed, inside, keys = grams[at], place - found.of[doc], _row_keys(ids, sums, part)
-                gone = _later(mix(seed ^ (window.astype(np.uint64) << np.uint64(32))), ids[doc])
+                gone = _later(window, seed, ids[doc])
                 rows = []
                 for settled in (False, True):
                     some = np.flatnonzero(gone == settled)
@@ -85,7 +88,7 @@ def _seeds(buckets: int, length: int, seed_words: int):
                     gone_done = True
                     yield _record(
                         _SEEDS, bucket, ids[used].astype(np.int64), keys[used], index.astype(np.uint32), inside[head[i]].astype(np.uint32),
-                        count[i], seed[head[i]], window[some[pieces]], keys[doc[gh]], ids[doc[gh]].astype(np.int64),
+                        count[i], (seed[head[i]] >> np.uint64(32)).astype(np.uint32), window[some[pieces]], keys[doc[gh]], ids[doc[gh]].astype(np.int64),
                         inside[gh].astype(np.uint32), gc,
                     )
     return make
@@ -109,7 +112,7 @@ def _extend(buckets: int):
         ids, keys = arrays(table, "docs", np.int64), arrays(table, "rows", np.uint64)
         doc = np.concatenate(index) if index else np.zeros(0, np.int64)
         start, count = arrays(table, "start", np.uint32), arrays(table, "count", np.uint16).astype(np.int64)
-        seed, window = arrays(table, "seed", np.uint64), arrays(table, "window", np.uint32)
+        seed, window = arrays(table, "seed", np.uint32), arrays(table, "window", np.uint64)
         of = np.repeat(np.arange(len(doc)), count)
         # a seed of one row alone has no match: only the windows of shared ones are compared
         order = np.argsort(seed, kind="stable")
@@ -117,7 +120,7 @@ def _extend(buckets: int):
         shared = np.zeros(len(seed), bool)
         shared[order[1:][same]] = shared[order[:-1][same]] = True
         look = np.flatnonzero(shared[of])
-        gone = look[_later(mix(seed[of[look]] ^ (window[look].astype(np.uint64) << np.uint64(32))), ids[doc[of[look]]])]
+        gone = look[_later(window[look], seed[of[look]], ids[doc[of[look]]])]
         inside = start[of[gone]].astype(np.int64) + gone - (np.cumsum(count) - count)[of[gone]]
         first = _stretches(of[gone], of[gone], inside)
         head = gone[first]
@@ -194,13 +197,15 @@ def without_repeats(
 
     Each passage of ``length`` words chooses one of its runs of ``seed_words`` words as its anchor, by hash, so equal
     passages choose alike. Rows are joined on anchors: what extends an anchor to either side goes to the anchor's
-    bucket, where equal extensions are grouped and those with a smaller document fall; consecutive ones make up a
+    bucket, where equal extensions (a 64-bit hash of the passage and 32 bits of its anchor) are grouped and those with a
+    smaller document fall; consecutive ones make up a
     maximal repeat. Groups replace pairs of documents, so a passage of all documents costs as much as it is long, times
     the documents. Passages that one slice of rows has in a smaller document already are settled there and not sent.
 
     Null, empty and blank texts have no words. Rows of a null id are left out; rows that repeat an id are judged one
     by one and do not count as smaller than each other.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     buckets = bucket_count(rows)
     seeds = rows.mapInArrow(_seeds(buckets, length, seed_words), _SEEDS)

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.llm import minhash, substring, suffix_dedup
 from barloom.llm.graph import components
@@ -71,8 +72,23 @@ def test_near_documents_in_large_groups(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     sets = {n: shingles(t) for n, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
-    got = minhash.near_documents(table).collect()
-    assert {r.doc_id: r.component_id for r in got} == groups(links, sets)
+    for block in (minhash.BLOCK, 8):
+        got = minhash.near_documents(table, block=block).collect()
+        assert {r.doc_id: r.component_id for r in got} == groups(links, sets)
+
+
+def test_near_documents_of_repeated_ids(spark):
+    """Classes are told apart by their sets, not by ids; texts of one id are linked."""
+    prose = lambda seed, n: " ".join(f"{random.Random(seed * 1000 + i).choice('bcdfg')}{i * seed % 89}" for i in range(n))
+    texts = {name: prose(seed, 60) for seed, name in enumerate("abcd", 2)}
+    near = lambda t, k: " ".join(t.split()[:-k] + [f"z{i}" for i in range(k)])
+    rows = [(5, texts["a"]), (5, texts["b"]), (9, near(texts["a"], 3)), (12, near(texts["b"], 4)), (3, texts["c"]), (5, texts["b"])]
+    rows += [(20, texts["d"]), (21, texts["d"]), (21, None), (30, ""), (3, near(texts["d"], 2)), (2, prose(99, 60))]
+    linked = {5: 5, 9: 5, 12: 5, 3: 3, 20: 3, 21: 3, 30: 30, 2: 2}
+    for parts in (1, 3, 7):
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = minhash.near_documents(table).collect()
+        assert {r.doc_id: r.component_id for r in got} == linked and len(got) == len(linked)
 
 
 def test_pruning_keeps_what_is_similar():
@@ -105,6 +121,14 @@ def test_substring(docs, rows):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept) for r in got) == sorted(expected)
 
 
+def test_a_phrase_in_many_documents(spark):
+    """Six words that a hundred thousand documents share, with other words around them: no passage repeats."""
+    own = F.concat_ws(" ", *[F.concat(F.lit(c), F.col("id").cast("string")) for c in "abcdefghij"])
+    more = F.concat_ws(" ", *[F.concat(F.lit(c), F.col("id").cast("string")) for c in "klmnopqrst"])
+    table = spark.range(100_000).select(F.col("id").alias("doc_id"), F.concat(own, F.lit(" all rights of this text reserved "), more).alias("text"))
+    assert substring.without_repeats(table).where("n_removed > 0").count() == 0
+
+
 @pytest.mark.parametrize("length", [200, 20])
 def test_suffixes(docs, rows, length):
     rows = [(n, (t or "").encode()) for n, t in rows]
