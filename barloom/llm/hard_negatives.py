@@ -1,6 +1,7 @@
 """Hard-negative mining: exact scores of anchors against blocks of rows by Kronecker-packed products."""
 
 import math
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +17,15 @@ ANCHORS, ROWS = 8192, 4096
 SMALL = 1 << 53
 
 
-def whole_numbers(column: pa.Array, scale: int) -> list[np.ndarray]:
+def whole_numbers(vectors: Iterable[np.ndarray], scale: float) -> list[np.ndarray]:
     """floor(scale * x) of every component, exact: as long where all of a vector are small, else as Python integers."""
     out = []
-    for vector in column.to_numpy(zero_copy_only=False):
+    for vector in vectors:
         with np.errstate(over="ignore"):
             scaled = np.floor(np.asarray(vector, np.float64) * scale)
         if len(scaled) and np.abs(scaled).max() > SMALL:
             # beyond 2^53 a double is a whole number; a product beyond all doubles is taken of that number
-            exact = lambda x: math.floor(x * scale) if math.isfinite(x * scale) else int(x) * scale
+            exact = lambda x: math.floor(x * scale) if math.isfinite(x * scale) else int(x) * int(scale)
             out.append(np.array([exact(x) for x in np.asarray(vector).tolist()], object))
         else:
             out.append(scaled.astype(np.int64))
@@ -91,8 +92,8 @@ def falling(scores: np.ndarray) -> np.ndarray:
 def _blocks(anchors: pa.Table, rows: pa.Table, scale: int):
     """For each anchor of a block its place in the table and its scores, and ids and labels of the rows, by ascending id."""
     rows = rows.sort_by("id").combine_chunks()
-    asked = whole_numbers(anchors.column("vector").combine_chunks(), scale)
-    there = whole_numbers(rows.column("vector").combine_chunks(), scale)
+    asked = whole_numbers(anchors.column("vector").to_pandas(), scale)
+    there = whole_numbers(rows.column("vector").to_pandas(), scale)
     width = max(map(len, asked + there))
     weights = [v.tolist() for v in matrix(asked, width)]
     packed = Packed(matrix(there, width), max(sum(map(abs, w)) for w in weights))

@@ -4,8 +4,9 @@ import math
 import random
 
 import numpy as np
+import pytest
 
-from barloom.llm.topk import integer_vectors, top_k
+from barloom.llm.topk import sound_vectors, top_k
 from barloom.llm.vector_dedup import near_vectors
 
 NAN, INF = float("nan"), float("inf")
@@ -30,17 +31,28 @@ def sound(vector):
 
 def test_top_k(spark):
     table, rows = vectors(spark)
-    rows = [(i, [math.floor(256 * x) for x in v]) for i, v, _, _ in rows if sound(v) and i != 6100]
-    expected = []
+    large = [(6200 + 50 * i, [x * 10.0 ** (3 + i / 2) for x in rows[i][1]], 0, "") for i in range(4)]
+    large += [(6601, [600000.0, 1.0], 0, ""), (6650, [1.0, 2.0], 0, ""), (6650, [0.5, 2.0], 0, "")]
+    table = table.where("vec_id <> 6100").unionByName(spark.createDataFrame(large, table.schema)).repartition(3)
+    rows = [(i, [math.floor(256 * x) for x in v]) for i, v, _, _ in rows + large if sound(v) and i != 6100]
+    expected, asked = [], {}
     for q, a in rows:
         if q % 50 == 0:
-            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:5]
-            expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    integers = integer_vectors(table)
+            asked[q] = min(a, asked.get(q, a))
+    for q, a in asked.items():
+        best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:5]
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    integers = sound_vectors(table)
     got = top_k(integers.where("vec_id % 50 = 0"), integers).collect()
     assert sorted(map(tuple, got)) == sorted(expected)
     assert top_k(integers.limit(0), integers).count() == 0
     assert top_k(integers.where("vec_id = 0"), integers.where("vec_id <= 6")).count() == 2
+    assert top_k(integers.where("vec_id % 50 = 0"), integers, k=5).exceptAll(spark.createDataFrame(got)).count() == 0
+    wide = spark.createDataFrame([(0, [1e16, 1.0]), (1, [0.0, 5.0]), (2, [-1e16, 9.0]), (3, [1e-9, 4.0]), (4, [0.0, 4.0])], "vec_id long, terms array<double>")
+    found = top_k(wide.where("vec_id = 0"), wide, k=3).collect()  # sums far beyond a long are compared, not cut
+    assert sorted(map(tuple, found)) == [(0, 1, 1, 5 * 65536), (0, 2, 3, 4 * 65536), (0, 3, 4, 4 * 65536)]
+    with pytest.raises(Exception, match="too large|too big|Overflow"):  # a score that no long holds
+        top_k(integers.where("vec_id = 0"), sound_vectors(vectors(spark)[0])).collect()
 
 
 def test_near_vectors(spark):
