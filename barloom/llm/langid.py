@@ -29,6 +29,10 @@ FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.s
 #: The most labelled rows that a model is fitted on, all languages together, and the places of the hashed features.
 SAMPLE, BITS = 3200, 12
 UNKNOWN = "und"
+#: Bounds of the standard deviations below a language's mean from which on a text is not taken for one in it.
+MOST_DISTANT, LEAST_DISTANT = -10.0, -7.0
+#: Variance between texts that is allowed for in any case: parts of a sound text may be code, names or numbers.
+MIXED = 0.02
 
 # Bytes as symbols: letters without regard to ASCII case, anything beyond ASCII as it is, all else one separator.
 SYMBOL = np.zeros(256, np.uint32)
@@ -67,7 +71,7 @@ def _has_letter(part: Slice) -> np.ndarray:
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feature frequencies of each labelled text that are not zero: their places as uint16 and values as float32."""
     for batch in batches:
-        places, values = [], []
+        places, values, sizes = [], [], []
         for part in slices(batch.column(1), SLICE // 2):
             codes = [rows.astype(np.int64) << BITS | at for rows, at in _places(part)]
             codes, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_counts=True)
@@ -77,8 +81,9 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.searchsorted(rows, np.arange(1, size))
             places += [found.tobytes() for found in np.split(at, ends)]
             values += [found.tobytes() for found in np.split(shares, ends)]
-        packed = [pa.array(places, pa.binary()), pa.array(values, pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *packed], names=["lang", "places", "x"])
+            sizes += total.tolist()
+        packed = [pa.array(places, pa.binary()), pa.array(values, pa.binary()), pa.array(sizes, pa.float64())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *packed], names=["lang", "places", "x", "n"])
 
 
 def _machine(
@@ -103,6 +108,39 @@ def _machine(
     return weights * scale, bias
 
 
+@dataclass
+class Usual:
+    """How the features of a language's texts are distributed: the logarithm of each one's share, the mean of that over a
+    text, its variance (between texts, and by the number of features), and the least distance of a text that is taken."""
+
+    logs: np.ndarray
+    mean: float
+    between: float
+    each: float
+    least: float = -np.inf
+
+    @classmethod
+    def of(cls, x: np.ndarray, n: np.ndarray) -> "Usual":
+        """From the features of texts: three in four for the shares, the fourth to set what is taken, namely all but one
+        in five hundred, and what is up to half as far again, within the bounds given as constants."""
+        test = np.arange(len(x)) % 4 == 3
+        learn = x if len(x) < 8 else x[~test]
+        share = (learn.sum(0, dtype=np.float64) + 0.01) / (len(learn) + 0.01 * x.shape[1])
+        logs = np.log(share)
+        means = learn @ logs
+        long = means[n[~test if len(x) >= 8 else slice(None)] >= np.median(n)]
+        mean = float(np.median(long if len(long) else means))
+        found = cls(logs, mean, float(np.median((long - mean) ** 2)) * 2.2 + MIXED, float(share @ logs**2 - (share @ logs) ** 2) * 4)
+        if test.any():
+            least = float(np.quantile(found.distance(x[test] @ logs, n[test]), 0.002)) * 1.5
+            found.least = min(max(least, MOST_DISTANT), LEAST_DISTANT)
+        return found
+
+    def distance(self, means: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Standard deviations that texts of n features lie above the mean."""
+        return (means - self.mean) / np.sqrt(self.between + self.each / np.maximum(n, 1))
+
+
 @dataclass
 class Model:
     """Machines between families and, within each, between two of its languages; ``duels`` names the sides."""
@@ -111,6 +149,7 @@ class Model:
     duels: list[tuple[str, str]] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, 1 << BITS)))
     biases: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    usual: dict[str, "Usual"] = field(default_factory=dict)
 
     def choose(self, sides: list[str], margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Winner (place in ``sides``) of the duels among ``sides`` for each row, and how sure the closest of its duels
@@ -128,6 +167,15 @@ class Model:
         closest = least[np.arange(rows), best]
         return best, 1 / (1 + np.exp(-np.clip(4 * closest, -30, 30)))
 
+    def familiar(self, part: Slice) -> np.ndarray:
+        """Which rows have features as usual in some language."""
+        rows, found = len(part.bounds) - 1, _places(part)
+        out, counts = np.zeros(rows, bool), sum((np.bincount(at, minlength=rows) for at, _ in found), np.zeros(rows))
+        for usual in self.usual.values():
+            sums = sum((np.bincount(at, weights=usual.logs[places], minlength=rows) for at, places in found), np.zeros(rows))
+            out |= usual.distance(sums / np.maximum(counts, 1), counts) >= usual.least
+        return out
+
     def predict(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         rows = len(part.bounds) - 1
         margins, counts = np.zeros((rows, len(self.duels))), np.zeros(rows)
@@ -166,12 +214,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
         low |= (F.col(lang) == code) & (order / F.lit(2.0**64) + 0.5 <= min(4 * (each + 25) / counts[code], 1.0))
     # ranked by the key alone; the texts of the chosen rows, at most `sample`, are read afterwards
     keys = rows.where(low).select(key, lang).distinct().withColumn("_rank", rank).where(F.col("_rank") <= each).select(key, lang)
-    chosen = rows.select(key, lang, text).join(F.broadcast(keys), [key, lang], "left_semi").limit(sample)
-    chosen = chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    found = chosen.mapInArrow(_frequencies, "lang string, places binary, x binary").toArrow()
+    chosen = rows.select(key, lang, text).join(F.broadcast(keys), [key, lang], "left_semi")
+    # of rows that repeat a key and a language the first by text
+    chosen = chosen.groupBy(key, lang).agg(F.min(text).alias("text")).select(F.col(lang).alias("lang"), "text")
+    found = chosen.mapInArrow(_frequencies, "lang string, places binary, x binary, n double").toArrow()
     found = sorted(zip(*(column.to_pylist() for column in found.columns)))
     x, y = np.zeros((len(found), 1 << BITS), np.float32), np.array([row[0] for row in found], object)
-    for row, (_, places, values) in zip(x, found):
+    sizes = np.array([row[3] for row in found], np.float64)
+    for row, (_, places, values, _) in zip(x, found):
         row[np.frombuffer(places, np.uint16)] = np.frombuffer(values, np.float32)
     del found
     scale = 1 / max(float(np.mean([np.sqrt(row @ row) for row in x])), 1e-9) if len(x) else 1.0
@@ -186,28 +236,36 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
             model.duels.append((a, b))
             made.append(_machine(x, at, np.where(names[at] == a, 1, -1), scale))
     model.families = {name: model.families[name] for name in sorted(model.families)}
+    model.usual = {code: Usual.of(x[y == code], sizes[y == code]) for code in codes if (y == code).any()}
     if made:
         model.weights, model.biases = np.array([m[0] for m in made]), np.array([m[1] for m in made])
     return model
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", columns: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model, text: str = "text", columns: tuple[str, str] = ("lang_pred", "score"), known: str | None = None
+) -> DataFrame:
     """``docs`` with the predicted language of each whole text and a score from 0 to 1 (columns of these names are
     replaced). A null text, an empty one, one without letters, or a model that knows no language give `und` and 0. One
-    pass without a shuffle, the model's few machines travel with it; repeated rows are predicted alike."""
-    kept = [c for c in docs.columns if c not in columns]
+    pass without a shuffle, the model's few machines travel with it; repeated rows are predicted alike. A column named by
+    ``known`` tells whether the text's features are as usual in one of the languages: of the texts that the model
+    was tried on but did not learn from, nearly all are (see :class:`Usual`); one in a language that it does not know, or
+    of random letters, is not, unless it is so short that it might be."""
+    kept = [c for c in docs.columns if c not in (*columns, known)]
     docs = docs.select(*kept)
-    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(f"`{columns[0]}` string, `{columns[1]}` double").fields)
+    more = f"`{columns[0]}` string, `{columns[1]}` double" + (f", `{known}` boolean" if known else "")
+    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(more).fields)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, usual = [], [], []
             for part in slices(batch.column(kept.index(text)), SLICE // 2):
                 some, sure = model.predict(part)
                 langs += some.tolist()
                 scores += np.round(sure, 6).tolist()
-            added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, *columns])
+                usual += model.familiar(part).tolist() if known else []
+            added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())] + [pa.array(usual, pa.bool_())] * bool(known)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*kept, *columns, *[known] * bool(known)])
 
     return docs.mapInArrow(add, schema)
 
