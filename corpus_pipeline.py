@@ -11,26 +11,25 @@ from barloom.llm.ship import ship
 from barloom.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Below this the language of a document is taken as undecided.
-LEAST_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: those without letters (`und`) or with a score below LEAST_SCORE go. A missing
-    `lang` is filled in."""
+    """Documents in a language that others of this table are in: those without letters (`und`) go, and those whose letters
+    are not as usual in any of the languages. A missing `lang` is filled in."""
     ship(spark)
     model = langid.fit(docs.where(~langid.held_out()))
-    found = langid.identify(docs.select(*COLUMNS), model, columns=("lang_pred", "lang_score"))
-    found = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE))
+    found = langid.identify(docs.select(*COLUMNS), model, columns=("lang_pred", "lang_score"), known="lang_known")
+    found = found.where((F.col("lang_pred") != langid.UNKNOWN) & F.col("lang_known"))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id. Rows of one id give one row, the
-    first by text; rows without an id go."""
+    first by text, language, source and length; rows without an id go."""
     ship(spark)
     kept = near_documents(docs).where("kept").select("doc_id")
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", F.struct(*COLUMNS[1:]).alias("row")).join(kept, "doc_id", "left_semi")
+    return rows.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.*")
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
