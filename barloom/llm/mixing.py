@@ -6,9 +6,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.ship import ship
+from barloom.session import work_table
+
 OTHER = "other"
-#: Values of a dimension that have a target of their own when targets come from the input; the rest share that of `other`.
-MOST = 64
 #: Words of a text; null has none.
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -56,7 +57,10 @@ def rake(
     wanted = tokens * (budget / tokens.sum()) if tokens.sum() else tokens
     steps = []  # for each dimension the cells of every value and the tokens wanted of them
     for d, target in enumerate(targets):
-        at = {value: np.array([cell[d] == value for cell in cells]) for value in sorted({cell[d] for cell in cells})}
+        names = np.array([cell[d] for cell in cells], object)
+        order = np.argsort(names, kind="stable")
+        cuts = np.flatnonzero(names[order][1:] != names[order][:-1]) + 1 if len(cells) else []
+        at = {names[some[0]]: some for some in np.split(order, cuts) if len(some)}
         total = sum(share for value, share in target.items() if value in at and (tokens[at[value]] > 0).any())
         steps.append([(some, budget * target.get(value, 0.0) / total if total > 0 else 0.0) for value, some in at.items()])
     for _ in range(rounds):
@@ -76,9 +80,11 @@ def with_cells(docs: DataFrame, dimensions: dict[str, str], targets: dict[str, d
     return _with_cells(_with_values(docs, dimensions, text), targets)
 
 
-def _with_cells(raw: DataFrame, targets: dict[str, dict[str, float]]) -> DataFrame:
+def _with_cells(raw: DataFrame, targets: dict[str, dict[str, float]] | None, names: list[str] | None = None) -> DataFrame:
+    """Values as cells; without targets all values but null stand for themselves."""
     value = lambda name: F.col(f"_raw.`{name}`")
-    cell = [F.when(value(name).isin(list(known)), value(name)).otherwise(F.lit(OTHER)).alias(name) for name, known in targets.items()]
+    own = lambda name: F.lit(True) if targets is None else value(name).isin(list(targets[name]))
+    cell = [F.coalesce(F.when(own(name), value(name)), F.lit(OTHER)).alias(name) for name in names or targets]
     return raw.withColumn("_cell", F.struct(*cell)).drop("_raw")
 
 
@@ -94,29 +100,24 @@ def _counted(raw: DataFrame) -> DataFrame:
 
 
 def flattened(
-    docs: DataFrame, dimensions: dict[str, str], power: float = 0.5, most: int = MOST, text: str = "text"
+    docs: DataFrame, dimensions: dict[str, str], power: float = 0.5, text: str = "text"
 ) -> dict[str, dict[str, float]]:
     """Targets from the input itself: each value's share of the tokens, raised to ``power`` and scaled to add up to 1, so
-    that rare values count for more than they have and none counts for nothing. The ``most`` values with the most tokens
-    of a dimension stand for themselves; all others and null are `other`, with the share of their sum. A value counts
-    one token at least. One pass over the documents; the driver gets ``most`` values and one sum for each dimension."""
+    that rare values count for more than they have and none counts for nothing. Every value stands for itself; null is
+    `other`. A value counts one token at least. One pass over the documents; the driver gets the values of each dimension."""
     counted = _counted(_with_values(docs, dimensions, text)).persist()
     try:
-        return _flattened(counted, list(dimensions), power, most)
+        return _flattened(counted, list(dimensions), power)
     finally:
         counted.unpersist()
 
 
-def _flattened(counted: DataFrame, names: list[str], power: float = 0.5, most: int = MOST) -> dict[str, dict[str, float]]:
+def _flattened(counted: DataFrame, names: list[str], power: float = 0.5) -> dict[str, dict[str, float]]:
     out = {}
     for name in names:
-        value = F.col(f"_raw.`{name}`")
+        value = F.coalesce(F.col(f"_raw.`{name}`"), F.lit(OTHER))
         sums = counted.groupBy(value.alias("value")).agg(F.greatest(F.sum("_tokens"), F.lit(1)).alias("tokens"))
-        named = sums.where(F.col("value") != OTHER).orderBy(F.desc("tokens"), "value").limit(most).collect()
-        have = {row["value"]: row["tokens"] for row in named}
-        rest = sums.where(F.col("value").isNull() | ~F.col("value").isin(list(have))).agg(F.sum("tokens")).first()[0]
-        if rest:
-            have[OTHER] = rest
+        have = {row["value"]: row["tokens"] for row in sums.collect()}
         total = sum(x**power for x in have.values())
         out[name] = {v: x**power / total for v, x in sorted(have.items())}
     return out
@@ -135,12 +136,16 @@ def fit(celled: DataFrame, targets: dict[str, dict[str, float]], fraction: float
 
 def mix(
     docs: DataFrame, dimensions: dict[str, str], targets: dict[str, dict[str, float]] | None = None, fraction: float = 0.5,
-    seed: int = 1, id: str = "doc_id", text: str = "text",
+    seed: int = 1, id: str = "doc_id", text: str = "text", keep: list[str] | None = None,
 ) -> tuple[DataFrame, Mix]:
     """``docs`` with the columns mix_cell, mix_tokens, mix_weight (a token's weight: its cell's share wanted over its
     share there), mix_probability and mix_selected (columns of these names are replaced), and the fitted mix.
 
-    Without targets, those of :func:`flattened` are taken, from the same pass that counts the cells. The targets give
+    The values and words of each whole text are taken once, into a work table with the columns to ``keep`` (all, if
+    not said), which is counted and then joined with the rates of the cells. The driver fits them: it holds a row for
+    each combination of values that occurs.
+
+    Without targets, those of :func:`flattened` are taken, from the same counts. The targets give
     each dimension's values their shares of the tokens; `other` may be among them and takes every
     value not listed, null too. Shares of values that have no tokens go to the others in proportion. A document's
     probability is the tokens wanted of its cell over those there are, and a hash of id and seed decides: the choice
@@ -149,14 +154,16 @@ def mix(
     An empty table stays empty.
     """
     added = ("mix_cell", "mix_tokens", "mix_weight", "mix_probability", "mix_selected")
+    ship(docs.sparkSession)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     raw = _with_values(docs.select(*[c for c in docs.columns if c not in added]), dimensions, text)
-    counted = _counted(raw).persist()  # a row for each combination of values
-    try:
-        targets = _flattened(counted, list(dimensions)) if targets is None else targets
-        found = fit(_with_cells(counted, targets), targets, fraction)
-    finally:
-        counted.unpersist()
-    celled = _with_cells(raw, targets)
+    raw = work_table(raw.select(*kept, "_raw", "_tokens"), "mix-values")
+    counted = work_table(_counted(raw), "mix-counts")  # a row for each combination of values
+    own = targets is None
+    targets = _flattened(counted, list(dimensions)) if own else targets
+    names = list(targets)
+    found = fit(_with_cells(counted, None if own else targets, names), targets, fraction)
+    celled = _with_cells(raw, None if own else targets, names)
     total, goal = max(found.tokens.sum(), 1.0), max(found.wanted.sum(), 1e-300)
     aimed = lambda cell: all(targets[name].get(value, 0.0) > 0 for name, value in zip(found.dimensions, cell))
     rows = [
@@ -167,6 +174,6 @@ def mix(
     kind = ",".join(f"{name}:string" for name in targets)
     rates = spark.createDataFrame(rows, f"_cell struct<{kind}>, mix_weight double, mix_probability double")
     even = F.shiftrightunsigned(F.xxhash64(F.col(id).cast("string"), F.lit(seed)), 11) / F.lit(float(1 << 53))
-    out = celled.join(F.broadcast(rates), "_cell", "left")  # as many rows as cells
+    out = celled.join(work_table(rates, "mix-rates"), "_cell", "left")  # broadcast by Spark if its size allows it
     out = out.withColumn("mix_selected", even < F.coalesce("mix_probability", F.lit(0.0)))
     return out.withColumnsRenamed({"_cell": "mix_cell", "_tokens": "mix_tokens"}), found

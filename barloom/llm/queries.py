@@ -10,7 +10,7 @@ from barloom.llm.minhash import near_documents
 from barloom.llm.pii import digests, personal_data
 from barloom.llm.ship import ship
 from barloom.llm.substring import without_repeats
-from barloom.llm.topk import integer_vectors, top_k
+from barloom.llm.topk import sound_vectors, top_k
 from barloom.llm.vector_dedup import near_vectors
 
 
@@ -73,7 +73,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, probability and choice of every document in a mix of half of all tokens."""
-    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), DIMENSIONS, fraction=0.5)
+    mixed, _ = mixing.mix(_table(spark, sf_dir, "documents"), DIMENSIONS, fraction=0.5, keep=["doc_id"])
     return mixed.select(
         "doc_id", "mix_cell.source", "mix_cell.lang", "mix_cell.topic", F.col("mix_tokens").alias("n_tokens"),
         F.round("mix_weight", 9).alias("weight"), F.round("mix_probability", 9).alias("probability"),
@@ -91,7 +91,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best partners of every vector whose id is divisible by 50."""
-    rows = integer_vectors(_table(spark, sf_dir, "embeddings"))
+    rows = sound_vectors(_table(spark, sf_dir, "embeddings"))
     return top_k(rows.where("vec_id % 50 = 0"), rows, k=5)
 
 

@@ -4,15 +4,21 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barloom.llm import pieces, pii
+from barloom.llm.minhash import near_documents
 from barloom.llm.queries import QUERIES
 from barloom.llm.queries_sql import SQL
 
 SF = "/root/testdata/sf0.001"
 
 
+FOREIGN = ["Это русский текст о погоде и о том, как люди живут в большом городе", "これは日本語の文章です。天気について書かれています。"]
+
+
 def test_stages(spark, docs, empty):
     table = docs.select("doc_id", "text", "lang", "source", "n_chars", "keys", "rep")
     real = spark.read.parquet(f"{SF}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 10_000)
+    foreign = spark.createDataFrame([(50_000 + i, t) for i, t in enumerate(FOREIGN)], "doc_id long, text string")
+    table = table.unionByName(foreign, allowMissingColumns=True)
     state = real.unionByName(table, allowMissingColumns=True).cache()
     counts = [state.count()]
     vocabulary = pieces.load()
@@ -22,8 +28,15 @@ def test_stages(spark, docs, empty):
         if name != "segmentation":
             assert state.columns == corpus_pipeline.COLUMNS
         if name == "language":
-            assert {r.text for r in before.collect()} - {r.text for r in state.collect()} <= {None, "", " \n\t"}
+            gone = {r.text for r in before.collect()} - {r.text for r in state.collect()}
+            assert {None, "", " \n\t", *FOREIGN} <= gone and len(gone) < 12
+            assert not gone & {r.text for r in real.where("lang is not null and length(text) between 40 and 2000").collect()}
             assert state.where("lang is null").count() == 0
+        if name == "near_duplicates":
+            ids = {r.doc_id for r in state.collect()}
+            assert ids == {r.doc_id for r in near_documents(before).where("kept").collect()}
+            least = {i: min((r.text, r.source or "") for r in before.collect() if r.doc_id == i)[0] for i in list(ids)[:50]}
+            assert all(r.text == least[r.doc_id] for r in state.collect() if r.doc_id in least)
         if name == "personal":
             assert counts[-1] == counts[-2]
             assert not [r for r in state.collect() if any(s[0] in pii.BASE for s in pii.find(r.text))]

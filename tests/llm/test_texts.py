@@ -147,7 +147,12 @@ def test_language(spark, docs, empty):
     assert got and all(r.lang == r.lang_pred and 0 <= r.score <= 1 for r in got)
     odd = {r.text: r.lang_pred for r in langid.identify(docs, model).collect()}
     assert odd[None] == odd[""] == odd[" \n\t"] == langid.UNKNOWN != odd["one two"]
+    foreign = ["Это русский текст о погоде и о том как люди живут", "これは日本語の文章です。天気について書かれています。", "qzxvk " * 12]
+    strange = spark.createDataFrame([(i, t) for i, t in enumerate(foreign)], "doc_id long, text string")
+    assert not any(r.usual for r in langid.identify(strange, model, known="usual").collect())
+    assert langid.identify(table, model, known="usual").where("not usual").count() == 0
     none = langid.fit(empty)
+    assert langid.identify(docs, none, known="usual").where("usual").count() == 0
     assert {r.lang_pred for r in langid.identify(docs, none).collect()} == {langid.UNKNOWN}
     assert langid.identify(empty, model).count() == 0
 
@@ -197,10 +202,9 @@ def test_mix_of_unseen_values(spark):
     assert {r.source for r in mixed.where("mix_selected").select("source").distinct().collect()} == {"new", "other", None, "rare", "wordless"}
     forms = {r.text: r.topic for r in mixed.select("text", "mix_cell.topic").collect()}
     assert [forms[x] for x in texts] == ["prose", "prose", "prose", "shout", "table", "noise"]
-    few = mixing.flattened(table, {"source": "source"}, most=1)
-    assert set(few["source"]) == {"rare", "other"}
     strange = table.select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.concat(F.lit("site"), F.col("doc_id") % 90).alias("source"), F.lit(0).alias("n_chars"))
     assert corpus_pipeline.mixture(spark, strange, "").count() > 1000
+    assert len(mixing.flattened(strange, {"source": "source"})["source"]) == 90  # each has a target of its own
 
 
 def test_findings(spark, docs, empty):
