@@ -16,8 +16,8 @@ from barloom.session import work_table
 SHINGLE, ROWS, BANDS = 5, 4, 32
 #: Hashes compared between two looks at the posterior, and its bound below which a pair is dropped.
 BATCH, MISS = 16, 1e-6
-#: Members of a bucket are compared in blocks of this size, each block with each other one.
-BLOCK = 256
+#: A bucket with more members is cut by pairs of bands; blocks of a bucket are compared with one another.
+CROWD, BLOCK = 4096, 256
 #: Numbers from here on are those of classes without an id of their own.
 OWN = 1 << 62
 #: Documents that one task verifies against one other.
@@ -265,7 +265,8 @@ def near_documents(
     survivors are compared on their full sets. To connect large groups without all their pairs, each member of a
     bucket is first held against the least one of its bucket; what is connected then needs no further comparison,
     and only members of different components of a bucket are compared, in blocks of ``block`` members, where the likeliest
-    pairs come first and what they connect is left out.
+    pairs come first and what they connect is left out. Buckets of more than CROWD members are cut by pairs of bands
+    before that: a pair that meets in such buckets alone is then missed with a chance of 8e-5 instead of 5e-6.
 
     Null and empty texts, or texts of white space, have no shingles: n_shingles 0, a component of their own. Rows of
     a null id are left out. An id on several rows gives one row: its texts count as linked, n_shingles is the largest;
@@ -304,7 +305,11 @@ def near_documents(
     # 2: members of a bucket that different components hold, in blocks: signatures first, then sets where needed
     held = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     mixed = held.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    held = work_table(held.join(mixed, "key", "left_semi").select("key", "rep", "n", "root"), "held")
+    held = work_table(held.join(mixed, "key", "left_semi").select("key", "rep", "n", "root", "size"), "held")
+    keys = held.where(F.col("size") > CROWD).groupBy("rep").agg(F.collect_list("key").alias("all"))  # at most BANDS each
+    crowd = held.where(F.col("size") > CROWD).join(keys, "rep").select("rep", "n", "root", "key", F.explode("all").alias("k2"))
+    crowd = crowd.where("key < k2").select(F.xxhash64("key", "k2").alias("key"), "rep", "n", "root")
+    held = held.where(F.col("size") <= CROWD).select("key", "rep", "n", "root").union(crowd)
     blocks = held.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     held = held.join(blocks.where("r0 < r1").select("key", "blocks"), "key").join(small.select("rep", "small"), "rep")
     held = held.withColumn("block", F.pmod(F.xxhash64("rep", "key"), "blocks").cast("int"))
