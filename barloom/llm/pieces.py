@@ -7,7 +7,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,13 @@ PENALTY, FORBIDDEN = 10.0, -1e8
 KEPT = 300_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Different words that a task counts before it hands them on.
-COUNTED = 100_000
+COUNTED = 300_000
 #: Log probabilities are multiples of its inverse, so that sums of them are exact in any order.
 GRAIN = 1 << 16
 
+#: Stands for text that no piece ends with.
+NO_ENDING = object()
+
 Path = tuple[float, tuple[int, ...]]
 
 
@@ -47,12 +50,15 @@ class Pieces:
     worst: float = 0.0
     pairs: frozenset = frozenset()
     splits: bool = True
+    endings: dict[str, float | None] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
         self.worst = min((s for s in self.scores.values() if s > FORBIDDEN), default=0.0) - PENALTY
         # two neighbouring characters that no piece has next to each other: every segmentation is cut between them
         self.pairs = frozenset(piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1))
+        # what pieces end with, and the score where that is a piece itself: nothing else is worth a look
+        self.endings = {piece[i:]: None for piece in self.scores for i in range(1, len(piece))} | self.scores
         # a space sign only ever begins pieces (alone or several): words can be segmented one by one
         self.splits = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.pairs)
 
@@ -198,37 +204,39 @@ def best_of_sorted(words: list[str], pieces: Pieces) -> Iterator[tuple[float, by
     """For each of the sorted words (score, ids as bytes, what the second best segmentation loses), from the forward
     pass alone, which a word takes over from the one before as far as their common prefix goes; of equal ways to a place
     the one with the longest last piece."""
-    scores, longest, worst, low, pairs = pieces.scores, pieces.longest, pieces.worst, -float("inf"), pieces.pairs
-    get, ids = scores.get, pieces.ids
-    best, second, back, floor, last = [0.0], [low], [0], [0], ""
+    low, worst, ids = -float("inf"), pieces.worst, pieces.ids
+    get, none = pieces.endings.get, NO_ENDING
+    best, second, back, last = [0.0], [low], [0], ""
     for word in words:
         known, size = 0, len(word)
         for x, y in zip(last, word):
             if x != y:
                 break
             known += 1
-        del best[known + 1 :], second[known + 1 :], back[known + 1 :], floor[known + 1 :]
+        del best[known + 1 :], second[known + 1 :], back[known + 1 :]
         last = word
         for end in range(known + 1, size + 1):
-            # no piece reaches back over two characters that no piece has next to each other
-            least = end - 1 if end > 1 and word[end - 2 : end] not in pairs else floor[end - 1]
-            floor.append(least)
-            top = other = low
-            cut = 0
-            for start in range(end - longest if end - longest > least else least, end):
-                score = get(word[start:end])
-                if score is None:
-                    if start < end - 1:
-                        continue
-                    score = worst
-                value = best[start] + score
-                if value > top:
-                    top, cut, value = value, start, top
-                if value > other:
-                    other = value
-                value = second[start] + score
-                if value > other:
-                    other = value
+            # the character alone, which is an edge even if it is no piece; then back as far as some piece ends like this
+            start = end - 1
+            score = get(word[start:end], none)
+            known_end = score is not none
+            if not known_end or score is None:
+                score = worst
+            top, other, cut = best[start] + score, second[start] + score, start
+            while known_end and start:
+                start -= 1
+                score = get(word[start:end], none)
+                if score is none:
+                    break
+                if score is not None:
+                    value = best[start] + score
+                    if value >= top:
+                        top, cut, value = value, start, top
+                    if value > other:
+                        other = value
+                    value = second[start] + score
+                    if value > other:
+                        other = value
             best.append(top)
             second.append(other)
             back.append(cut)

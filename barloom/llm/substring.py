@@ -16,7 +16,7 @@ from barloom.llm.units import Slice, Words, anchors, mix, prefix, runs, slices,
 LENGTH, SEED = 13, 6
 
 _SEEDS = (
-    "bucket int, docs binary, rows binary, doc binary, start binary, count binary, seed binary, window binary, "
+    "bucket int, docs binary, rows binary, held binary, start binary, count binary, seed binary, window binary, "
     "gone_row binary, gone_doc binary, gone_start binary, gone_count binary"
 )
 _GONE = "bucket int, row binary, start binary, count binary"
@@ -81,13 +81,13 @@ def _seeds(buckets: int, length: int, seed_words: int):
                 parts = list(split(order, {"i": np.arange(len(head))})) or [(0, {"i": np.zeros(0, np.int64)})]
                 for bucket, cut in parts:
                     i = cut["i"]
-                    used, index = np.unique(doc[head[i]], return_inverse=True)
+                    used, held = np.unique(doc[head[i]], return_counts=True)  # stretches are in the order of their rows
                     sizes = count[i].astype(np.int64)
                     pieces = np.arange(sizes.sum()) + np.repeat(last[i] - (np.cumsum(sizes) - sizes), sizes)
                     gh, gc = (gone_head[:0], gone_count[:0]) if gone_done else (gone_head, gone_count)
                     gone_done = True
                     yield _record(
-                        _SEEDS, bucket, ids[used].astype(np.int64), keys[used], index.astype(np.uint32), inside[head[i]].astype(np.uint32),
+                        _SEEDS, bucket, ids[used].astype(np.int64), keys[used], held.astype(np.uint32), inside[head[i]].astype(np.uint32),
                         count[i], (seed[head[i]] >> np.uint64(32)).astype(np.uint32), window[some[pieces]], keys[doc[gh]], ids[doc[gh]].astype(np.int64),
                         inside[gh].astype(np.uint32), gc,
                     )
@@ -105,12 +105,8 @@ def _extend(buckets: int):
     """All windows of a bucket of seeds: those that a smaller document has, as stretches by row."""
 
     def extend(key: tuple, table: pa.Table) -> pa.Table:
-        index, at = [], 0
-        for line in table.select(["docs", "rows", "doc"]).to_pylist():
-            index.append(np.frombuffer(line["doc"], np.uint32).astype(np.int64) + at)
-            at += len(line["docs"]) // 8
         ids, keys = arrays(table, "docs", np.int64), arrays(table, "rows", np.uint64)
-        doc = np.concatenate(index) if index else np.zeros(0, np.int64)
+        doc = np.repeat(np.arange(len(ids)), arrays(table, "held", np.uint32).astype(np.int64))
         start, count = arrays(table, "start", np.uint32), arrays(table, "count", np.uint16).astype(np.int64)
         seed, window = arrays(table, "seed", np.uint32), arrays(table, "window", np.uint64)
         of = np.repeat(np.arange(len(doc)), count)
