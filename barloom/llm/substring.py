@@ -47,10 +47,17 @@ def _later(window: np.ndarray, seed: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _counts(length: int, seed_words: int):
+    """Windows of a stretch share one anchor, so there are no more of them than one can be in."""
+    return np.uint8 if length - seed_words + 1 < 256 else np.uint16
+
+
 def _seeds(buckets: int, length: int, seed_words: int):
     """Per slice of texts and bucket of seeds: stretches of windows that extend one anchor to both sides, with a hash of
     each window; a window that the slice itself has in a smaller document is settled and goes along as gone."""
 
+    kind = _counts(length, seed_words)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -71,7 +78,7 @@ def _seeds(buckets: int, length: int, seed_words: int):
                 for settled in (False, True):
                     some = np.flatnonzero(gone == settled)
                     first = _stretches(doc[some], at[some], place[some])
-                    count = np.diff(np.append(first, len(some))).astype(np.uint16)
+                    count = np.diff(np.append(first, len(some))).astype(kind)
                     head = some[first] if len(some) else some
                     rows.append((some, first, head, count))
                 (some, first, head, count), (_, _, gone_head, gone_count) = rows
@@ -101,13 +108,13 @@ def _record(schema: str, bucket: int, *values: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _extend(buckets: int):
+def _extend(buckets: int, kind):
     """All windows of a bucket of seeds: those that a smaller document has, as stretches by row."""
 
     def extend(key: tuple, table: pa.Table) -> pa.Table:
         ids, keys = arrays(table, "docs", np.int64), arrays(table, "rows", np.uint64)
         doc = np.repeat(np.arange(len(ids)), arrays(table, "held", np.uint32).astype(np.int64))
-        start, count = arrays(table, "start", np.uint32), arrays(table, "count", np.uint16).astype(np.int64)
+        start, count = arrays(table, "start", np.uint32), arrays(table, "count", kind).astype(np.int64)
         seed, window = arrays(table, "seed", np.uint32), arrays(table, "window", np.uint64)
         of = np.repeat(np.arange(len(doc)), count)
         # a seed of one row alone has no match: only the windows of shared ones are compared
@@ -123,7 +130,7 @@ def _extend(buckets: int):
         row = np.concatenate([keys[doc[of[head]]], arrays(table, "gone_row", np.uint64)])
         home = np.concatenate([ids[doc[of[head]]], arrays(table, "gone_doc", np.int64)])
         begin = np.concatenate([inside[first].astype(np.uint32), arrays(table, "gone_start", np.uint32)])
-        size = np.concatenate([np.diff(np.append(first, len(gone))).astype(np.uint16), arrays(table, "gone_count", np.uint16)])
+        size = np.concatenate([np.diff(np.append(first, len(gone))).astype(kind), arrays(table, "gone_count", kind)])
         parts = split(doc_bucket(home, buckets), {"row": row, "start": begin, "count": size})
         batches = [_record(_GONE, bucket, *part.values()) for bucket, part in parts]
         return pa.Table.from_batches(batches) if batches else _empty(_GONE)
@@ -140,11 +147,11 @@ def _empty(schema: str) -> pa.Table:
 _RESULT = "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
-def _remove(length: int, with_text: bool):
+def _remove(length: int, with_text: bool, kind):
     def remove(key: tuple, docs: pa.Table, gone: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
         row = arrays(gone, "row", np.uint64)
-        start, count = arrays(gone, "start", np.uint32).astype(np.int64), arrays(gone, "count", np.uint16).astype(np.int64)
+        start, count = arrays(gone, "start", np.uint32).astype(np.int64), arrays(gone, "count", kind).astype(np.int64)
         order = np.argsort(row, kind="stable")
         row, start, count = row[order], start[order], count[order]
         out = {name.split()[0]: [] for name in _RESULT.split(", ")}
@@ -203,9 +210,9 @@ def without_repeats(
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    buckets = bucket_count(rows)
+    buckets, kind = bucket_count(rows), _counts(length, seed_words)
     seeds = rows.mapInArrow(_seeds(buckets, length, seed_words), _SEEDS)
-    gone = seeds.groupBy("bucket").applyInArrow(_extend(buckets), _GONE)
+    gone = seeds.groupBy("bucket").applyInArrow(_extend(buckets, kind), _GONE)
     texts = with_bucket(rows, buckets)
     out = texts.groupBy("bucket").cogroup(gone.withColumnRenamed("bucket", "b").groupBy("b"))
-    return out.applyInArrow(_remove(length, with_text), _RESULT)
+    return out.applyInArrow(_remove(length, with_text, kind), _RESULT)
