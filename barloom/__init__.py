@@ -4,7 +4,7 @@ Landed CSV day files become a Parquet table partitioned by symbol and day, days
 years, and an instrument catalog is kept current.  Every step is one DataFrame job over all symbols.
 """
 
-from barloom.plans.consolidate import consolidate, consolidate_history
+from barloom.plans.consolidate import consolidate, consolidate_history, year_statistics
 from barloom.plans.fetch import plan_head, plan_tail
 from barloom.plans.ingest import BadRows, ingest_days
 from barloom.plans.refresh import refresh_catalog
@@ -35,4 +35,5 @@ __all__ = [
     "refresh_inventory",
     "summary",
     "year_listing",
+    "year_statistics",
 ]

@@ -5,6 +5,7 @@ sixty bars share one; a de-dup on the stamp would lose fifty-nine of them.
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barloom.operators.days import after_mark, held_days, high_water_marks
 from barloom.session import work_table
@@ -41,6 +42,14 @@ def new_rows(existing: DataFrame, daily: DataFrame, mode: str = "hwm") -> DataFr
     return daily.join(work_table(held_days(existing), "held"), ["symbol", "date"], "left_anti")
 
 
+def new_days(known: DataFrame, days: DataFrame, mode: str = "hwm") -> DataFrame:
+    """The same of statistics of years, (symbol, year, last_day, days), instead of their rows."""
+    check_mode(mode)
+    if mode == "hwm":
+        return after_mark(days, known.select("symbol", "year", F.col("last_day").alias("hwm")))
+    return days.join(known.select("symbol", F.explode("days").alias("date")).distinct(), ["symbol", "date"], "left_anti")
+
+
 def merge_bars(existing: DataFrame, daily: DataFrame, mode: str = "hwm") -> DataFrame:
     """Existing rows and the new rows of ``daily``, each row once, in the columns of ``existing``."""
     return union_distinct(existing, new_rows(existing, daily, mode).select(*existing.columns))

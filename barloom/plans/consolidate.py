@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.bars import cast_required, lacking_fault
-from barloom.operators.merge import check_mode, distinct_bars, new_rows
+from barloom.operators.merge import check_mode, distinct_bars, new_days
 from barloom.operators.symbols import requested_symbols
 from barloom.schema import ANY_YEAR, YEARLY_KEYS
 from barloom.session import local_table, prepare, scratch_path, shuffle_width, work_table
@@ -12,6 +12,7 @@ from barloom.sources.health import UNREADABLE, differing_folders, unreadable_fol
 from barloom.sources.inventory import known_days
 from barloom.sources.listings import day_listing, year_listing
 from barloom.sources.publish import free, publish_years, unfinished
+from barloom.sources.statistics import added, keep_statistics, known_statistics, statistics_of
 from barloom.sources.tables import bar_columns, count_rows, read_bars, read_listed, time_order, write_years
 
 TARGET_ROWS = 4_000_000  # of a task and a file of a year
@@ -66,9 +67,16 @@ def _read_days(spark: SparkSession, path: str, wanted: DataFrame, merge_schema:
     return work_table(read, "read")
 
 
-def _new_days(days: DataFrame, existing: DataFrame | None, mode: str) -> DataFrame:
-    """Days to merge, decided on the day listing; no bar is joined for it."""
-    return days if existing is None else new_rows(existing, days, mode)
+def year_statistics(
+    spark: SparkSession, yearly_path: str, years: tuple[int | None, int | None] = ANY_YEAR, merge_schema: bool = True
+) -> DataFrame:
+    """(symbol, year, n_rows, last_day, days) of a yearly table.  Files are opened of those years only that were written
+    by something else than ``consolidate`` since the last call."""
+    return _known(prepare(spark), yearly_path, year_listing(spark, yearly_path, years), merge_schema, years)
+
+
+def _known(spark: SparkSession, path: str, held: DataFrame, merge_schema: bool, years=ANY_YEAR) -> DataFrame:
+    return known_statistics(spark, path, held, lambda stale: _years(spark, path, stale, merge_schema), years)
 
 
 def _ranges(n_rows: int, target_rows: int, cores: int) -> int:
@@ -132,7 +140,7 @@ def consolidate(
     With an ``inventory`` (see ``refresh_inventory``) the days it knows are taken, and no directory of days is listed.
 
     ``mode="hwm"`` takes days after the last day of their symbol and year; ``"missing_days"`` takes all
-    days the year has no row of.  ``years`` bounds the years, both ends included; a nightly run gives
+    days the year has no row of; both are known from the statistics of each year (see ``year_statistics``).  ``years`` bounds the years, both ends included; a nightly run gives
     the running year, so that only its directories are listed and read.  Only years with new days are
     written: first to scratch, where they are checked, then in place of the old ones.
 
@@ -155,13 +163,13 @@ def consolidate(
     if on_bad == "skip":
         faults = work_table(_faulty_years(spark, yearly_path, held, "year", merge_schema), "faults")
         held = work_table(held.join(faults, YEARLY_KEYS, "left_anti"), "held")
-    existing = _years(spark, yearly_path, held, merge_schema)
-    wanted = work_table(_new_days(_without(days, faults), existing, mode), "wanted")
+    known = _known(spark, yearly_path, held, merge_schema, years)
+    wanted = work_table(new_days(known, _without(days, faults), mode), "wanted")
     if on_bad == "skip":
         faults = work_table(faults.unionByName(_faulty_years(spark, daily_path, wanted, "date", merge_schema)), "faults")
         wanted = work_table(_without(wanted, faults), "wanted")
     if wanted.isEmpty():
-        return work_table(_with_errors(_summary(days, None, existing), faults), "summary")
+        return work_table(_with_errors(_summary(days, None, known), faults), "summary")
 
     touched = wanted.groupBy(*YEARLY_KEYS).agg(F.count_distinct("date").alias("n_days"))
     read = _read_days(spark, daily_path, wanted, merge_schema, tolerant=on_bad == "skip")
@@ -171,12 +179,12 @@ def consolidate(
         read, wanted, touched = (_without(listing, bad) for listing in (read, wanted, touched))
     n_new, n_stray, n_largest = read.agg(F.sum("n_rows_in"), F.sum("n_stray"), F.max("n_largest")).first()
     if n_new is None:
-        return work_table(_with_errors(_summary(days, touched, existing), bad), "summary")
+        return work_table(_with_errors(_summary(days, touched, known), bad), "summary")
     new = cast_required(_days(spark, daily_path, wanted, merge_schema)).drop("date")
     extend = extend and mode == "hwm" and not n_stray
     held = held.join(touched, YEARLY_KEYS, "left_semi")
-    old = None if existing is None else _years(spark, yearly_path, held, merge_schema)
-    n_old = 0 if old is None or extend else old.count()
+    old = _years(spark, yearly_path, held, merge_schema)
+    n_old = 0 if old is None or extend else known.join(held, YEARLY_KEYS, "left_semi").agg(F.sum("n_rows")).first()[0] or 0
     # Equal rows share a stamp and so, but for strays, a day: a small largest day bounds their number.
     few_copies = n_largest + n_stray <= MAX_COPIES
     if old is None or extend:
@@ -191,13 +199,21 @@ def consolidate(
         bars, distinct = distinct_bars(bars), False
 
     staging = scratch_path(spark, "staged")
-    staged = _stage(bars, staging, n_old + n_new, target_rows, distinct)
-    results = work_table(_summary(days, touched, existing, read, staged, extend), "summary")
+    staged = work_table(statistics_of(_stage(bars, staging, n_old + n_new, target_rows, distinct)), "statistics")
+    results = work_table(_summary(days, touched, known, read, staged, extend), "summary")
     _check(results, n_stray, extend)
     publish_years(spark, staging, yearly_path, extend)
+    _keep(spark, yearly_path, added(known, staged) if extend else staged)
     return _with_errors(results.drop("n_rows_old", "n_rows_staged"), bad)
 
 
+def _keep(spark: SparkSession, path: str, statistics: DataFrame) -> None:
+    """Record statistics of years that have just been put in place."""
+    years = statistics.agg(F.min("year"), F.max("year")).first()
+    held = year_listing(spark, path, tuple(years)).join(statistics, YEARLY_KEYS, "left_semi")
+    keep_statistics(spark, path, held, statistics)
+
+
 def _faulty_years(spark: SparkSession, path: str, listing: DataFrame, key: str, merge_schema: bool) -> DataFrame:
     """(symbol, year, reason) of the listed symbols and years that have a file which cannot be read, or not with the
     others; of a year with several faults the first by text."""
@@ -227,14 +243,13 @@ def consolidate_history(
     return consolidate(spark, daily_path, yearly_path, years=(first, limit), **options)
 
 
-def _summary(days, touched, existing, read=None, staged=None, extend=False) -> DataFrame:
+def _summary(days, touched, known, read=None, staged=None, extend=False) -> DataFrame:
     """(symbol, year, n_days, n_rows_in, n_rows_out, status) and, of a run that staged years, also
     ``n_rows_old`` and ``n_rows_staged``."""
     groups = days.select(*YEARLY_KEYS).distinct()
     spark = days.sparkSession
-    nothing = local_table(spark, [], "symbol string, year int, n_rows long")
-    old = nothing if existing is None else count_rows(existing, *YEARLY_KEYS)
-    out = nothing if staged is None else count_rows(staged, *YEARLY_KEYS)
+    old = known.select(*YEARLY_KEYS, "n_rows")
+    out = local_table(spark, [], "symbol string, year int, n_rows long") if staged is None else staged.select(*old.columns)
     if touched is None:
         touched = local_table(spark, [], "symbol string, year int, n_days long")
     if read is None:

@@ -38,16 +38,18 @@ def _listing(listed: DataFrame, name: str) -> DataFrame:
 
 
 def list_partitions(spark: SparkSession, path: str, keys: list[str], pattern: str = "") -> DataFrame:
-    """(folder, length, keys): one row per Parquet file, with its partition values as text.
+    """(folder, path, length, modified, keys): one row per Parquet file, with its partition values as text.
 
     A file without rows is listed too, which a scan of the rows would miss.  ``pattern`` narrows the
     directories that are listed at all.
     """
     files = _list_files(spark, f"{path}/{pattern}", ".parquet", basePath=path)
     if files is None or not set(keys) <= set(files.columns):
-        return local_table(spark, [], ", ".join(["folder string", "length long"] + [f"{k} string" for k in keys]))
+        columns = ["folder string", "path string", "length long", "modified timestamp", *[f"{k} string" for k in keys]]
+        return local_table(spark, [], ", ".join(columns))
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
-    return files.select(folder, "length", *[F.col(k).cast("string").alias(k) for k in keys])
+    modified = F.col("modificationTime").alias("modified")
+    return files.select(folder, "path", "length", modified, *[F.col(k).cast("string").alias(k) for k in keys])
 
 
 def _year_pattern(key: str, years: tuple[int | None, int | None], rest: str = "") -> str:
@@ -76,11 +78,13 @@ def day_listing(spark: SparkSession, daily_path: str, years: tuple[int | None, i
 
 
 def year_listing(spark: SparkSession, yearly_path: str, years: tuple[int | None, int | None] = ANY_YEAR) -> DataFrame:
-    """(symbol, year, folder, bytes, n_files): years that have a file."""
+    """(symbol, year, folder, bytes, n_files, fingerprint): years that have a file.  ``fingerprint`` is of the names,
+    lengths and times of the files."""
     files = list_partitions(spark, yearly_path, YEARLY_KEYS, _year_pattern("year", years))
     found = files.withColumn("year", F.col("year").try_cast("int")).where("year is not null")
     sums = [F.min("folder").alias("folder"), F.sum("length").alias("bytes"), F.count("*").alias("n_files")]
-    found = found.groupBy("symbol", "year").agg(*sums)
+    fingerprint = F.bit_xor(F.xxhash64("path", "length", "modified")).alias("fingerprint")
+    found = found.groupBy("symbol", "year").agg(*sums, fingerprint)
     return _listing(within_years(found, years), "years")
 
 

@@ -16,7 +16,7 @@ from barloom.operators import days as D
 from barloom.operators.latest import assumed_days, keep_or_update, latest_days, newest_years
 from barloom.operators.merge import distinct_bars, merge_bars
 from barloom.operators.symbols import known_symbols, split_request, unknown_symbols, with_catalog
-from barloom.plans.consolidate import consolidate, consolidate_history
+from barloom.plans.consolidate import consolidate, consolidate_history, year_statistics
 from barloom.plans.fetch import plan_head, plan_tail
 from barloom.plans.ingest import ingest_days
 from barloom.plans.refresh import patch_documents, refresh_catalog
@@ -263,7 +263,7 @@ def metadata_left_join(spark, sf_dir):
     return keep_or_update(rows, newest, day_literal(date(2023, 12, 31)))
 
 
-def _consolidated_files(spark, sf_dir, mode):
+def _two_runs(spark, sf_dir, mode, **options):
     """Daily files of January 11 to 20 are consolidated, then all other days land and the run is repeated."""
     events = _table(spark, sf_dir, "events")
     bars = _bars_of(events, F.col("event_type")).withColumn("_pos", F.monotonically_increasing_id())
@@ -272,8 +272,12 @@ def _consolidated_files(spark, sf_dir, mode):
     append_daily(bars.where(early), daily)
     consolidate(spark, daily, yearly, mode)
     append_daily(bars.where(~early), daily)
-    consolidate(spark, daily, yearly, mode)
-    return read_bars(spark, yearly).select(
+    consolidate(spark, daily, yearly, mode, **options)
+    return yearly
+
+
+def _consolidated_files(spark, sf_dir, mode):
+    return read_bars(spark, _two_runs(spark, sf_dir, mode)).select(
         "symbol",
         F.col("year").cast("int").alias("yr"),
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
@@ -291,6 +295,13 @@ def consolidate_files_missing_days(spark, sf_dir):
     return _consolidated_files(spark, sf_dir, "missing_days")
 
 
+def statistics_of_year_files(spark, sf_dir):
+    """Rows, last day and days of each year after a run that added files to it."""
+    known = year_statistics(spark, _two_runs(spark, sf_dir, "hwm", extend=True))
+    n_days = F.size("days").cast("long").alias("n_days")
+    return known.select("symbol", F.col("year").alias("yr"), "n_rows", "last_day", F.get("days", F.lit(0)).alias("first_day"), n_days)
+
+
 def _days_of_three_years(spark, sf_dir) -> DataFrame:
     """Events as bars of their type; users with a remainder of 1 or 2 by three are one or two years earlier."""
     events = _table(spark, sf_dir, "events")
@@ -547,6 +558,7 @@ QUERIES = {
     "metadata_left_join": metadata_left_join,
     "consolidate_files": consolidate_files,
     "consolidate_files_missing_days": consolidate_files_missing_days,
+    "statistics_of_year_files": statistics_of_year_files,
     "history_files": history_files,
     "year_files_with_bad_days": year_files_with_bad_days,
     "year_files_with_unreadable_days": year_files_with_unreadable_days,

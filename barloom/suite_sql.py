@@ -153,6 +153,13 @@ select distinct symbol, yr, timestamp, unix_time, open, volume from bars
 where cast(timestamp as date) >= date '2024-01-11'""",
     "consolidate_files_missing_days": f"""
 with {_EVENT_BARS} select distinct symbol, yr, timestamp, unix_time, open, volume from bars""",
+    "statistics_of_year_files": f"""
+with {_EVENT_BARS},
+  kept as (select distinct symbol, yr, timestamp, unix_time, open, volume from bars
+    where cast(timestamp as date) >= date '2024-01-11')
+select symbol, yr, count(*) as n_rows, cast(max(timestamp) as date) as last_day, cast(min(timestamp) as date) as first_day,
+  count(distinct cast(timestamp as date)) as n_days
+from kept group by symbol, yr""",
     "history_files": f"""
 with {_MOVED_BARS}
 select distinct symbol, yr, timestamp, unix_time, value as open, value as volume from bars
