@@ -5,7 +5,7 @@ years, and an instrument catalog is kept current.  Every step is one DataFrame j
 """
 
 from barloom.plans.consolidate import consolidate, consolidate_history, year_statistics
-from barloom.plans.fetch import plan_head, plan_tail
+from barloom.plans.fetch import plan_head, plan_ranges, plan_tail
 from barloom.plans.ingest import BadRows, ingest_days
 from barloom.plans.refresh import refresh_catalog
 from barloom.plans.summary import summary
@@ -26,6 +26,7 @@ __all__ = [
     "merge_listing",
     "new_session",
     "plan_head",
+    "plan_ranges",
     "plan_tail",
     "prepare",
     "read_bars",

@@ -1,6 +1,6 @@
 """Days a symbol has, lacks, or has past its mark."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.days import days_between
@@ -55,6 +55,41 @@ def fetch_window(marks: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def held_ranges(days: DataFrame) -> DataFrame:
+    """(symbol, first, last) of each run of consecutive days."""
+    before = Window.partitionBy("symbol").orderBy("date")
+    distinct = days.select("symbol", "date").where("date is not null").distinct()
+    island = F.date_sub("date", F.row_number().over(before)).alias("island")
+    runs = distinct.select("symbol", "date", island).groupBy("symbol", "island")
+    return runs.agg(F.min("date").alias("first"), F.max("date").alias("last")).drop("island")
+
+
+def missing_ranges(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """(columns of spans, first, last) of each run of days that a symbol lacks.
+
+    ``spans`` has (symbol, start, end), one row for each symbol, both ends included.  As many rows as there are gaps are
+    made, not one for each missing day; a symbol without days has one, the whole span.
+    """
+    runs = held_ranges(days.join(spans, "symbol", "left_semi"))
+    in_time = Window.partitionBy("symbol").orderBy("first")
+    # the gap before each run, and the one after the last run
+    gaps = runs.select(
+        "symbol",
+        F.date_add(F.lag("last").over(in_time), 1).alias("after"),
+        F.date_sub("first", 1).alias("before"),
+        F.when(F.lead("first").over(in_time).isNull(), F.date_add("last", 1)).alias("beyond"),
+    )
+    none = F.lit(None).cast("date")
+    pair = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+    both = F.array(pair(F.col("after"), F.col("before")), pair(F.col("beyond"), none))
+    last_too = F.when(F.col("beyond").isNotNull(), both).otherwise(F.slice(both, 1, 1))
+    gaps = gaps.select("symbol", F.inline(last_too))
+    ranges = spans.join(gaps, "symbol", "left")
+    first = F.greatest(F.col("start"), F.col("low")).alias("first")
+    last = F.least(F.col("end"), F.col("high")).alias("last")
+    return ranges.select(*spans.columns, first, last).where("first <= last").drop("start", "end")
+
+
 def day_status(days: DataFrame, required: Column, end: Column) -> DataFrame:
     """Per symbol: does its tail reach ``end``, does its history start at ``required``?"""
     spans = days.groupBy("symbol").agg(F.min("date").alias("first"), F.max("date").alias("last"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.days import day_literal
-from barloom.operators.days import calendar, earliest_day, newest_day, without_existing
+from barloom.operators.days import calendar, earliest_day, missing_ranges, newest_day, without_existing
 from barloom.operators.symbols import choose_symbols
 
 
@@ -37,6 +37,13 @@ def plan_tail(
     return without_existing(days, existing.select("symbol", "date").distinct())
 
 
+def plan_ranges(catalog: DataFrame, existing: DataFrame, end_date: date | str) -> DataFrame:
+    """(symbol, id, first, last) of each run of days to fetch, from a symbol's own earliest date to ``end_date``: its
+    head, the gaps between its days, and its tail."""
+    spans = catalog.select("symbol", "id", F.col("earliest_date").alias("start"), day_literal(end_date).alias("end"))
+    return missing_ranges(spans, existing)
+
+
 def plan_head(catalog: DataFrame, existing: DataFrame, as_of: date | str) -> DataFrame:
     """Days to fetch from a symbol's earliest date up to, not including, its first existing day, or
     ``as_of`` when it has none."""

@@ -17,7 +17,7 @@ from barloom.operators.latest import assumed_days, keep_or_update, latest_days,
 from barloom.operators.merge import distinct_bars, merge_bars
 from barloom.operators.symbols import known_symbols, split_request, unknown_symbols, with_catalog
 from barloom.plans.consolidate import consolidate, consolidate_history, year_statistics
-from barloom.plans.fetch import plan_head, plan_tail
+from barloom.plans.fetch import plan_head, plan_ranges, plan_tail
 from barloom.plans.ingest import ingest_days
 from barloom.plans.refresh import patch_documents, refresh_catalog
 from barloom.plans.summary import summary
@@ -124,6 +124,14 @@ def override_gap(spark, sf_dir):
     return _as_plan(plan_tail(_catalog(spark, sf_dir), _event_days(spark, sf_dir), LAST_DAY, FIRST_DAY))
 
 
+def missing_ranges(spark, sf_dir):
+    """Runs of days without an error event of the symbol."""
+    events = _table(spark, sf_dir, "events").where("event_type = 'error'")
+    days = events.select(_user_symbol("user_id").alias("symbol"), F.to_date("ts").alias("date"))
+    ranges = plan_ranges(_catalog(spark, sf_dir), days, LAST_DAY)
+    return ranges.select("symbol", "id", F.col("first").alias("first_day"), F.col("last").alias("last_day"))
+
+
 def planned_landed(spark, sf_dir):
     """Days without an error event, of which some event has landed."""
     events = _table(spark, sf_dir, "events")
@@ -534,6 +542,7 @@ QUERIES = {
     "tail_gap": tail_gap,
     "head_backfill": head_backfill,
     "override_gap": override_gap,
+    "missing_ranges": missing_ranges,
     "planned_landed": planned_landed,
     "work_status": work_status,
     "fetch_window": fetch_window,

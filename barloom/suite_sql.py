@@ -79,6 +79,13 @@ with {_EVENT_DAYS}, {_CATALOG},
     from catalog)
 select w.symbol, w.id, w.d from wanted w
 where not exists (select 1 from b where b.symbol = w.symbol and b.d = w.d)""",
+    "missing_ranges": f"""
+with {_EVENT_DAYS}, {_CATALOG},
+  wanted as (select symbol, id, {_DAYS.format("earliest", "date '2024-01-30'")} as d from catalog),
+  lacking as (select symbol, id, d from wanted w
+    where not exists (select 1 from b where b.symbol = w.symbol and b.d = w.d and b.event_type = 'error')),
+  numbered as (select *, d - cast(row_number() over (partition by symbol order by d) as integer) as island from lacking)
+select symbol, id, min(d) as first_day, max(d) as last_day from numbered group by symbol, id, island""",
     "planned_landed": f"""
 with {_EVENT_DAYS}, {_CATALOG},
   wanted as (select symbol, id, {_DAYS.format("greatest(date '2024-01-01', earliest)", "date '2024-01-30'")} as d

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from barloom import plan_head, plan_tail
+from barloom import plan_head, plan_ranges, plan_tail
 from barloom.functions.bars import epoch_seconds
 from barloom.functions.days import date_columns, iso_day, year_of_key
 from barloom.operators.days import (
@@ -94,6 +94,25 @@ def test_plans_against_loops(spark, catalog, held, override, end):
     assert plan(plan_head(catalog, existing, day(end))) == sorted(head)
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    held=st.lists(st.tuples(st.sampled_from(["AAA", "BBB", "007", "ZZZ"]), st.integers(-2, 12)), max_size=20),
+    end=st.integers(-2, 10),
+)
+def test_ranges_against_loops(spark, catalog, held, end):
+    base = date(2025, 1, 1)
+    existing = spark.createDataFrame([(s, base + timedelta(days=n)) for s, n in held], "symbol string, date date")
+    expected = []
+    for symbol, earliest in {"AAA": 0, "BBB": 2, "007": 0}.items():
+        lacking = [n for n in range(earliest, end + 1) if (symbol, n) not in held]
+        for n in lacking:
+            if n - 1 not in lacking:
+                last = next(m for m in range(n, end + 1) if m + 1 not in lacking)
+                expected.append((symbol, base + timedelta(days=n), base + timedelta(days=last)))
+    got = plan_ranges(catalog, existing, base + timedelta(days=end))
+    assert sorted((r.symbol, r.first, r.last) for r in got.collect()) == sorted(expected)
+
+
 def test_requests(spark, catalog):
     requested = requested_symbols(spark, "AAA, ZZZ ,007,AAA")
     assert sorted(r.symbol for r in requested.collect()) == ["007", "AAA", "ZZZ"]
