@@ -72,8 +72,8 @@ def test_near_documents_in_large_groups(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     sets = {n: shingles(t) for n, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
-    for block in (minhash.BLOCK, 8):
-        got = minhash.near_documents(table, block=block).collect()
+    for block, crowd in ((minhash.BLOCK, minhash.CROWD), (8, minhash.CROWD), (minhash.BLOCK, 4), (8, 2)):
+        got = minhash.near_documents(table, block=block, crowd=crowd).collect()
         assert {r.doc_id: r.component_id for r in got} == groups(links, sets)
 
 
@@ -91,6 +91,17 @@ def test_near_documents_of_repeated_ids(spark):
         assert {r.doc_id: r.component_id for r in got} == linked and len(got) == len(linked)
 
 
+def test_parts_of_a_bucket():
+    """A pair at the least similarity is in a part together, and is looked at in the first such part alone."""
+    random = np.random.default_rng(3)
+    for band in range(minhash.BANDS):
+        ways = minhash._earlier(band, minhash.PARTS)
+        own = set(range(minhash.ROWS * band, minhash.ROWS * (band + 1)))
+        assert len(ways) >= 39 and all(own.isdisjoint(range(minhash.PART * p, minhash.PART * (p + 1))) for p in ways)
+    equal = random.random((200_000, 39, minhash.PART)) < 0.75
+    assert equal.all(2).any(1).sum() >= 199_999
+
+
 def test_pruning_keeps_what_is_similar():
     needed = minhash.least_matches(0.75)
     random = np.random.default_rng(1)
