@@ -329,17 +329,18 @@ def near_documents(
     # 2: members of a bucket that different components hold, in blocks: signatures first, then sets where needed
     held = members.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     mixed = held.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    held = held.join(mixed, "key", "left_semi").select("key", "band", "rep", "n", "root", "size")
-    held = work_table(held.join(small.select("rep", "small"), "rep"), "held")
-    columns = ["rep", "n", "root", "small", "band"]
-    dealt = held.where(F.col("size") > crowd).select(*columns, F.explode(_dealt()).alias("dealt")).select(*columns, "dealt.*")
-    held = held.where(F.col("size") <= crowd).select(*columns, F.lit(-1).alias("part"), "key").union(dealt)
+    held = work_table(held.join(mixed, "key", "left_semi").select("key", "band", "rep", "root", "size"), "held")
+    crowded = held.where(F.col("size") > crowd).join(small.select("rep", "small"), "rep")
+    # signatures are joined again after parts of one component are gone: they would be most of what is shuffled
+    dealt = crowded.select("rep", "root", "band", F.explode(_dealt()).alias("dealt")).select("rep", "root", "band", "dealt.*")
+    held = held.where(F.col("size") <= crowd).select("rep", "root", "band", F.lit(-1).alias("part"), "key").union(dealt)
     blocks = held.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    held = held.join(blocks.where("r0 < r1").select("key", "blocks"), "key")
+    held = held.join(blocks.where("r0 < r1").select("key", "blocks"), "key").join(small, "rep")
     held = held.withColumn("block", F.pmod(F.xxhash64("rep", "key"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    held = held.select("key", *columns, "part", "block", other.alias("o")).select(
-        "key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), *columns, "part", "block"
+    columns = ["rep", "n", "root", "small", "band", "part", "block"]
+    held = held.select("key", *columns, other.alias("o")).select(
+        "key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), *columns
     )
     kinds = "key long, i int, j int, rep long, n long, root long, small binary, band int, part int, block int"
     met = work_table(held.groupBy("key", "i", "j").applyInArrow(_involved(similarity), kinds), "met")
