@@ -19,7 +19,7 @@ BATCH, MISS = 16, 1e-6
 #: A bucket with more members is dealt into parts by further hashes; blocks of a bucket or part are compared with one another.
 CROWD, BLOCK = 4096, 256
 #: Hashes that members of a part share besides their band, and how many such groups a signature has. A pair at the
-#: similarity 0.75 is in no part together with a chance of 4e-10: the 2 or 3 groups that meet its band's hashes do not count.
+#: similarity 0.75 is in no part together with a chance of 3e-10: the groups, two at most, that meet its band's hashes do not count.
 PART = 3
 PARTS = ROWS * BANDS // PART
 #: Numbers from here on are those of classes without an id of their own.
