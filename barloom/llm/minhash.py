@@ -4,13 +4,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.graph import components
 from barloom.llm.ship import ship
 from barloom.llm.units import LOWER_VALUES, SLICE, mix, prefix, runs, slices, spans, words
-from barloom.session import work_table
+from barloom.session import settings, work_table
 
 #: Words of a shingle; rows of a band and bands. At the similarity 0.75 a pair shares no band with a chance of 5e-6.
 SHINGLE, ROWS, BANDS = 5, 4, 32
@@ -26,6 +26,8 @@ PARTS = ROWS * BANDS // PART
 OWN = 1 << 62
 #: Documents that one task verifies against one other.
 CHUNK = 64
+#: Bits for each key of the Bloom filter that keeps other texts out of a shuffle, and the most bits and keys Spark plans one for.
+KEY_BITS, MOST_BITS, MOST_KEYS = 10, 1 << 26, 4_000_000
 
 _random = np.random.default_rng(5)
 FACTORS = _random.integers(1, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -254,6 +256,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return work_table(sets.groupBy("hub", "chunk").applyInArrow(_verify_chunk(similarity), "a long, b long"), "linked")
 
 
+def filtered(spark: SparkSession, keys: int):
+    """Inside the block Spark makes a Bloom filter of the side of a shuffled join that has a condition, here of so many
+    ``keys``, and drops rows of the other side by it before they are shuffled. The join decides; more keys than
+    MOST_KEYS let more rows through to it."""
+    prefix = "spark__sql__optimizer__runtime__bloomFilter__"
+    values = {
+        "enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": str(1 << 40),
+        "expectedNumItems": min(max(keys, 1), MOST_KEYS), "numBits": min(max(KEY_BITS * keys, 1 << 10), MOST_BITS),
+    }
+    return settings(spark, **{prefix + name: value for name, value in values.items()})
+
+
+def _texts_of(met: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc_id, text): the text of each class (doc_id, mark, rep, buckets) under the number of its class."""
+    found = rows.join(met.where("buckets > 0"), ["doc_id", "mark"])
+    return found.select(F.col("rep").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+
+
 def _best(pairs: DataFrame, *keys: str) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(F.desc("m"), "a", "b")
     return pairs.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
@@ -296,7 +316,7 @@ def near_documents(
     a null id are left out. An id on several rows gives one row: its texts count as linked, n_shingles is the largest;
     such ids must be below 2^62.
     """
-    ship(docs.sparkSession)
+    spark = ship(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
     rows = rows.withColumn("mark", F.xxhash64("text"))
     kinds = "doc_id long, mark long, n long, digest binary, keys array<long>, small binary"
@@ -320,9 +340,10 @@ def near_documents(
     # 1: each member against the least of its bucket; the best of its partners is verified
     stars = members.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     stars = work_table(survivors(stars), "stars")
-    met = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("doc_id", "mark", "rep")
-    texts = rows.join(work_table(met, "met"), ["doc_id", "mark"]).select(F.col("rep").alias("doc_id"), "text")
-    texts = work_table(texts.dropDuplicates(["doc_id"]), "texts")
+    seen = members.groupBy("rep").agg(F.count("*").alias("buckets"))
+    met = work_table(classes.join(seen, "rep").select("doc_id", "mark", "rep", "buckets"), "met")
+    with filtered(spark, met.count()):
+        texts = work_table(_texts_of(met, rows), "texts")
     links = _verified(_best(stars, "b"), texts, similarity)
     roots = work_table(components(links), "roots")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import minhash, substring, suffix_dedup
 from barloom.llm.graph import components
+from barloom.session import settings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -91,6 +92,24 @@ def test_near_documents_of_repeated_ids(spark):
         assert {r.doc_id: r.component_id for r in got} == linked and len(got) == len(linked)
 
 
+def test_texts_are_filtered_before_the_shuffle(spark, tmp_path):
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows").withColumn("mark", F.xxhash64("text"))
+    met = rows.where("doc_id % 100 = 0").select("doc_id", "mark", (F.col("doc_id") + 1).alias("rep"), F.lit(2).alias("buckets"))
+    met.write.parquet(f"{tmp_path}/met")
+    met = spark.read.parquet(f"{tmp_path}/met")
+    before = spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        with minhash.filtered(spark, met.count()):
+            found = minhash._texts_of(met, rows)
+            assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
+            assert {r.doc_id: r.text for r in found.collect()} == {i + 1: f"text {i}" for i in range(0, 4000, 100)}
+        with minhash.filtered(spark, 10**9):  # more keys than a filter is planned for
+            assert minhash._texts_of(met, rows).count() == 40
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits") == before
+
+
 def test_parts_of_a_bucket():
     """A pair at the least similarity is in a part together, and is looked at in the first such part alone."""
     random = np.random.default_rng(3)
