@@ -3,15 +3,15 @@
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.ship import ship
+from barloom.llm.units import slices, words
 from barloom.session import work_table
 
 OTHER = "other"
-#: Words of a text; null has none.
-WORDS = r"[^\x20\x09-\x0D]+"
 
 
 @dataclass
@@ -74,6 +74,17 @@ def rake(
     return wanted
 
 
+def _counts(texts: pa.Array) -> pa.Array:
+    counts = [np.diff(words(part).of) for part in slices(texts)]
+    return pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64())
+
+
+def n_words(text: str) -> Column:
+    """Words `[^\\x20\\x09-\\x0D]+` of each whole text; null has none. They are counted in Arrow batches: `regexp_count`
+    makes an array of all words of a text to take its size, which fills an executor's heap."""
+    return F.arrow_udf(_counts, "long")(F.col(text).cast("string"))
+
+
 def with_cells(docs: DataFrame, dimensions: dict[str, str], targets: dict[str, dict[str, float]], text: str = "text") -> DataFrame:
     """``docs`` with a struct ``_cell`` of the dimensions' values (SQL expressions) and the words ``_tokens`` of the whole text. A value that
     has no target, or null, counts as `other`."""
@@ -91,8 +102,8 @@ def _with_cells(raw: DataFrame, targets: dict[str, dict[str, float]] | None, nam
 def _with_values(docs: DataFrame, dimensions: dict[str, str], text: str) -> DataFrame:
     """``docs`` with a struct ``_raw`` of the dimensions' values as they are, and the words ``_tokens``."""
     raw = F.struct(*[F.expr(sql).cast("string").alias(name) for name, sql in dimensions.items()])
-    tokens = F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
-    return docs.withColumn("_raw", raw).withColumn("_tokens", tokens)
+    ship(docs.sparkSession)
+    return docs.withColumn("_raw", raw).withColumn("_tokens", n_words(text))
 
 
 def _counted(raw: DataFrame) -> DataFrame:

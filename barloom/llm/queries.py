@@ -16,13 +16,15 @@ from barloom.llm.vector_dedup import near_vectors
 
 #: What a mix balances; its targets are the flattened shares that the input has. There is no topic in the tables: it is
 #: the form of most of a text (a sign between cells for every fifth word, capitals, signs), not a mark that it holds.
+#: Characters are counted by the length of what is left of a text: `regexp_count` makes an array of them, a string each.
 DIMENSIONS = {
     "source": "source",
     "lang": "lang",
     "topic": (
-        r"case when regexp_count(text, '[|\\t]') * 5 > regexp_count(text, '[^\\x20\\x09-\\x0D]+') then 'table' "
-        r"when regexp_count(text, '\\p{Lu}') > regexp_count(text, '\\p{Ll}') then 'shout' "
-        r"when regexp_count(text, '[^\\p{L}\\p{M}\\p{N}\\s]') * 5 > length(text) then 'noise' else 'prose' end"
+        r"case when length(regexp_replace(text, '[^|\\t]+', '')) * 5 > "
+        r"length(regexp_replace(regexp_replace(text, '[^\\x20\\x09-\\x0D]+', 'w'), '[\\x20\\x09-\\x0D]+', '')) then 'table' "
+        r"when length(regexp_replace(text, '\\P{Lu}+', '')) > length(regexp_replace(text, '\\P{Ll}+', '')) then 'shout' "
+        r"when length(regexp_replace(text, '[\\p{L}\\p{M}\\p{N}\\s]+', '')) * 5 > length(text) then 'noise' else 'prose' end"
     ),
 }
 

@@ -189,6 +189,27 @@ def test_mix(spark, docs, empty):
     assert abs(chosen["b"] / sum(chosen.values()) - 0.4) < 0.03 and abs(sum(chosen.values()) / found.tokens.sum() - 0.4) < 0.03
 
 
+def test_mix_counts_words_without_making_them(spark, docs, empty):
+    odd = spark.createDataFrame([(1, "\u00a0 a\x0bb\x1cc"), (2, "x" * 3_000_000 + " y"), (3, None), (4, ""), (5, " \n")], "doc_id long, text string")
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    for table in (odd, docs, empty):
+        found = table.select("text", words.cast("long").alias("n"), mixing.n_words("text").alias("found"))
+        assert found.where("n <> found or found is null").count() == 0
+    topic = (
+        r"case when regexp_count(text, '[|\\t]') * 5 > regexp_count(text, '[^\\x20\\x09-\\x0D]+') then 'table' "
+        r"when regexp_count(text, '\\p{Lu}') > regexp_count(text, '\\p{Ll}') then 'shout' "
+        r"when regexp_count(text, '[^\\p{L}\\p{M}\\p{N}\\s]') * 5 > length(text) then 'noise' else 'prose' end"
+    )
+    random.seed(11)
+    made = [("".join(random.choices("aé漢ßÀBÇ😀𝒜𝒶|\t\n\x0b\u00a0\x1c \u0301#$7", k=random.randrange(30))),) for _ in range(3000)]
+    made = spark.createDataFrame(made, "text string").union(docs.select("text")).union(odd.select("text").where("doc_id <> 2"))
+    both = made.select(F.expr(topic).alias("old"), F.expr(DIMENSIONS["topic"]).alias("new"))
+    assert both.where("not old <=> new").count() == 0 and both.select("new").distinct().count() == 4
+    targets = {name: {"x": 1.0} for name in DIMENSIONS}
+    plan = mixing.with_cells(docs, DIMENSIONS, targets)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "regexp_count" not in plan  # arrays of all words or characters of a text
+
+
 def test_mix_of_unseen_values(spark):
     texts = ["clean words go here " * 9 + end for end in ("", "### heading", "a | b")] + ["LOUD!! " * 9, "a | b | c | d", "$$$ %%% &&& x"]
     rows = [(i, texts[i % 6], ["new", "other", None, "rare"][min(i % 50, 3)], ["pt", None][i % 2]) for i in range(3000)]
