@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.units import SLICE, Slice, slices
+from barloom.llm.units import SMALL, Slice, slices
 
 #: Families of languages by code: fixed values. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -72,7 +72,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feature frequencies of each labelled text that are not zero: their places as uint16 and values as float32."""
     for batch in batches:
         places, values, sizes = [], [], []
-        for part in slices(batch.column(1), SLICE // 2):
+        for part in slices(batch.column(1), SMALL):
             codes = [rows.astype(np.int64) << BITS | at for rows, at in _places(part)]
             codes, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_counts=True)
             rows, size = codes >> BITS, part.last - part.first
@@ -259,7 +259,7 @@ def identify(
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores, usual = [], [], []
-            for part in slices(batch.column(kept.index(text)), SLICE // 2):
+            for part in slices(batch.column(kept.index(text)), SMALL):
                 some, sure = model.predict(part)
                 langs += some.tolist()
                 scores += np.round(sure, 6).tolist()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.graph import components
 from barloom.llm.ship import ship
-from barloom.llm.units import LOWER_VALUES, SLICE, mix, prefix, runs, slices, spans, words
+from barloom.llm.units import LOWER_VALUES, SMALL, mix, prefix, runs, slices, spans, words
 from barloom.session import settings, work_table
 
 #: Words of a shingle; rows of a band and bands. At the similarity 0.75 a pair shares no band with a chance of 5e-6.
@@ -36,7 +36,7 @@ BAND_SALT = _random.integers(1, 2**63, BANDS, dtype=np.uint64)
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text: runs of five lower-cased words, or all words if there are fewer."""
-    for part in slices(column, SLICE // 2):
+    for part in slices(column, SMALL):
         found = words(part)
         hashes = spans(prefix(part.data, LOWER_VALUES), found.starts, found.ends)
         whole = runs(hashes, SHINGLE)

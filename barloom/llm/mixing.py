@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.ship import ship
-from barloom.llm.units import slices, words
+from barloom.llm.units import SMALL, slices, words
 from barloom.session import work_table
 
 OTHER = "other"
@@ -75,7 +75,7 @@ def rake(
 
 
 def _counts(texts: pa.Array) -> pa.Array:
-    counts = [np.diff(words(part).of) for part in slices(texts)]
+    counts = [np.diff(words(part).of) for part in slices(texts, SMALL)]
     return pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64())
 
 

@@ -12,6 +12,8 @@ import pyarrow as pa
 
 #: Bytes of text handled at once; one longer text is handled alone.
 SLICE = 1 << 21
+#: The same where each byte takes many bytes of work: what a worker needs beyond its batch stays at some ten megabytes.
+SMALL = 1 << 17
 
 _random = np.random.default_rng(20240817)
 BYTE_VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64)
@@ -31,7 +33,8 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     """BASE (or its inverse) to the powers 0..n-1, modulo 2^64; kept up to the usual slice."""
     have = _powers.get(inverse)
     if have is None or len(have) < n:
-        have = np.full(max(n, SLICE + 1), BASE_INVERSE if inverse else BASE, np.uint64)
+        size = max(n, min(max(1 << n.bit_length(), SMALL), SLICE) + 1)
+        have = np.full(size, BASE_INVERSE if inverse else BASE, np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
         if n <= SLICE + 1:
