@@ -3,6 +3,7 @@
 import hashlib
 import heapq
 import math
+import random
 import re
 from array import array
 from collections import Counter
@@ -11,6 +12,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +24,10 @@ SPACE = "▁"
 LITERAL = "\ud800"
 #: What an unknown character costs beyond the worst piece; pieces below FORBIDDEN are not counted as the worst.
 PENALTY, FORBIDDEN = 10.0, -1e8
-#: Words whose segmentations a worker keeps, and as many again from before.
+#: Words whose segmentations a worker keeps at least; at twice as many it begins anew.
 KEPT = 300_000
+#: Characters of words that are cut together as arrays, and the longest such word; a longer one is cut by itself.
+AT_ONCE, LONG = 1 << 17, 64
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Different words that a task counts before it hands them on.
 COUNTED = 300_000
@@ -90,6 +94,18 @@ def merged(word: str, pieces: Pieces) -> list[str]:
     merged first, the leftmost of equal ones."""
     parts, scores = list(word), pieces.scores
     size = len(parts)
+    if size <= LONG:  # looking through all neighbours is quicker than a heap of them
+        get, none = scores.get, -math.inf
+        worth = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while worth and (top := max(worth)) > none:
+            i = worth.index(top)
+            parts[i] += parts.pop(i + 1)
+            del worth[i]
+            if i < len(worth):
+                worth[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                worth[i - 1] = get(parts[i - 1] + parts[i], none)
+        return parts
     after, before = list(range(1, size + 1)), list(range(-1, size - 1))
     heap = [(-scores[two], i, two) for i in range(size - 1) if (two := parts[i] + parts[i + 1]) in scores]
     heapq.heapify(heap)
@@ -114,12 +130,17 @@ def counted(docs: DataFrame, pieces: Pieces, text: str = "text") -> Pieces:
     before the shuffle, different words are cut once; the driver gets a row for each piece of the vocabulary."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, found = Encoder(pieces, 1)._words, Counter()
-        for batch in batches:
-            for line in batch.column(0):
-                one = line.as_py()
-                if one:
-                    found.update(split(one))
+        encoder, found = Encoder(pieces, 1), Counter()
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1024):
+                texts = [text or "" for text in whole.column(0).slice(first, 1024).to_pylist()]
+                plain, other = encoder.plain(texts)
+                if plain:
+                    counts = split_at_blanks([texts[i] for i in plain]).values.value_counts()
+                    for word, count in zip(counts.field(0).to_pylist(), counts.field(1).to_pylist()):
+                        found[SPACE + word] += count
+                for i in other:
+                    found.update(encoder._words(texts[i]) if texts[i] else ())
                 if len(found) > COUNTED:
                     yield _counts([w.encode("utf-8", "surrogatepass") for w in found], list(found.values()), pa.binary())
                     found.clear()
@@ -145,6 +166,12 @@ def counted(docs: DataFrame, pieces: Pieces, text: str = "text") -> Pieces:
     return replace(pieces, scores=scores)
 
 
+def split_at_blanks(texts: list[str]) -> pa.LargeListArray:
+    """The words of texts that are :meth:`Encoder.plain`, without the sign that each begins with."""
+    found = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    return found.cast(pa.large_list(pa.large_string()))
+
+
 def _counts(keys: list, counts: list[int], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(counts, pa.int64())], names=["key", "count"])
 
@@ -152,19 +179,21 @@ def _counts(keys: list, counts: list[int], kind: pa.DataType) -> pa.RecordBatch:
 def viterbi(text: str, pieces: Pieces) -> tuple[list[float], list[list[tuple[int, float]]]]:
     """Forward: for each place the score of the best way to it from the start, and the pieces that end there as
     (start, score). A character that is no piece by itself is an edge of its own, written as bytes."""
-    best, ending = [0.0], [[]]
-    scores, longest = pieces.scores, pieces.longest
+    best, ending, worst = [0.0], [[]], pieces.worst
+    get, none = pieces.endings.get, NO_ENDING
     for end in range(1, len(text) + 1):
-        found, top = [], -float("inf")
-        for start in range(max(end - longest, 0), end):
-            score = scores.get(text[start:end])
-            if score is None:
-                if start < end - 1:
-                    continue
-                score = pieces.worst
-            found.append((start, score))
-            top = max(top, best[start] + score)
-        best.append(top)
+        start = end - 1
+        score = get(text[start:end], none)
+        known = score is not none
+        found = [(start, worst if not known or score is None else score)]
+        while known and start:  # back as far as some piece ends like this
+            start -= 1
+            score = get(text[start:end], none)
+            known = score is not none
+            if known and score is not None:
+                found.append((start, score))
+        found.reverse()
+        best.append(max(best[start] + score for start, score in found))
         ending.append(found)
     return best, ending
 
@@ -253,6 +282,144 @@ def best_of_sorted(words: list[str], pieces: Pieces) -> Iterator[tuple[float, by
         yield best[size], array("i", out).tobytes(), best[size] - second[size]
 
 
+class Lattice:
+    """Pieces as arrays, to cut many words together. What pieces end with is a trie read from the end: the child of a node
+    by a character is at the node's place plus the character's number, if the node owns that entry."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        nodes = {"": 0} | {key: i for i, key in enumerate(sorted(pieces.endings, key=len), 1)}
+        chars = sorted({key[0] for key in pieces.endings})
+        self.numbers = np.zeros(ord(chars[-1]) + 2 if chars else 1, np.int32)  # 0 and the last entry: no piece has it
+        self.numbers[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.scores = np.array([math.nan] + [math.nan if (s := pieces.endings[key]) is None else s for key in nodes if key])
+        self.ids = np.array([pieces.ids.get(key, -1) for key in nodes], np.int32)
+        children: dict[int, list[tuple[int, int]]] = {}
+        for key, node in nodes.items():
+            if key:
+                children.setdefault(nodes[key[1:]], []).append((int(self.numbers[ord(key[0])]), node))
+        self.places = np.zeros(len(nodes), np.int32)
+        size, pick = 4 * len(nodes), random.Random(1)
+        owner, child = [-1] * (size + len(chars) + 1), [0] * (size + len(chars) + 1)
+        # nodes with many children first, the root at 0; a place that no other node's entries meet is soon found by chance
+        for node, below in sorted(children.items(), key=lambda item: (item[0] > 0, -len(item[1]))):
+            for place in (pick.randrange(size) if node else 0 for _ in range(1000)):
+                if all(owner[place + number] < 0 for number, _ in below):
+                    break
+            else:
+                place = len(owner)
+                owner += [-1] * (len(chars) + 1)
+                child += [0] * (len(chars) + 1)
+            self.places[node] = place
+            for number, to in below:
+                owner[place + number], child[place + number] = node, to
+        # beyond the last place any character's number is still within the arrays
+        self.owner = np.array(owner + [-1] * (len(chars) + 1), np.int32)
+        self.child = np.array(child + [0] * (len(chars) + 1), np.int32)
+
+    def cut(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the score of the best way, what the second best loses, where its ids begin and how many they are;
+        and all ids. The same as :func:`best_of_sorted`, for words that are not empty, one place of all words after the other."""
+        n = len(words)
+        lengths = np.fromiter(map(len, words), np.int32, n)
+        order = np.argsort(-lengths, kind="stable")  # words that are still going on at a place come first
+        left, longest = lengths[order], int(lengths.max())
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        begin = (np.cumsum(lengths) - lengths)[order]
+        going = np.searchsorted(-left, -np.arange(1, longest + 1), "right")
+        column = np.concatenate([[0], np.cumsum(going)])
+        points = points[np.concatenate([begin[:k] + i for i, k in enumerate(going.tolist())])]
+        codes = self.numbers[np.minimum(points, len(self.numbers) - 1)]
+        end = np.repeat(np.arange(1, longest + 1, dtype=np.int32), going)
+        row = np.concatenate([np.arange(k, dtype=np.int32) for k in going.tolist()])
+
+        # pieces that end at each place: a character alone is an edge even if it is no piece
+        known = self.owner[codes] == 0
+        node = np.where(known, self.child[codes], 0)
+        single, single_id = self.scores[node], self.ids[node]
+        single[np.isnan(single)] = self.pieces.worst
+        single_id[~known] = -1
+        at = np.flatnonzero(known)
+        end, row, node, edges = end[at], row[at], node[at], []
+        for size in range(2, self.pieces.longest + 1):
+            at = int(np.searchsorted(end, size))
+            end, row, node = end[at:], row[at:], node[at:]
+            entry = self.places[node] + codes[column[end - size] + row]
+            at = np.flatnonzero(self.owner[entry] == node)
+            if not len(at):
+                break
+            end, row, node = end[at], row[at], self.child[entry[at]]
+            scores = self.scores[node]
+            at = np.flatnonzero(~np.isnan(scores))
+            edges.append((np.searchsorted(end[at], np.arange(longest + 2)).tolist(), row[at], scores[at], self.ids[node[at]]))
+
+        best, second, back, ids = [np.zeros(n)], [np.full(n, -np.inf)], [], []
+        for place, k in enumerate(going.tolist(), 1):
+            own = slice(column[place - 1], column[place])
+            top, other = best[-1][:k] + single[own], second[-1][:k] + single[own]
+            cut, piece = np.ones(k, np.int32), single_id[own]
+            for size, (bounds, rows, scores, numbers) in enumerate(edges[: place - 1], 2):
+                a, b = bounds[place], bounds[place + 1]
+                if a < b:
+                    at, worth = rows[a:b], scores[a:b]
+                    value, before = best[place - size][at] + worth, top[at]
+                    less = np.maximum(np.minimum(value, before), second[place - size][at] + worth)
+                    other[at] = np.maximum(other[at], less)
+                    top[at] = np.maximum(value, before)
+                    won = value >= before
+                    cut[at[won]] = size
+                    piece[at[won]] = numbers[a:b][won]
+            best.append(top)
+            second.append(other)
+            back.append(cut)
+            ids.append(piece)
+
+        score, loss = np.empty(n), np.empty(n)
+        for place, (k, later) in enumerate(zip(going.tolist(), [*going.tolist()[1:], 0]), 1):
+            score[later:k] = best[place][later:k]
+            loss[later:k] = best[place][later:k] - second[place][later:k]
+        back, ids = np.concatenate(back), np.concatenate(ids)
+        at, taken = np.arange(n), []
+        while len(at):
+            flat = column[left - 1] + at
+            taken.append((at, flat))
+            left = left - back[flat]
+            at, left = at[left > 0], left[left > 0]
+        sizes = np.bincount(np.concatenate([rows for rows, _ in taken]), minlength=n)
+        flat, last = np.empty(int(sizes.sum()), np.int64), np.cumsum(sizes) - 1
+        for i, (rows, some) in enumerate(taken):
+            flat[last[rows] - i] = some
+        ids = ids[flat]
+        if (ids < 0).any():
+            ids, more = self._with_bytes(ids, points[flat])
+            sizes = np.add.reduceat(more, last + 1 - sizes)
+        starts = np.cumsum(sizes) - sizes
+        back = np.argsort(order)
+        return score[back], loss[back], starts[back], sizes[back], ids
+
+    def _with_bytes(self, ids: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids with the bytes of those characters that no piece has, and how many each one became."""
+        sizes, missing = np.ones(len(ids), np.int64), np.flatnonzero(ids < 0)
+        written = {point: _written(chr(point), self.pieces) for point in np.unique(points[missing]).tolist()}
+        lines = [written[point] for point in points[missing].tolist()]
+        sizes[missing] = [len(line) for line in lines]
+        out = np.repeat(ids, sizes)
+        out[np.repeat(ids < 0, sizes)] = [number for line in lines for number in line]
+        return out, sizes
+
+
+class _Numbers(dict):
+    """Words by number, in the order in which they were first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Segmentations of texts, with those of recent words kept for the next texts."""
 
@@ -260,69 +427,116 @@ class Encoder:
 
     def __init__(self, pieces: Pieces, n: int, kept: int = KEPT):
         self.pieces, self.n, self.kept = pieces, n, kept
-        self.known: dict[str, tuple[float, bytes, float]] = {}
-        self.older: dict[str, tuple[float, bytes, float]] = {}
-        self.ways: dict[str, list[tuple[float, bytes]]] = {}
+        self.lattice: Lattice | None = None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.ways = _Numbers(), {}
+        self.words: list[str] = []
+        # by number: the best way's score, what the second best loses, where the best way's ids begin and how many they are
+        self.score, self.loss, self.start, self.size = np.zeros(0), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
 
     def _words(self, text: str) -> list[str]:
         sign = text.replace(SPACE, LITERAL) if SPACE in text else text
         sign = (SPACE if self.pieces.prefix else "") + sign.replace(" ", SPACE)
         return self.WORD.findall(sign) if self.pieces.splits else [sign]
 
-    def _learn(self, words: set[str]) -> None:
-        """Have the best way of all these words in ``known``; what was not asked for lately is forgotten."""
-        if len(self.known) > self.kept:
-            self.older, self.known, self.ways = self.known, {}, {}
-        known, older, new = self.known, self.older, []
-        for word in words:
-            if word not in known:
-                have = older.get(word)
-                if have is None:
-                    new.append(word)
-                else:
-                    known[word] = have
-        new.sort()
-        known.update(zip(new, best_of_sorted(new, self.pieces)))
-
-    def _ways(self, word: str) -> list[tuple[float, bytes]]:
+    def plain(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """Places of the texts whose words are what lies between single blanks, and of all others."""
+        fine = lambda text: not (not text or text[0] == " " or "  " in text or SPACE in text or LITERAL in text)
+        if not (self.pieces.splits and self.pieces.prefix):
+            return [], list(range(len(texts)))
+        found = [fine(text) for text in texts]
+        return [i for i, yes in enumerate(found) if yes], [i for i, yes in enumerate(found) if not yes]
+
+    def _numbered(self, texts: list[str]) -> list[np.ndarray]:
+        """Numbers of each text's words."""
+        number, out = self.known.__getitem__, [np.zeros(0, np.int64)] * len(texts)
+        plain, other = self.plain(texts)
+        if plain:
+            lines = split_at_blanks([texts[i] for i in plain])
+            words = lines.values.dictionary_encode()
+            numbers = np.array([number(SPACE + word) for word in words.dictionary.to_pylist()], np.int64)
+            every, bounds = numbers[words.indices.to_numpy()], lines.offsets.to_pylist()
+            for i, a, b in zip(plain, bounds, bounds[1:]):
+                out[i] = every[a:b]
+        for i in other:
+            if texts[i]:
+                words = self._words(texts[i])
+                out[i] = np.fromiter(map(number, words), np.int64, len(words))
+        return out
+
+    def _learn(self) -> None:
+        """The best way of all words that were numbered since the last time."""
+        new, self.known.new = self.known.new, []
+        if not new:
+            return
+        self.words += new
+        if self.lattice is None:
+            self.lattice = Lattice(self.pieces)
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        score, loss, start, size = np.empty(len(new)), np.empty(len(new)), np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        ids, past = [self.ids], len(self.ids)
+        short = np.flatnonzero(lengths <= LONG)
+        parts = np.cumsum(lengths[short]) // AT_ONCE
+        for some in np.split(short, np.flatnonzero(np.diff(parts)) + 1) if len(short) else []:
+            score[some], loss[some], begin, size[some], found = self.lattice.cut([new[i] for i in some.tolist()])
+            start[some] = begin + past
+            ids.append(found)
+            past += len(found)
+        long = sorted(np.flatnonzero(lengths > LONG).tolist(), key=new.__getitem__)
+        for i, (worth, line, less) in zip(long, best_of_sorted([new[i] for i in long], self.pieces)):
+            score[i], loss[i], start[i], size[i] = worth, less, past, len(line) // 4
+            ids.append(np.frombuffer(line, np.int32))
+            past += len(line) // 4
+        both = lambda *parts: np.concatenate(parts)
+        self.score, self.loss = both(self.score, score), both(self.loss, loss)
+        self.start, self.size, self.ids = both(self.start, start), both(self.size, size), both(*ids)
+
+    def _ways(self, number: int) -> list[tuple[float, bytes]]:
         """What each further segmentation of the word loses, and its ids."""
-        ways = self.ways.get(word)
+        ways = self.ways.get(number)
         if ways is None:
-            score, first, _ = self.known[word]
+            word, start = self.words[number], self.start[number]
+            score, first = float(self.score[number]), self.ids[start : start + self.size[number]].tobytes()
             found = n_best(word, self.pieces, self.n)
             ways = [(score - worth, array("i", ids).tobytes()) for worth, ids in found]
             # of equal ways the forward pass chose one
-            ways = self.ways[word] = [way for way in ways if way[1] != first][: self.n - 1]
+            ways = self.ways[number] = [way for way in ways if way[1] != first][: self.n - 1]
         return ways
 
     def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
         """The n best (score, ids as int32 bytes) of each whole text."""
-        split = [self._words(text) if text else [] for text in texts]
-        self._learn(set().union(*split))
-        return [self._encode(words) for words in split]
-
-    def _encode(self, words: list[str]) -> list[tuple[float, bytes]]:
-        if not words:
+        if len(self.known) > 2 * self.kept:
+            self._forget()
+        numbers = self._numbered(texts)
+        self._learn()
+        return [self._encode(at) for at in numbers]
+
+    def _encode(self, at: np.ndarray) -> list[tuple[float, bytes]]:
+        if not len(at):
             return [(0.0, b"")]
-        found = list(map(self.known.__getitem__, words))
-        scores, ids, losses = zip(*found)
-        score = sum(scores)
-        ways = [(score, b"".join(ids))]
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        first = self.ids[np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+        score = sum(self.score[at].tolist())
         # among the n best, only the n - 1 words that lose least by their second way can differ from the first
-        losses, changes = list(losses), [(0.0, ())]
+        losses, changes = self.loss[at], [(0.0, ())]
         for _ in range(self.n - 1):
-            least = min(losses)
-            if least == float("inf"):
+            i = int(losses.argmin())
+            if losses[i] == np.inf:
                 break
-            i = losses.index(least)
-            losses[i] = float("inf")
-            more = [(a + b, (*picked, (i, other))) for a, picked in changes for b, other in self._ways(words[i])]
+            losses[i] = np.inf
+            more = [(a + b, (*picked, (i, other))) for a, picked in changes for b, other in self._ways(int(at[i]))]
             changes = sorted(changes + more, key=lambda way: way[0])[: self.n]
+        ways = [(score, first)]
         for loss, picked in changes[1:]:
-            other = list(ids)
-            for i, way in picked:
-                other[i] = way
-            ways.append((score - loss, b"".join(other)))
+            other, past = [], 0
+            for i, way in sorted(picked):
+                other += [first[past : 4 * int(ends[i] - sizes[i])], way]
+                past = 4 * int(ends[i])
+            ways.append((score - loss, b"".join([*other, first[past:]])))
         return ways
 
 

@@ -102,6 +102,28 @@ def test_segmentations_against_all(vocabulary):
         assert all(pieces.decode(ids, vocabulary) == text for _, ids in got)
 
 
+def test_words_are_cut_together(vocabulary, monkeypatch):
+    random.seed(8)
+    some = "the anionés,.\n漢q😀Я" + pieces.LITERAL
+    words = {pieces.SPACE + "".join(random.choices(some, k=random.randint(0, pieces.LONG - 1))) for _ in range(800)}
+    words |= {pieces.SPACE * k for k in (1, 2, 40)} | {"国際", "a" * pieces.LONG, "the"}
+    words = sorted(words)
+    want = list(pieces.best_of_sorted(words, vocabulary))
+    shuffled = random.sample(range(len(words)), len(words))
+    score, loss, start, size, ids = pieces.Lattice(vocabulary).cut([words[i] for i in shuffled])
+    for at, i in enumerate(shuffled):
+        assert (score[at], ids[start[at] : start[at] + size[at]].tobytes(), loss[at]) == want[i]
+    texts = [" ".join(random.choices("one two three été 漢字 ▁ international".split(), k=30)) + " " + "long" * k for k in (0, 50, 3, 50)]
+    few, many = pieces.Encoder(vocabulary, 3, kept=1), pieces.Encoder(vocabulary, 3)  # forgetting changes nothing
+    want = many.encode(texts)
+    assert [few.encode([text])[0] for text in texts] == want and [len(w) for w in want] == [3] * 4
+    alone = []  # words that go through Python place by place: the long one only
+    monkeypatch.setattr(pieces, "best_of_sorted", lambda words, known, cut=pieces.best_of_sorted: alone.extend(words) or cut(words, known))
+    assert pieces.Encoder(vocabulary, 3).encode(texts) == want and [len(word) for word in alone] == [201]
+    none = pieces.Pieces({}, {}, list(range(256)), [bytes([b]) for b in range(256)])
+    assert pieces.Encoder(none, 2).encode(["é b"]) == [[(-40.0, np.array(list("▁é▁b".encode()), np.int32).tobytes())]]
+
+
 def test_counted_pieces(spark, docs, empty, vocabulary):
     import sentencepiece
 
