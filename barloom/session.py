@@ -21,6 +21,10 @@ PINNED = {
 
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
+#: Bytes of rows that go to a Python worker at once; Spark's 64 MB of texts are there several times over, as buffers of
+#: Spark, as a batch and as strings of the worker, and as the batch that comes back.
+BATCH_BYTES = 2 * 1024 * 1024
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -39,6 +43,13 @@ def new_session(app: str = "barloom", master: str | None = None, **conf: str) ->
     return prepare(builder.getOrCreate())
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_BYTES`` in this session from now on, unless it has a size of its own; results do not
+    depend on it. A row is never split."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     context = spark.sparkContext

@@ -1,5 +1,6 @@
 """The pipeline's stages one by one, against what they promise of their input."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -47,5 +48,27 @@ def test_stages(spark, docs, empty):
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0
 
 
+def test_stages_hand_texts_over_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat('words of a text ', 400) as text", "'en' lang", "'s' source", "6400L n_chars")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    before = spark.conf.get(key, None)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(key)
+            stage(spark, rows, SF)
+            have = rows.select("text").mapInArrow(sizes, "n long, size long").collect()
+            assert sum(r.n for r in have) == 2000 and max(r.size for r in have) < 3_000_000, name
+        spark.conf.set(key, 1_000_000)
+        corpus_pipeline.personal(spark, rows, SF)
+        assert spark.conf.get(key) == "1000000"  # a session's own size stays
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_names():
     assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14)) and set(SQL) <= set(QUERIES)
